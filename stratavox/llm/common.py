@@ -105,3 +105,16 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     total = int(lengths.sum())
     ends = np.cumsum(lengths)
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
+
+
+ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow schema of a flat "name type, ..." list, for use within tasks."""
+    return pa.schema([(name, ARROW[kind]) for name, kind in (x.split() for x in ddl.split(","))])
+
+
+def batch_of(ddl: str, *arrays) -> pa.RecordBatch:
+    schema = arrow_schema(ddl)
+    return pa.RecordBatch.from_arrays([a if isinstance(a, pa.Array) and a.type == f.type else pa.array(a, f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
