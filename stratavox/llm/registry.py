@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+from stratavox.llm.digest import op9_fingerprints
+from stratavox.llm.extract import op10_extraction
 from stratavox.llm.mixing import op7_mixing
+from stratavox.llm.packing import op8_packing
 from stratavox.llm.personal import op3_personal
 
 
 def queries() -> dict:
-    return {"op3_personal": op3_personal, "op7_mixing": op7_mixing}
+    return {
+        "op3_personal": op3_personal,
+        "op7_mixing": op7_mixing,
+        "op8_packing": op8_packing,
+        "op9_fingerprints": op9_fingerprints,
+        "op10_extraction": op10_extraction,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
