@@ -7,10 +7,12 @@ from stratavox.llm.extract import op10_extraction
 from stratavox.llm.mixing import op7_mixing
 from stratavox.llm.packing import op8_packing
 from stratavox.llm.personal import op3_personal
+from stratavox.llm.quality import op1_quality
 
 
 def queries() -> dict:
     return {
+        "op1_quality": op1_quality,
         "op3_personal": op3_personal,
         "op7_mixing": op7_mixing,
         "op8_packing": op8_packing,
