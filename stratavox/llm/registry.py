@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratavox.llm.digest import op9_fingerprints
 from stratavox.llm.extract import op10_extraction
+from stratavox.llm.media import op4_media
 from stratavox.llm.mixing import op7_mixing
 from stratavox.llm.packing import op8_packing
 from stratavox.llm.personal import op3_personal
@@ -14,6 +15,7 @@ def queries() -> dict:
     return {
         "op1_quality": op1_quality,
         "op3_personal": op3_personal,
+        "op4_media": op4_media,
         "op7_mixing": op7_mixing,
         "op8_packing": op8_packing,
         "op9_fingerprints": op9_fingerprints,
