@@ -1,0 +1,32 @@
+"""Connected components of an edge table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stratavox.llm.common import drop, materialise
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node and component, the least node that can be reached, for every node in edges (a, b: long).
+
+    Alternates large and small stars until the edges stand still. Each round is two joins with the least neighbour of
+    each node, which partial aggregation finds; a hub's edges can be split among tasks.
+    """
+    both = edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    now = materialise(both, "graph-edges")
+    seen = None
+    while True:
+        ways = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = ways.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = ways.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        lower = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lower, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u != v").distinct()
+        after = materialise(small, "graph-edges")
+        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        drop(now)
+        now = after
+        if tuple(state) == seen:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+        seen = tuple(state)

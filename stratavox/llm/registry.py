@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from stratavox.llm.digest import op9_fingerprints
 from stratavox.llm.extract import op10_extraction
+from stratavox.llm.jaccard import op6_jaccard
 from stratavox.llm.media import op4_media
 from stratavox.llm.mixing import op7_mixing
 from stratavox.llm.packing import op8_packing
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op1_quality": op1_quality,
         "op3_personal": op3_personal,
         "op4_media": op4_media,
+        "op6_jaccard": op6_jaccard,
         "op7_mixing": op7_mixing,
         "op8_packing": op8_packing,
         "op9_fingerprints": op9_fingerprints,
