@@ -106,6 +106,8 @@ def member_rows(blocks: int):
                 place = unpress(payload[24 + a + b : 24 + a + b + c], np.uint32)
                 times = unpress(counts_raw, np.uint32).astype(np.int64)
                 at, hashes, total = unpress_sorted(at_raw).astype(np.int64), unpress_sorted(hashes_raw), unpress(total_raw, np.uint16)
+                if not len(at):
+                    continue
                 first = (np.cumsum(times) - times)[at]
                 own = place[ranges(first, times[at])]
                 h, n = np.repeat(hashes, times[at]), np.repeat(total, times[at])
