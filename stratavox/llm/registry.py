@@ -10,11 +10,13 @@ from stratavox.llm.mixing import op7_mixing
 from stratavox.llm.packing import op8_packing
 from stratavox.llm.personal import op3_personal
 from stratavox.llm.quality import op1_quality
+from stratavox.llm.suffix import op2_suffix_dedup
 
 
 def queries() -> dict:
     return {
         "op1_quality": op1_quality,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_personal": op3_personal,
         "op4_media": op4_media,
         "op6_jaccard": op6_jaccard,
