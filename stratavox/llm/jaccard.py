@@ -254,13 +254,16 @@ def link_documents(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of each group of linked documents, that of the smallest doc_id; all columns stay."""
+    """One row of each group of linked documents, that of the smallest doc_id; all columns stay.
+
+    Of repeated rows one stays. Rows without a doc_id have no place in that order and stay as they are.
+    """
     configure(docs.sparkSession)
-    kept = link_documents(docs).filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    kept = link_documents(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
     kept = materialise(kept, "jaccard-kept")
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"))
-    both = row.join(kept, F.col("_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return both.select("_row.*").dropDuplicates(["doc_id", "text"])
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text_of(docs)).alias("_hash"))
+    one = row.filter("_id is not null").join(kept, "_id", "left_semi").dropDuplicates(["_id", "_hash"])
+    return one.select("_row.*").unionByName(docs.filter("doc_id is null"))
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:

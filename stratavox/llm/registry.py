@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratavox.llm.chat import OP5_SQL, op5_chat
 from stratavox.llm.digest import op9_fingerprints
 from stratavox.llm.extract import op10_extraction
 from stratavox.llm.jaccard import op6_jaccard
@@ -19,6 +20,7 @@ def queries() -> dict:
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_personal": op3_personal,
         "op4_media": op4_media,
+        "op5_chat": op5_chat,
         "op6_jaccard": op6_jaccard,
         "op7_mixing": op7_mixing,
         "op8_packing": op8_packing,
@@ -28,4 +30,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_chat": OP5_SQL}
