@@ -1,22 +1,564 @@
-"""The volumetric queries over the driver tables, and the SQL that each is held against."""
+"""The volumetric queries over the driver's tables, and the DuckDB SQL that each is held against."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-VOL_SEG = """SELECT CAST(l_partkey % 128 AS BIGINT) AS x, CAST(l_orderkey % 128 AS BIGINT) AS y, CAST(l_linenumber - 1 AS BIGINT) AS z,
-       CAST(max(l_quantity) AS BIGINT) * 5 AS v, CAST(min(l_suppkey) + 1 AS BIGINT) AS label
-FROM lineitem GROUP BY 1, 2, 3"""
+from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
+from stratavox.operators import ccl, mesh, pool, relabel, select, skeleton, spatial, stats
+from stratavox.plans.scales import ShardSpec
+from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
+from stratavox.sources.volume import to_chunks, to_voxels, transfer
 
+BOX = ((16, 24, 1), (80, 100, 5))
+SEG, CCL, POINTS, REMAP, IDS = (f"({SQL[k]})" for k in ("vol_seg", "vol_ccl", "points", "remap", "ids"))
+IN_BOX = "x >= 16 AND x < 80 AND y >= 24 AND y < 100 AND z >= 1 AND z < 5"
+AGREED = "SELECT old, new FROM remap WHERE new % 2 = 0"
+DOWN = "CAST(floor(x / 2) AS BIGINT) AS x, CAST(floor(y / 2) AS BIGINT) AS y, z"
+WITH = f"WITH seg AS {SEG}, remap AS {REMAP}, ids AS {IDS}, points AS {POINTS}"
 
-def voxel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.read.parquet(f"{sf_dir}/lineitem.parquet").createOrReplaceTempView("lineitem")
-    return spark.sql(f"SELECT label, count(*) AS voxels FROM ({VOL_SEG}) GROUP BY label")
+_queries: dict = {}
+_sql: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL."""
+
+    def keep(f):
+        _queries[f.__name__] = f
+        if sql is not None:
+            _sql[f.__name__] = sql
+        return f
+
+    return keep
+
+
+def seg(spark: SparkSession, d: str) -> DataFrame:
+    return fixture(spark, d, "vol_seg")
+
+
+def bright(spark: SparkSession, d: str) -> DataFrame:
+    return fixture(spark, d, "vol_ccl").filter("v >= 75").select("x", "y", "z")
+
+
+# Selection and projection
+
+
+@query(f"SELECT x, y, z, v, label FROM {SEG} WHERE {IN_BOX}")
+def bbox_cutout(spark, d):
+    return select.cutout(seg(spark, d), BOX)
+
+
+@query(f"SELECT x, y, z, v >= 50 AND v <= 200 AS v, label FROM {SEG}")
+def threshold_between(spark, d):
+    return select.threshold(seg(spark, d), 50, 200)
+
+
+@query("SELECT CAST(vec_id AS BIGINT) AS z, CAST(i % 8 AS BIGINT) AS x, CAST(i // 8 AS BIGINT) AS y, CAST(floor((CAST(embedding[i + 1] AS DOUBLE) + 1) / 2 * 255) AS BIGINT) AS v FROM embeddings, range(0, 64) t(i)")
+def quantize(spark, d):
+    chunks = stack(spark, d).withColumn("data", F.transform("data", lambda v: (v.cast("double") + 1) / 2))
+    voxels = select.quantize(chunks).select("z", F.posexplode("data").alias("i", "v"))
+    return voxels.select("z", (F.col("i") % 8).cast("bigint").alias("x"), F.floor(F.col("i") / 8).cast("bigint").alias("y"), F.col("v").cast("bigint").alias("v"))
+
+
+@query(f"SELECT x, y, z, v FROM {SEG} WHERE NOT ({IN_BOX}) UNION ALL SELECT a.i, b.i, c.i, CAST(7 AS BIGINT) FROM range(16, 80) a(i), range(24, 100) b(i), range(1, 5) c(i)")
+def blackout(spark, d):
+    return select.blackout(seg(spark, d), BOX, 7)
+
+
+@query(f"{WITH} SELECT a.i AS cx, b.i AS cy, c.i AS cz FROM range(0, 16) a(i), range(0, 16) b(i), range(0, 7) c(i) WHERE NOT EXISTS (SELECT 1 FROM seg WHERE floor(x / 8) = a.i AND floor(y / 8) = b.i AND z = c.i AND label > 90)")
+def missing_chunks(spark, d):
+    return select.missing_chunks(seg(spark, d).filter("label > 90"), SEG_SHAPE, (8, 8, 1))
+
+
+@query(f"SELECT CAST(floor((x + 3) / 64) AS BIGINT) AS cx, CAST(floor((y + 7) / 64) AS BIGINT) AS cy, CAST(floor((z + 11) / 16) AS BIGINT) AS cz, count(*) AS voxels, CAST(sum(v) AS BIGINT) AS total FROM {SEG} GROUP BY 1, 2, 3")
+def translate_rechunk(spark, d):
+    moved = transfer(seg(spark, d), shift=(3, 7, 11), chunk=(64, 64, 16))
+    return moved.groupBy("cx", "cy", "cz").agg(F.count("*").alias("voxels"), F.sum("v").alias("total"))
+
+
+@query(f"{WITH} SELECT x, y, z, v, label FROM seg WHERE label IN (SELECT label FROM ids)")
+def mask_except(spark, d):
+    return select.mask_except(seg(spark, d), fixture(spark, d, "ids"))
+
+
+@query(f"{WITH} SELECT x, y, z, v, label FROM seg WHERE label NOT IN (SELECT label FROM ids)")
+def mask_exclude(spark, d):
+    return select.mask(seg(spark, d), fixture(spark, d, "ids"))
+
+
+@query(f"{WITH} SELECT x, y, z, v, label FROM (SELECT *, count(*) OVER (PARTITION BY floor(x / 32), floor(y / 32), label) AS n FROM seg) WHERE n >= 40")
+def local_dust(spark, d):
+    return select.local_dust(seg(spark, d), 40, (32, 32, 7))
+
+
+@query(f"{WITH} SELECT x, y, z, v, label FROM (SELECT *, count(*) OVER (PARTITION BY label) AS n FROM seg) WHERE n >= 500 AND label <> 0")
+def global_dust(spark, d):
+    vol = seg(spark, d)
+    return select.global_dust(vol, stats.voxel_counts(vol), 500)
+
+
+@query(f"SELECT x, y, CASE z WHEN 0 THEN 6 WHEN 6 THEN 2 WHEN 2 THEN 0 ELSE z END AS z, v, label FROM {SEG}")
+def reorder_z(spark, d):
+    return select.reorder(seg(spark, d), {0: 6, 6: 2, 2: 0}, 7)
+
+
+@query(f"{WITH}, agreed AS ({AGREED}) SELECT x, y, z, v, CASE WHEN label = 0 THEN 0 ELSE coalesce(new, label | (5 << 16)) END AS label FROM seg LEFT JOIN agreed ON label = old")
+def consensus_encode(spark, d):
+    return select.consensus(seg(spark, d), fixture(spark, d, "remap").filter("new % 2 = 0"), 5)
+
+
+@query(f"{WITH} SELECT a.x, a.y, a.z, a.v * m.m AS v, a.label FROM seg a JOIN (SELECT DISTINCT CAST(floor(x / 4) AS BIGINT) AS x, CAST(floor(y / 4) AS BIGINT) AS y, z, CAST(1 AS BIGINT) AS m FROM seg WHERE v > 240) m ON floor(a.x / 4) = m.x AND floor(a.y / 4) = m.y AND a.z = m.z")
+def affinity_mask(spark, d):
+    vol = seg(spark, d)
+    coarse = vol.filter("v > 240").select(*pool.window((4, 4, 1)), F.lit(1).cast("bigint").alias("m")).distinct()
+    return select.affinity_mask(vol, coarse, 2)
+
+
+@query(f"SELECT x, y, z, v, label FROM {SEG} WHERE CAST(x % 32 = 0 AND x > 0 AS INT) + CAST(y % 32 = 0 AND y > 0 AS INT) + CAST(z % 4 = 0 AND z > 0 AS INT) < 2")
+def non_face_rails(spark, d):
+    return select.non_face_rails(seg(spark, d), (32, 32, 4))
+
+
+@query(f"WITH vol AS (SELECT x, y, z, label FROM {SEG} WHERE label > 80), spread AS (SELECT x + a.i AS x, y + b.i AS y, z + c.i AS z, label, CASE WHEN a.i = 0 AND b.i = 0 AND c.i = 0 THEN label END AS own FROM vol, range(-1, 2) a(i), range(-1, 2) b(i), range(-1, 2) c(i)) SELECT x, y, z, coalesce(max(own), min(label)) AS label FROM spread GROUP BY x, y, z")
+def dilate27(spark, d):
+    return select.dilate(seg(spark, d).filter("label > 80").select("x", "y", "z", "label"))
+
+
+@query(f"""WITH vol AS (SELECT x, y, z, label FROM {SEG}) SELECT * FROM vol UNION ALL SELECT -1, y, z, 0 FROM vol WHERE x = 0 UNION ALL SELECT 128, y, z, 0 FROM vol WHERE x = 127
+UNION ALL SELECT x, -1, z, 0 FROM vol WHERE y = 0 UNION ALL SELECT x, 128, z, 0 FROM vol WHERE y = 127 UNION ALL SELECT x, y, -1, 0 FROM vol WHERE z = 0 UNION ALL SELECT x, y, 7, 0 FROM vol WHERE z = 6""")
+def close_edges(spark, d):
+    vol = seg(spark, d).select("x", "y", "z", "label")
+    sides = select.close_edges(vol, SEG_SHAPE)
+    return sides.filter("(label <> 0) OR (CAST(x < 0 OR x > 127 AS INT) + CAST(y < 0 OR y > 127 AS INT) + CAST(z < 0 OR z > 6 AS INT) = 1)")
+
+
+@query(f"SELECT CAST(m AS BIGINT) AS mip, CAST(floor(x / (8 << m)) AS BIGINT) AS cx, CAST(floor(y / (8 << m)) AS BIGINT) AS cy, z AS cz FROM {SEG}, range(0, 3) t(m) WHERE NOT (floor(x / (8 << m)) BETWEEN floor(16 / (8 << m)) AND ceil(80 / (8 << m)) - 1 AND floor(y / (8 << m)) BETWEEN floor(24 / (8 << m)) AND ceil(ceil(100 / (1 << m)) / 8) - 1 AND z BETWEEN 1 AND 4) GROUP BY 1, 2, 3, 4")
+def delete_bbox(spark, d):
+    at = F.lit(8) * F.pow(F.lit(2.0), "mip")
+    every = seg(spark, d).withColumn("mip", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(2).cast("bigint"))))
+    chunks = every.select("mip", F.floor(F.col("x") / at).cast("bigint").alias("cx"), F.floor(F.col("y") / at).cast("bigint").alias("cy"), F.col("z").alias("cz")).distinct()
+    return select.delete(chunks, BOX, (2, 2, 1), (8, 8, 1), ((0, 0, 0), SEG_SHAPE), 2)
+
+
+# Relabelling
+
+
+@query(f"{WITH} SELECT x, y, z, v, new AS label FROM seg JOIN remap ON label = old")
+def remap_inner(spark, d):
+    return relabel.remap_only(seg(spark, d), fixture(spark, d, "remap"))
+
+
+@query(f"{WITH}, agreed AS ({AGREED}) SELECT x, y, z, v, coalesce(new, label) AS label FROM seg LEFT JOIN agreed ON label = old")
+def remap_left(spark, d):
+    return relabel.remap_keep(seg(spark, d), fixture(spark, d, "remap").filter("new % 2 = 0"))
+
+
+@query(f"{WITH} SELECT x, y, z, v, new * 3 AS label FROM seg JOIN remap ON label = old")
+def remap_array(spark, d):
+    values = fixture(spark, d, "remap").select(F.col("old").alias("position"), (F.col("new") * 3).alias("value"))
+    return relabel.remap_array(seg(spark, d), values)
+
+
+@query(f"SELECT label, row_number() OVER (ORDER BY label) AS number FROM (SELECT DISTINCT label FROM {SEG})")
+def renumber(spark, d):
+    return relabel.renumber(seg(spark, d))
+
+
+@query(f"SELECT label, CAST(CAST(label AS HUGEINT) * 92233720368547758 + CASE WHEN label % 2 = 0 THEN 9223372036854775807 ELSE 0 END AS DECIMAL(20, 0)) AS wide FROM (SELECT DISTINCT label FROM {SEG} WHERE label < 90)")
+def unsigned_labels(spark, d):
+    wide = F.col("label").cast("decimal(38,0)") * F.lit(92233720368547758).cast("decimal(20,0)") + F.when(F.col("label") % 2 == 0, F.lit(9223372036854775807).cast("decimal(20,0)")).otherwise(F.lit(0).cast("decimal(20,0)"))
+    folded = F.when(wide > F.lit(9223372036854775807).cast("decimal(20,0)"), wide - F.lit(1 << 64).cast("decimal(20,0)")).otherwise(wide).cast("bigint")
+    labels = stats.labels(seg(spark, d)).filter("label < 90").withColumn("packed", folded)
+    return labels.select("label", unsigned("packed").cast("decimal(20,0)").alias("wide"))
+
+
+# Downsampling
+
+
+@query(f"SELECT {DOWN}, CAST(floor(sum(v) / 4) AS BIGINT) AS v FROM {SEG} GROUP BY 1, 2, 3")
+def avg_pool_mip1(spark, d):
+    return pool.average(seg(spark, d), (2, 2, 1), shape=SEG_SHAPE)
+
+
+@query(f"SELECT CAST(floor(x / 8) AS BIGINT) AS x, CAST(floor(y / 8) AS BIGINT) AS y, z, CAST(floor(sum(v) / 64) AS BIGINT) AS v FROM {SEG} GROUP BY 1, 2, 3")
+def avg_pool_mip3(spark, d):
+    return pool.average(seg(spark, d), (8, 8, 1), shape=SEG_SHAPE)
+
+
+@query(f"SELECT {DOWN}, CAST(floor(sum(v) / count(*)) AS BIGINT) AS v FROM {SEG} GROUP BY 1, 2, 3")
+def avg_pool_sparse(spark, d):
+    return pool.average(seg(spark, d), (2, 2, 1), sparse=True)
+
+
+@query(f"WITH n AS (SELECT {DOWN}, label, count(*) AS n FROM {SEG} GROUP BY 1, 2, 3, 4), b AS (SELECT *, sum(n) OVER (PARTITION BY x, y, z) AS used, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS r FROM n) SELECT x, y, z, label FROM b WHERE r = 1 AND 4 - used < n")
+def mode_pool(spark, d):
+    return pool.mode(seg(spark, d), (2, 2, 1), shape=SEG_SHAPE)
+
+
+@query(f"WITH n AS (SELECT {DOWN}, label, count(*) AS n FROM {SEG} GROUP BY 1, 2, 3, 4), b AS (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS r FROM n) SELECT x, y, z, label FROM b WHERE r = 1")
+def mode_pool_sparse(spark, d):
+    return pool.mode(seg(spark, d), (2, 2, 1), sparse=True)
+
+
+@query(f"WITH f AS (SELECT {DOWN}, coalesce(max(label) FILTER (x % 2 = 0 AND y % 2 = 0), 0) AS a, coalesce(max(label) FILTER (x % 2 = 1 AND y % 2 = 0), 0) AS b, coalesce(max(label) FILTER (x % 2 = 0 AND y % 2 = 1), 0) AS c, coalesce(max(label) FILTER (x % 2 = 1 AND y % 2 = 1), 0) AS e FROM {SEG} GROUP BY 1, 2, 3) SELECT * FROM (SELECT x, y, z, CASE WHEN a = b OR a = c THEN a WHEN b = c THEN b ELSE e END AS label FROM f) WHERE label <> 0")
+def countless_pool(spark, d):
+    return pool.countless(seg(spark, d))
+
+
+@query(f"SELECT * FROM (SELECT {DOWN}, CASE WHEN count(*) = 4 THEN min(v) ELSE 0 END AS v FROM {SEG} GROUP BY 1, 2, 3) WHERE v <> 0")
+def min_pool(spark, d):
+    return pool.least(seg(spark, d), (2, 2, 1), shape=SEG_SHAPE)
+
+
+@query(f"SELECT {DOWN}, max(v) AS v FROM {SEG} GROUP BY 1, 2, 3")
+def max_pool(spark, d):
+    return pool.most(seg(spark, d), (2, 2, 1))
+
+
+@query(f"SELECT {DOWN}, v FROM {SEG} WHERE x % 2 = 0 AND y % 2 = 0")
+def stride_pool(spark, d):
+    return pool.stride(seg(spark, d), (2, 2, 1))
+
+
+@query(f"SELECT CAST(m AS BIGINT) AS mip, CAST(floor(x / (1 << m)) AS BIGINT) AS x, CAST(floor(y / (1 << m)) AS BIGINT) AS y, z, CAST(floor(sum(v) / (1 << (2 * m))) AS BIGINT) AS v FROM {SEG}, range(1, 4) t(m) GROUP BY 1, 2, 3, 4")
+def image_pyramid(spark, d):
+    return pool.pyramid(seg(spark, d), (2, 2, 1), 3, "image", shape=SEG_SHAPE)
+
+
+def _mode_sql(source: str) -> str:
+    return f"SELECT x, y, z, label FROM (SELECT *, sum(n) OVER (PARTITION BY x, y, z) AS used, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS r FROM (SELECT {DOWN}, label, count(*) AS n FROM {source} GROUP BY 1, 2, 3, 4)) WHERE r = 1 AND 4 - used < n"
+
+
+@query(f"WITH one AS ({_mode_sql(SEG)}), two AS ({_mode_sql('one')}) SELECT CAST(1 AS BIGINT) AS mip, * FROM one UNION ALL SELECT 2, * FROM two")
+def segmentation_pyramid(spark, d):
+    return pool.pyramid(seg(spark, d), (2, 2, 1), 2, "segmentation", shape=SEG_SHAPE)
+
+
+@query(f"{WITH}, cells AS (SELECT DISTINCT floor(x / 32) AS cx, floor(y / 32) AS cy FROM points WHERE z = 0 AND x < 128) SELECT {DOWN}, CAST(floor(sum(v) / 4) AS BIGINT) AS v FROM seg WHERE EXISTS (SELECT 1 FROM cells WHERE floor(x / 32) = cx AND floor(y / 32) = cy) GROUP BY 1, 2, 3")
+def fix_up_pool(spark, d):
+    points = fixture(spark, d, "points").filter("z = 0 AND x < 128").select("x", "y", "z")
+    return pool.fix_up(seg(spark, d), points, (32, 32, 7), (2, 2, 1), shape=SEG_SHAPE)
+
+
+# Counts, histograms, contrast, boxes
+
+
+@query(f"SELECT label, count(*) AS voxels FROM {SEG} GROUP BY label")
+def voxel_counts(spark, d):
+    return stats.voxel_counts(seg(spark, d))
+
+
+@query(f"WITH n AS (SELECT CAST(floor(x / 32) AS BIGINT) AS cx, CAST(floor(y / 32) AS BIGINT) AS cy, CAST(floor(z / 4) AS BIGINT) AS cz, label, count(*) AS voxels FROM {SEG} GROUP BY 1, 2, 3, 4) SELECT * FROM n UNION ALL SELECT cx, cy, cz, 0, CAST(32 * 32 * least(4, 7 - cz * 4) - sum(voxels) AS BIGINT) FROM n GROUP BY 1, 2, 3")
+def voxel_counts_by_cell(spark, d):
+    return stats.cell_counts(seg(spark, d), (32, 32, 4), SEG_SHAPE)
+
+
+@query(f"SELECT label, count(*) AS voxels FROM {SEG} GROUP BY label UNION ALL SELECT 0, 128 * 128 * 7 - count(*) FROM {SEG}")
+def voxel_counts_final(spark, d):
+    return stats.sum_counts(stats.cell_counts(seg(spark, d), (32, 32, 4), SEG_SHAPE))
+
+
+@query(f"SELECT z, v, count(*) AS n FROM {SEG} GROUP BY z, v UNION ALL SELECT z, 0, 128 * 128 - count(*) FROM {SEG} GROUP BY z")
+def z_histogram(spark, d):
+    return stats.histogram(seg(spark, d), 128 * 128)
+
+
+@query(f"SELECT z, string_agg(CAST(n AS VARCHAR), ',' ORDER BY b) AS levels FROM (SELECT s.z, b.i AS b, coalesce(n, 0) AS n FROM (SELECT DISTINCT z FROM {SEG}) s CROSS JOIN range(0, 256) b(i) LEFT JOIN (SELECT z, v, count(*) AS n FROM {SEG} GROUP BY z, v) h ON h.z = s.z AND h.v = b.i) GROUP BY z")
+def luminance_levels(spark, d):
+    return stats.levels_file(stats.histogram(seg(spark, d))).withColumn("levels", F.concat_ws(",", "levels"))
+
+
+BOUNDS = f"""h AS (SELECT z, v, count(*) AS n FROM {SEG} GROUP BY z, v UNION ALL SELECT DISTINCT z, 0, 0 FROM {SEG}),
+ r AS (SELECT z, v, sum(n) OVER (PARTITION BY z ORDER BY v) AS s, coalesce(lead(v) OVER (PARTITION BY z ORDER BY v) - 1, 255) AS e, sum(n) OVER (PARTITION BY z) AS t FROM h),
+ b AS (SELECT z, CAST(coalesce(max(e) FILTER (s <= t * 0.01), 0) AS BIGINT) AS lower, CAST(coalesce(max(e) FILTER (s <= t * 0.99), 0) AS BIGINT) AS upper FROM r GROUP BY z)"""
+
+
+@query(f"WITH {BOUNDS} SELECT * FROM b")
+def clip_bounds(spark, d):
+    return stats.clip_bounds(stats.histogram(seg(spark, d)), 0.01, 0.99)
+
+
+@query(f"WITH {BOUNDS} SELECT x, y, a.z, label, CASE WHEN lower = upper THEN v ELSE CAST(greatest(0.0, least(255.0, round_even(CAST(v - lower AS DOUBLE) * (CAST(255 AS DOUBLE) / (upper - lower)), 0))) AS BIGINT) END AS v FROM {SEG} a JOIN b ON a.z = b.z")
+def contrast_stretch(spark, d):
+    vol = seg(spark, d)
+    return stats.contrast_stretch(vol, stats.clip_bounds(stats.histogram(vol), 0.01, 0.99))
+
+
+@query(f"""WITH n AS (SELECT z, CAST(floor(x / 32) AS BIGINT) AS tx, CAST(floor(y / 32) AS BIGINT) AS ty, v, count(*) AS n FROM {SEG} GROUP BY 1, 2, 3, 4),
+ a AS (SELECT *, sum(n) OVER (PARTITION BY z, tx, ty) AS t FROM n), l AS (SELECT *, greatest(1, floor(4.0 * t / 256)) AS m FROM a),
+ o AS (SELECT *, sum(greatest(0, n - m)) OVER (PARTITION BY z, tx, ty) AS o, sum(least(n, m)) OVER (PARTITION BY z, tx, ty ORDER BY v) AS u FROM l)
+ SELECT z, tx, ty, v, CAST(floor((u + floor(o * (v + 1) / 256)) * 255 / t) AS BIGINT) AS "to" FROM o""")
+def clahe_luts(spark, d):
+    return stats.tile_luts(seg(spark, d), 32, 4.0)
+
+
+@query()
+def clahe(spark, d):
+    return stats.clahe(seg(spark, d).select("x", "y", "z", "v"), 32, 4.0)
+
+
+@query(f"SELECT label, min(x) * 16 AS x0, (max(x) + 1) * 16 AS x1, min(y) * 16 AS y0, (max(y) + 1) * 16 AS y1, min(z) * 40 AS z0, (max(z) + 1) * 40 AS z1 FROM {SEG} GROUP BY label")
+def object_bbox(spark, d):
+    return stats.boxes(seg(spark, d), (16, 16, 40))
+
+
+INDEX = f"""index AS (SELECT c.i AS cx, e.i AS cy, CAST(0 AS BIGINT) AS cz, label, min(x) AS x0, max(x) + 1 AS x1, min(y) AS y0, max(y) + 1 AS y1, min(z) AS z0, max(z) + 1 AS z1
+ FROM {SEG}, range(0, 4) c(i), range(0, 4) e(i) WHERE x BETWEEN c.i * 32 AND c.i * 32 + 32 AND y BETWEEN e.i * 32 AND e.i * 32 + 32 GROUP BY 1, 2, 3, 4)"""
+
+
+@query(f"WITH {INDEX} SELECT * FROM index")
+def spatial_index(spark, d):
+    return spatial.spatial_index(seg(spark, d), (32, 32, 8))
+
+
+@query(f"WITH {INDEX} SELECT DISTINCT label FROM index WHERE x0 < 20 AND x1 > 10 AND y0 < 20 AND y1 > 10 AND z0 < 4 AND z1 > 2")
+def spatial_range_query(spark, d):
+    return spatial.query_box(spatial.spatial_index(seg(spark, d), (32, 32, 8)), ((10, 10, 2), (20, 20, 4)), (32, 32, 8))
+
+
+@query(f"WITH {INDEX}, ids AS {IDS} SELECT label, string_agg(name, ',' ORDER BY name) AS cells FROM (SELECT label, cx || '_' || cy || '_' || cz AS name FROM index WHERE label IN (SELECT label FROM ids)) GROUP BY label")
+def label_cells(spark, d):
+    return spatial.label_cells(spatial.spatial_index(seg(spark, d), (32, 32, 8)), fixture(spark, d, "ids")).withColumn("cells", F.concat_ws(",", "cells"))
+
+
+@query(f"WITH {INDEX} SELECT DISTINCT cx, cy, cz FROM index WHERE label = 7")
+def cells_of_labels(spark, d):
+    return spatial.cells_of_labels(spatial.spatial_index(seg(spark, d), (32, 32, 8)), spark.range(7, 8).withColumnRenamed("id", "label"))
+
+
+@query(f"SELECT max(label) AS max_label FROM {SEG}")
+def max_label(spark, d):
+    return stats.max_label(seg(spark, d))
+
+
+@query(f"SELECT DISTINCT label FROM {SEG}")
+def distinct_labels(spark, d):
+    return stats.labels(seg(spark, d))
+
+
+@query(f"SELECT min(x) AS x0, max(x) + 1 AS x1, min(y) AS y0, max(y) + 1 AS y1, min(z) AS z0, max(z) + 1 AS z1 FROM {SEG}")
+def volume_bounds(spark, d):
+    return stats.bounds(seg(spark, d))
+
+
+NAMES = f"names AS (SELECT DISTINCT label, label || ':0:' || cx * 32 || '-' || (cx + 1) * 32 || '_' || cy * 32 || '-' || (cy + 1) * 32 || '_' || cz * 8 || '-' || (cz + 1) * 8 AS name FROM (SELECT label, CAST(floor(x / 32) AS BIGINT) AS cx, CAST(floor(y / 32) AS BIGINT) AS cy, CAST(floor(z / 8) AS BIGINT) AS cz FROM {SEG}))"
+
+
+@query(f"WITH {NAMES} SELECT label, '{{\"fragments\":[\"' || string_agg(name, '\",\"' ORDER BY name) || '\"]}}' AS manifest FROM names GROUP BY label")
+def manifest(spark, d):
+    return spatial.manifests(spatial.fragments(seg(spark, d), (32, 32, 8)))
+
+
+@query(f"WITH {NAMES} SELECT label, name FROM names WHERE name LIKE '1%'")
+def fragments_by_prefix(spark, d):
+    return spatial.with_prefix(spatial.fragments(seg(spark, d), (32, 32, 8)), "1")
+
+
+# Connected components
+
+
+EDGES = f"v AS (SELECT x, y, z, x + 48 * (y + 48 * z) AS id FROM {CCL} WHERE v >= 75), e AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON b.id = a.id + 1 AND b.y = a.y AND b.z = a.z UNION ALL SELECT a.id, b.id FROM v a JOIN v b ON b.id = a.id + 48 AND b.z = a.z UNION ALL SELECT a.id, b.id FROM v a JOIN v b ON b.id = a.id + 2304)"
+LABELS = f"RECURSIVE {EDGES}, w AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), r(id, c) USING KEY (id) AS (SELECT id, id FROM v UNION SELECT w.b, min(r.c) FROM r JOIN w ON w.a = r.id JOIN recurring.r AS k ON k.id = w.b WHERE r.c < k.c GROUP BY w.b)"
+
+
+@query(f"WITH {EDGES} SELECT a, b FROM e")
+def ccl_edges(spark, d):
+    return ccl.edges(bright(spark, d), CCL_SHAPE)
+
+
+@query(f"WITH {LABELS} SELECT x, y, z, c AS component FROM r JOIN v ON v.id = r.id")
+def ccl_components(spark, d):
+    return ccl.components(bright(spark, d), CCL_SHAPE)
+
+
+@query(f"WITH {LABELS} SELECT c AS component, count(*) AS voxels FROM r GROUP BY c")
+def ccl_sizes(spark, d):
+    return ccl.sizes(ccl.components(bright(spark, d), CCL_SHAPE))
+
+
+@query(f"WITH {LABELS} SELECT x, y, z, dense_rank() OVER (ORDER BY c) AS label FROM (SELECT x, y, z, c, count(*) OVER (PARTITION BY c) AS n FROM r JOIN v ON v.id = r.id) WHERE n >= 5")
+def ccl_auto(spark, d):
+    return ccl.auto(fixture(spark, d, "vol_ccl"), CCL_SHAPE, gte=75, dust=5)
+
+
+@query("SELECT a.i AS gx, b.i AS gy, c.i AS gz, a.i + 4 * (b.i + 4 * c.i) AS task, (a.i + 4 * (b.i + 4 * c.i)) * 33 * 33 * 9 AS label_offset FROM range(0, 4) a(i), range(0, 4) b(i), range(0, 2) c(i)")
+def grid_offsets(spark, d):
+    return ccl.cell_offsets((4, 4, 2), (32, 32, 8), spark)
+
+
+@query()
+def tissue_roi(spark, d):
+    return ccl.tissue_roi(fixture(spark, d, "vol_ccl"), CCL_SHAPE, 90, 4, (2, 2, 1))
+
+
+@query()
+def fill_holes(spark, d):
+    return ccl.fill_holes(fixture(spark, d, "vol_ccl").withColumn("label", F.lit(1).cast("bigint")), CCL_SHAPE)
+
+
+# Meshes
+
+
+FACE_SQL = " UNION ALL ".join(f"SELECT a.label, a.x, a.y, a.z, {x} AS dx, {y} AS dy, {z} AS dz FROM s a LEFT JOIN s b ON b.label = a.label AND b.x = a.x + {x} AND b.y = a.y + {y} AND b.z = a.z + {z} WHERE b.label IS NULL" for x, y, z in mesh.FACES)
+
+
+@query(f"WITH s AS {SEG}, f AS ({FACE_SQL}) SELECT label, count(*) AS faces, CAST(sum(abs(dx) * 16 * 40 + abs(dy) * 16 * 40 + abs(dz) * 16 * 16) AS BIGINT) AS area FROM f GROUP BY label")
+def surface_faces(spark, d):
+    return mesh.surface(seg(spark, d), (16, 16, 40))
+
+
+@query(f"WITH s AS {SEG}, f AS ({FACE_SQL}) SELECT * FROM f")
+def mesh_faces(spark, d):
+    return mesh.exposed_faces(seg(spark, d))
+
+
+@query(f"WITH s AS {SEG}, f AS ({FACE_SQL}) SELECT label, 2 * count(*) AS triangles, CAST(min(x + CASE WHEN dx = 1 THEN 1 ELSE 0 END) AS BIGINT) AS x0 FROM f GROUP BY label")
+def mesh_forge(spark, d):
+    found = mesh.meshes(mesh.triangles(seg(spark, d)))
+    return found.select("label", "triangles", "x0")
+
+
+@query()
+def mesh_lods(spark, d):
+    tris = mesh.triangles(seg(spark, d).filter("label <= 10"))
+    return mesh.octree_fragments(mesh.decimated(tris, 2), 16, 1)
+
+
+@query(f"SELECT label, x0, y0, z0, x1, y1, z1 FROM (SELECT label, min(x) AS x0, min(y) AS y0, min(z) AS z0, max(x) + 1 AS x1, max(y) + 1 AS y1, max(z) + 1 AS z1 FROM {SEG} GROUP BY label)")
+def mesh_bounds(spark, d):
+    return mesh.meshes(mesh.triangles(seg(spark, d))).select("label", "x0", "y0", "z0", "x1", "y1", "z1")
+
+
+MORTON_SQL = " + ".join(f"((cx >> {i} & 1) << {3 * i}) + ((cy >> {i} & 1) << {3 * i + 1}) + ((cz >> {i} & 1) << {3 * i + 2})" for i in range(10))
+
+
+@query(f"SELECT cx, cy, cz, CAST({MORTON_SQL} AS BIGINT) AS code FROM (SELECT DISTINCT CAST(floor(x / 4) AS BIGINT) AS cx, CAST(floor(y / 4) AS BIGINT) AS cy, z AS cz FROM {SEG})")
+def morton_order(spark, d):
+    cells = select.rechunk(seg(spark, d), (4, 4, 1)).select("cx", "cy", "cz").distinct()
+    return cells.withColumn("code", morton("cx", "cy", "cz"))
+
+
+SHARD_SQL = " + ".join(f"((cx >> {i} & 1) << {a}) + ((cy >> {i} & 1) << {b})" + (f" + ((cz >> {i} & 1) << {b + 1})" if i < 3 else "") for i, a, b in ((0, 0, 1), (1, 3, 4), (2, 6, 7), (3, 9, 10), (4, 11, 12)))
+
+
+@query(f"SELECT cx, cy, cz, (code >> 6) & 127 AS shard, (code >> 4) & 3 AS minishard FROM (SELECT cx, cy, cz, CAST({SHARD_SQL} AS BIGINT) AS code FROM (SELECT DISTINCT CAST(floor(x / 4) AS BIGINT) AS cx, CAST(floor(y / 4) AS BIGINT) AS cy, z AS cz FROM {SEG}))")
+def shard_assignment(spark, d):
+    spec = ShardSpec(4, 2, 7)
+    shard, mini = shard_number(compressed_morton("cx", "cy", "cz", (32, 32, 7)), spec.preshift, spec.minishard, spec.shard)
+    cells = select.rechunk(seg(spark, d), (4, 4, 1)).select("cx", "cy", "cz").distinct()
+    return cells.select("cx", "cy", "cz", shard.alias("shard"), mini.alias("minishard"))
+
+
+@query(f"SELECT x, y, z, v FROM {SEG}")
+def chunk_roundtrip(spark, d):
+    return to_voxels(to_chunks(seg(spark, d), (32, 32, 7)), (32, 32, 7))
+
+
+# Points and trees
+
+
+REGIONS = "regions AS (SELECT CAST(i AS BIGINT) AS box, i * 16 AS x0, i * 16 + 24 AS x1, i * 8 AS y0, i * 8 + 40 AS y1, i AS z0, i + 5 AS z1 FROM range(0, 12) t(i))"
+
+
+@query(f"{WITH}, {REGIONS} SELECT x, y, z, segid, swc_label, point, box FROM points JOIN regions ON x >= x0 AND x < x1 AND y >= y0 AND y < y1 AND z >= z0 AND z < z1")
+def points_in_cell(spark, d):
+    i = F.col("id")
+    regions = spark.range(12).select(i.alias("box"), (i * 16).alias("x0"), (i * 16 + 24).alias("x1"), (i * 8).alias("y0"), (i * 8 + 40).alias("y1"), i.alias("z0"), (i + 5).alias("z1"))
+    return spatial.points_in_boxes(fixture(spark, d, "points"), regions, (32, 32, 8))
+
+
+@query(f"{WITH} SELECT c.i AS center, x, y, z, segid, swc_label, point FROM points JOIN range(0, 12) c(i) ON (x - c.i * 10) * (x - c.i * 10) + (y - c.i * 9) * (y - c.i * 9) + (z - 10) * (z - 10) <= 144")
+def points_near(spark, d):
+    i = F.col("id")
+    centers = spark.range(12).select(i.alias("center"), (i * 10).alias("x"), (i * 9).alias("y"), F.lit(10).cast("bigint").alias("z"))
+    return spatial.points_near(fixture(spark, d, "points"), centers, 12)
+
+
+@query("SELECT CAST(s_suppkey AS BIGINT) AS node, CAST(n_regionkey AS BIGINT) AS ancestor FROM supplier JOIN nation ON s_nationkey = n_nationkey")
+def octree_parent(spark, d):
+    supplier, nation = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("supplier", "nation"))
+    one = supplier.selectExpr("cast(s_suppkey as bigint) as child", "cast(s_nationkey as bigint) as parent", "1 as layer")
+    two = nation.selectExpr("cast(n_nationkey as bigint) as child", "cast(n_regionkey as bigint) as parent", "2 as layer")
+    return spatial.parents(supplier.selectExpr("cast(s_suppkey as bigint) as node"), one.unionByName(two), 2)
+
+
+@query(f"SELECT x, y, z, CAST(CASE WHEN floor(x / 8) = floor((x + 1) / 8) AND floor(y / 8) = floor((y + 1) / 8) AND floor(z / 8) = floor((z + 1) / 8) THEN 3 WHEN floor(x / 16) = floor((x + 1) / 16) AND floor(y / 16) = floor((y + 1) / 16) AND floor(z / 16) = floor((z + 1) / 16) THEN 4 ELSE -1 END AS BIGINT) AS layer FROM {SEG} WHERE NOT (x % 2 = 0 AND y % 2 = 0 AND z % 2 = 0) AND NOT (x % 4 < 3 AND y % 4 < 3 AND z % 4 < 3)")
+def common_layer(spark, d):
+    ends = {f"{p}{a}": F.col(a) + k for a in "xyz" for p, k in (("c", 0), ("d", 1))}
+    found = spatial.common_layer(seg(spark, d).withColumns(ends), 2, 5).select("x", "y", "z", F.coalesce("layer", F.lit(-1).cast("bigint")).alias("layer"))
+    return found.filter("NOT (x % 2 = 0 AND y % 2 = 0 AND z % 2 = 0) AND NOT (x % 4 < 3 AND y % 4 < 3 AND z % 4 < 3)")
+
+
+# Skeletons
+
+
+PATHS = f"paths AS (SELECT segid AS label, row_number() OVER (PARTITION BY segid ORDER BY point) AS step, x, y, z FROM {POINTS})"
+
+
+def paths(spark, d):
+    from pyspark.sql import Window
+
+    points = fixture(spark, d, "points")
+    return points.select(F.col("segid").alias("label"), F.row_number().over(Window.partitionBy("segid").orderBy("point")).cast("bigint").alias("step"), "x", "y", "z")
+
+
+def path_rows(spark, d):
+    """Paths as traced rows: each voxel with the one before it."""
+    from pyspark.sql import Window
+
+    order = Window.partitionBy("label").orderBy("step")
+    rows = paths(spark, d).withColumns({f"p{a}": F.coalesce(F.lag(a).over(order), F.col(a)) for a in "xyz"})
+    return rows.withColumn("radius", F.lit(1.0))
+
+
+LINKS = f"{PATHS}, l AS (SELECT label, x, y, z, lag(y) OVER w AS py, lag(z) OVER w AS pz FROM paths WINDOW w AS (PARTITION BY label ORDER BY step)), e AS (SELECT DISTINCT label, least(y * 100 + z, py * 100 + pz) AS a, greatest(y * 100 + z, py * 100 + pz) AS b FROM l WHERE py IS NOT NULL AND (py <> y OR pz <> z))"
+
+
+@query(f"WITH {PATHS} SELECT DISTINCT label, x, y, z, CAST(1 AS DOUBLE) AS radius FROM paths")
+def skeleton_nodes(spark, d):
+    return skeleton.merge(path_rows(spark, d))[0]
+
+
+@query(f"WITH {LINKS} SELECT label, count(*) AS edges, round(sum(sqrt(CAST((a // 100 - b // 100) * (a // 100 - b // 100) + (a % 100 - b % 100) * (a % 100 - b % 100) AS DOUBLE))), 3) AS length FROM e GROUP BY label")
+def cable_length(spark, d):
+    return skeleton.cable_length(skeleton.merge(path_rows(spark, d))[1]).withColumn("length", F.round("length", 3))
+
+
+@query(f"WITH {PATHS}, t AS (SELECT *, lead(y) OVER w - y AS dy, lead(z) OVER w - z AS dz FROM paths WINDOW w AS (PARTITION BY label ORDER BY step)) SELECT label, step, round(avg(dy) OVER n, 6) AS ny, round(avg(dz) OVER n, 6) AS nz FROM t WINDOW n AS (PARTITION BY label ORDER BY step ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)")
+def smoothed_normals(spark, d):
+    return skeleton.smoothed(paths(spark, d), 3).select("label", "step", F.round("ny", 6).alias("ny"), F.round("nz", 6).alias("nz"))
+
+
+@query(f"WITH {PATHS} SELECT label, step AS node, step || ' 0 ' || x || ' ' || y || ' ' || z || ' 1 ' || CASE WHEN step = 1 THEN -1 ELSE step - 1 END AS line FROM paths")
+def swc_export(spark, d):
+    rows = paths(spark, d).withColumns({"node": F.col("step"), "radius": F.lit(1), "parent": F.when(F.col("step") == 1, -1).otherwise(F.col("step") - 1)})
+    return skeleton.swc_lines(rows)
+
+
+@query(f"SELECT label, CAST(floor(x / 32) AS BIGINT) AS cx, CAST(floor(y / 32) AS BIGINT) AS cy, CAST(floor(z / 8) AS BIGINT) AS cz, CAST(bit_or(CASE WHEN x % 32 = 0 THEN 1 ELSE 0 END + CASE WHEN x % 32 = 31 THEN 2 ELSE 0 END + CASE WHEN y % 32 = 0 THEN 4 ELSE 0 END + CASE WHEN y % 32 = 31 THEN 8 ELSE 0 END + CASE WHEN z % 8 = 0 THEN 16 ELSE 0 END + CASE WHEN z % 8 = 7 THEN 32 ELSE 0 END) AS BIGINT) AS sides FROM {SEG} GROUP BY 1, 2, 3, 4")
+def skeleton_contacts(spark, d):
+    return skeleton.box_contacts(seg(spark, d), (32, 32, 8))
+
+
+HALF = [tuple(map(int, s)) for s in skeleton.STEPS if tuple(s[::-1]) > (0, 0, 0)]
+
+
+@query(f"WITH s AS {SEG}, m AS (SELECT a.x, a.y, a.z, t.b AS b FROM s a, (VALUES {', '.join(f'({i}, {x}, {y}, {z})' for i, (x, y, z) in enumerate(HALF))}) t(b, dx, dy, dz) JOIN s c ON c.label = a.label AND c.x = a.x + t.dx AND c.y = a.y + t.dy AND c.z = a.z + t.dz) SELECT x, y, z, CAST(sum(1 << b) AS BIGINT) AS bits FROM m GROUP BY x, y, z")
+def connectivity_graph(spark, d):
+    return skeleton.connectivity_graph(seg(spark, d))
+
+
+@query()
+def skeleton_forge(spark, d):
+    found = ccl.auto(fixture(spark, d, "vol_ccl"), CCL_SHAPE, gte=75, dust=30)
+    return skeleton.forge(found, (24, 24, 8))
 
 
 def queries() -> dict:
-    return {"voxel_counts": voxel_counts}
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"voxel_counts": f"SELECT label, count(*) AS voxels FROM ({VOL_SEG}) GROUP BY label"}
+    return dict(_sql)
