@@ -16,8 +16,8 @@ from stratavox.llm.packing import word_hashes, words
 
 #: Words in a shingle, and the least similarity of a link in hundredths.
 SHINGLE, LEAST = 5, 80
-#: Bits of a set's signature.
-BITS = 1024
+#: Bits of a set's signature, records that a task gathers before it packs them, and rounds of comparing with hubs.
+BITS, GATHER, ROUNDS = 1024, 1 << 21, 2
 SETS = "doc_id long, n_shingles long, set_id long"
 MEMBERS = "block long, sets binary, sizes binary, row binary, hashes binary, counts binary"
 SKETCH = "set_id long, n long, prefix binary, hashes binary, bits binary"
@@ -40,6 +40,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     for j in range(SHINGLE):
         own = w[np.minimum(first + j, max(len(w) - 1, 0))] if len(w) else w
         h = np.where(j < take[row], mix64(h ^ own) + np.uint64(j), h)
+    h &= ~np.uint64(255)  # 56 bits: of two documents of 500 shingles, two differing ones agree once in 3e11 pairs
     order = np.argsort(h, kind="stable")
     h, row = h[order], row[order]
     new = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))[: len(h)]
@@ -94,11 +95,28 @@ def shingle_rows(buckets: int):
 
 
 def member_rows(blocks: int):
-    """For mapInArrow over answered batches: the shared shingles of sets, packed by block of set ids."""
+    """For mapInArrow over answered batches: the shared shingles of sets, packed by block of set ids.
+
+    What a task has read is gathered first, so that a task gives one row for each block.
+    """
+
+    def flush(found: list) -> Iterator[pa.RecordBatch]:
+        if not found:
+            return
+        ids, sizes, h, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.lexsort((h, block_of(ids, blocks)))
+        ids, sizes, h, n = ids[order], sizes[order], h[order], n[order]
+        block = block_of(ids, blocks)
+        cuts = np.flatnonzero(np.diff(block, prepend=-1))
+        out = []
+        for i, j in zip(cuts, np.append(cuts[1:], len(ids)), strict=True):
+            used, at, row = np.unique(ids[i:j], return_index=True, return_inverse=True)
+            out.append((block[i], press(used), press(sizes[i:j][at]), press(row.astype(np.uint32)), press_sorted(h[i:j]), press(n[i:j])))
+        yield batch_of(MEMBERS, *map(list, zip(*out, strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
-            out = []
             cols = batch.to_pydict()
             for counts_raw, payload, at_raw, hashes_raw, total_raw in zip(cols["counts0"], cols["payload"], cols["at"], cols["hashes"], cols["counts"], strict=True):
                 a, b, c = np.frombuffer(payload[:24], "<i8")
@@ -108,18 +126,13 @@ def member_rows(blocks: int):
                 at, hashes, total = unpress_sorted(at_raw).astype(np.int64), unpress_sorted(hashes_raw), unpress(total_raw, np.uint16)
                 if not len(at):
                     continue
-                first = (np.cumsum(times) - times)[at]
-                own = place[ranges(first, times[at])]
-                h, n = np.repeat(hashes, times[at]), np.repeat(total, times[at])
-                block = block_of(sets, blocks)
-                order = np.argsort(block[own], kind="stable")
-                own, h, n = own[order], h[order], n[order]
-                cuts = np.flatnonzero(np.diff(block[own], prepend=-1))
-                for i, j in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
-                    used, row = np.unique(own[i:j], return_inverse=True)
-                    out.append((block[used[0]], press(sets[used]), press(sizes[used]), press(row.astype(np.uint32)), press_sorted(h[i:j]), press(n[i:j])))
-            if out:
-                yield batch_of(MEMBERS, *map(list, zip(*out, strict=True)))
+                own = place[ranges((np.cumsum(times) - times)[at], times[at])]
+                found.append((sets[own], sizes[own], np.repeat(hashes, times[at]), np.repeat(total, times[at])))
+                held += len(own)
+                if held > GATHER:
+                    yield from flush(found)
+                    found, held = [], 0
+        yield from flush(found)
 
     return run
 
@@ -158,7 +171,7 @@ def sketches(members: pa.Table) -> pa.Table:
     for i in np.flatnonzero(prefix > 0):
         own = h[begin[i] : begin[i] + common[i]]
         bits = np.zeros(BITS, np.uint8)
-        bits[own % np.uint64(BITS)] = 1
+        bits[own >> np.uint64(20) & np.uint64(BITS - 1)] = 1
         out.append((ids[i].view(np.int64), size[i], own[: prefix[i]].tobytes(), np.sort(own).tobytes(), np.packbits(bits).tobytes()))
     return pa.Table.from_batches([batch_of(SKETCH, *(map(list, zip(*out, strict=True)) if out else [[]] * 5))])
 
@@ -205,33 +218,41 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SETS rows of docs, and set_id and component of the sets that have links.
 
     Equal sets are one set. Every set's shingles are counted over all sets; sets that share a prefix shingle and whose
-    sizes are close are candidates. First each shingle's sets are compared with one of them; then, tile by tile of
-    close sizes, those that are not yet in one component. So a large group of near copies costs about one comparison
-    for each of its sets, and no pair that could join two components is left out.
+    sizes are close are candidates. First each set is compared with one hub, the least of its shingles' sets, twice; then,
+    tile by tile of close sizes, those that are not yet in one component. So a large group of near copies costs about one
+    comparison for each of its sets, and no pair that could join two components is left out.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     sets = materialise(rows.mapInArrow(set_rows, SETS), "jaccard-sets")
     buckets = buckets_for(docs)
     packed = materialise(rows.select("text").mapInArrow(shingle_rows(buckets), PACKED), "jaccard-packed")
     answer = materialise(shared(packed), "jaccard-answer")
-    own = packed.select("bucket", "batch", F.col("counts").alias("counts0"), "payload").join(answer, ["bucket", "batch"])
+    payload = materialise(packed.select("bucket", "batch", F.col("counts").alias("counts0"), "payload"), "jaccard-payload")
+    drop(packed)
+    own = payload.join(answer, ["bucket", "batch"])
     members = own.select("counts0", "payload", "at", "hashes", "counts").mapInArrow(member_rows(buckets), MEMBERS)
     sketch = materialise(members.groupBy("block").applyInArrow(sketches, SKETCH), "jaccard-sketch")
-    drop(packed)
+    drop(payload)
     drop(answer)
     keys = materialise(sketch.select("set_id", "n", "prefix").mapInArrow(prefix_rows, "set_id long, n long, key long"), "jaccard-keys")
-    hubs = keys.groupBy("key").agg(F.min(F.struct("set_id", "n")).alias("hub"), F.count("*").alias("_m")).filter("_m > 1")
-    spokes = keys.join(hubs, "key").filter((F.col("set_id") != F.col("hub.set_id")) & _fits(F.col("n"), F.col("hub.n")))
-    pairs = spokes.select(F.col("hub.set_id").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = materialise(verified(pairs, sketch), "jaccard-links")
-    parts = components(links)
+    links, tried = None, None
+    parts = sketch.select(F.col("set_id").alias("node"), F.col("set_id").alias("component"))
+    for _ in range(ROUNDS):
+        own = keys.join(parts.withColumnsRenamed({"node": "set_id", "component": "part"}), "set_id")
+        hubs = own.groupBy("key").agg(F.min(F.struct("part", "set_id", "n")).alias("hub"), F.max("part").alias("last")).filter("last > hub.part")
+        offers = own.join(hubs, "key").filter((F.col("part") != F.col("hub.part")) & _fits(F.col("n"), F.col("hub.n")))
+        pairs = materialise(offers.groupBy(F.col("set_id").alias("b")).agg(F.min("hub.set_id").alias("a")), "jaccard-pairs")
+        found = materialise(verified(pairs, sketch), "jaccard-links")
+        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
+        parts = components(links)
+        parts = sketch.select(F.col("set_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     labelled = keys.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("part", F.coalesce("component", "set_id"))
     open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m")).filter("_a != _b").select("key")
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / LEAST)) + 1e-9).cast("int")
     left = materialise(labelled.join(open_, "key", "left_semi").select("key", "set_id", "n", "part", band.alias("band")), "jaccard-open")
     other = left.select("key", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("part_b"), F.explode(F.array("band", F.col("band") + 1, F.col("band") - 1)).alias("band"))
     again = left.join(other, ["key", "band"]).filter((F.col("set_id") < F.col("b")) & (F.col("part") != F.col("part_b")) & _fits(F.col("n"), F.col("nb")))
-    more = again.select(F.col("set_id").alias("a"), "b").distinct().join(pairs.select(F.col("a"), F.col("b")), ["a", "b"], "left_anti")
+    more = again.select(F.col("set_id").alias("a"), "b").distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     every = links.unionByName(materialise(verified(more, sketch), "jaccard-links"))
     return sets, components(every).select(F.col("node").alias("set_id"), "component")
 

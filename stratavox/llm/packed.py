@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from stratavox.llm.common import batch_of
 
 #: Bytes of text in a batch, and bytes of input for each bucket.
-BATCH, PER_BUCKET, LEAST = 6 << 20, 8 << 20, 64
+BATCH, PER_BUCKET, LEAST = 12 << 20, 8 << 20, 64
 PACKED = "bucket long, batch long, hashes binary, counts binary, payload binary"
 ANSWER = "bucket long, batch long, at binary, hashes binary, counts binary"
 
