@@ -17,6 +17,8 @@ from stratavox.llm.common import arrow_schema, SPACE, buffer, configure, materia
 WINDOW, END = 4096, 2
 #: Words of which a Python worker remembers the ids; beyond that it starts anew.
 REMEMBER = 2_000_000
+#: Bytes of words that are hashed at a time.
+HASHED = 1 << 19
 #: Stands between the words of one call of the tokenizer; words that hold it themselves are encoded alone.
 MARK = "•"
 TOKENS = "doc_id long, part long, at long, n_ids int, ids binary"
@@ -25,10 +27,13 @@ _encoders: dict = {}
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each run data[start:end]; runs are in order and do not overlap."""
+    """A 64-bit hash of each run data[start:end]; runs may overlap."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = ends - starts
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    if len(starts) > 1 and upto[-1] > HASHED:  # a part at a time, as the work needs many times the text's bytes
+        return np.concatenate([word_hashes(data, starts[a:b], ends[a:b]) for a, b in pieces(upto, HASHED)])
     powers = np.multiply.accumulate(np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64))
     at = ranges(np.zeros(len(starts), np.int64), lengths)
     values = (data[ranges(starts, lengths)].astype(np.uint64) + np.uint64(1)) * powers[at]

@@ -24,6 +24,8 @@ from stratavox.llm.packing import word_hashes
 SPAN, K = 50, 20
 #: The cover's period, its residues (every difference mod PERIOD occurs among them), and the bytes of text sorted at a time.
 PERIOD, COVER, PART = 8, np.array([0, 1, 2, 4]), 1 << 20
+#: Records that a task gathers before it packs them.
+GATHER = 1 << 21
 #: From a position to the next sampled one that is at least 2 on, by residue.
 STEP = np.array([next(d for d in range(2, 10) if (r + d) % PERIOD in COVER) for r in range(PERIOD)])
 NOTES = "block long, kind int, doc long, blob binary"
@@ -112,9 +114,20 @@ def anchor_rows(buckets: int):
 def note_rows(blocks: int):
     """For mapInArrow over answered batches: the anchors that two documents share, by block of documents (kind 0)."""
 
+    def flush(found: list) -> Iterator[pa.RecordBatch]:
+        if not found:
+            return
+        doc, h, start, count, anchor = (np.concatenate(x) for x in zip(*found, strict=True))
+        block = block_of(doc, blocks)
+        order = np.argsort(block, kind="stable")
+        doc, h, start, count, anchor, block = (x[order] for x in (doc, h, start, count, anchor, block))
+        cuts = np.flatnonzero(np.diff(block, prepend=-1))
+        yield batch_of(NOTES, *map(list, zip(*[(block[i], 0, None, bundle(doc[i:j], h[i:j], start[i:j], count[i:j], anchor[i:j])) for i, j in zip(cuts, np.append(cuts[1:], len(doc)), strict=True)], strict=True)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, held = [], 0
         for batch in batches:
-            out, cols = [], batch.to_pydict()
+            cols = batch.to_pydict()
             for payload, at_raw, hashes_raw in zip(cols["payload"], cols["at"], cols["hashes"], strict=True):
                 ids, times, place, start, count, anchor = unbundle(payload, np.int64, np.uint32, np.uint32, np.uint32, np.uint8, np.uint8)
                 at, hashes = unpress_sorted(at_raw).astype(np.int64), unpress_sorted(hashes_raw)
@@ -122,15 +135,12 @@ def note_rows(blocks: int):
                 if not len(at):
                     continue
                 own = ranges((np.cumsum(times) - times)[at], times[at])
-                h, doc = np.repeat(hashes, times[at]), ids[place[own]]
-                block = block_of(doc, blocks)
-                order = np.argsort(block, kind="stable")
-                own, h, doc, block = own[order], h[order], doc[order], block[order]
-                cuts = np.flatnonzero(np.diff(block, prepend=-1))
-                for i, j in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
-                    out.append((block[i], 0, None, bundle(doc[i:j], h[i:j], start[own[i:j]], count[own[i:j]], anchor[own[i:j]])))
-            if out:
-                yield batch_of(NOTES, *map(list, zip(*out, strict=True)))
+                found.append((ids[place[own]], np.repeat(hashes, times[at]), start[own], count[own], anchor[own]))
+                held += len(own)
+                if held > GATHER:
+                    yield from flush(found)
+                    found, held = [], 0
+        yield from flush(found)
 
     return run
 
@@ -345,7 +355,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     doc_id is left out, as no order places it. Other columns are ignored.
     """
     configure(docs.sparkSession)
-    blocks = buckets = buckets_for(docs)
+    blocks = buckets = 2 * buckets_for(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).filter("doc_id is not null")
     packed = materialise(rows.mapInArrow(anchor_rows(buckets), PACKED), "suffix-anchors")
     answer = materialise(shared(packed), "suffix-answer")
