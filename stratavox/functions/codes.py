@@ -51,7 +51,7 @@ def label_of(name: Column) -> Column:
 def unsigned(label: str) -> Column:
     """A 64-bit label, kept as a signed long, as the unsigned number."""
     wide = F.col(label).cast("decimal(20,0)")
-    return F.when(F.col(label) < 0, wide + F.lit(1 << 64).cast("decimal(20,0)")).otherwise(wide)
+    return F.when(F.col(label) < 0, wide + F.expr("18446744073709551616")).otherwise(wide)
 
 
 def _fmix(h: np.ndarray) -> np.ndarray:

@@ -166,12 +166,12 @@ def renumber(spark, d):
     return relabel.renumber(seg(spark, d))
 
 
-@query(f"SELECT label, CAST(CAST(label AS HUGEINT) * 92233720368547758 + CASE WHEN label % 2 = 0 THEN 9223372036854775807 ELSE 0 END AS DECIMAL(20, 0)) AS wide FROM (SELECT DISTINCT label FROM {SEG} WHERE label < 90)")
+@query(f"SELECT label, CAST(CAST(label AS HUGEINT) * 92233720368547758 + CASE WHEN label % 2 = 0 THEN 9223372036854775807 ELSE 0 END AS VARCHAR) AS wide FROM (SELECT DISTINCT label FROM {SEG} WHERE label < 90)")
 def unsigned_labels(spark, d):
-    wide = F.col("label").cast("decimal(38,0)") * F.lit(92233720368547758).cast("decimal(20,0)") + F.when(F.col("label") % 2 == 0, F.lit(9223372036854775807).cast("decimal(20,0)")).otherwise(F.lit(0).cast("decimal(20,0)"))
-    folded = F.when(wide > F.lit(9223372036854775807).cast("decimal(20,0)"), wide - F.lit(1 << 64).cast("decimal(20,0)")).otherwise(wide).cast("bigint")
+    wide = F.expr("cast(label as decimal(20,0)) * 92233720368547758 + if(label % 2 = 0, 9223372036854775807, 0)")
+    folded = F.when(wide > F.expr("9223372036854775807"), wide - F.expr("18446744073709551616")).otherwise(wide).cast("bigint")
     labels = stats.labels(seg(spark, d)).filter("label < 90").withColumn("packed", folded)
-    return labels.select("label", unsigned("packed").cast("decimal(20,0)").alias("wide"))
+    return labels.select("label", unsigned("packed").cast("decimal(20,0)").cast("string").alias("wide"))
 
 
 # Downsampling
@@ -222,7 +222,7 @@ def stride_pool(spark, d):
     return pool.stride(seg(spark, d), (2, 2, 1))
 
 
-@query(f"SELECT CAST(m AS BIGINT) AS mip, CAST(floor(x / (1 << m)) AS BIGINT) AS x, CAST(floor(y / (1 << m)) AS BIGINT) AS y, z, CAST(floor(sum(v) / (1 << (2 * m))) AS BIGINT) AS v FROM {SEG}, range(1, 4) t(m) GROUP BY 1, 2, 3, 4")
+@query(f"SELECT CAST(m AS BIGINT) AS mip, CAST(floor(x / (1 << m)) AS BIGINT) AS x, CAST(floor(y / (1 << m)) AS BIGINT) AS y, z, CAST(floor(sum(v) / (1 << (2 * any_value(m)))) AS BIGINT) AS v FROM {SEG}, range(1, 4) t(m) GROUP BY 1, 2, 3, 4")
 def image_pyramid(spark, d):
     return pool.pyramid(seg(spark, d), (2, 2, 1), 3, "image", shape=SEG_SHAPE)
 
