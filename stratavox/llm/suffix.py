@@ -196,52 +196,65 @@ def sort_suffixes(text: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     bytes; ties go by the rank at the next sampled position and by the last 8 bytes, which cover all of it. Suffixes
     of equal strings have equal residues, for segments are laid out with their anchors in step.
     """
-    word = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, 8)).view(">u8").ravel().astype(np.uint64)
-    groups = (len(word) // PERIOD) - 1
+    bytes_at = np.lib.stride_tricks.sliding_window_view(text, 8)
+    word = lambda at: np.ascontiguousarray(bytes_at[at]).view(">u8").ravel().astype(np.uint64)
+    groups = len(bytes_at) // PERIOD - 1
     sample = (np.arange(groups)[:, None] * PERIOD + COVER).ravel()
     n = len(COVER)
     late = lambda r, k: np.concatenate([r[n * k :], np.zeros(min(n * k, len(r)), np.uint64)])
-    r8 = _rank(word[sample])
+    r8 = _rank(word(sample))
     r16 = _rank(r8 << np.uint64(32) | late(r8, 1))
     r32 = _rank(r16 << np.uint64(32) | late(r16, 2))
     r40 = _rank(r32 << np.uint64(32) | late(r8, 4))
     next_ = starts + STEP[starts % PERIOD]
     slot = np.searchsorted(COVER, next_ % PERIOD)
     tie = r40[next_ // PERIOD * n + slot] << np.uint64(3) | (starts % PERIOD).astype(np.uint64)
-    head, tail = word[starts], word[starts + SPAN - 8]
+    head, tail = word(starts), word(starts + SPAN - 8)
     order = np.lexsort((tail, tie, head))
     new = np.ones(len(order), bool)
     new[1:] = (head[order[1:]] != head[order[:-1]]) | (tie[order[1:]] != tie[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])
     return order, new
 
 
-def least_owner(h: np.ndarray, count: np.ndarray, anchor: np.ndarray, least: np.ndarray, raw: np.ndarray, begin: np.ndarray) -> np.ndarray:
-    """For the strings of all segments in turn, the least document that has the string. Segments are in order of h."""
+def least_owner(count: np.ndarray, anchor: np.ndarray, least: np.ndarray, raw: np.ndarray, begin: np.ndarray) -> np.ndarray:
+    """For the strings of distinct segments in turn, the least document that has the string."""
     size = count + SPAN - 1
-    gap = (anchor[:1] * 0 - anchor) % PERIOD
-    out = np.repeat(least, count)
-    upto = np.cumsum(count) - count
-    at = 0
-    cuts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-    spent = np.concatenate([[0], np.cumsum(size + 2 * PERIOD)])
-    while at < len(cuts):  # whole anchors, about PART bytes at a time
-        to = max(at + 1, int(np.searchsorted(spent[cuts], spent[cuts[at]] + PART, "right")) - 1)
-        to = len(cuts) if spent[-1] - spent[cuts[at]] <= PART else to
-        a, b = cuts[at], cuts[to] if to < len(cuts) else len(h)
-        room = (gap[a:b] + size[a:b] + PERIOD - 1) // PERIOD * PERIOD
-        place = np.cumsum(room) - room + gap[a:b]
-        text = np.zeros(int(room.sum()) + 64, np.uint8)
-        text[ranges(place, size[a:b])] = raw[ranges(begin[a:b], size[a:b])]
-        starts = ranges(place, count[a:b])
-        order, new = sort_suffixes(text, starts)
-        lead = np.flatnonzero(new)
-        own = np.repeat(least[a:b], count[a:b])[order]
-        low = np.minimum.reduceat(own, lead)
-        found = np.empty(len(order), np.int64)
-        found[order] = np.repeat(low, np.diff(np.append(lead, len(order))))
-        out[upto[a] : upto[a] + len(found)] = found
-        at = to
-    return out
+    gap = -anchor % PERIOD
+    room = (gap + size + PERIOD - 1) // PERIOD * PERIOD
+    place = np.cumsum(room) - room + gap  # anchors in step
+    text = np.zeros(int(room.sum()) + 64, np.uint8)
+    text[ranges(place, size)] = raw[ranges(begin, size)]
+    order, new = sort_suffixes(text, ranges(place, count))
+    lead = np.flatnonzero(new)
+    low = np.minimum.reduceat(np.repeat(least, count)[order], lead)
+    found = np.empty(len(order), np.int64)
+    found[order] = np.repeat(low, np.diff(np.append(lead, len(order))))
+    return found
+
+
+def repeated_runs(h: np.ndarray, count: np.ndarray, anchor: np.ndarray, least: np.ndarray, last: np.ndarray, content: np.ndarray, begin: np.ndarray, raw: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of strings that a document smaller than a segment's last owner has: segment, that document, first string, length.
+
+    Segments are whole anchors, in order of h and content.
+    """
+    other = np.append(True, h[1:] != h[:-1])
+    new = other | np.append(True, content[1:] != content[:-1])
+    one, same, of = np.flatnonzero(new), np.cumsum(new) - 1, np.cumsum(other) - 1
+    low, n = np.minimum.reduceat(least, one), count[one]
+    strings, first = np.repeat(low, n), np.cumsum(n) - n
+    todo = np.bincount(of, new)[of[one]] > 1  # an anchor whose segments are all alike needs no sorting
+    if todo.any():
+        pick = one[todo]
+        strings[ranges(first[todo], n[todo])] = least_owner(count[pick], anchor[pick], low[todo], raw, begin[pick])
+    seg = np.repeat(np.arange(len(h), dtype=np.int32), count)
+    owner = strings[ranges(first[same], count)]
+    j = ranges(np.zeros(len(count), np.int64), count)
+    hit = np.flatnonzero(owner < last[seg])
+    seg, owner, j = seg[hit], owner[hit], j[hit]
+    if not len(seg):
+        return seg, owner, j, j
+    cut = np.flatnonzero(np.append(True, (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1]) | (j[1:] != j[:-1] + 1)))
+    return seg[cut], owner[cut], j[cut], np.diff(np.append(cut, len(seg)))
 
 
 def find_repeats(table_: pa.Table) -> pa.Table:
@@ -260,29 +273,14 @@ def find_repeats(table_: pa.Table) -> pa.Table:
     h, count, anchor, least, last, content, raw, begin, origin, number = map(np.concatenate, (h, count, anchor, least, last, content, raw, begin, origin, number))
     order = np.lexsort((content, h))
     h, count, anchor, least, last, content, begin, origin, number = (x[order] for x in (h, count, anchor, least, last, content, begin, origin, number))
-    new = np.append(True, (h[1:] != h[:-1]) | (content[1:] != content[:-1]))
-    one = np.flatnonzero(new)
-    low = np.minimum.reduceat(least, one)
-    same = np.cumsum(new) - 1
-    # An anchor whose segments are all alike needs no sorting.
-    texts = np.bincount(np.cumsum(np.append(True, h[1:] != h[:-1])) - 1, new)
-    several = texts[np.cumsum(np.append(True, h[1:] != h[:-1])) - 1] > 1
-    todo = several[one]
-    n = count[one]
-    strings = np.repeat(low, n)
-    first = np.cumsum(n) - n
-    if todo.any():
-        pick = one[todo]
-        strings[ranges(first[todo], n[todo])] = least_owner(h[pick], count[pick], anchor[pick], low[todo], raw, begin[pick])
-    seg = np.repeat(np.arange(len(h)), count)
-    at = ranges(first[same], count)
-    owner = strings[at]
-    j = ranges(np.zeros(len(count), np.int64), count)
-    hit = np.flatnonzero(owner < last[seg])
-    seg, owner, j = seg[hit], owner[hit], j[hit]
-    cut = np.flatnonzero(np.append(True, (seg[1:] != seg[:-1]) | (owner[1:] != owner[:-1]) | (j[1:] != j[:-1] + 1))) if len(seg) else np.zeros(0, np.int64)
-    length = np.diff(np.append(cut, len(seg)))
-    seg, owner, j = seg[cut], owner[cut], j[cut]
+    cuts = np.append(np.flatnonzero(np.append(True, h[1:] != h[:-1])), len(h))
+    spent = np.concatenate([[0], np.cumsum(count + SPAN - 1)])[cuts]
+    found = []
+    for x, y in pieces(spent, PART):  # whole anchors, about PART bytes at a time
+        a, b = cuts[x], cuts[y]
+        part = repeated_runs(*(z[a:b] for z in (h, count, anchor, least, last, content, begin)), raw)
+        found.append((part[0] + a, *part[1:]))
+    seg, owner, j, length = (np.concatenate(x) for x in zip(*found, strict=True))
     out = []
     for k, block in enumerate(table_["block"]):
         mine = origin[seg] == k
