@@ -17,9 +17,10 @@ from stratavox.llm.packing import word_hashes, words
 #: Words in a shingle, and the least similarity of a link in hundredths.
 SHINGLE, LEAST = 5, 80
 #: Bits of a set's signature, records that a task gathers before it packs them, and rounds of comparing with hubs.
-BITS, GATHER, ROUNDS = 1024, 1 << 21, 2
+BITS, GATHER, ROUNDS = 4096, 1 << 21, 3
 SETS = "doc_id long, n_shingles long, set_id long"
 MEMBERS = "block long, sets binary, sizes binary, row binary, hashes binary, counts binary"
+KEYS = "set_id long, n long, n_keys long, key long"
 SKETCH = "set_id long, n long, prefix binary, hashes binary, bits binary"
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -181,7 +182,7 @@ def prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = buffer(batch.column(2))
         count = np.diff(offsets) // 8
         row = pa.array(np.repeat(np.arange(len(count)), count))
-        yield batch_of("set_id long, n long, key long", batch.column(0).take(row), batch.column(1).take(row), np.frombuffer(data.tobytes(), np.int64))
+        yield batch_of(KEYS, batch.column(0).take(row), batch.column(1).take(row), np.repeat(count, count), np.frombuffer(data.tobytes(), np.int64))
 
 
 def linked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +219,8 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SETS rows of docs, and set_id and component of the sets that have links.
 
     Equal sets are one set. Every set's shingles are counted over all sets; sets that share a prefix shingle and whose
-    sizes are close are candidates. First each set is compared with one hub, the least of its shingles' sets, twice; then,
+    sizes are close are candidates. First each set is compared with one hub, in a few rounds: of the sets that share a
+    shingle with it, the one with the longest prefix, as an original has next to its edited copies; then,
     tile by tile of close sizes, those that are not yet in one component. So a large group of near copies costs about one
     comparison for each of its sets, and no pair that could join two components is left out.
     """
@@ -234,20 +236,23 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sketch = materialise(members.groupBy("block").applyInArrow(sketches, SKETCH), "jaccard-sketch")
     drop(payload)
     drop(answer)
-    keys = materialise(sketch.select("set_id", "n", "prefix").mapInArrow(prefix_rows, "set_id long, n long, key long"), "jaccard-keys")
+    keys = materialise(sketch.select("set_id", "n", "prefix").mapInArrow(prefix_rows, KEYS), "jaccard-keys")
     links, tried = None, None
     parts = sketch.select(F.col("set_id").alias("node"), F.col("set_id").alias("component"))
     for _ in range(ROUNDS):
         own = keys.join(parts.withColumnsRenamed({"node": "set_id", "component": "part"}), "set_id")
-        hubs = own.groupBy("key").agg(F.min(F.struct("part", "set_id", "n")).alias("hub"), F.max("part").alias("last")).filter("last > hub.part")
+        hub = F.max(F.struct("n_keys", "set_id", "n", "part"))
+        hubs = own.groupBy("key").agg(hub.alias("hub"), F.min("part").alias("_a"), F.max("part").alias("_b")).filter("_a < _b")
         offers = own.join(hubs, "key").filter((F.col("part") != F.col("hub.part")) & _fits(F.col("n"), F.col("hub.n")))
-        pairs = materialise(offers.groupBy(F.col("set_id").alias("b")).agg(F.min("hub.set_id").alias("a")), "jaccard-pairs")
+        best = offers.groupBy(F.col("set_id").alias("b")).agg(F.max(F.struct("hub.n_keys", "hub.set_id")).alias("best"))
+        pairs = materialise(best.select("b", F.col("best.set_id").alias("a")), "jaccard-pairs")
         found = materialise(verified(pairs, sketch), "jaccard-links")
         links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
         parts = components(links)
         parts = sketch.select(F.col("set_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     labelled = keys.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("part", F.coalesce("component", "set_id"))
-    open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m")).filter("_a != _b").select("key")
+    open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b")
+    open_ = open_.groupBy("_m", "_who").agg(F.min("key").alias("key"))  # shingles of the same sets give the same pairs
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / LEAST)) + 1e-9).cast("int")
     left = materialise(labelled.join(open_, "key", "left_semi").select("key", "set_id", "n", "part", band.alias("band")), "jaccard-open")
     other = left.select("key", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("part_b"), F.explode(F.array("band", F.col("band") + 1, F.col("band") - 1)).alias("band"))

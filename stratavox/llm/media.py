@@ -329,6 +329,8 @@ def decode(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
             at += 4 + size
         if points is None or not len(points) or int(points["size"].sum()) != totals[-1]:
             raise Corrupt("a stream without a seek point for every frame")
+        if (points["sample"] != np.cumsum(points["size"].astype(np.int64)) - points["size"]).any() or points["byte"][0] or (np.diff(points["byte"].astype(np.int64)) <= 0).any():
+            raise Corrupt("seek points that don't follow one another")
         first = points["byte"].astype(np.int64) + base + at
         starts.append(first)
         ends.append(np.append(first[1:], base + len(s)))

@@ -59,6 +59,8 @@ def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
 
 def by_bucket(hashes: np.ndarray, buckets: int):
     """Ranges of sorted hashes that lie in one bucket: bucket, start, end."""
+    if not len(hashes):
+        return iter(())
     bucket = bucket_of(hashes, buckets)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     return zip(bucket[cuts].tolist(), cuts.tolist(), np.append(cuts[1:], len(hashes)).tolist(), strict=True)

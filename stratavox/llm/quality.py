@@ -216,7 +216,11 @@ def score_rows(model: Model | None):
             data, offsets = buffer(batch.column(1))
             for a, b in pieces(offsets):
                 own = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                score, counts = model.score(*own) if model else (np.full(b - a, 0.5), lines(*own)[2])
+                if model:
+                    score, counts = model.score(*own)
+                else:
+                    counts = lines(*own)[2]
+                    score = np.where(counts > 0, 0.5, 0.0)
                 yield batch_of(SCORES, batch.column(0)[a:b], score, counts)
 
     return run
