@@ -20,7 +20,7 @@ SHINGLE, LEAST = 5, 80
 BITS, GATHER, ROUNDS = 4096, 1 << 21, 3
 SETS = "doc_id long, n_shingles long, set_id long"
 MEMBERS = "block long, sets binary, sizes binary, row binary, hashes binary, counts binary"
-KEYS = "set_id long, n long, n_keys long, key long"
+KEYS = "set_id long, n long, n_keys long, rank long, key long"
 SKETCH = "set_id long, n long, prefix binary, hashes binary, bits binary"
 
 _lower = np.arange(256, dtype=np.uint8)
@@ -182,7 +182,7 @@ def prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = buffer(batch.column(2))
         count = np.diff(offsets) // 8
         row = pa.array(np.repeat(np.arange(len(count)), count))
-        yield batch_of(KEYS, batch.column(0).take(row), batch.column(1).take(row), np.repeat(count, count), np.frombuffer(data.tobytes(), np.int64))
+        yield batch_of(KEYS, batch.column(0).take(row), batch.column(1).take(row), np.repeat(count, count), ranges(np.zeros(len(count), np.int64), count), np.frombuffer(data.tobytes(), np.int64))
 
 
 def linked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +222,9 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sizes are close are candidates. First each set is compared with one hub, in a few rounds: of the sets that share a
     shingle with it, the one with the longest prefix, as an original has next to its edited copies; then,
     tile by tile of close sizes, those that are not yet in one component. So a large group of near copies costs about one
-    comparison for each of its sets, and no pair that could join two components is left out.
+    comparison for each of its sets, and no pair that could join two components is left out. Of a linked pair, the first
+    shingle that both have leaves as many of either set behind it as the pair must share. The smaller set must share
+    8/9 of its own with any that is not smaller; so copies with more edits than that meet larger sets only.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     sets = materialise(rows.mapInArrow(set_rows, SETS), "jaccard-sets")
@@ -251,13 +253,19 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         parts = components(links)
         parts = sketch.select(F.col("set_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
     labelled = keys.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("part", F.coalesce("component", "set_id"))
-    open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b")
-    open_ = open_.groupBy("_m", "_who").agg(F.min("key").alias("key"))  # shingles of the same sets give the same pairs
+    open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m"), F.sum("rank").alias("_ranks"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b")
+    open_ = open_.groupBy("_m", "_who").agg(F.min_by("key", "_ranks").alias("key"))  # shingles of the same sets give the same pairs; the first has the lowest ranks
+    behind = F.col("n_keys") + F.floor((LEAST * F.col("n") + 99) / 100) - 1 - F.col("rank")  # a set's shared shingles from this one on
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / LEAST)) + 1e-9).cast("int")
-    left = materialise(labelled.join(open_, "key", "left_semi").select("key", "set_id", "n", "part", band.alias("band")), "jaccard-open")
-    other = left.select("key", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("part_b"), F.explode(F.array("band", F.col("band") + 1, F.col("band") - 1)).alias("band"))
-    again = left.join(other, ["key", "band"]).filter((F.col("set_id") < F.col("b")) & (F.col("part") != F.col("part_b")) & _fits(F.col("n"), F.col("nb")))
-    more = again.select(F.col("set_id").alias("a"), "b").distinct().join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    left = materialise(labelled.join(open_, "key", "left_semi").select("key", "set_id", "n", "part", behind.cast("long").alias("behind"), band.alias("band")), "jaccard-open")
+    enough = lambda x, total: (100 + LEAST) * F.col(x) >= LEAST * total
+    small = left.filter(enough("behind", 2 * F.col("n")))
+    other = left.select("key", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("part_b"), F.col("behind").alias("behind_b"), F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    both = F.col("n") + F.col("nb")
+    ordered = F.struct("n", "set_id") < F.struct("nb", "b")
+    again = small.join(other, ["key", "band"]).filter(ordered & (F.col("part") != F.col("part_b")) & _fits(F.col("n"), F.col("nb")) & enough("behind", both) & enough("behind_b", both))
+    side = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    more = again.select(F.col("set_id").alias("a"), "b").select(*side).distinct().join(tried.select(*side), ["a", "b"], "left_anti")
     every = links.unionByName(materialise(verified(more, sketch), "jaccard-links"))
     return sets, components(every).select(F.col("node").alias("set_id"), "component")
 
