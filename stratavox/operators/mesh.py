@@ -94,6 +94,18 @@ def octree_fragments(tris: DataFrame, chunk: int, lod: int) -> DataFrame:
     return keyed.groupBy("label", "cx", "cy", "cz").agg(F.count("*").alias("triangles")).withColumns({"lod": F.lit(lod), "code": morton("cx", "cy", "cz")})
 
 
+def levels(tris: DataFrame, chunk: int, shape: Size) -> DataFrame:
+    """Fragments of every level of detail, from the full surface to the one whose chunk spans the shape.
+
+    Each level doubles the chunk and the cell that corners are drawn to; all levels share one surface.
+    """
+    top = max(0, math.ceil(math.log2(max(shape) / chunk)))
+    out = octree_fragments(tris, chunk, 0)
+    for lod in range(1, top + 1):
+        out = out.unionByName(octree_fragments(decimated(tris, 1 << lod), chunk, lod))
+    return out
+
+
 def quantisation(low: float, shape: float, chunks: float, bits: int) -> dict[str, float]:
     """Range, bins and origin that put vertices of a chunk's mesh on a grid of 2^bits - 1 steps; bits is 10 or 16."""
     if bits not in (10, 16):

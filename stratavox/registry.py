@@ -142,6 +142,11 @@ def delete_bbox(spark, d):
     return select.delete(chunks, BOX, (2, 2, 1), (8, 8, 1), ((0, 0, 0), SEG_SHAPE), 2)
 
 
+@query(f"WITH vol AS (SELECT x, y, z, label FROM {SEG}), spread AS (SELECT x + a.i AS x, y + b.i AS y, z + c.i AS z, label, CASE WHEN a.i = 0 AND b.i = 0 AND c.i = 0 THEN label END AS own FROM vol, range(-1, 2) a(i), range(-1, 2) b(i), range(-1, 2) c(i)) SELECT x, y, z, coalesce(max(own), min(label)) AS label FROM spread GROUP BY x, y, z")
+def dilate27_whole(spark, d):
+    return select.dilate(seg(spark, d).select("x", "y", "z", "label"))
+
+
 # Relabelling
 
 
@@ -174,6 +179,14 @@ def unsigned_labels(spark, d):
     return labels.select("label", unsigned("packed").cast("decimal(20,0)").cast("string").alias("wide"))
 
 
+@query(f"SELECT label, CAST(CAST(label AS HUGEINT) * 11400714819323198485 % 18446744073709551616 AS VARCHAR) AS wide FROM (SELECT DISTINCT label FROM {SEG})")
+def unsigned_labels_whole(spark, d):
+    wide = F.expr("cast(label as decimal(18,0)) * 11400714819323198485 % 18446744073709551616")
+    folded = F.when(wide > F.expr("9223372036854775807"), wide - F.expr("18446744073709551616")).otherwise(wide).cast("bigint")
+    labels = stats.labels(seg(spark, d)).withColumn("packed", folded)
+    return labels.select("label", unsigned("packed").cast("decimal(20,0)").cast("string").alias("wide"))
+
+
 # Downsampling
 
 
@@ -242,6 +255,11 @@ def fix_up_pool(spark, d):
     return pool.fix_up(seg(spark, d), points, (32, 32, 7), (2, 2, 1), shape=SEG_SHAPE)
 
 
+@query(f"{WITH}, cells AS (SELECT DISTINCT floor(x / 32) AS cx, floor(y / 32) AS cy, floor(z / 7) AS cz FROM points) SELECT {DOWN}, CAST(floor(sum(v) / 4) AS BIGINT) AS v FROM seg WHERE EXISTS (SELECT 1 FROM cells WHERE floor(x / 32) = cx AND floor(y / 32) = cy AND floor(z / 7) = cz) GROUP BY 1, 2, 3")
+def fix_up_pool_whole(spark, d):
+    return pool.fix_up(seg(spark, d), fixture(spark, d, "points").select("x", "y", "z"), (32, 32, 7), (2, 2, 1), shape=SEG_SHAPE)
+
+
 # Counts, histograms, contrast, boxes
 
 
@@ -422,8 +440,7 @@ def mesh_forge(spark, d):
 
 @query()
 def mesh_lods(spark, d):
-    tris = mesh.triangles(seg(spark, d).filter("label <= 10"))
-    return mesh.octree_fragments(mesh.decimated(tris, 2), 16, 1)
+    return mesh.levels(mesh.triangles(seg(spark, d)), 16, SEG_SHAPE)
 
 
 @query(f"SELECT label, x0, y0, z0, x1, y1, z1 FROM (SELECT label, min(x) AS x0, min(y) AS y0, min(z) AS z0, max(x) + 1 AS x1, max(y) + 1 AS y1, max(z) + 1 AS z1 FROM {SEG} GROUP BY label)")
@@ -491,6 +508,15 @@ def common_layer(spark, d):
     return found.filter("NOT (x % 2 = 0 AND y % 2 = 0 AND z % 2 = 0) AND NOT (x % 4 < 3 AND y % 4 < 3 AND z % 4 < 3)")
 
 
+LAYER_SQL = " ".join(f"WHEN floor(x / {2**i}) = floor((x + 1) / {2**i}) AND floor(y / {2**i}) = floor((y + 1) / {2**i}) AND floor(z / {2**i}) = floor((z + 1) / {2**i}) THEN {i}" for i in range(1, 5))
+
+
+@query(f"SELECT x, y, z, CAST(CASE {LAYER_SQL} ELSE -1 END AS BIGINT) AS layer FROM {SEG}")
+def common_layer_whole(spark, d):
+    ends = {f"{p}{a}": F.col(a) + k for a in "xyz" for p, k in (("c", 0), ("d", 1))}
+    return spatial.common_layer(seg(spark, d).withColumns(ends), 2, 5).select("x", "y", "z", F.coalesce("layer", F.lit(-1).cast("bigint")).alias("layer"))
+
+
 # Skeletons
 
 

@@ -1,9 +1,13 @@
 """Operators on small made-up volumes, where the right answer is known or an invariant holds."""
 
+import random
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from stratavox import registry
 from stratavox.functions.codes import hashed_label, label_of, murmur3_labels
 from stratavox.operators import ccl, mesh, pool, relabel, select, skeleton, stats
 from stratavox.sources import volume
@@ -133,6 +137,55 @@ def test_surfaces_are_closed(spark):
     assert mesh.surface(cube, (1, 2, 3)).first().area == 9 * 2 * (6 + 3 + 2)
 
 
+def fragments(vol, chunk, lods):
+    """Fragments of the levels of voxels {(x, y, z): label} as (label, cx, cy, cz, triangles, lod, code), by brute force."""
+    out = Counter()
+    for lod in range(lods):
+        seen = set()
+        for at, label in vol.items():
+            for d, corners in mesh.FACES.items():
+                if vol.get(tuple(p + q for p, q in zip(at, d, strict=True))) == label:
+                    continue
+                p = [tuple((v + c) >> lod << lod for v, c in zip(at, k, strict=True)) for k in corners]
+                seen |= {(label, *t) for t in ((p[0], p[1], p[2]), (p[0], p[2], p[3])) if len(set(t)) == 3}
+        out.update((label, lod, *[v // (chunk << lod) for v in a]) for label, a, _, _ in seen)
+    code = lambda *c: sum((c[k] >> i & 1) << (3 * i + k) for i in range(10) for k in range(3))
+    return {(label, *c, n, lod, code(*c)) for (label, lod, *c), n in out.items()}
+
+
+FRAGMENT = ("label", "cx", "cy", "cz", "triangles", "lod", "code")
+
+
+def test_every_level_of_detail_matches_brute_force(spark):
+    rng = random.Random(3)
+    vol = {(x, y, z): rng.choice([3, 40, 5000]) for x in range(20) for y in range(9) for z in range(5) if rng.random() < 0.7}
+    found = mesh.levels(mesh.triangles(voxels(spark, [(*p, v) for p, v in vol.items()])), 4, (20, 9, 5))
+    want = fragments(vol, 4, 4)
+    assert {tuple(r) for r in found.select(*FRAGMENT).collect()} == want
+    assert {r[5] for r in want} == {0, 1, 2, 3}
+
+
+def test_mesh_lods_has_every_label_and_level(spark):
+    d = "/root/testdata/sf0.01"
+    vol = {(r.x, r.y, r.z): r.label for r in registry.seg(spark, d).select("x", "y", "z", "label").collect()}
+    found = [tuple(r) for r in registry.queries()["mesh_lods"](spark, d).select(*FRAGMENT).collect()]
+    assert max(vol.values()) > 80
+    assert len(found) == len(set(found)) and set(found) == fragments(vol, 16, 4)
+
+
+def test_whole_volume_queries_leave_nothing_out(spark):
+    d = "/root/testdata/sf0.01"
+    vol, run = registry.seg(spark, d), lambda name: registry.queries()[name](spark, d)
+    assert run("unsigned_labels_whole").count() == vol.select("label").distinct().count()
+    assert {r.layer for r in run("common_layer_whole").select("layer").distinct().collect()} == {1, 2, 3, 4, -1}
+    assert run("common_layer_whole").count() == vol.count()
+    same = run("dilate27_whole").join(vol.select("x", "y", "z", "label"), ["x", "y", "z", "label"], "left_semi")
+    assert same.count() == vol.count()
+    cells = {(r.x // 32, r.y // 32) for r in registry.fixture(spark, d, "points").filter("z between 0 and 6").collect()}
+    want = {(r.x // 2, r.y // 2, r.z) for r in vol.collect() if (r.x // 32, r.y // 32) in cells}
+    assert {(r.x, r.y, r.z) for r in run("fix_up_pool_whole").collect()} == want
+
+
 def test_levels_of_detail():
     assert mesh.max_lod((512, 512, 512), (64, 64, 64), 5) == 3 and mesh.max_lod((512, 512, 512), (64, 64, 64), 2) == 2
     assert mesh.target_triangles(100, 1, 1) == 50 and mesh.target_triangles(5, 3, 1) == 4
