@@ -31,20 +31,26 @@ def tool_results(messages: DataFrame) -> DataFrame:
 
 
 def levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """key and level of every node: 0 without dependencies, else one more than the deepest; null on a cycle or behind one."""
-    edges = edges.join(nodes.select(F.col("key").alias("dep")), "dep", "left_semi").distinct()
-    left = materialise(edges, "chat-edges")
-    done = materialise(nodes.join(left, "key", "left_anti").select("key", F.lit(0).alias("level")).distinct(), "chat-levels")
-    every = done
-    while True:
-        ready = left.join(every.withColumnRenamed("key", "dep"), "dep", "left").groupBy("key").agg(F.count("*").alias("n"), F.count("level").alias("m"), F.max("level").alias("level"))
-        new = materialise(ready.filter("n = m").select("key", (F.col("level") + 1).alias("level")), "chat-levels")
-        if new.isEmpty():
-            return nodes.select("key").distinct().join(every, "key", "left")
-        every = every.unionByName(new)
-        rest = materialise(left.join(new, "key", "left_anti"), "chat-edges")
-        drop(left)
-        left = rest
+    """key and level of every node: 0 without dependencies, else one more than the deepest; null on a cycle or behind one.
+
+    Rounds double the length of the walks in hand (key, dep), so they are logarithmic in the depth. A node that such a
+    walk leaves is as deep as its length and the deepest of its ends; others keep what shorter walks gave. A walk
+    longer than there are nodes with dependencies repeats one. A chain has one walk a node and round; where nodes have
+    many dependencies each, the pairs of a round can grow towards all pairs of a conversation.
+    """
+    walks = materialise(edges.join(nodes.select(F.col("key").alias("dep")), "dep", "left_semi").select("key", "dep").distinct(), "chat-walks")
+    known = materialise(walks.select("key", F.lit(0).alias("level")).distinct(), "chat-levels")
+    most, length = known.count(), 1
+    while length <= most and not walks.isEmpty():
+        ends = walks.join(known.withColumnRenamed("key", "dep"), "dep", "left").groupBy("key").agg((F.lit(length) + F.max(F.coalesce("level", F.lit(0)))).alias("_deep"))
+        deeper = materialise(known.join(ends, "key", "left").select("key", F.coalesce("_deep", "level").alias("level")), "chat-levels")
+        longer = materialise(walks.join(walks.select(F.col("key").alias("dep"), F.col("dep").alias("_end")), "dep").select("key", F.col("_end").alias("dep")).distinct(), "chat-walks")
+        drop(known)
+        drop(walks)
+        known, walks, length = deeper, longer, 2 * length
+    endless = walks.select("key", F.lit(True).alias("_endless")).distinct()
+    every = nodes.select("key").distinct().join(known, "key", "left").join(endless, "key", "left")
+    return every.select("key", F.when(F.col("_endless").isNull(), F.coalesce("level", F.lit(0))).alias("level"))
 
 
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
@@ -75,36 +81,58 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     topological order of what it depends on; dependencies that aren't there don't count. json has sorted keys and no
     space. Of calls or results with one identifier the earliest turn counts. Calls without a conversation or an
     identifier have level 0 and no result. A call whose arguments aren't JSON has null arguments. Empty tables give no rows.
+    A column copy tells calls with one identifier apart, so that all of them count: depends then has identifier, \\x1f
+    and copy, and a result goes to each of them.
     """
     configure(calls.sparkSession)
     key = F.when(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull(), F.concat_ws("\x1f", F.col("conv_id").cast("string"), "call_id"))
-    rows = calls.withColumn("key", key)
+    own = F.concat_ws("\x1f", key, F.col("copy").cast("string")) if "copy" in calls.columns else key
+    rows = calls.withColumn("ask", key).withColumn("key", F.when(F.col("ask").isNotNull(), own))
     text = F.to_json(F.struct(F.col("arguments").alias("a")))
     plain = rows.withColumn("a", text).drop("arguments")
-    first = plain.filter("key is not null").groupBy("key").agg(F.min_by(F.struct("conv_id", "call_id", "turn", "name", "depends", "a"), F.struct("turn", "name", "a")).alias("c")).select("key", "c.*")
-    loose = plain.filter("key is null").select(F.lit(None).cast("string").alias("key"), "conv_id", "call_id", "turn", "name", "depends", "a")
+    first = plain.filter("key is not null").groupBy("key").agg(F.min_by(F.struct("ask", "conv_id", "call_id", "turn", "name", "depends", "a"), F.struct("turn", "name", "a")).alias("c")).select("key", "c.*")
+    loose = plain.filter("key is null").select(F.lit(None).cast("string").alias("key"), "ask", "conv_id", "call_id", "turn", "name", "depends", "a")
     one = materialise(first, "chat-calls")
     edges = one.select("key", F.explode("depends").alias("d"), "conv_id").select("key", F.concat_ws("\x1f", F.col("conv_id").cast("string"), "d").alias("dep"))
     level = levels(edges, one.select("key"))
     args = F.try_variant_get(F.try_parse_json("a"), "$.a", "variant")
     checked = validated(one.withColumn("arguments", args), schemas)
-    answers = results.filter("conv_id is not null and call_id is not null").groupBy(key.alias("key")).agg(F.min_by("content", F.struct("turn", "content")).alias("content"), F.lit(True).alias("answered"))
-    full = one.join(level, "key", "left").join(checked, "key", "left").join(answers, "key", "left")
+    answers = results.filter("conv_id is not null and call_id is not null").groupBy(key.alias("ask")).agg(F.min_by("content", F.struct("turn", "content")).alias("content"), F.lit(True).alias("answered"))
+    full = one.join(level, "key", "left").join(checked, "key", "left").join(answers, "ask", "left")
     loose = loose.withColumns({"level": F.lit(0), "problems": F.lit(0).cast("long"), "content": F.lit(None).cast("string"), "answered": F.lit(None).cast("boolean")})
     every = full.unionByName(loose).withColumn("arguments", args)
     fields = F.struct("arguments", F.col("call_id").alias("id"), "name", F.col("content").alias("result"))
     return every.select("conv_id", "call_id", "turn", "name", "level", "problems", F.coalesce("answered", F.lit(False)).alias("answered"), F.to_json(fields).alias("json"))
 
 
+def in_order(rows: DataFrame, *by: str) -> DataFrame:
+    """rows with _at, _after and _last: an ascending number by the columns, that of the row before, and that row itself.
+
+    Rows are dealt out by ranges of the columns and a number of their own, so a group of any size, equal rows included,
+    spreads over tasks. Numbers follow each other within a range; the first of a range meets the last of the range before.
+    """
+    spread = rows.withColumn("_own", F.monotonically_increasing_id()).repartitionByRange(*by, "_own").sortWithinPartitions(*by, "_own")
+    placed = materialise(spread.drop("_own").withColumn("_at", F.monotonically_increasing_id()), "chat-order")
+    part = F.shiftright("_at", 33)
+    ends = placed.groupBy(part.alias("_part")).agg(F.min("_at").alias("_at"), F.max("_at").alias("_end"))
+    edges = ends.select("_at", F.lag("_end").over(Window.orderBy("_part")).alias("_edge"))
+    after = placed.join(F.broadcast(edges), "_at", "left").withColumn("_after", F.when(F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) == 0, F.col("_edge")).otherwise(F.col("_at") - 1))
+    return after.drop("_edge").join(placed.select(F.col("_at").alias("_after"), F.struct(*by).alias("_last")), "_after", "left")
+
+
 def op5_chat(spark, sf_dir: str) -> DataFrame:
-    """The turns of conversations as calls and results: what isn't an assistant's turn calls for the next turn's answer."""
+    """The turns of conversations as calls and results: what isn't an assistant's turn calls for the next turn's answer.
+
+    Each ask depends on the one before it in its conversation. Asks repeated at one turn are calls of their own, one
+    after the other; of repeated answers the least text counts.
+    """
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     text = F.coalesce("text", F.lit(""))
-    asks = turns.filter("role <> 'assistant'")
-    before = F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn"))
+    asks = in_order(turns.filter("role <> 'assistant'"), "conv_id", "turn")
     arguments = F.parse_json(F.to_json(F.struct(text.alias("text"), F.char_length(text).alias("chars"), "turn")))
-    depends = F.when(F.col("_before").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("t"), "_before")))
-    calls = asks.withColumn("_before", before).select("conv_id", F.concat(F.lit("t"), "turn").alias("call_id"), "turn", F.col("role").alias("name"), arguments.alias("arguments"), depends.alias("depends"))
+    before = F.concat(F.lit("t"), "_last.turn", F.lit("\x1f"), "_after")
+    depends = F.when((F.col("_last.conv_id") == F.col("conv_id")) & before.isNotNull(), F.array(before)).otherwise(F.array().cast("array<string>"))
+    calls = asks.select("conv_id", F.concat(F.lit("t"), "turn").alias("call_id"), "turn", F.col("role").alias("name"), arguments.alias("arguments"), depends.alias("depends"), F.col("_at").alias("copy"))
     results = turns.filter("role = 'assistant'").select("conv_id", F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")).alias("call_id"), "turn", text.alias("content"))
     rows = ", ".join(f"('{n}', '{f}', '{k}', true)" for n in ("system", "user") for f, k in (("chars", "integer"), ("text", "string"), ("turn", "integer")))
     return link_calls(calls, results, spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, field, type, required)"))

@@ -3,6 +3,7 @@
 import json
 
 import duckdb
+import pytest
 
 from stratavox.llm import chat
 
@@ -62,3 +63,36 @@ def test_query_matches_sql(spark):
     mine = chat.op5_chat(spark, SF)
     assert sorted(columns) == sorted(mine.columns)
     assert sorted(map(repr, (tuple(r) for r in mine.select(*columns).collect()))) == sorted(map(repr, found.fetchall()))
+
+
+def against_sql(spark, path, rows):
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}/conversations.parquet/*.parquet'")
+    found = con.execute(chat.OP5_SQL)
+    columns = [c[0] for c in found.description]
+    mine = sorted(map(repr, (tuple(r) for r in chat.op5_chat(spark, str(path)).select(*columns).collect())))
+    return mine, sorted(map(repr, found.fetchall()))
+
+
+def test_a_long_conversation_takes_few_rounds(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(chat, "materialise", lambda df, name, f=chat.materialise: written.append(name) or f(df, name))
+    rows = [(7, i, "assistant" if i % 2 else "user", f"said {i}") for i in range(1200)] + [(c, 0, "user", None) for c in range(6)]
+    mine, sql = against_sql(spark, tmp_path, rows)
+    assert mine == sql and len(mine) == 606
+    assert len(written) <= 26  # the order, the calls, and two a round: 2^10 steps reach past 600
+
+
+def test_repeated_turns_are_calls_of_their_own(spark, tmp_path):
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "a"), (1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 2, "user", "c"), (1, 4, "user", "d"), (2, 3, "user", "e"), (2, 3, "user", "e")]
+    mine, sql = against_sql(spark, tmp_path, rows)
+    assert mine == sql and len(mine) == 7
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8])
+def test_levels_are_longest_walks(spark, n):
+    edges = [(f"n{i}", f"n{j}") for i in range(n) for j in (i - 1, i - 3, 0) if 0 <= j < i] + [("x", "y"), ("y", "x"), ("z", "x"), ("z", "n0"), ("n0", "gone")]
+    nodes = [(f"n{i}",) for i in range(n)] + [("x",), ("y",), ("z",)]
+    found = chat.levels(spark.createDataFrame(edges, "key string, dep string"), spark.createDataFrame(nodes, "key string"))
+    assert {r.key: r.level for r in found.collect()} == {f"n{i}": i for i in range(n)} | {"x": None, "y": None, "z": None}
