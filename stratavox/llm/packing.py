@@ -62,7 +62,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         (self.mark,) = self._plain([MARK])[0]
         self.forget()
 

@@ -276,6 +276,17 @@ def test_words_with_the_mark_and_odd_spaces():
         assert ids.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_end_and_start_marks_in_a_text_are_their_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    text = "one<|endoftext|>two <|startoftext|> <|ENDOFTEXT|> three•<|endoftext|>"
+    want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
+    assert want.count(49407) == 2 and want.count(49406) == 1
+    (r,) = packing.pack(documents(spark, [(1, text, "a")])).collect()
+    assert r.doc_tokens == len(want) + 1 and r.ids_crc32 == zlib.crc32(np.array([*want, 2], "<u4").tobytes())
+
+
 def test_edited_fingerprints(docs, rows):
     whole = sorted({(i, t or "") for i, t, _ in rows}, reverse=True)
     repeated = [rows[0][0]]
