@@ -82,20 +82,24 @@ def joined(spans: Column) -> Column:
 
 
 def _scanned(docs: DataFrame) -> DataFrame:
-    """A row per document: its id, a hash of its text, base spans, and identifier-like tokens with their context."""
+    """A row per document: its id, a hash of its text, base spans, and identifier-like tokens with their context.
+
+    Context is the words beside a token in the text, those with digits too, with every digit written as 0.
+    """
     text = text_of(docs)
     tokens = F.filter(_matches(text, TOKEN, text.rlike("[0-9@]")), lambda m: m["found"].rlike(INSTANCE))
-    own = docs.select("doc_id", F.xxhash64(text).alias("_hash"), base_spans(text).alias("base"), tokens.alias("tokens"))
-    word = lambda c, p: F.lower(F.regexp_extract(c, p, 1))
+    word = lambda c, p: F.lower(F.regexp_replace(F.regexp_extract(c, p, 1), "[0-9]", "0"))
+    before = lambda m: F.substring(text, F.greatest(m["start"] - 63, F.lit(1)), F.least(m["start"], F.lit(64)))
+    after = lambda m: F.substring(text, m["end"] + 1, F.lit(64))
     context = lambda m: F.struct(
         m["start"].alias("start"),
         m["end"].alias("end"),
         F.lower(m["found"]).alias("instance"),
-        word(F.substring(m["left"], -64, 64), r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$").alias("left"),
-        word(F.substring(m["left"], -64, 64), r"([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$").alias("left2"),
-        word(F.substring(m["right"], 1, 64), r"^[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)").alias("right"),
+        word(before(m), r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$").alias("left"),
+        word(before(m), r"([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++)[\x20\x09-\x0D]++$").alias("left2"),
+        word(after(m), r"^[\x20\x09-\x0D]++([^\x20\x09-\x0D]++)").alias("right"),
     )
-    return own.withColumn("tokens", F.transform("tokens", context))
+    return docs.select("doc_id", F.xxhash64(text).alias("_hash"), base_spans(text).alias("base"), F.transform(tokens, context).alias("tokens"))
 
 
 def _bootstrap(scanned: DataFrame) -> DataFrame:

@@ -168,6 +168,14 @@ def test_contexts_find_what_patterns_do_not(spark):
     assert not found[101] and not found[102] and not found[0]
 
 
+def test_words_with_digits_are_context(spark):
+    rows = [(i, f"call {i}a desk{i % 9} user{i}@host{i}.example.org 4u", "a") for i in range(20)]
+    rows += [(100, "call 77a desk3 bob@intranet 5u", "a"), (101, "the 3 12345678 9 of things", "a")]
+    found = {r.doc_id: r.found for r in personal.find_personal(documents(spark, rows)).collect()}
+    assert [(s.start, s.end, s.kind) for s in found[100]] == [(15, 27, "email")]
+    assert not found[101] and not found[0]
+
+
 def test_redacted_texts(spark):
     rows = [(1, "mail x@y.zz and 10.0.0.1.", "a"), (2, None, "a"), (3, "clean", "b"), (3, "clean", "b"), (4, "ab@c.de", None)]
     out = personal.redact(documents(spark, rows))
