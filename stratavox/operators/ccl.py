@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratavox.operators.relabel import ranked
 from stratavox.operators.select import AXES, local_dust, threshold
 from stratavox.operators.stats import voxel_counts
-from stratavox.sources.shared import shared_dir
+from stratavox.sources.shared import drop, materialise
 
 Size = tuple[int, int, int]
 
@@ -34,17 +32,13 @@ def edges(vol: DataFrame, shape: Size, connectivity: int = 6, label: str | None
     return there.join(vol.select(*AXES, *own, linear(shape).alias("b")), [*AXES, *own]).select("a", "b")
 
 
-def _written(df: DataFrame) -> DataFrame:
-    """df written to the folder that all executors share, and read again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/ccl-{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def contract(pairs: DataFrame) -> DataFrame:
-    """node and root, the least node that edges (a, b) reach, by alternating large and small stars (Kiveris et al. 2014)."""
-    now = _written(pairs.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    """node and root, the least node that edges (a, b) reach, by alternating large and small stars (Kiveris et al. 2014).
+
+    A hub's edges can be split among tasks, as partial aggregation finds the least neighbour. Each round is written to
+    the shared folder and takes the place of the one before it.
+    """
+    now = materialise(pairs.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "stars")
     before = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -52,7 +46,9 @@ def contract(pairs: DataFrame) -> DataFrame:
         large = both.filter("v > u").join(root, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        now = _written(small.filter("u != v").distinct())
+        after = materialise(small.filter("u != v").distinct(), "stars")
+        drop(now)
+        now = after
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
