@@ -84,7 +84,6 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     A column copy tells calls with one identifier apart, so that all of them count: depends then has identifier, \\x1f
     and copy, and a result goes to each of them.
     """
-    configure(calls.sparkSession)
     key = F.when(F.col("conv_id").isNotNull() & F.col("call_id").isNotNull(), F.concat_ws("\x1f", F.col("conv_id").cast("string"), "call_id"))
     own = F.concat_ws("\x1f", key, F.col("copy").cast("string")) if "copy" in calls.columns else key
     rows = calls.withColumn("ask", key).withColumn("key", F.when(F.col("ask").isNotNull(), own))
@@ -139,6 +138,7 @@ def op5_chat(spark, sf_dir: str) -> DataFrame:
 
 
 OP5_SQL = """
+    configure(spark)
 WITH asks AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS level
               FROM conversations WHERE role <> 'assistant'),
      answers AS (SELECT conv_id, turn - 1 AS turn, coalesce(text, '') AS content FROM conversations WHERE role = 'assistant')

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +10,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratavox.sources.shared import drop, materialise  # noqa: F401
+
 #: A word is a run of characters other than the ASCII white space of the contracts.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text is handled in pieces of about so many bytes, so that numpy's temporaries stay small.
@@ -21,7 +21,10 @@ BATCH_BYTES = 16 << 20
 
 
 def configure(spark: SparkSession) -> None:
-    """Bound Arrow batches by bytes, and free shuffle files when the job that wrote them has ended."""
+    """Bound Arrow batches by bytes, and free a query's shuffle files when it has ended.
+
+    Only the registered queries and the pipeline call this; operators leave the settings of their caller's session alone.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
@@ -30,34 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jsc = spark.sparkContext._jsc.sc()
-        if jsc.getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stratavox-"))
-        found = jsc.getCheckpointDir().get()
-    return found.rstrip("/")
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends there, and it outlives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}.parquet"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop(df: DataFrame) -> None:
-    """Delete a table that materialise() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def text_of(df: DataFrame) -> Column:
     """The text column, a null being empty."""
     return F.coalesce(df["text"].cast("string"), F.lit(""))

@@ -79,7 +79,6 @@ def fingerprint_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes and fingerprint of every row of docs; a null text counts as empty. Equal texts have equal ones."""
-    configure(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(fingerprint_rows, "doc_id long, n_bytes long, fingerprint string")
 
 
@@ -139,9 +138,9 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     The last half of a text's code points gives way to the first as many of the next document. A null text counts as
     empty; a single document follows itself; an empty table gives no rows.
     """
-    configure(docs.sparkSession)
     return with_next(docs).mapInArrow(edited_rows, EDITED)
 
 
 def op9_fingerprints(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     return edited_fingerprints(table(spark, sf_dir, "documents"))

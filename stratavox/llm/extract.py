@@ -239,10 +239,10 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     a page has an article or main element, only that is read. A null or empty html has empty text. Repeated rows are
     kept, other columns ignored.
     """
-    configure(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return rows.mapInArrow(extract_rows, OUT)
 
 
 def op10_extraction(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     return extract_pages(table(spark, sf_dir, "pages"))

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratavox.llm.common import batch_of, buffer, configure, drop, materialise, mix64, pieces, ranges, table, text_of
-from stratavox.llm.graph import components
-from stratavox.llm.packed import BATCH, PACKED, answered, batch_number, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted
+from stratavox.llm.common import WORD, batch_of, buffer, configure, drop, materialise, mix64, pieces, ranges, table, text_of
+from stratavox.llm.packed import BATCH, PACKED, batch_number, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted, with_salt
 from stratavox.llm.packing import word_hashes, words
+from stratavox.operators.ccl import contract
 
 #: Words in a shingle, and the least similarity of a link in hundredths.
 SHINGLE, LEAST = 5, 80
 #: Bits of a set's signature, records that a task gathers before it packs them, and rounds of comparing with hubs.
 BITS, GATHER, ROUNDS = 4096, 1 << 21, 3
-SETS = "doc_id long, n_shingles long, set_id long"
+SETS = "doc_id long, hash long, n_shingles long, set_id long"
 MEMBERS = "block long, sets binary, sizes binary, row binary, hashes binary, counts binary"
 KEYS = "set_id long, n long, n_keys long, rank long, key long"
 SKETCH = "set_id long, n long, prefix binary, hashes binary, bits binary"
@@ -60,10 +61,10 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 def set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = buffer(batch.column(1))
+        data, offsets = buffer(batch.column(2))
         for a, b in pieces(offsets):
             _, _, count, set_id = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            yield batch_of(SETS, batch.column(0)[a:b], count, set_id.view(np.int64))
+            yield batch_of(SETS, batch.column(0)[a:b], batch.column(1)[a:b], count, set_id.view(np.int64))
 
 
 def shingle_rows(buckets: int):
@@ -216,7 +217,7 @@ def _fits(a, b):
 
 
 def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """SETS rows of docs, and set_id and component of the sets that have links.
+    """SETS rows of docs, and set_id and part, its component, of the sets that may have links.
 
     Equal sets are one set. Every set's shingles are counted over all sets; sets that share a prefix shingle and whose
     sizes are close are candidates. First each set is compared with one hub, in a few rounds: of the sets that share a
@@ -226,9 +227,10 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shingle that both have leaves as many of either set behind it as the pair must share. The smaller set must share
     8/9 of its own with any that is not smaller; so copies with more edits than that meet larger sets only.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    text = text_of(docs)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     sets = materialise(rows.mapInArrow(set_rows, SETS), "jaccard-sets")
-    buckets = buckets_for(docs)
+    buckets = buckets_for(8 * (sets.agg(F.sum("n_shingles")).first()[0] or 0))
     packed = materialise(rows.select("text").mapInArrow(shingle_rows(buckets), PACKED), "jaccard-packed")
     answer = materialise(shared(packed), "jaccard-answer")
     payload = materialise(packed.select("bucket", "batch", F.col("counts").alias("counts0"), "payload"), "jaccard-payload")
@@ -236,23 +238,19 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = payload.join(answer, ["bucket", "batch"])
     members = own.select("counts0", "payload", "at", "hashes", "counts").mapInArrow(member_rows(buckets), MEMBERS)
     sketch = materialise(members.groupBy("block").applyInArrow(sketches, SKETCH), "jaccard-sketch")
-    drop(payload)
-    drop(answer)
+    drop(payload, answer)
     keys = materialise(sketch.select("set_id", "n", "prefix").mapInArrow(prefix_rows, KEYS), "jaccard-keys")
-    links, tried = None, None
-    parts = sketch.select(F.col("set_id").alias("node"), F.col("set_id").alias("component"))
+    parts = materialise(sketch.select("set_id", F.col("set_id").alias("part")), "jaccard-parts")
+    tried = []
     for _ in range(ROUNDS):
-        own = keys.join(parts.withColumnsRenamed({"node": "set_id", "component": "part"}), "set_id")
+        own = keys.join(parts, "set_id")
         hub = F.max(F.struct("n_keys", "set_id", "n", "part"))
         hubs = own.groupBy("key").agg(hub.alias("hub"), F.min("part").alias("_a"), F.max("part").alias("_b")).filter("_a < _b")
         offers = own.join(hubs, "key").filter((F.col("part") != F.col("hub.part")) & _fits(F.col("n"), F.col("hub.n")))
         best = offers.groupBy(F.col("set_id").alias("b")).agg(F.max(F.struct("hub.n_keys", "hub.set_id")).alias("best"))
-        pairs = materialise(best.select("b", F.col("best.set_id").alias("a")), "jaccard-pairs")
-        found = materialise(verified(pairs, sketch), "jaccard-links")
-        links, tried = (found, pairs) if links is None else (links.unionByName(found), tried.unionByName(pairs))
-        parts = components(links)
-        parts = sketch.select(F.col("set_id").alias("node")).join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
-    labelled = keys.join(parts.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("part", F.coalesce("component", "set_id"))
+        tried.append(materialise(best.select("b", F.col("best.set_id").alias("a")), "jaccard-pairs"))
+        parts = _joined(parts, verified(tried[-1], sketch))
+    labelled = keys.join(parts, "set_id")
     open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m"), F.sum("rank").alias("_ranks"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b")
     open_ = open_.groupBy("_m", "_who").agg(F.min_by("key", "_ranks").alias("key"))  # shingles of the same sets give the same pairs; the first has the lowest ranks
     behind = F.col("n_keys") + F.floor((LEAST * F.col("n") + 99) / 100) - 1 - F.col("rank")  # a set's shared shingles from this one on
@@ -265,9 +263,36 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     ordered = F.struct("n", "set_id") < F.struct("nb", "b")
     again = small.join(other, ["key", "band"]).filter(ordered & (F.col("part") != F.col("part_b")) & _fits(F.col("n"), F.col("nb")) & enough("behind", both) & enough("behind_b", both))
     side = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    more = again.select(F.col("set_id").alias("a"), "b").select(*side).distinct().join(tried.select(*side), ["a", "b"], "left_anti")
-    every = links.unionByName(materialise(verified(more, sketch), "jaccard-links"))
-    return sets, components(every).select(F.col("node").alias("set_id"), "component")
+    before = reduce(DataFrame.unionByName, tried).select(*side)
+    more = again.select(F.col("set_id").alias("a"), "b").select(*side).distinct().join(before, ["a", "b"], "left_anti")
+    parts = _joined(parts, verified(more, sketch))
+    drop(sketch, keys, left, *tried)
+    return sets, parts
+
+
+def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+    """parts (set_id, part) after links (a, b) between sets; only links between different parts take part in the rounds."""
+    found = materialise(links, "jaccard-links")
+    side = lambda x: parts.select(F.col("set_id").alias(x), F.col("part").alias(f"part_{x}"))
+    between = found.join(side("a"), "a").join(side("b"), "b").filter("part_a != part_b").select(F.col("part_a").alias("a"), F.col("part_b").alias("b"))
+    roots = contract(between).select(F.col("node").alias("part"), "root")
+    after = materialise(parts.join(roots, "part", "left").select("set_id", F.coalesce("root", "part").alias("part")), "jaccard-parts")
+    drop(found, parts)
+    return after
+
+
+def _cells(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """SETS rows with a salt; the least row of each set and salt; the least row of each part, with its sets.
+
+    A row is less than another by doc_id, nulls last, then by the hash of its text. The salt splits sets that many rows have.
+    """
+    sets, parts = set_links(docs)
+    sets = with_salt(sets, "doc_id", "hash")
+    least = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("doc_id"), F.col("hash").alias("hash"))
+    cells = sets.filter("n_shingles > 0").groupBy("set_id", "salt").agg(F.min(least).alias("least"))
+    groups = cells.groupBy("set_id").agg(F.min("least").alias("least")).join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
+    lowest = groups.groupBy("part").agg(F.min("least").alias("least"))
+    return sets, cells, groups.select("set_id", "part").join(lowest, "part")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -277,28 +302,25 @@ def link_documents(docs: DataFrame) -> DataFrame:
     fewer than five words has its words as one shingle. Repeated rows are kept and linked like others; a null doc_id is
     never a component's name unless nothing else is in it. Other columns are ignored. Sets go by a 64-bit id.
     """
-    configure(docs.sparkSession)
-    sets, parts = set_links(docs)
-    groups = sets.filter("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    named = groups.join(parts, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    lowest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    labels = named.select("set_id", "component").join(lowest, "component").select("set_id", "component_id")
-    whole = sets.withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id"))).join(labels, "set_id", "left")
+    sets, cells, least = _cells(docs)
+    named = cells.select("set_id", "salt").join(least.select("set_id", F.col("least.doc_id").alias("component_id")), "set_id")
+    whole = sets.withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id"))).join(named, ["set_id", "salt"], "left")
     return whole.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row of each group of linked documents, that of the smallest doc_id; all columns stay.
+    """One row of each group of linked documents, all columns kept: that of the smallest doc_id, nulls last, then of the least text hash.
 
-    Of repeated rows one stays. Rows without a doc_id have no place in that order and stay as they are.
+    Of repeated rows one stays. Rows without words are linked with nothing and stay.
     """
-    configure(docs.sparkSession)
-    kept = link_documents(docs).filter("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = materialise(kept, "jaccard-kept")
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text_of(docs)).alias("_hash"))
-    one = row.filter("_id is not null").join(kept, "_id", "left_semi").dropDuplicates(["_id", "_hash"])
-    return one.select("_row.*").unionByName(docs.filter("doc_id is null"))
+    least = _cells(docs)[2].select("least.*").distinct()
+    kept = materialise(least.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("null").alias("_null"), F.col("hash").alias("_hash")), "jaccard-kept")
+    text, own = text_of(docs), F.col("doc_id").cast("long")
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.coalesce(own, F.lit(0)).alias("_id"), own.isNull().alias("_null"), F.xxhash64(text).alias("_hash"), text.rlike(WORD).alias("_words"))
+    one = row.filter("_words").join(kept, ["_id", "_null", "_hash"], "left_semi").dropDuplicates(["_id", "_null", "_hash"])
+    return one.select("_row.*").unionByName(row.filter("not _words").select("_row.*"))
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     return link_documents(table(spark, sf_dir, "documents"))

@@ -409,7 +409,6 @@ def encode_media(docs: DataFrame) -> DataFrame:
     Null and empty texts give a stream of 64 samples. Repeated rows are kept, equal texts have equal streams, and
     other columns are ignored.
     """
-    configure(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(media_rows, ENCODED)
 
 
@@ -427,4 +426,5 @@ def media_features(media: DataFrame) -> DataFrame:
 
 
 def op4_media(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     return media_features(encode_media(table(spark, sf_dir, "documents")))

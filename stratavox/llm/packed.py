@@ -18,14 +18,15 @@ from stratavox.llm.common import batch_of
 
 #: Bytes of text in a batch, and bytes of input for each bucket.
 BATCH, PER_BUCKET, LEAST = 12 << 20, 8 << 20, 64
+#: Parts of the rows of one key, where a key may be common.
+SALTS = 64
 PACKED = "bucket long, batch long, hashes binary, counts binary, payload binary"
 ANSWER = "bucket long, batch long, at binary, hashes binary, counts binary"
 
 
-def buckets_for(df: DataFrame) -> int:
-    """A number of buckets that grows with the input, from the optimiser's estimate of its size."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return int(min(max(LEAST, size // PER_BUCKET), 1 << 20))
+def buckets_for(n_bytes: int | None) -> int:
+    """A number of buckets that grows with the input's bytes, as counted."""
+    return int(min(max(LEAST, (n_bytes or 0) // PER_BUCKET), 1 << 20))
 
 
 def batch_number(k: int) -> int:
@@ -90,9 +91,9 @@ def shared(packed: DataFrame) -> DataFrame:
     return packed.select("bucket", "batch", "hashes", "counts").groupBy("bucket").applyInArrow(add_up, ANSWER)
 
 
-def answered(packed: DataFrame, answer: DataFrame) -> DataFrame:
-    """Each batch's payload beside the answer to it."""
-    return packed.select("bucket", "batch", "payload").join(answer, ["bucket", "batch"])
+def with_salt(rows: DataFrame, *by: str) -> DataFrame:
+    """rows with a salt by these columns, which splits a key's rows among SALTS tasks."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64(*by, F.lit(5)), F.lit(SALTS)).cast("int"))
 
 
 def block_of(keys: np.ndarray, blocks: int) -> np.ndarray:

@@ -172,7 +172,6 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     """
     import public_tokenizers
 
-    configure(docs.sparkSession)
     path = path or public_tokenizers.path("word_bpe_49k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     tokens = materialise(rows.mapInArrow(token_rows(path), TOKENS), "pack-tokens")
@@ -183,4 +182,5 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op8_packing(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     return pack(table(spark, sf_dir, "documents"))

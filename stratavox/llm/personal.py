@@ -141,7 +141,6 @@ def find_personal(docs: DataFrame) -> DataFrame:
     known tokens, pass their kind on to their other tokens. Tokens known at the end are spans wherever they occur, unless
     they overlap a base span. Nulls and empty texts have no spans. Repeated rows get equal spans each.
     """
-    configure(docs.sparkSession)
     scanned = materialise(_scanned(docs), "pii-scanned")
     found = materialise(_bootstrap(scanned), "pii-found")
     same = scanned["doc_id"].eqNullSafe(found["doc_id"]) & (scanned["_hash"] == found["_hash"])
@@ -175,6 +174,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def op3_personal(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     found = find_personal(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     counts = [count(kind) for kind in KINDS]

@@ -6,14 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.llm.common import SPACE, batch_of, buffer, configure, mix64, pieces, table, text_of
+from stratavox.llm.common import SPACE, batch_of, buffer, configure, drop, materialise, mix64, pieces, table, text_of
 from stratavox.llm.packing import word_hashes
 
-#: Labelled documents of each class that the field is fitted on; the rest of the labels is not needed.
-SAMPLE = 1000
+#: The field is fitted on up to SAMPLE labelled documents of each class, of up to LONGEST lines each and LINES lines in all.
+SAMPLE, LONGEST, LINES = 1000, 2000, 100_000
 #: Steps and strength of the fit, and how sure it must be of a good line within a bad document to call it good.
 STEPS, RATE, PENALTY, SURE = 80, 0.15, 1e-4, 0.7
 SCORES = "doc_id long, score double, n_lines long"
@@ -119,14 +119,18 @@ def marginals(score: np.ndarray, turn: np.ndarray, counts: np.ndarray, pairs: bo
     return good, (joint / joint.sum(axis=(1, 2), keepdims=True)).sum(axis=0), at
 
 
+def line_odds(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (x @ w.astype(x.dtype)).astype(float)
+
+
 def fit_field(x: np.ndarray, y: np.ndarray, counts: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Weights and transitions that make the line labels y likeliest, by Adam on the exact gradient."""
     w, turn = np.zeros(x.shape[1]), np.zeros((2, 2))
     theta, m, v = np.zeros(x.shape[1] + 4), 0.0, 0.0
     for step in range(1, STEPS + 1):
-        good, joint, at = marginals(x @ w, turn, counts, pairs=True)
+        good, joint, at = marginals(line_odds(x, w), turn, counts, pairs=True)
         seen = np.bincount(2 * y[at] + y[at + 1], minlength=4).reshape(2, 2)
-        gradient = np.concatenate([x.T @ ((y - good) * weight), (seen - joint).ravel()]) / len(y) - PENALTY * theta
+        gradient = np.concatenate([x.T @ ((y - good) * weight).astype(x.dtype), (seen - joint).ravel()]) / len(y) - PENALTY * theta
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         theta = theta + RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
         w, turn = theta[:-4], theta[-4:].reshape(2, 2)
@@ -142,37 +146,49 @@ def by_length(good: np.ndarray, size: np.ndarray, counts: np.ndarray) -> np.ndar
 class Model:
     """A fitted field: scale of the features, weights, transitions, and the map from mean marginal to probability."""
 
-    def __init__(self, texts: list[str], labels: np.ndarray):
-        blob = [x.encode() for x in texts]
-        data, offsets = np.frombuffer(b"".join(blob), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in blob], dtype=np.int64)])
-        starts, ends, counts = lines(data, offsets)
-        x = line_features(data, starts, ends, counts)
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-        self.mean[-1], self.scale[-1] = 0, 1
-        x = (x - self.mean) / self.scale
+    def __init__(self, values: list[float]):
+        """values: means, scales and weights of the features, four transitions, slope and base of the calibration."""
+        n = (len(values) - 6) // 3
+        self.mean, self.scale, self.w = np.array(values[: 3 * n]).reshape(3, n)
+        self.turn = np.array(values[3 * n : 3 * n + 4]).reshape(2, 2)
+        self.a, self.b = values[-2:]
+
+    @classmethod
+    def fitted(cls, x: np.ndarray, size: np.ndarray, counts: np.ndarray, labels: np.ndarray) -> Model:
+        """From the features and sizes of all lines of a sample, its documents' numbers of lines, and their labels.
+
+        x is 4-byte floats, scaled in place: it is the one large array of the fit.
+        """
+        mean, scale = x.mean(axis=0, dtype=float), x.std(axis=0, dtype=float) + 1e-6
+        mean[-1], scale[-1] = 0, 1
+        x -= mean.astype(np.float32)
+        x /= scale.astype(np.float32)
         doc = np.repeat(labels, counts)
-        y, size = doc.astype(np.int64), (ends - starts).astype(float)
-        weight = np.ones(len(y))
+        y, weight = doc.astype(np.int64), np.ones(len(doc), np.float32)
         for again in (True, False):
-            self.w, self.turn = fit_field(x, y, counts, weight)
-            good = marginals(x @ self.w, self.turn, counts)
+            w, turn = fit_field(x, y, counts, weight)
+            good = marginals(line_odds(x, w), turn, counts)
             if again:  # good lines of bad documents; each keeps its likeliest bad line
                 y = np.where((doc == 0) & (good < SURE), 0, 1)
                 row = np.repeat(np.arange(len(counts)), counts)
                 order = np.lexsort((good, row))
                 lowest = order[np.unique(row[order], return_index=True)[1]]
                 y[lowest] = np.minimum(y[lowest], doc[lowest])
-        self.a, self.b = 1.0, 0.0
-        self.calibrate(by_length(good, size, counts)[counts > 0], labels[counts > 0])
+        a, b = cls.calibrated(by_length(good, size, counts)[counts > 0], labels[counts > 0])
+        return cls([*mean, *scale, *w, *turn.ravel(), a, b])
 
-    def calibrate(self, mean: np.ndarray, labels: np.ndarray) -> None:
-        z = self.odds(mean)
+    def values(self) -> list[float]:
+        return [float(v) for part in (self.mean, self.scale, self.w, self.turn.ravel(), [self.a, self.b]) for v in part]
+
+    @classmethod
+    def calibrated(cls, mean: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+        z = cls.odds(mean)
         design, theta = np.stack([z, np.ones(len(z))], axis=1), np.array([1.0, 0.0])
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(design @ theta, -30, 30)))
             hess = design.T @ (design * (p * (1 - p))[:, None]) + 1e-2 * np.eye(2)
             theta = theta + np.linalg.solve(hess, design.T @ (labels - p) - 1e-2 * theta)
-        self.a, self.b = max(theta[0], 1e-3), theta[1]
+        return max(theta[0], 1e-3), theta[1]
 
     @staticmethod
     def odds(mean: np.ndarray) -> np.ndarray:
@@ -182,30 +198,68 @@ class Model:
     def score(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, counts = lines(data, offsets)
         x = (line_features(data, starts, ends, counts) - self.mean) / self.scale
-        good = marginals(x @ self.w, self.turn, counts)
+        good = marginals(line_odds(x, self.w), self.turn, counts)
         mean = by_length(good, (ends - starts).astype(float), counts)
         score = 1 / (1 + np.exp(-np.clip(self.a * self.odds(mean) + self.b, -30, 30)))
         return np.where(counts > 0, score, 0.0), counts
 
 
+SAMPLED = "doc_id long, quality int, n_lines long, sizes binary, features binary"
+
+
+def sample_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over (doc_id, quality, text): a SAMPLED row for each text, lines as 4-byte floats."""
+    for batch in batches:
+        data, offsets = buffer(batch.column(2))
+        for a, b in pieces(offsets):
+            own, cut = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+            starts, ends, counts = lines(own, cut)
+            x, size = line_features(own, starts, ends, counts).astype("<f4"), (ends - starts).astype("<f4")
+            upto = np.concatenate([[0], np.cumsum(counts)])
+            spans = list(zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True))
+            yield batch_of(SAMPLED, batch.column(0)[a:b], batch.column(1)[a:b], counts, [size[i:j].tobytes() for i, j in spans], [x[i:j].tobytes() for i, j in spans])
+
+
+def fit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over the whole sample in one task, in the order of doc_id: the model's numbers, or no row."""
+    x, size, counts, labels = [], [], [], []
+    for batch in batches:
+        cols = batch.to_pydict()
+        x += [np.frombuffer(v, "<f4") for v in cols["features"]]
+        size += [np.frombuffer(v, "<f4") for v in cols["sizes"]]
+        counts += cols["n_lines"]
+        labels += cols["quality"]
+    if len(set(labels)) == 2:
+        features = np.concatenate(x).reshape(-1, 3 * N_OWN + 3)
+        del x
+        model = Model.fitted(features, np.concatenate(size).astype(float), np.array(counts), np.array(labels))
+        yield pa.RecordBatch.from_arrays([pa.array([model.values()], pa.list_(pa.float64()))], ["values"])
+
+
 def held_out(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string")) % 3 == 1
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """A model from up to `sample` labelled documents of either class, chosen by a hash; None if a class has none.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST, most: int = LINES) -> Model | None:
+    """A model from a bounded sample of labelled documents, chosen by a hash; None if it lacks a class.
 
-    Only rows whose crc32(doc_id) mod 3 is not 1 are seen. A document with both labels, or a null one, is left out.
+    Of each class `sample` documents are chosen; of these, those of 1 to `longest` lines count, as long as they have no
+    more than `most` lines together. Only rows whose crc32(doc_id) mod 3 is not 1 are seen. A document with both labels,
+    or a null one, is left out; of rows with one doc_id the least text counts. Tasks compute the features of the chosen
+    documents and one task fits the field to them, within about 200 bytes a line; the driver gets the weights alone.
     """
     one = labels.filter("quality in (0, 1) and doc_id is not null").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("_most"))
-    one = one.filter("quality = _most").select("doc_id", "quality")
-    some = [one.filter(F.col("quality") == k).join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample) for k in (0, 1)]
-    chosen = some[0].unionByName(some[1])
-    texts = docs.select("doc_id", text_of(docs).alias("text")).join(F.broadcast(chosen), "doc_id")
-    rows = sorted((r["doc_id"], r["text"], int(r["quality"])) for r in texts.collect())
-    if len({r[2] for r in rows}) < 2:
-        return None
-    return Model([r[1] for r in rows], np.array([r[2] for r in rows]))
+    one = one.filter("quality = _most").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    some = [one.filter(F.col("quality") == k).join(rows.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(sample) for k in (0, 1)]
+    chosen = F.broadcast(some[0].unionByName(some[1]))  # at most 2 * sample rows
+    texts = rows.join(chosen, "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
+    known = materialise(texts.select("doc_id", "quality", "text").mapInArrow(sample_rows, SAMPLED), "quality-sample")
+    upto = F.sum("n_lines").over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id"))
+    taken = known.select("doc_id", "quality", "n_lines").filter(F.col("n_lines").between(1, longest)).withColumn("_upto", upto).filter(F.col("_upto") <= most // 2).select("doc_id")
+    found = known.join(F.broadcast(taken), "doc_id", "left_semi").repartition(1).sortWithinPartitions("doc_id").mapInArrow(fit_rows, "values array<double>").collect()
+    drop(known)
+    return Model(found[0]["values"]) if found else None
 
 
 def score_rows(model: Model | None):
@@ -234,14 +288,12 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     its lines' marginals, calibrated on the sample. Documents without a line that isn't blank, null texts among them,
     score 0. Without labels of both classes every other score is 0.5. Repeated rows score alike; other columns are ignored.
     """
-    configure(docs.sparkSession)
     model = fit(docs, labels)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(score_rows(model), SCORES)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that score at least 0.5, with all their columns."""
-    configure(docs.sparkSession)
     model = fit(docs, labels)
     schema = docs.schema
 
@@ -257,5 +309,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op1_quality(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_lines")

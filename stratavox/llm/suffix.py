@@ -352,9 +352,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     least SPAN bytes goes whole. Rows with equal doc_id must have equal texts; they are judged alike. A row without a
     doc_id is left out, as no order places it. Other columns are ignored.
     """
-    configure(docs.sparkSession)
-    blocks = buckets = 2 * buckets_for(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).filter("doc_id is not null")
+    blocks = buckets = 2 * buckets_for(rows.agg(F.sum(F.octet_length("text"))).first()[0])
     packed = materialise(rows.mapInArrow(anchor_rows(buckets), PACKED), "suffix-anchors")
     answer = materialise(shared(packed), "suffix-answer")
     notes = materialise(packed.select("bucket", "batch", "payload").join(answer, ["bucket", "batch"]).select("payload", "at", "hashes").mapInArrow(note_rows(blocks), NOTES), "suffix-notes")
@@ -374,4 +373,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
+    configure(spark)
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

@@ -3,6 +3,8 @@
 import hashlib
 import re
 import zlib
+
+import pyarrow as pa
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -346,6 +348,16 @@ def test_quality_learns_lines(spark):
     kept = quality.keep_good(table_, labels)
     assert kept.columns == table_.columns and sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(i for i, s in found.items() if s >= 0.5)
     assert {r.score for r in quality.score_quality(table_, labels.limit(0)).collect()} == {0.0, 0.5}
+    again = quality.fit(table_.unionByName(table_.filter("doc_id < 50")), labels)  # repeated documents don't enlarge the sample
+    assert again.values() == quality.fit(table_, labels).values()
+    assert quality.fit(table_, labels, longest=1) is None or quality.fit(table_, labels, most=60) is not None
+
+
+def test_sample_features_come_in_pieces():
+    texts = ["a line of words\nand another one\n" * (1 + i % 5) for i in range(40)] + ["", "x" * (3 << 20), "one line"]
+    one = lambda some: [r for b in quality.sample_rows(iter([pa.record_batch([pa.array(range(len(some))), pa.array([1] * len(some), pa.int32()), pa.array(some)], ["d", "q", "t"])])) for r in b.to_pylist()]
+    together, apart = one(texts), [r for x in texts for r in one([x])]
+    assert [(r["n_lines"], r["sizes"], r["features"]) for r in together] == [(r["n_lines"], r["sizes"], r["features"]) for r in apart]
 
 
 def test_marginals_match_enumeration():
