@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratavox.llm.common import batch_of, buffer, configure, drop, materialise, mix64, pieces, ranges, table, text_of
-from stratavox.llm.packed import PACKED, batch_number, block_column, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted
+from stratavox.llm.packed import PACKED, batch_number, block_column, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted, with_salt
 from stratavox.llm.packing import word_hashes
 
 #: Bytes of a repeated string, and of an anchor within it.
@@ -31,7 +31,9 @@ STEP = np.array([next(d for d in range(2, 10) if (r + d) % PERIOD in COVER) for
 NOTES = "block long, kind int, doc long, blob binary"
 SEGMENTS = "bucket long, block long, segments binary, owners binary"
 REPEATS = "bucket long, block long, runs binary"
-RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+#: Beyond so many documents an anchor's strings are told apart by SIDE more bytes before or after it.
+HOT, SIDE = 1000, (SPAN - K) // 2
 
 _bytes = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -42,6 +44,12 @@ def bundle(*arrays: np.ndarray) -> bytes:
     return np.array([len(x) for x in raw], "<i8").tobytes() + b"".join(raw)
 
 
+def runs_of(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of runs of equal ones, and how long each run is."""
+    cuts = np.flatnonzero(np.append(True, x[1:] != x[:-1]))[: len(x)]
+    return x[cuts], np.diff(np.append(cuts, len(x))).astype(np.uint32)
+
+
 def unbundle(raw: bytes, *kinds) -> list[np.ndarray]:
     sizes = np.frombuffer(raw, "<i8", len(kinds))
     ends = 8 * len(kinds) + np.cumsum(sizes)
@@ -81,7 +89,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def anchor_rows(buckets: int):
-    """For mapInArrow over (doc_id, text): PACKED rows, the payload being where each anchor stands."""
+    """For mapInArrow over (row, text): PACKED rows, the payload being where each anchor stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = 0
@@ -111,31 +119,33 @@ def anchor_rows(buckets: int):
     return run
 
 
-def note_rows(blocks: int):
+def note_rows(blocks: int, most: int):
     """For mapInArrow over answered batches: the anchors that two documents share, by block of documents (kind 0)."""
 
     def flush(found: list) -> Iterator[pa.RecordBatch]:
         if not found:
             return
-        doc, h, start, count, anchor = (np.concatenate(x) for x in zip(*found, strict=True))
-        block = block_of(doc, blocks)
-        order = np.argsort(block, kind="stable")
-        doc, h, start, count, anchor, block = (x[order] for x in (doc, h, start, count, anchor, block))
+        row, h, start, count, anchor, hot = (np.concatenate(x) for x in zip(*found, strict=True))
+        block = block_of(row, blocks)
+        order = np.lexsort((row, block))
+        row, h, start, count, anchor, hot, block = (x[order] for x in (row, h, start, count, anchor, hot, block))
         cuts = np.flatnonzero(np.diff(block, prepend=-1))
-        yield batch_of(NOTES, *map(list, zip(*[(block[i], 0, None, bundle(doc[i:j], h[i:j], start[i:j], count[i:j], anchor[i:j])) for i, j in zip(cuts, np.append(cuts[1:], len(doc)), strict=True)], strict=True)))
+        ends = np.append(cuts[1:], len(row))
+        yield batch_of(NOTES, *map(list, zip(*[(block[i], 0, None, bundle(*runs_of(row[i:j]), h[i:j], start[i:j], count[i:j], anchor[i:j], hot[i:j])) for i, j in zip(cuts, ends, strict=True)], strict=True)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for batch in batches:
             cols = batch.to_pydict()
-            for payload, at_raw, hashes_raw in zip(cols["payload"], cols["at"], cols["hashes"], strict=True):
+            for payload, at_raw, hashes_raw, counts_raw in zip(cols["payload"], cols["at"], cols["hashes"], cols["counts"], strict=True):
                 ids, times, place, start, count, anchor = unbundle(payload, np.int64, np.uint32, np.uint32, np.uint32, np.uint8, np.uint8)
                 at, hashes = unpress_sorted(at_raw).astype(np.int64), unpress_sorted(hashes_raw)
                 times = times.astype(np.int64)
                 if not len(at):
                     continue
                 own = ranges((np.cumsum(times) - times)[at], times[at])
-                found.append((ids[place[own]], np.repeat(hashes, times[at]), start[own], count[own], anchor[own]))
+                hot = (unpress(counts_raw, np.uint16) > most).astype(np.uint8)
+                found.append((ids[place[own]], np.repeat(hashes, times[at]), start[own], count[own], anchor[own], np.repeat(hot, times[at])))
                 held += len(own)
                 if held > GATHER:
                     yield from flush(found)
@@ -145,12 +155,32 @@ def note_rows(blocks: int):
     return run
 
 
-def _docs(left: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, in order, and bytes and offsets of the documents of a block; of rows with one id the first."""
-    ids = left["doc_id"].to_numpy()
-    _, keep = np.unique(ids, return_index=True)
+def _docs(left: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, in order, their doc_ids, and bytes and offsets of the texts of a block; of equal rows the first."""
+    rows = left["row"].to_numpy()
+    rows, keep = np.unique(rows, return_index=True)
     data, offsets = buffer(left["text"].combine_chunks().take(pa.array(keep)))
-    return ids[keep], data, offsets
+    return rows, left["doc_id"].combine_chunks().fill_null(0).to_numpy()[keep], data, offsets
+
+
+def apart(h: np.ndarray, count: np.ndarray, anchor: np.ndarray, begin: np.ndarray, hot: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Segments with those of hot anchors cut in two and keyed anew: of which note, hash, count, anchor, begin.
+
+    Strings whose anchor has SIDE bytes before it go by those, the others by the SIDE bytes after it; either lie within
+    the string, so equal strings still meet, while a common phrase in unlike surroundings spreads over many keys.
+    """
+    note = np.arange(len(h))
+    cold, hot = np.flatnonzero(hot == 0), np.flatnonzero(hot)
+    if not len(hot):
+        return note, h, count, anchor, begin
+    early = np.clip(anchor[hot] - SIDE + 1, 0, count[hot])
+    parts = [(cold, h[cold], count[cold], anchor[cold], begin[cold])]
+    for k, (skip, n) in enumerate(((np.zeros(len(hot), np.int64), early), (early, count[hot] - early))):
+        some = np.flatnonzero(n > 0)
+        of, skip, n = hot[some], skip[some], n[some]
+        place = begin[of] + anchor[of] + (K if k else -SIDE)
+        parts.append((of, mix64(h[of] ^ word_hashes(data, place, place + SIDE) + np.uint64(k)), n, anchor[of] - skip, begin[of] + skip))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def segment_rows(buckets: int):
@@ -161,24 +191,28 @@ def segment_rows(buckets: int):
         kinds = right["kind"].to_numpy() if len(right) else np.zeros(0)
         blobs = right.filter(pa.array(kinds == 0))["blob"].to_pylist()
         if blobs and len(left):
-            ids, data, offsets = _docs(left)
+            rows, ids, data, offsets = _docs(left)
             copies = right.filter(pa.array(kinds == 1))["doc"].to_numpy()
-            parts = [unbundle(x, np.int64, np.uint64, np.uint32, np.uint8, np.uint8) for x in blobs]
-            doc, h, start, count, anchor = (np.concatenate(x) for x in zip(*parts, strict=True))
-            keep = ~np.isin(doc, copies)
-            doc, h, start, count, anchor = doc[keep], h[keep], start[keep].astype(np.int64), count[keep].astype(np.int64), anchor[keep]
-            begin = offsets[np.searchsorted(ids, doc)] + start
+            parts = [unbundle(x, np.int64, np.uint32, np.uint64, np.uint32, np.uint8, np.uint8, np.uint8) for x in blobs]
+            parts = [(np.repeat(x[0], x[1]), *x[2:]) for x in parts]
+            row, h, start, count, anchor, hot = (np.concatenate(x) for x in zip(*parts, strict=True))
+            keep = ~np.isin(row, copies)
+            row, h, start, count, anchor, hot = row[keep], h[keep], start[keep].astype(np.int64), count[keep].astype(np.int64), anchor[keep].astype(np.int64), hot[keep]
+            at = np.searchsorted(rows, row)
+            note, h, count, anchor, begin = apart(h, count, anchor, offsets[at] + start, hot, data)
+            row, doc, start = row[note], ids[at][note], begin - offsets[at][note]
             content = np.empty(len(h), np.uint64)
             for a, b in pieces(np.concatenate([[0], np.cumsum(count + SPAN - 1)])):
                 content[a:b] = word_hashes(data, begin[a:b], begin[a:b] + count[a:b] + SPAN - 1)
             order = np.lexsort((doc, content, h))
-            doc, h, start, count, anchor, begin, content = (x[order] for x in (doc, h, start, count, anchor, begin, content))
+            row, doc, h, start, count, anchor, begin, content = (x[order] for x in (row, doc, h, start, count, anchor, begin, content))
             for bucket, i, j in by_bucket(h, buckets):
                 cuts = i + np.flatnonzero(np.append(True, (h[i + 1 : j] != h[i : j - 1]) | (content[i + 1 : j] != content[i : j - 1])))
                 ends = np.append(cuts[1:], j)
                 size = count[cuts] + SPAN - 1
-                segments = bundle(h[cuts], count[cuts].astype(np.uint8), anchor[cuts], doc[cuts], doc[ends - 1], content[cuts], data[ranges(begin[cuts], size)])
-                out.append((bucket, left["block"][0].as_py(), segments, bundle((ends - cuts).astype(np.uint32), doc[i:j], start[i:j].astype(np.uint32))))
+                segments = bundle(h[cuts], count[cuts].astype(np.uint8), anchor[cuts].astype(np.uint8), doc[cuts], doc[ends - 1], content[cuts], data[ranges(begin[cuts], size)])
+                own, first, of = np.unique(row[i:j], return_index=True, return_inverse=True)
+                out.append((bucket, left["block"][0].as_py(), segments, bundle((ends - cuts).astype(np.uint32), own, doc[i:j][first], of.astype(np.uint32), start[i:j].astype(np.uint32))))
         return pa.Table.from_batches([batch_of(SEGMENTS, *(map(list, zip(*out, strict=True)) if out else [[]] * 4))])
 
     return run
@@ -294,84 +328,92 @@ def removal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out, cols = [], batch.to_pydict()
         for block, owners, runs in zip(cols["block"], cols["owners"], cols["runs"], strict=True):
-            times, doc, start = unbundle(owners, np.uint32, np.int64, np.uint32)
+            times, row, doc, of_row, start = unbundle(owners, np.uint32, np.int64, np.int64, np.uint32, np.uint32)
             seg, owner, j, length = unbundle(runs, np.uint32, np.int64, np.uint8, np.uint8)
             times = times.astype(np.int64)
             own = ranges((np.cumsum(times) - times)[seg], times[seg])
             of = np.repeat(np.arange(len(seg)), times[seg])
-            later = doc[own] > owner[of]
+            later = doc[of_row[own]] > owner[of]
             own, of = own[later], of[later]
-            out.append((block, 2, None, bundle(doc[own], start[own] + j[of].astype(np.uint32), length[of])))
+            out.append((block, 2, None, bundle(*runs_of(row[of_row[own]]), start[own] + j[of].astype(np.uint32), length[of])))
         if out:
             yield batch_of(NOTES, *map(list, zip(*out, strict=True)))
 
 
-def remove(left: pa.Table, right: pa.Table) -> pa.Table:
-    """For cogroup by block of documents and notes: RESULT rows."""
-    if not len(left):
-        return arrow_result([])
-    ids, data, offsets = _docs(left)
+def _gone(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct rows of a block, their bytes and offsets, and which bytes go."""
+    rows, _, data, offsets = _docs(left)
     size = np.diff(offsets)
     kinds = right["kind"].to_numpy() if len(right) else np.zeros(0)
     edges = np.zeros(len(data) + 1, np.int32)
-    copies = np.searchsorted(ids, right.filter(pa.array(kinds == 1))["doc"].to_numpy()) if len(right) else np.zeros(0, np.int64)
-    copies = copies[size[copies] >= SPAN]
+    copies = np.searchsorted(rows, right.filter(pa.array(kinds == 1))["doc"].to_numpy()) if len(right) else np.zeros(0, np.int64)
+    copies = np.unique(copies[size[copies] >= SPAN])
     np.add.at(edges, offsets[copies], 1)
     np.add.at(edges, offsets[copies + 1], -1)
     for blob in right.filter(pa.array(kinds == 2))["blob"].to_pylist() if len(right) else ():
-        doc, start, length = unbundle(blob, np.int64, np.uint32, np.uint8)
-        at = offsets[np.searchsorted(ids, doc)] + start
+        row, times, start, length = unbundle(blob, np.int64, np.uint32, np.uint32, np.uint8)
+        at = offsets[np.searchsorted(rows, np.repeat(row, times))] + start
         np.add.at(edges, at, 1)
         np.add.at(edges, at + length.astype(np.int64) + SPAN - 1, -1)
-    gone = np.cumsum(edges[:-1]) > 0
-    upto = np.concatenate([[0], np.cumsum(gone)])
-    begins = gone & np.append(True, ~gone[:-1])[: len(gone)]
-    inner = offsets[:-1][size > 0]
-    begins[inner] = gone[inner]
-    spans = np.concatenate([[0], np.cumsum(begins)])
-    kept = data[~gone].tobytes()
-    keep_upto = np.arange(len(upto)) - upto
-    rows = []
-    place = {int(x): i for i, x in enumerate(ids)}
-    for doc in left["doc_id"].to_pylist():
-        i = place[doc]
-        a, b = offsets[i], offsets[i + 1]
-        own = kept[keep_upto[a] : keep_upto[b]]
-        rows.append((doc, b - a, upto[b] - upto[a], spans[b] - spans[a], hashlib.sha256(own).hexdigest(), own))
-    return arrow_result(rows)
-
-
-def arrow_result(rows: list) -> pa.Table:
-    return pa.Table.from_batches([batch_of(RESULT, *(map(list, zip(*rows, strict=True)) if rows else [[]] * 6))])
-
-
-def remove_repeats(docs: DataFrame) -> DataFrame:
+    return rows, data, offsets, np.cumsum(edges[:-1]) > 0
+
+
+def remover(with_text: bool):
+    """For cogroup by block of documents and notes: RESULT rows, with what is left of the text if asked for."""
+    ddl = RESULT + (", kept binary" if with_text else "")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if len(left):
+            rows, data, offsets, gone = _gone(left, right)
+            begins = gone & np.append(True, ~gone[:-1])[: len(gone)]
+            inner = offsets[:-1][np.diff(offsets) > 0]
+            begins[inner] = gone[inner]
+            upto, spans = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, begins))
+            kept = data[~gone].tobytes()
+            keep_upto = np.arange(len(upto)) - upto
+            for doc, i in zip(left["doc_id"].to_pylist(), np.searchsorted(rows, left["row"].to_numpy()).tolist(), strict=True):
+                a, b = offsets[i], offsets[i + 1]
+                own = kept[keep_upto[a] : keep_upto[b]]
+                out.append((doc, b - a, upto[b] - upto[a], spans[b] - spans[a], hashlib.sha256(own).hexdigest(), *([own] if with_text else [])))
+        return pa.Table.from_batches([batch_of(ddl, *(map(list, zip(*out, strict=True)) if out else [[]] * len(ddl.split(","))))])
+
+    return run, ddl
+
+
+def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> DataFrame:
     """RESULT rows of docs: each document without the bytes of SPAN-byte strings that a document of smaller doc_id has.
 
-    Strings are judged on the input. Nulls count as empty. Whole copies are found by their digest first; a copy of at
-    least SPAN bytes goes whole. Rows with equal doc_id must have equal texts; they are judged alike. A row without a
-    doc_id is left out, as no order places it. Other columns are ignored.
+    with_text adds the bytes that are left, as kept; hot (at most 65534) is what HOT says. Strings are judged on the input. Nulls count as empty. Whole copies
+    are found by their digest first; a copy of at least SPAN bytes goes whole. Every row has its own result: rows of one
+    doc_id with unlike texts take nothing from each other, equal rows fare alike, and a row without a doc_id, which no
+    order places, stays whole and takes nothing from others. Rows go by a 64-bit hash of doc_id and text. Other columns
+    are ignored; an empty table gives no rows.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).filter("doc_id is not null")
-    blocks = buckets = 2 * buckets_for(rows.agg(F.sum(F.octet_length("text"))).first()[0])
-    packed = materialise(rows.mapInArrow(anchor_rows(buckets), PACKED), "suffix-anchors")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    rows = own.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
+    digest = materialise(rows.filter("doc_id is not null").select("row", "doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n")), "suffix-digests")
+    blocks = buckets = 2 * buckets_for(digest.agg(F.sum("n")).first()[0])
+    packed = materialise(rows.filter("doc_id is not null").select("row", "text").mapInArrow(anchor_rows(buckets), PACKED), "suffix-anchors")
     answer = materialise(shared(packed), "suffix-answer")
-    notes = materialise(packed.select("bucket", "batch", "payload").join(answer, ["bucket", "batch"]).select("payload", "at", "hashes").mapInArrow(note_rows(blocks), NOTES), "suffix-notes")
-    drop(packed)
-    drop(answer)
-    digest = rows.select("doc_id", F.sha2("text", 256).alias("sha"))
-    first = digest.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("sha", "first")
-    later = digest.join(first, "sha").filter("doc_id > first").select(block_column("doc_id", blocks).alias("block"), F.lit(1).alias("kind"), F.col("doc_id").alias("doc"), F.lit(None).cast("binary").alias("blob"))
+    answered = packed.select("bucket", "batch", "payload").join(answer, ["bucket", "batch"])
+    notes = materialise(answered.select("payload", "at", "hashes", "counts").mapInArrow(note_rows(blocks, hot), NOTES), "suffix-notes")
+    drop(packed, answer)
+    salted = with_salt(digest, "row")
+    cells = salted.groupBy("sha", "salt").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    first = cells.groupBy("sha").agg(F.min("least").alias("first"), F.max("most").alias("last")).filter("first < last").select("sha", "first")
+    first = cells.select("sha", "salt").join(first, "sha")
+    later = salted.join(first, ["sha", "salt"]).filter("doc_id > first").select(block_column("row", blocks).alias("block"), F.lit(1).alias("kind"), F.col("row").alias("doc"), F.lit(None).cast("binary").alias("blob"))
     later = materialise(later, "suffix-copies")
-    placed = rows.withColumn("block", block_column("doc_id", blocks)).select("block", "doc_id", "text").groupBy("block")
+    placed = rows.withColumn("block", block_column("row", blocks)).select("block", "row", "doc_id", "text").groupBy("block")
     segments = materialise(placed.cogroup(notes.unionByName(later).groupBy("block")).applyInArrow(segment_rows(buckets), SEGMENTS), "suffix-segments")
-    drop(notes)
+    drop(notes, digest)
     runs = materialise(segments.select("bucket", "block", "segments").groupBy("bucket").applyInArrow(find_repeats, REPEATS), "suffix-runs")
     gone = materialise(segments.select("bucket", "block", "owners").join(runs, ["bucket", "block"]).select("block", "owners", "runs").mapInArrow(removal_rows, NOTES), "suffix-removals")
-    drop(segments)
-    return placed.cogroup(gone.unionByName(later).groupBy("block")).applyInArrow(remove, RESULT)
+    drop(segments, runs)
+    return placed.cogroup(gone.unionByName(later).groupBy("block")).applyInArrow(*remover(with_text))
 
 
 def op2_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     configure(spark)
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)

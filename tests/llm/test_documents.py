@@ -4,10 +4,10 @@ import hashlib
 import re
 import zlib
 
-import pyarrow as pa
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SCHEMA, awkward, documents, sentence
 
@@ -37,7 +37,8 @@ def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-def test_repeats_are_removed(docs, rows):
+@pytest.mark.parametrize("hot", [suffix.HOT, 0])
+def test_repeats_are_removed(docs, rows, hot):
     first, expected = {}, {}
     for i, text in sorted({(i, t or "") for i, t, _ in rows}):
         raw = text.encode()
@@ -47,7 +48,7 @@ def test_repeats_are_removed(docs, rows):
                 gone[j : j + 50] = b"\1" * 50
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         expected[i] = (len(raw), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), hashlib.sha256(kept).hexdigest(), kept)
-    found = suffix.remove_repeats(docs).collect()
+    found = suffix.remove_repeats(docs, hot=hot).collect()
     assert Counter(r.doc_id for r in found) == Counter(i for i, *_ in rows)
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in found} == expected
 
@@ -386,9 +387,19 @@ def test_empty_tables(nothing, run):
 def test_null_ids(spark):
     rows = [(None, "some words that are here in this text of nobody", None), (None, None, None), (3, "some words that are here in this text of nobody", "a")]
     table_ = documents(spark, rows)
-    assert suffix.remove_repeats(table_).count() == 1
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in suffix.remove_repeats(table_).collect()) == [("3", 47, 0), ("None", 0, 0), ("None", 47, 0)]
     assert sorted(str(r.component_id) for r in jaccard.link_documents(table_).collect()) == ["3", "3", "None"]
-    assert jaccard.keep_first(table_).count() == 3
+    assert sorted(str(r.doc_id) for r in jaccard.keep_first(table_).collect()) == ["3", "None"]
     assert personal.find_personal(table_).count() == 3 and mixing.draw(table_).count() == 3
     assert packing.pack(table_).count() == 3 and digest.edited_fingerprints(table_).count() == 3
     assert media.media_features(media.encode_media(table_)).count() == 3
+
+
+def test_rows_of_one_id_are_judged_apart(spark):
+    shared, own = "x" + "these words stand in all of the texts of this table, each of them " * 2, "and this one has more words of its own "
+    rows = [(5, shared, "a"), (5, own + shared, "a"), (5, shared, "a"), (7, shared, "b"), (None, shared, "b"), (9, own * 3, "b")]
+    found = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in suffix.remove_repeats(documents(spark, rows)).collect())
+    n, m = len(shared), len(own)
+    assert found == sorted([("5", n, 0), ("5", n + m, 0), ("5", n, 0), ("7", n, n), ("None", n, 0), ("9", 3 * m, 0)])
+    kept = jaccard.keep_first(documents(spark, [(5, shared, "a"), (5, shared + "more", "a"), (None, shared, "a"), (None, shared, "a"), (None, None, "a")]))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["5", "None"]
