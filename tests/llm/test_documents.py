@@ -179,6 +179,21 @@ def test_words_with_digits_are_context(spark):
     assert not found[101] and not found[0]
 
 
+def test_contexts_name_secrets(spark):
+    rng = __import__("random").Random(4)
+    hexed = lambda: hashlib.sha1(str(rng.random()).encode()).hexdigest()
+    rows, planted = [], {}
+    for i in range(30):
+        head = sentence(rng, rng.randint(0, 40)) + ' key: "'
+        planted[i] = (len(head), len(head) + 40, "secret")
+        rows.append((i, head + hexed() + '"!! ' + sentence(rng, 9), "a"))
+    rows += [(100, 'so key: "Zq81-99x0-7" here', "a"), (101, f"commit {hexed()} of it", "a"), (102, "an order 12345678 and 555 1234 5678 9", "a")]
+    rows += [(103, " ".join(f"{k} {k * 7919}" for k in range(20_000)), "a"), (104, "w" * 300_000 + " 1234567 " + "." * 200_000, "a")]
+    found = {r.doc_id: [tuple((s.start, s.end, s.kind)) for s in r.found] for r in personal.find_personal(documents(spark, rows)).collect()}
+    assert {i: [x] for i, x in planted.items()} == {i: found[i] for i in planted}
+    assert found[100] == [(9, 20, "secret")] and not any(found[i] for i in (101, 102, 103, 104))
+
+
 def test_redacted_texts(spark):
     rows = [(1, "mail x@y.zz and 10.0.0.1.", "a"), (2, None, "a"), (3, "clean", "b"), (3, "clean", "b"), (4, "ab@c.de", None)]
     out = personal.redact(documents(spark, rows))
