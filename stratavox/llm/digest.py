@@ -7,16 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratavox.llm.common import arrow_schema, buffer, configure, pieces, table, text_of
+from stratavox.llm.common import arrow_schema, buffer, configure, materialise, pieces, table, text_of
 
 #: Buckets of a digest, two bits each, and the byte distances that make a triplet: neighbours, and pairs further apart.
 BUCKETS, TRIPLETS = 256, ((1, 2), (1, 3), (2, 4))
 #: The most that the lengths of two texts, in eighths of an octave, can take from their likeness.
 LENGTH_STEPS = 32
+#: Bytes of text in a range of documents.
+RANGE_BYTES = 16 << 20
 EDITED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+WALKED = EDITED + ", edge int, part long, text string"
 
 
 def bucket_counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -82,63 +86,91 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text")).mapInArrow(fingerprint_rows, "doc_id long, n_bytes long, fingerprint string")
 
 
+def edited(ids, texts: list[str], after: list[str], nearby: np.ndarray | None = None) -> pa.RecordBatch:
+    """EDITED rows of texts, each with the text after it; nearby: the digests of those, where they are at hand."""
+    half = [len(x) // 2 for x in texts]
+    changed = [(x[: len(x) - h] + y[:h]).encode() for x, y, h in zip(texts, after, half, strict=True)]
+    own = text_digests([x.encode() for x in texts])
+    if nearby is None:
+        nearby = text_digests([x.encode() for x in after])
+    else:  # the digest of each text is that of the one before it's next
+        nearby = np.concatenate([own[1:], nearby]) if len(own) else nearby
+    other = text_digests(changed)
+    arrays = [
+        ids,
+        pa.array([len(x) for x in texts], pa.int64()),
+        pa.array([hashlib.sha256(x).hexdigest() for x in changed]),
+        pa.array([x.tobytes().hex() for x in own]),
+        pa.array([x.tobytes().hex() for x in other]),
+        pa.array(likeness(own, other)),
+        pa.array(likeness(own, nearby)),
+    ]
+    return pa.RecordBatch.from_arrays(arrays, schema=arrow_schema(EDITED))
+
+
 def edited_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = arrow_schema(EDITED)
+    """For mapInArrow over (doc_id, text, next_text): EDITED rows."""
     for batch in batches:
         _, offsets = buffer(batch.column(1))
         for a, b in pieces(offsets):
-            ids, text, after = batch.column(0)[a:b], batch.column(1)[a:b].to_pylist(), batch.column(2)[a:b].to_pylist()
-            half = [len(x) // 2 for x in text]
-            edited = [(x[: len(x) - h] + y[:h]).encode() for x, y, h in zip(text, after, half, strict=True)]
-            own, other, nearby = text_digests([x.encode() for x in text]), text_digests(edited), text_digests([x.encode() for x in after])
-            arrays = [
-                ids,
-                pa.array([len(x) for x in text], pa.int64()),
-                pa.array([hashlib.sha256(x).hexdigest() for x in edited]),
-                pa.array([x.tobytes().hex() for x in own]),
-                pa.array([x.tobytes().hex() for x in other]),
-                pa.array(likeness(own, other)),
-                pa.array(likeness(own, nearby)),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
-
-
-def with_next(docs: DataFrame, parts: int | None = None) -> DataFrame:
-    """doc_id, text and next_text, the text of the document after it by descending doc_id; the first follows the last.
-
-    Quantiles of doc_id split the order into buckets; the first document of each is also given to the bucket before
-    it, so that no bucket needs another one. Rows with equal ids come by text; a null id is last.
+            yield edited(batch.column(0)[a:b], batch.column(1)[a:b].to_pylist(), batch.column(2)[a:b].to_pylist())
+
+
+def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over a sorted partition of (doc_id, text): WALKED rows.
+
+    Each row but the last is done (edge 0), with the row after it in hand. The first and the last row of the partition
+    are also given with their texts (edges 1 and 2), for the pairs that partitions share.
     """
-    spark = docs.sparkSession
-    parts = parts or max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
-    edges = rows.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []
-    bucket = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in sorted(set(edges))]), lambda e: e >= F.coalesce(F.col("doc_id"), F.lit(-(2**63)))))
-    keyed = rows.withColumns({"_bucket": bucket, "_hash": F.xxhash64("text")})
-    order = [F.desc_nulls_last("doc_id"), F.col("_hash"), F.col("text")]
-    key = F.struct(F.col("doc_id").isNull().alias("null"), (-F.col("doc_id")).alias("id"), F.col("_hash").alias("hash"))
-    heads = keyed.groupBy("_bucket").agg(F.min(key).alias("head"))
-    around = Window.orderBy("_bucket")
-    last = F.max("_bucket").over(Window.partitionBy())
-    heads = heads.select("head", F.coalesce(F.lag("_bucket").over(around), last).alias("_to"), F.lag("_bucket").over(around).isNull().alias("_wraps"))
-    again = (
-        keyed.join(F.broadcast(heads), F.struct(F.col("doc_id").isNull().alias("null"), (-F.col("doc_id")).alias("id"), F.col("_hash").alias("hash")).eqNullSafe(F.col("head")))
-        .groupBy("_to", "_wraps", "doc_id", "_hash")
-        .agg(F.first("text").alias("text"))
-        .select("doc_id", "text", F.col("_to").alias("_bucket"), "_hash", F.lit(True).alias("_extra"))
-    )
-    both = keyed.withColumn("_extra", F.lit(False)).unionByName(again)
-    within = Window.partitionBy("_bucket").orderBy("_extra", *order)
-    return both.withColumn("next_text", F.lead("text").over(within)).filter(~F.col("_extra")).select("doc_id", "text", "next_text")
+    part, last = TaskContext.get().partitionId(), None
+    schema = arrow_schema(WALKED)
+
+    def edge(kind: int, doc, text: str) -> pa.RecordBatch:
+        values = {"doc_id": doc, "edge": kind, "part": part, "text": text}
+        return pa.RecordBatch.from_arrays([pa.array([values.get(f.name)], f.type) for f in schema], schema=schema)
+
+    def done(rows: pa.RecordBatch) -> pa.RecordBatch:
+        n = rows.num_rows
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.zeros(n), pa.int32()), pa.array(np.full(n, part), pa.int64()), pa.nulls(n, pa.string())], schema=schema)
+
+    for batch in batches:
+        _, offsets = buffer(batch.column(1))
+        for a, b in pieces(offsets):
+            ids, texts = batch.column(0)[a:b].to_pylist(), batch.column(1)[a:b].to_pylist()
+            if last is None:
+                yield edge(1, ids[0], texts[0])
+            else:
+                ids, texts = [last[0], *ids], [last[1], *texts]
+            if len(texts) > 1:
+                nearby = text_digests([texts[-1].encode()])
+                yield done(edited(pa.array(ids[:-1], pa.int64()), texts[:-1], texts[1:], nearby))
+            last = ids[-1], texts[-1]
+    if last is not None:
+        yield edge(2, *last)
 
 
 def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """Each document's fingerprint, that of its edited text, and how near they and the next document's are.
 
-    The last half of a text's code points gives way to the first as many of the next document. A null text counts as
-    empty; a single document follows itself; an empty table gives no rows.
+    The last half of a text's code points gives way to the first as many of the next document, by descending doc_id;
+    rows with equal ids come by the hash of their text, and a null id is last. A null text counts as empty; a single
+    document follows itself; an empty table gives no rows. Other columns are ignored.
+
+    Ranges of the order, split within equal rows too, are sorted and walked through once; where one ends, its last
+    document meets the first of the next range that has any. A range holds about RANGE_BYTES of text.
     """
-    return with_next(docs).mapInArrow(edited_rows, EDITED)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
+    n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(2, int(n_bytes // RANGE_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    order = [F.desc_nulls_last("doc_id"), F.asc("_hash"), F.asc("_own")]
+    placed = rows.withColumns({"_hash": F.xxhash64("text"), "_own": F.monotonically_increasing_id()}).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    walked = materialise(placed.select("doc_id", "text").mapInArrow(walk, WALKED), "digest-walked")
+    heads, lasts = (walked.filter(F.col("edge") == k) for k in (1, 2))
+    around = Window.orderBy("part")  # a row for each range
+    after = heads.select("part", F.coalesce(F.lead("part").over(around), F.min("part").over(Window.partitionBy())).alias("_to"))
+    met = lasts.select("part", "doc_id", "text").join(after, "part").join(heads.select(F.col("part").alias("_to"), F.col("text").alias("next_text")), "_to")
+    names = [x.split()[0] for x in EDITED.split(", ")]
+    return walked.filter("edge = 0").select(*names).unionByName(met.select("doc_id", "text", "next_text").mapInArrow(edited_rows, EDITED))
 
 
 def op9_fingerprints(spark, sf_dir: str) -> DataFrame:
