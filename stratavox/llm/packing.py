@@ -16,7 +16,9 @@ from stratavox.llm.common import arrow_schema, SPACE, buffer, configure, materia
 #: Ids in a window, and the id that ends a document.
 WINDOW, END = 4096, 2
 #: Words of which a Python worker remembers the ids; beyond that it starts anew.
-REMEMBER = 2_000_000
+REMEMBER = 1_000_000
+#: Totals are broadcast up to so many; beyond that the ids are shuffled to them.
+MOST_TOTALS = 500_000
 #: Bytes of words that are hashed at a time.
 HASHED = 1 << 19
 #: Stands between the words of one call of the tokenizer; words that hold it themselves are encoded alone.
@@ -128,7 +130,7 @@ def token_rows(path: str):
         schema = arrow_schema(TOKENS)
         for batch in batches:
             data, offsets = buffer(batch.column(1))
-            for a, b in pieces(offsets, 8 << 20):
+            for a, b in pieces(offsets, 3 << 20):
                 own, cut = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 starts, ends, n_words = words(own, cut)
                 ids, per_word = encode(own, starts, ends)
@@ -168,16 +170,20 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     Only the last window of all is not full. The first pass tokenises, numbers ids within each partition and totals
     the partitions; running sums over those totals make the numbers global; the second pass cuts. A piece whose
     document goes on in the next window is marked as boundary. A null or empty text is the one id 2. Repeated rows
-    are packed each. An empty table gives no rows. Other columns are ignored.
+    are packed each. An empty table gives no rows. Other columns are ignored. Words are known by a 64-bit hash within a
+    task: of a million words two share one by chance once in about 4 * 10^7 tasks.
     """
     import public_tokenizers
 
     path = path or public_tokenizers.path("word_bpe_49k.json")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     tokens = materialise(rows.mapInArrow(token_rows(path), TOKENS), "pack-tokens")
-    totals = tokens.groupBy("part").agg(F.sum("n_ids").alias("_n"))
+    totals = materialise(tokens.groupBy("part").agg(F.sum("n_ids").alias("_n")), "pack-totals")
     before = F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    placed = tokens.join(totals.select("part", F.coalesce(before, F.lit(0)).alias("_before")), "part")
+    starts = totals.select("part", F.coalesce(before, F.lit(0)).alias("_before"))
+    if totals.count() <= MOST_TOTALS:  # a row for each task of the first pass
+        starts = F.broadcast(starts)
+    placed = tokens.join(starts, "part")
     return placed.select("doc_id", (F.col("_before") + F.col("at")).alias("first"), "n_ids", "ids").mapInArrow(cut_rows, PIECES)
 
 
