@@ -14,14 +14,16 @@ from stratavox.llm.common import batch_of, configure, table
 
 OUT = "page_id long, url string, text string, n_chars long"
 
-# Elements of HTML and words that name page furniture in class, id and role.
+# Elements of HTML, as its standard groups them, and words that often name page furniture in class, id and role.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6"
     " head header hr html legend li main menu nav ol p pre section summary table tbody tfoot thead title tr ul".split()
 )
 CELL = frozenset("td th br".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template svg iframe textarea object canvas math video audio".split())
+RAW = frozenset("script style noscript template svg iframe textarea object canvas video audio".split())
+#: Elements that hold other blocks; a name on one of them says more than one on a heading or a paragraph.
+HOLDS = frozenset("div section ul ol dl table header figure details main span".split())
 OUTSIDE = frozenset("head title nav aside footer form menu dialog button select label fieldset".split())
 FURNITURE = frozenset(
     "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices"
@@ -29,8 +31,14 @@ FURNITURE = frozenset(
     " footer masthead topbar toolbar comment comments commentlist disqus respond reply replies discussion share sharing social related recommended"
     " recommendations widget widgets login signin signup search searchbox pagination pager copyright legal disclaimer skip hidden alert".split()
 )
+#: Of these, the words that name furniture when a longer name begins with them, as in ad-slot or comment-list.
+LEADING = frozenset(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr popup modal overlay"
+    " newsletter subscribe subscription paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs footer topbar toolbar comment comments"
+    " disqus share sharing social related recommended recommendations widget widgets login signin signup pagination pager".split()
+)
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
-# Frequent function words of English, French, German and Spanish.
+# Frequent function words of English, French, German and Spanish.
 STOP = frozenset(
     "the of and to a in that is was for it with as on be at by this are from or an not but have had which one you were all they there"
     " le la les de des du un une et est en que qui dans pour sur au aux par pas ce se il elle ne plus avec sont"
@@ -45,47 +53,61 @@ WORDS = re.compile(r"[^\W\d_]+")
 CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 #: A block of at least LONG characters is decided by its own words; one of LINKS of its characters in links is not text.
-LONG, LINKS, STOPS = 80, 0.4, 0.06
+#: Stop words are to be at least STOPS of the words of a long block, HINTED where names hint at furniture.
+LONG, LINKS, STOPS, HINTED = 80, 0.4, 0.06, 0.12
+
+
+def _names(value: str) -> list[list[str]]:
+    """The names of a class or id attribute, each as its words in small letters."""
+    return [words for name in value.split() if (words := [x.lower() for x in CAMEL.findall(name)])]
 
 
-def _outside(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element is page furniture. inside: it lies in an article or main element."""
+def _outside(tag: str, attributes: str, inside: bool) -> int:
+    """2 if an element is page furniture by what it is, 1 if its names only hint at that, else 0.
+
+    inside: it lies in an article or main element. A container whose whole name is a furniture word, or begins with a
+    telling one, is furniture; other names that hold such a word are hints, which the words of a block can overrule, and
+    so are names of headings, paragraphs and items outside an article. Inside one the latter say nothing.
+    """
     if tag in OUTSIDE or tag == "header" and not inside:
-        return True
-    if not attributes or tag in ("html", "body", "main"):
-        return False
+        return 2
+    if not attributes or tag in ("html", "body", "main", "article"):
+        return 0
+    hint = 0
     for name, *values in NAMED.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return 2
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return 2
         if name == "role" and value.lower() in ROLES:
-            return True
+            return 2
         if name in ("class", "id"):
-            names = {x.lower() for x in CAMEL.findall(value)}
-            if names & FURNITURE or "header" in names and not inside:
-                return True
-    return False
+            for words in _names(value):
+                whole = len(words) == 1 and words[0] in FURNITURE or words[0] in LEADING or "header" in words and not inside
+                if whole and tag in HOLDS:
+                    return 2
+                hint |= (tag in HOLDS or not inside) and (whole or not FURNITURE.isdisjoint(words))
+    return int(hint)
 
 
 class _Page:
-    """The blocks of a page: text, characters in links, and the container that they lie in (0 furniture, 1 page, 2 article)."""
+    """The blocks of a page: text, characters in links, the container that they lie in (0 furniture, 1 page, 2 article), hinted or not."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, int, int]] = []
-        self.stack: list[tuple[str, int]] = []
+        self.blocks: list[tuple[str, int, int, bool]] = []
+        self.stack: list[tuple[str, int, bool]] = []
         self.parts: list[str] = []
         self.linked: list[str] = []
         self.links, self.broke = 0, False
-        self.kind = 1
+        self.kind, self.hint = 1, False
         self.read(source)
         self.close()
 
     def close(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            self.blocks.append((text, len(" ".join("".join(self.linked).split())), self.kind))
+            self.blocks.append((text, len(" ".join("".join(self.linked).split())), self.kind, self.hint))
         self.parts, self.linked = [], []
 
     def text(self, raw: str) -> None:
@@ -97,10 +119,10 @@ class _Page:
                 self.linked.append(raw)
 
     def to(self, depth: int) -> None:
-        for tag, _ in self.stack[depth:]:
+        for tag, *_ in self.stack[depth:]:
             self.links -= tag == "a"
         del self.stack[depth:]
-        self.kind = self.stack[-1][1] if self.stack else 1
+        self.kind, self.hint = self.stack[-1][1:] if self.stack else (1, False)
 
     def find(self, tags: tuple[str, ...], until: tuple[str, ...]) -> int:
         for i in range(len(self.stack) - 1, -1, -1):
@@ -129,14 +151,17 @@ class _Page:
                 self.to(i)
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             return
-        kind = self.kind
-        if kind and _outside(tag, attributes, kind == 2):
-            kind = 0
-        elif kind and tag in ("article", "main"):
-            kind = 2
-        self.stack.append((tag, kind))
+        kind, hint = self.kind, self.hint
+        if kind:
+            sign = _outside(tag, attributes, kind == 2)
+            hint = hint or sign == 1
+            if sign == 2:
+                kind = 0
+            elif tag in ("article", "main"):
+                kind = 2
+        self.stack.append((tag, kind, hint))
         self.links += tag == "a"
-        self.kind = kind
+        self.kind, self.hint = kind, hint
 
     def end(self, tag: str) -> None:
         if tag in BLOCK:
@@ -179,15 +204,18 @@ def stop_share(text: str) -> float:
     return sum(w in STOP for w in words) / len(words) if words else 0.0
 
 
-def _first_pass(text: str, linked: int, kind: int) -> int:
+def _first_pass(text: str, linked: int, kind: int, hint: bool) -> int:
     """1 good, -1 bad, 0 not decided by the block itself."""
-    if linked >= LINKS * len(text):
-        return -1
-    if len(text) < LONG:
+    long, share = len(text) >= LONG, stop_share(text)
+    if linked >= LINKS * len(text):  # in an article prose may be full of links; its neighbours decide
+        return 0 if kind == 2 and not hint and share >= STOPS and linked < len(text) else -1
+    if hint:
+        return 1 if long and share >= HINTED else -1
+    if not long:
         return -1 if kind == 1 and (linked or "©" in text) else 0
-    if kind == 2 or len(text) >= 3 * LONG:
+    if kind == 1 and len(text) >= 3 * LONG:
         return 1
-    return 1 if stop_share(text) >= STOPS else 0
+    return 1 if share >= STOPS else 0
 
 
 def _second_pass(labels: list[int], kinds: list[int]) -> list[int]:
@@ -219,7 +247,7 @@ def _second_pass(labels: list[int], kinds: list[int]) -> list[int]:
 def main_text(source: str) -> str:
     """The article of a page: its good blocks, joined by two line feeds; empty if it has none."""
     blocks = _Page(source).blocks
-    read = 2 if any(kind == 2 for *_, kind in blocks) else 1
+    read = 2 if any(kind == 2 for *_, kind, _ in blocks) else 1
     blocks = [x for x in blocks if x[2] == read]  # furniture lies in other containers and is no neighbour
     labels = _second_pass([_first_pass(*x) for x in blocks], [x[2] for x in blocks])
     return "\n\n".join(text for (text, *_), label in zip(blocks, labels, strict=True) if label > 0)
@@ -235,7 +263,8 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of pages.
 
     First each block is labelled by itself: by its share of link characters, its length and its share of stop words,
-    and by where it lies; short blocks stay open. Then open blocks take the label of the nearest decided ones. Where
+    and by where it lies; short blocks, and long ones with few stop words, stay open. Names of elements that merely hold a
+    furniture word are one sign among these, which prose overrules. Then open blocks take the label of the nearest decided ones. Where
     a page has an article or main element, only that is read. A null or empty html has empty text. Repeated rows are
     kept, other columns ignored.
     """

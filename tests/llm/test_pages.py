@@ -28,6 +28,22 @@ def test_a_page_without_an_article_element():
     assert extract.main_text(body) == "\n\n".join(["Head line", FIRST, SECOND, SHORT])
 
 
+def test_furniture_words_in_real_content():
+    inner = [
+        f'<div class="search-result"><p>{SECOND.replace("<", "&lt;").replace("&", "&amp;", 1)}</p></div>',
+        f'<h2 id="discussion">Discussion</h2><section class="legal-history"><p>{FIRST}</p></section>',
+        '<p>So <math><mi>x</mi> = 2</math> it is, as all of those who have read the first part of this will know by now.</p>',
+        f'<p>The <a href="/a">{"links of this line " * 4}</a> are what it is made of.</p>',
+    ]
+    page = "<article><p>" + FIRST + "</p>" + "".join(inner) + '<div class="ad-slot">' + FIRST + '</div><ul class="share"><li>' + FIRST + "</li></ul></article>"
+    found = extract.main_text(page).split("\n\n")
+    assert found[0] == FIRST and found[-1].startswith("The links of this line") and found.count(FIRST) == 2
+    assert "Discussion" in found and any("x = 2 it is" in x for x in found) and len(found) == 6
+    bare = page.replace("<article>", "<div>").replace("</article>", "</div>")
+    assert {FIRST, found[1]} <= set(extract.main_text(bare).split("\n\n"))
+    assert extract._first_pass("data " * 40, 0, 2, False) == 0 and extract._first_pass(FIRST, 0, 2, False) == 1 and extract._first_pass("data " * 40, 0, 1, True) == -1
+
+
 @pytest.mark.parametrize("source", ["", " ", "<", "<p", "<p>", "</p></div>", "<!--", "<script>", "<a href='", "&", "&#x110000;", "<" * 3000, "<div>" * 3000])
 def test_broken_pages_do_not_crash(source):
     assert isinstance(extract.main_text(source), str)
