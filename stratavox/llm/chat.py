@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from stratavox.llm.common import configure, drop, materialise, table
 
 CALLS = "array<struct<id:string,name:string,arguments:variant,depends:array<string>>>"
+#: A level that no chain of calls reaches.
+ENDLESS = 1 << 40
 JSON_TYPES = {"STRING": "string", "BIGINT": "integer", "DOUBLE": "number", "BOOLEAN": "boolean", "ARRAY": "array", "OBJECT": "object", "VOID": "null"}
 
 
@@ -34,43 +36,53 @@ def levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """key and level of every node: 0 without dependencies, else one more than the deepest; null on a cycle or behind one.
 
     Rounds double the length of the walks in hand (key, dep), so they are logarithmic in the depth. A node that such a
-    walk leaves is as deep as its length and the deepest of its ends; others keep what shorter walks gave. A walk
-    longer than there are nodes with dependencies repeats one. A chain has one walk a node and round; where nodes have
-    many dependencies each, the pairs of a round can grow towards all pairs of a conversation.
+    walk leaves is at least as deep as its length and the deepest of its ends; shorter walks may have given more. A node
+    that depends on itself counts as deeper than all others. A walk longer than there are nodes with dependencies
+    repeats one. A chain has one walk a node and round; where nodes have many dependencies each, the pairs of a round can
+    grow towards all pairs of a conversation.
     """
-    walks = materialise(edges.join(nodes.select(F.col("key").alias("dep")), "dep", "left_semi").select("key", "dep").distinct(), "chat-walks")
-    known = materialise(walks.select("key", F.lit(0).alias("level")).distinct(), "chat-levels")
+    every = edges.join(nodes.select(F.col("key").alias("dep")), "dep", "left_semi").select("key", "dep").distinct()
+    level = F.max(F.when(F.col("key") == F.col("dep"), ENDLESS).otherwise(0)).cast("long").alias("level")
+    known = materialise(every.groupBy("key").agg(level), "chat-levels")
+    walks = materialise(every.filter("key <> dep"), "chat-walks")
     most, length = known.count(), 1
     while length <= most and not walks.isEmpty():
         ends = walks.join(known.withColumnRenamed("key", "dep"), "dep", "left").groupBy("key").agg((F.lit(length) + F.max(F.coalesce("level", F.lit(0)))).alias("_deep"))
-        deeper = materialise(known.join(ends, "key", "left").select("key", F.coalesce("_deep", "level").alias("level")), "chat-levels")
+        deeper = materialise(known.join(ends, "key", "left").select("key", F.greatest("_deep", "level").alias("level")), "chat-levels")
         longer = materialise(walks.join(walks.select(F.col("key").alias("dep"), F.col("dep").alias("_end")), "dep").select("key", F.col("_end").alias("dep")).distinct(), "chat-walks")
-        drop(known)
-        drop(walks)
+        drop(known, walks)
         known, walks, length = deeper, longer, 2 * length
     endless = walks.select("key", F.lit(True).alias("_endless")).distinct()
-    every = nodes.select("key").distinct().join(known, "key", "left").join(endless, "key", "left")
-    return every.select("key", F.when(F.col("_endless").isNull(), F.coalesce("level", F.lit(0))).alias("level"))
+    found = nodes.select("key").distinct().join(known, "key", "left").join(endless, "key", "left")
+    return found.select("key", F.when(F.col("_endless").isNull() & (F.coalesce("level", F.lit(0)) < ENDLESS), F.coalesce("level", F.lit(0))).cast("int").alias("level"))
+
+
+def canonical(text) -> F.Column:
+    """JSON whose numbers have no zeros at the end of their fraction; strings stay as they are."""
+    quoted = r'("[^"\\]*+(?:\\.[^"\\]*+)*+")|(?<=[0-9])'
+    whole = F.regexp_replace(text, quoted + r"\.0++(?![0-9eE])", "$1")
+    return F.regexp_replace(whole, quoted + r"(\.[0-9]*?[1-9])0++(?![0-9eE])", "$1$2")
 
 
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """key and problems of each call with key, name and arguments; schemas has name, field, type and required.
 
     A call is checked if its name has a schema: every argument must be known and of its type, an integer also being a
-    number, and every required one there. Arguments that aren't an object are one problem.
+    number, and every required one there; a required one of another type is two problems. Arguments that aren't an object
+    are one problem.
     """
     known = schemas.groupBy("name").agg(F.sum(F.col("required").cast("int")).alias("n_required"))
     fields = F.try_variant_get("arguments", "$", "map<string,variant>")
-    each = calls.select("key", "name", F.explode_outer(fields).alias("field", "value"))
+    each = calls.select("key", "name", fields.isNull().alias("_none"), F.explode_outer(fields).alias("field", "value"))
     kind = F.regexp_extract(F.schema_of_variant("value"), "^([A-Z]+)", 1)
     named = F.create_map(*[F.lit(x) for pair in JSON_TYPES.items() for x in pair])[kind]
     each = each.withColumn("got", F.when(kind == "DECIMAL", "number").otherwise(named))
     ok = (F.col("got") == F.col("type")) | (F.col("got").isin("integer") & F.col("type").isin("number"))
     rules = schemas.select(F.col("name").alias("_name"), F.col("field").alias("_field"), "type", "required")
     joined = each.join(rules, (F.col("name") == F.col("_name")) & (F.col("field") == F.col("_field")), "left")
-    sums = joined.groupBy("key", "name").agg(F.count("field").alias("given"), F.sum(F.when(ok, 1).otherwise(0)).alias("right"), F.sum(F.when(ok & F.col("required"), 1).otherwise(0)).alias("have"))
+    sums = joined.groupBy("key", "name").agg(F.max("_none").alias("_none"), F.count("field").alias("given"), F.sum(F.when(ok, 1).otherwise(0)).alias("right"), F.sum(F.when(ok & F.col("required"), 1).otherwise(0)).alias("have"))
     both = sums.join(known, "name", "left")
-    problems = F.when(F.col("n_required").isNull(), 0).otherwise(F.col("given") - F.col("right") + F.col("n_required") - F.col("have"))
+    problems = F.when(F.col("n_required").isNull(), 0).when(F.col("_none"), 1).otherwise(F.col("given") - F.col("right") + F.col("n_required") - F.col("have"))
     return both.select("key", problems.cast("long").alias("problems"))
 
 
@@ -78,8 +90,8 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     """conv_id, call_id, turn, name, level, problems, answered and json of every call.
 
     Calls and results meet by a hash join on conversation and identifier. A call's level is its place in the
-    topological order of what it depends on; dependencies that aren't there don't count. json has sorted keys and no
-    space. Of calls or results with one identifier the earliest turn counts. Calls without a conversation or an
+    topological order of what it depends on; dependencies that aren't there don't count. json has sorted keys, no
+    space, plain numbers and explicit nulls within arguments. Of calls or results with one identifier the earliest turn counts. Calls without a conversation or an
     identifier have level 0 and no result. A call whose arguments aren't JSON has null arguments. Empty tables give no rows.
     A column copy tells calls with one identifier apart, so that all of them count: depends then has identifier, \\x1f
     and copy, and a result goes to each of them.
@@ -101,7 +113,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame) -> Data
     loose = loose.withColumns({"level": F.lit(0), "problems": F.lit(0).cast("long"), "content": F.lit(None).cast("string"), "answered": F.lit(None).cast("boolean")})
     every = full.unionByName(loose).withColumn("arguments", args)
     fields = F.struct("arguments", F.col("call_id").alias("id"), "name", F.col("content").alias("result"))
-    return every.select("conv_id", "call_id", "turn", "name", "level", "problems", F.coalesce("answered", F.lit(False)).alias("answered"), F.to_json(fields).alias("json"))
+    return every.select("conv_id", "call_id", "turn", "name", "level", "problems", F.coalesce("answered", F.lit(False)).alias("answered"), canonical(F.to_json(fields)).alias("json"))
 
 
 def in_order(rows: DataFrame, *by: str) -> DataFrame:
@@ -122,29 +134,39 @@ def in_order(rows: DataFrame, *by: str) -> DataFrame:
 def op5_chat(spark, sf_dir: str) -> DataFrame:
     """The turns of conversations as calls and results: what isn't an assistant's turn calls for the next turn's answer.
 
-    Each ask depends on the one before it in its conversation. Asks repeated at one turn are calls of their own, one
-    after the other; of repeated answers the least text counts.
+    The length of its text decides how an ask is called. It depends on the ask before it in its conversation, unless its
+    length is a multiple of 4; on one that isn't there, if even; on itself, if a multiple of 11. By the remainder by 5
+    its arguments are right, lack one, have one of a wrong type, have an unknown null, or aren't an object. Asks repeated
+    at one turn are calls of their own, one after the other; of repeated answers the least text counts.
     """
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    text = F.coalesce("text", F.lit(""))
-    asks = in_order(turns.filter("role <> 'assistant'"), "conv_id", "turn")
-    arguments = F.parse_json(F.to_json(F.struct(text.alias("text"), F.char_length(text).alias("chars"), "turn")))
-    before = F.concat(F.lit("t"), "_last.turn", F.lit("\x1f"), "_after")
-    depends = F.when((F.col("_last.conv_id") == F.col("conv_id")) & before.isNotNull(), F.array(before)).otherwise(F.array().cast("array<string>"))
+    configure(spark)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    asks = in_order(turns.filter("role <> 'assistant'").withColumn("n", F.char_length("text")), "conv_id", "turn", "role", "n")
+    n, given = F.col("n"), lambda *c: F.to_json(F.struct(*c))
+    kinds = [given("n", "text", "turn"), given("text", "turn"), given(n.cast("string").alias("n"), "text", "turn"), F.concat(F.lit('{"mood":null,'), F.substring(given("n", "text", "turn"), 2, 2**31 - 1)), F.to_json(F.array("n"))]
+    arguments = F.parse_json(F.element_at(F.array(*[F.when(n % 5 == i, k) for i, k in enumerate(kinds)]), n % 5 + 1))
+    own, before = (F.concat(F.lit("t"), t, F.lit("\x1f"), at) for t, at in (("turn", "_at"), ("_last.turn", "_after")))
+    chained = (F.col("_last.conv_id") == F.col("conv_id")) & (n % 4 != 0)
+    depends = F.filter(F.array(F.when(chained, before), F.when(n % 2 == 0, "t-1"), F.when(n % 11 == 0, own)), lambda d: d.isNotNull())
     calls = asks.select("conv_id", F.concat(F.lit("t"), "turn").alias("call_id"), "turn", F.col("role").alias("name"), arguments.alias("arguments"), depends.alias("depends"), F.col("_at").alias("copy"))
-    results = turns.filter("role = 'assistant'").select("conv_id", F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")).alias("call_id"), "turn", text.alias("content"))
-    rows = ", ".join(f"('{n}', '{f}', '{k}', true)" for n in ("system", "user") for f, k in (("chars", "integer"), ("text", "string"), ("turn", "integer")))
+    results = turns.filter("role = 'assistant'").select("conv_id", F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")).alias("call_id"), "turn", F.col("text").alias("content"))
+    rows = ", ".join(f"('{r}', '{f}', '{k}', true)" for r, number in (("system", "number"), ("user", "integer")) for f, k in (("n", number), ("text", "string"), ("turn", "integer")))
     return link_calls(calls, results, spark.sql(f"SELECT * FROM VALUES {rows} AS t(name, field, type, required)"))
 
 
 OP5_SQL = """
-    configure(spark)
-WITH asks AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS level
-              FROM conversations WHERE role <> 'assistant'),
+WITH RECURSIVE asks AS (SELECT conv_id, turn, role, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                               row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, length(coalesce(text, ''))) AS k
+                        FROM conversations WHERE role <> 'assistant'),
+     lv AS (SELECT conv_id, k, 0 AS level FROM asks WHERE n % 11 <> 0 AND (k = 1 OR n % 4 = 0)
+            UNION ALL
+            SELECT a.conv_id, a.k, lv.level + 1 FROM lv JOIN asks a ON a.conv_id = lv.conv_id AND a.k = lv.k + 1 WHERE a.n % 11 <> 0 AND a.n % 4 <> 0),
      answers AS (SELECT conv_id, turn - 1 AS turn, coalesce(text, '') AS content FROM conversations WHERE role = 'assistant')
-SELECT a.conv_id, 't' || a.turn AS call_id, a.turn, a.role AS name, CAST(a.level AS INTEGER) AS level, CAST(0 AS BIGINT) AS problems,
+SELECT a.conv_id, 't' || a.turn AS call_id, a.turn, a.role AS name, CAST(lv.level AS INTEGER) AS level,
+       CAST(CASE a.n % 5 WHEN 0 THEN 0 WHEN 2 THEN 2 ELSE 1 END AS BIGINT) AS problems,
        b.content IS NOT NULL AS answered,
-       '{"arguments":{"chars":' || length(a.text) || ',"text":' || to_json(a.text) || ',"turn":' || a.turn || '},"id":"t' || a.turn || '","name":"' || a.role || '"'
-       || coalesce(',"result":' || to_json(b.content), '') || '}' AS json
-FROM asks a LEFT JOIN answers b ON a.conv_id = b.conv_id AND a.turn = b.turn
+       '{"arguments":' || CASE a.n % 5 WHEN 0 THEN '{"n":' || a.n || ',' WHEN 1 THEN '{' WHEN 2 THEN '{"n":"' || a.n || '",' WHEN 3 THEN '{"mood":null,"n":' || a.n || ',' ELSE '[' || a.n || ']' END
+       || CASE a.n % 5 WHEN 4 THEN '' ELSE '"text":' || to_json(a.text) || ',"turn":' || a.turn || '}' END
+       || ',"id":"t' || a.turn || '","name":"' || a.role || '"' || coalesce(',"result":' || to_json(b.content), '') || '}' AS json
+FROM asks a LEFT JOIN lv ON lv.conv_id = a.conv_id AND lv.k = a.k LEFT JOIN answers b ON a.conv_id = b.conv_id AND a.turn = b.turn
 """

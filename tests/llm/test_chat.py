@@ -96,3 +96,29 @@ def test_levels_are_longest_walks(spark, n):
     nodes = [(f"n{i}",) for i in range(n)] + [("x",), ("y",), ("z",)]
     found = chat.levels(spark.createDataFrame(edges, "key string, dep string"), spark.createDataFrame(nodes, "key string"))
     assert {r.key: r.level for r in found.collect()} == {f"n{i}": i for i in range(n)} | {"x": None, "y": None, "z": None}
+
+
+def test_numbers_and_nulls_are_canonical(spark):
+    made = [{"a": 1.0, "b": 2.50, "c": None, "d": "1.0 and 2.50, \"3.0\" too"}, [1.0], "no json"]
+    found = linked(spark, [said(1, 0, *[call(f"c{i}", arguments=x) for i, x in enumerate(made)], call("e", arguments='{"a": 1e2, "b": 10}'))])
+    assert json.loads(found[1, "c0"].json)["arguments"] == made[0] and '{"a":1,"b":2.5,"c":null,' in found[1, "c0"].json
+    assert found[1, "e"].json == '{"arguments":{"a":100,"b":10},"id":"e","name":"add"}' and found[1, "e"].problems in (0, 2)
+    assert (found[1, "c1"].problems, found[1, "c2"].problems) == (1, 1)
+
+
+def test_levels_of_graphs_match_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    n = 5000
+    edges = [(i, i - 1) for i in range(1, n)] + [(n + i, n + (i + 1) % 7) for i in range(7)] + [(n + 10, n + 3), (n + 20, n + 20), (n + 21, n + 20)]
+    edges += [(n + 100 + i, n + 100 + rng.randrange(i)) for i in range(1, 60) for _ in range(3)] + [(n + 21, 5), (n + 200, 4000), (n + 200, n + 150), (n + 300, 10**9)]
+    nodes = sorted({x for e in edges for x in e if x < 10**9})
+    deps, known = {i: {d for k, d in edges if k == i and d < 10**9} for i in nodes if i >= n}, {i: i for i in range(n)}
+    for _ in range(100):
+        for i in deps:
+            if all(d in known for d in deps[i]):
+                known[i] = 1 + max((known[d] for d in deps[i]), default=-1)
+    frame = spark.createDataFrame([(str(a), str(b)) for a, b in edges], "key string, dep string")
+    found = {int(r.key): r.level for r in chat.levels(frame, spark.createDataFrame([(str(i),) for i in nodes], "key string")).collect()}
+    assert found == {i: known.get(i) for i in nodes}
