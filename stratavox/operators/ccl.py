@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratavox.operators.relabel import ranked
-from stratavox.operators.select import AXES, local_dust, threshold
+from stratavox.operators.select import AXES, cell, threshold
 from stratavox.operators.stats import voxel_counts
 from stratavox.sources.shared import drop, materialise
 
@@ -23,8 +25,7 @@ def edges(vol: DataFrame, shape: Size, connectivity: int = 6, label: str | None
 
     Half of the neighbourhood is enough. Each voxel is sent to its later neighbours' places and joined there.
     """
-    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (k, j, i) > (0, 0, 0)]
-    steps = [s for s in steps if sum(map(abs, s)) <= {6: 1, 18: 2, 26: 3}[connectivity]]
+    steps = _half(connectivity)
     own = [label] if label else []
     offsets = F.array(*[F.struct(*[F.lit(d).alias(f"d{a}") for a, d in zip(AXES, s, strict=True)]) for s in steps])
     out = vol.select(*AXES, *own, linear(shape).alias("a"), F.explode(offsets).alias("s"))
@@ -55,11 +56,90 @@ def contract(pairs: DataFrame) -> DataFrame:
         before = state
 
 
-def components(vol: DataFrame, shape: Size, connectivity: int = 6, label: str | None = None) -> DataFrame:
-    """x, y, z and component of every voxel: the least linear id in its component."""
-    roots = contract(edges(vol, shape, connectivity, label))
-    ids = vol.select(*AXES, linear(shape).alias("node"))
-    return ids.join(roots, "node", "left").select(*AXES, F.coalesce("root", "node").alias("component"))
+#: Voxels of a volume are labelled by cells of this size; a group is one cell.
+CELL: Size = (128, 128, 64)
+
+
+def _half(connectivity: int) -> list[Size]:
+    """Half of a neighbourhood: the steps to later voxels."""
+    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (k, j, i) > (0, 0, 0)]
+    return [s for s in steps if sum(map(abs, s)) <= {6: 1, 18: 2, 26: 3}[connectivity]]
+
+
+def pieces_of(points: np.ndarray, size: Size, connectivity: int, label: np.ndarray | None = None) -> np.ndarray:
+    """For points of a cell in the order of their linear ids: the first row of each point's piece."""
+    own = points[:, 0] + size[0] * (points[:, 1] + size[1] * points[:, 2])
+    ends = []
+    for s in _half(connectivity):
+        inside = np.flatnonzero(((points + s >= 0) & (points + s < size)).all(axis=1))
+        there = own[inside] + s[0] + size[0] * (s[1] + size[1] * s[2])
+        at = np.minimum(np.searchsorted(own, there), len(own) - 1)
+        met = own[at] == there
+        if label is not None:
+            met &= label[at] == label[inside]
+        ends.append((inside[met], at[met]))
+    a, b = (np.concatenate(x) for x in zip(*ends, strict=True))
+    root = np.arange(len(own))
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        differ = low != high
+        if not differ.any():
+            return root
+        a, b = a[differ], b[differ]
+        np.minimum.at(root, high[differ], low[differ])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def parts(vol: DataFrame, shape: Size, connectivity: int = 6, label: str | None = None, size: Size = CELL, dust: int = 0) -> DataFrame:
+    """x, y, z, the label column if named, and part of every voxel: the least linear id of its piece within its cell.
+
+    Pieces of fewer than `dust` voxels of the cell are left out. One shuffle brings a cell together.
+    """
+    names = [*AXES, *([label] if label else [])]
+    keyed = vol.select(*[c.alias(n) for n, c in cell(size).items()], *names)
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(list(AXES)[::-1], ignore_index=True)
+        at = group[list(AXES)].to_numpy()
+        local = at - group[["cx", "cy", "cz"]].to_numpy()[:1] * np.array(size)
+        root = pieces_of(local, size, connectivity, group[label].to_numpy() if label else None)
+        group["part"] = (at[:, 0] + shape[0] * (at[:, 1] + shape[1] * at[:, 2]))[root]
+        return group.loc[np.bincount(root, minlength=len(root))[root] >= dust, [*names, "part"]]
+
+    return keyed.groupBy("cx", "cy", "cz").applyInPandas(one, ", ".join(f"{n} long" for n in (*names, "part")))
+
+
+def faces(found: DataFrame, size: Size = CELL) -> DataFrame:
+    """The rows of parts() on the sides of their cells: all that other cells have to know."""
+    side = F.lit(False)
+    for a, s in zip(AXES, size, strict=True):
+        side |= (F.col(a) % s == 0) | (F.col(a) % s == s - 1)
+    return found.filter(side)
+
+
+def links(found: DataFrame, connectivity: int = 6, label: str | None = None, size: Size = CELL) -> DataFrame:
+    """a < b: parts of two cells that touch. Only voxels on the sides of cells are shuffled."""
+    own = [label] if label else []
+    border = faces(found, size)
+    out = border.withColumn("s", F.explode(F.array(*[F.struct(*[F.lit(d).alias(f"d{a}") for a, d in zip(AXES, s, strict=True)]) for s in _half(connectivity)])))
+    leaves = F.lit(False)
+    for a, s in zip(AXES, size, strict=True):
+        leaves |= F.floor((F.col(a) + F.col(f"s.d{a}")) / s) != F.floor(F.col(a) / s)
+    there = out.filter(leaves).select(F.col("part").alias("_part"), *own, *[(F.col(a) + F.col(f"s.d{a}")).alias(a) for a in AXES])
+    met = there.join(border, [*AXES, *own])
+    return met.select(F.least("_part", "part").alias("a"), F.greatest("_part", "part").alias("b")).distinct()
+
+
+def components(vol: DataFrame, shape: Size, connectivity: int = 6, label: str | None = None, size: Size = CELL, dust: int = 0) -> DataFrame:
+    """x, y, z and component of every voxel: the least linear id in its component.
+
+    Cells are labelled apart, and links between the parts of neighbouring cells are contracted; so what the rounds
+    shuffle grows with the surface of cells, not with the voxels. Pieces of fewer than `dust` voxels of a cell go first.
+    """
+    found = materialise(parts(vol, shape, connectivity, label, size, dust), "ccl-parts")
+    roots = contract(links(found, connectivity, label, size)).select(F.col("node").alias("part"), "root")
+    return found.join(roots, "part", "left").select(*AXES, F.coalesce("root", "part").alias("component"))
 
 
 def numbered(found: DataFrame) -> DataFrame:
@@ -79,17 +159,15 @@ def cell_offsets(grid: Size, size: Size, spark) -> DataFrame:
     return cells.select((i % grid[0]).alias("gx"), (F.floor(i / grid[0]) % grid[1]).cast("bigint").alias("gy"), F.floor(i / (grid[0] * grid[1])).cast("bigint").alias("gz"), i.alias("task"), (i * room).alias("label_offset"))
 
 
-def auto(vol: DataFrame, shape: Size, gte: float | None = None, lte: float | None = None, dust: int = 0, dust_scope: str = "global", cell: Size = (512, 512, 512), connectivity: int = 6) -> DataFrame:
+def auto(vol: DataFrame, shape: Size, gte: float | None = None, lte: float | None = None, dust: int = 0, dust_scope: str = "global", size: Size = CELL, connectivity: int = 6) -> DataFrame:
     """Threshold, label, drop dust and number components from 1 in the order of their least voxel.
 
-    dust_scope "cell" drops small labels within each grid cell before labelling, so results depend on the cell; "global"
-    drops components that are small as a whole.
+    dust_scope "cell" drops connected pieces that are small within their grid cell before cells are linked, so results
+    depend on the cell; "global" drops components that are small as a whole.
     """
     kept = threshold(vol, gte, lte).filter("v") if gte is not None or lte is not None else vol
     label = "label" if "label" in kept.columns else None
-    if dust and dust_scope == "cell":
-        kept = local_dust(kept if label else kept.withColumn("label", F.lit(1)), dust, cell)
-    found = components(kept, shape, connectivity, label)
+    found = components(kept, shape, connectivity, label, size, dust if dust_scope == "cell" else 0)
     if dust and dust_scope == "global":
         found = found.join(sizes(found).filter(F.col("voxels") >= dust), "component", "left_semi")
     return found.join(numbered(found), "component").select(*AXES, F.col("number").alias("label"))

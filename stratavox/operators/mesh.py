@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import morton
@@ -63,11 +63,13 @@ def vertices(tris: DataFrame) -> DataFrame:
 
 def meshes(tris: DataFrame) -> DataFrame:
     """Counts of vertices, edges and triangles of each label, its Euler number and the box of its vertices."""
-    corner = vertices(tris).groupBy("label").agg(F.count("*").alias("vertices"), *[f(a).alias(f"{a}{i}") for a in AXES for i, f in ((0, F.min), (1, F.max))])
-    ends = F.array(*[F.array_sort(F.array(p, q)) for p, q in (("a", "b"), ("b", "c"), ("c", "a"))])
-    edge = tris.select("label", F.explode(ends).alias("e")).distinct().groupBy("label").agg(F.count("*").alias("edges"))
-    face = tris.groupBy("label").agg(F.count("*").alias("triangles"))
-    return corner.join(edge, "label").join(face, "label").withColumn("euler", F.col("vertices") - F.col("edges") + F.col("triangles"))
+    item = lambda kind, p, q: F.struct(F.lit(kind).alias("kind"), F.least(p, q).alias("p"), F.greatest(p, q).alias("q"))
+    items = F.array(*[item(0, p, p) for p in "abc"], *[item(1, p, q) for p, q in (("a", "b"), ("b", "c"), ("c", "a"))])
+    each = tris.select("label", F.explode(items).alias("i")).groupBy("label", "i").agg(F.count("*").alias("n"))
+    corner, edge = F.col("i.kind") == 0, F.col("i.kind") == 1
+    ends = [f(F.when(corner, F.col(f"i.p.{a}"))).alias(f"{a}{k}") for a in AXES for k, f in ((0, F.min), (1, F.max))]
+    counts = each.groupBy("label").agg(F.count_if(corner).alias("vertices"), *ends, F.count_if(edge).alias("edges"), (F.sum(F.when(edge, F.col("n"))) / 3).cast("bigint").alias("triangles"))
+    return counts.withColumn("euler", F.col("vertices") - F.col("edges") + F.col("triangles"))
 
 
 def max_lod(shape: Size, least_chunk: Size, lods: int) -> int:
@@ -94,6 +96,21 @@ def octree_fragments(tris: DataFrame, chunk: int, lod: int) -> DataFrame:
     return keyed.groupBy("label", "cx", "cy", "cz").agg(F.count("*").alias("triangles")).withColumns({"lod": F.lit(lod), "code": morton("cx", "cy", "cz")})
 
 
+def fragments(tris: DataFrame, chunk: int, lod: int = 0) -> DataFrame:
+    """The triangles themselves by fragment: label, lod, cx, cy, cz, code and an array of triangles; a fragment lies in one chunk."""
+    size = chunk << lod
+    keyed = tris.select("label", F.struct("a", "b", "c").alias("t"), *[F.floor(F.col(f"a.{a}") / size).cast("bigint").alias(f"c{a}") for a in AXES])
+    return keyed.groupBy("label", "cx", "cy", "cz").agg(F.sort_array(F.collect_list("t")).alias("triangles")).withColumns({"lod": F.lit(lod), "code": morton("cx", "cy", "cz")})
+
+
+def gathered(pieces: DataFrame) -> DataFrame:
+    """Fragments of one label's level as a multi-resolution file has them: in Z order, each with its count and first triangle."""
+    order = Window.partitionBy("label", "lod").orderBy("code")
+    count = F.size("triangles").cast("bigint")
+    upto = F.sum(count).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return pieces.select("label", "lod", "cx", "cy", "cz", "code", count.alias("n_triangles"), F.coalesce(upto, F.lit(0)).alias("first"), F.row_number().over(order).cast("bigint").alias("place"))
+
+
 def levels(tris: DataFrame, chunk: int, shape: Size) -> DataFrame:
     """Fragments of every level of detail, from the full surface to the one whose chunk spans the shape.
 

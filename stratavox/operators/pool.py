@@ -79,20 +79,23 @@ def stride(vol: DataFrame, factor: Factor, value: str = "v") -> DataFrame:
 
 
 def pyramid(vol: DataFrame, factor: Factor, levels: int, layer: str = "image", method: Method = Method.AUTO, sparse: bool = False, shape: Factor | None = None) -> DataFrame:
-    """Levels 1 to `levels` with their mip. Averages come from level 0, as sums add up; modes from the level below."""
+    """Levels 1 to `levels` with their mip, each from the level below; averages carry sums and counts upward, not rounded means."""
     kind, column = method_for(layer, method), "label" if layer == "segmentation" else "v"
     out, below, sizes = None, vol, shape
     for mip in range(1, levels + 1):
         whole = tuple(f**mip for f in factor)
         if kind == Method.AVERAGE:
-            level = average(vol, whole, column, sparse, shape)
+            own = (F.sum(column), F.count(F.when(F.col(column) != 0, 1))) if mip == 1 else (F.sum("_s"), F.sum("_n"))
+            sums = below.groupBy(*window(factor)).agg(own[0].alias("_s"), own[1].alias("_n"))
+            divisor = F.col("_n") if sparse else _full(whole, shape)
+            level = sums.filter("_n > 0").select(*AXES, F.floor(F.col("_s") / divisor).cast("bigint").alias(column))
         elif kind == Method.MODE:
             level = mode(below, factor, column, sparse, sizes)
         elif kind == Method.MIN:
             level = least(vol, whole, column, shape)
         else:
             level = most(below, factor, column) if kind == Method.MAX else stride(below, factor, column)
-        below = level
+        below = sums if kind == Method.AVERAGE else level
         sizes = tuple(-(-s // f) for s, f in zip(sizes, factor, strict=True)) if sizes else None
         level = level.withColumn("mip", F.lit(mip).cast("bigint"))
         out = level if out is None else out.unionByName(level)
@@ -114,3 +117,15 @@ def countless(vol: DataFrame, label: str = "label") -> DataFrame:
     pick = F.when((a == b) | (a == c), a).when(b == c, b).otherwise(d)
     return four.select(*AXES, pick.alias(label)).filter(F.col(label) != 0)
 
+
+def transferred(vol: DataFrame, factor: Factor, levels: int, box=None, shift: Factor = (0, 0, 0), skip_first: bool = False, skip_downsamples: bool = False, **options) -> DataFrame:
+    """A copy cut out and moved (see transfer) with its pyramid in one go: level 0 unless skip_first, and levels 1 to `levels`."""
+    from stratavox.sources.volume import transfer
+
+    level = transfer(vol, box, shift)
+    column = "label" if options.get("layer") == "segmentation" else "v"
+    first = level.select(*AXES, column, F.lit(0).cast("bigint").alias("mip"))
+    if skip_downsamples:
+        return first
+    above = pyramid(level, factor, levels, **options)
+    return above if skip_first else first.unionByName(above)

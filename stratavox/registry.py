@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, mesh, pool, relabel, select, skeleton, spatial, stats
+from stratavox.operators import ccl, kernel, mesh, pool, relabel, select, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.volume import to_chunks, to_voxels, transfer
@@ -240,6 +241,31 @@ def image_pyramid(spark, d):
     return pool.pyramid(seg(spark, d), (2, 2, 1), 3, "image", shape=SEG_SHAPE)
 
 
+MOVED = f"(SELECT x - 6 AS x, y + 10 AS y, z + 2 AS z, v FROM {SEG} WHERE {IN_BOX})"
+_LEVEL = "SELECT CAST({m} AS BIGINT) AS mip, CAST(floor(x / {f}) AS BIGINT) AS x, CAST(floor(y / {f}) AS BIGINT) AS y, z, CAST(floor(sum(v) / {n}) AS BIGINT) AS v FROM {t} GROUP BY 2, 3, 4"
+
+
+@query(f"SELECT CAST(0 AS BIGINT) AS mip, x, y, z, v FROM {MOVED} UNION ALL {_LEVEL.format(m=1, f=2, n=4, t=MOVED)} UNION ALL {_LEVEL.format(m=2, f=4, n=16, t=MOVED)}")
+def transfer_pyramid(spark, d):
+    return pool.transferred(seg(spark, d), (2, 2, 1), 2, BOX, (-6, 10, 2))
+
+
+@query(f"{_LEVEL.format(m=1, f=2, n=4, t=MOVED)} UNION ALL {_LEVEL.format(m=2, f=4, n=16, t=MOVED)}")
+def transfer_downsamples(spark, d):
+    return pool.transferred(seg(spark, d), (2, 2, 1), 2, BOX, (-6, 10, 2), skip_first=True)
+
+
+@query(f"SELECT x, y, z, sum(v) AS v FROM (SELECT x + i AS x, y + j AS y, z, CAST(v AS DOUBLE) AS v FROM {SEG}, range(-1, 2) a(i), range(-1, 2) b(j)) WHERE x >= 0 AND x < 128 AND y >= 0 AND y < 128 GROUP BY 1, 2, 3")
+def cell_kernel(spark, d):
+    """A sum over 3 x 3 x 1 voxels as the user's function."""
+
+    def sums(dense):
+        wide = np.pad(dense, ((1, 1), (1, 1), (0, 0)))
+        return sum(wide[i : i + dense.shape[0], j : j + dense.shape[1]] for i in range(3) for j in range(3))
+
+    return kernel.apply_cells(seg(spark, d), (32, 32, 4), (1, 1, 0), sums).filter("x >= 0 AND x < 128 AND y >= 0 AND y < 128")
+
+
 def _mode_sql(source: str) -> str:
     return f"SELECT x, y, z, label FROM (SELECT *, sum(n) OVER (PARTITION BY x, y, z) AS used, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS r FROM (SELECT {DOWN}, label, count(*) AS n FROM {source} GROUP BY 1, 2, 3, 4)) WHERE r = 1 AND 4 - used < n"
 
@@ -304,15 +330,26 @@ def contrast_stretch(spark, d):
     return stats.contrast_stretch(vol, stats.clip_bounds(stats.histogram(vol), 0.01, 0.99))
 
 
-@query(f"""WITH n AS (SELECT z, CAST(floor(x / 32) AS BIGINT) AS tx, CAST(floor(y / 32) AS BIGINT) AS ty, v, count(*) AS n FROM {SEG} GROUP BY 1, 2, 3, 4),
+LUTS = f"""n AS (SELECT z, CAST(floor(x / 32) AS BIGINT) AS tx, CAST(floor(y / 32) AS BIGINT) AS ty, v, count(*) AS n FROM {SEG} GROUP BY 1, 2, 3, 4),
  a AS (SELECT *, sum(n) OVER (PARTITION BY z, tx, ty) AS t FROM n), l AS (SELECT *, greatest(1, floor(4.0 * t / 256)) AS m FROM a),
- o AS (SELECT *, sum(greatest(0, n - m)) OVER (PARTITION BY z, tx, ty) AS o, sum(least(n, m)) OVER (PARTITION BY z, tx, ty ORDER BY v) AS u FROM l)
- SELECT z, tx, ty, v, CAST(floor((u + floor(o * (v + 1) / 256)) * 255 / t) AS BIGINT) AS "to" FROM o""")
+ o AS (SELECT *, sum(greatest(0, n - m)) OVER (PARTITION BY z, tx, ty) AS o, sum(least(n, m)) OVER (PARTITION BY z, tx, ty ORDER BY v) AS u FROM l)"""
+LUT = 'SELECT z, tx, ty, v, CAST(floor((u + floor(o * (v + 1) / 256)) * 255 / t) AS BIGINT) AS "to" FROM o'
+
+
+@query(f"WITH {LUTS} {LUT}")
 def clahe_luts(spark, d):
     return stats.tile_luts(seg(spark, d), 32, 4.0)
 
 
-@query()
+_AT = "(CAST({a} AS DOUBLE) + 0.5) / 32 - 0.5"
+_CORNER = "CASE {k} WHEN 1 THEN {f} - floor({f}) ELSE 1 - ({f} - floor({f})) END AS w{a}, CAST(least(greatest(floor({f}) + {k}, 0), (SELECT max(floor({a} / 32)) FROM vol)) AS BIGINT) AS t{a}"
+CORNERS = ", ".join(_CORNER.format(a=a, k=k, f=_AT.format(a=a)) for a, k in (("x", "i"), ("y", "j")))
+
+
+@query(
+    f"WITH vol AS (SELECT x, y, z, v FROM {SEG}), {LUTS}, luts AS ({LUT}), c AS (SELECT x, y, z, v, {CORNERS} FROM vol, range(0, 2) p(i), range(0, 2) q(j))"
+    ' SELECT c.x, c.y, c.z, CAST(round(sum(wx * wy * coalesce(luts."to", 0))) AS BIGINT) AS v FROM c ASOF LEFT JOIN luts ON c.z = luts.z AND c.tx = luts.tx AND c.ty = luts.ty AND c.v >= luts.v GROUP BY 1, 2, 3'
+)
 def clahe(spark, d):
     return stats.clahe(seg(spark, d).select("x", "y", "z", "v"), 32, 4.0)
 
@@ -391,6 +428,37 @@ def ccl_components(spark, d):
     return ccl.components(bright(spark, d), CCL_SHAPE)
 
 
+PIECE = (16, 12, 4)  # cells that cut the volume into many
+SAME = "a.x // 16 = b.x // 16 AND a.y // 12 = b.y // 12 AND a.z // 4 = b.z // 4"
+KEYED = "USING KEY (id) AS (SELECT id, id FROM {v} UNION SELECT {w}.b, min({r}.c) FROM {r} JOIN {w} ON {w}.a = {r}.id JOIN recurring.{r} AS k ON k.id = {w}.b WHERE {r}.c < k.c GROUP BY {w}.b)"
+# Pieces within cells: p(id, c).
+PIECES = f"RECURSIVE {EDGES}, i AS (SELECT e.a, e.b FROM e JOIN v a ON a.id = e.a JOIN v b ON b.id = e.b WHERE {SAME}), iw AS (SELECT a, b FROM i UNION ALL SELECT b, a FROM i), p(id, c) {KEYED.format(v='v', w='iw', r='p')}"
+
+
+@query(f"WITH {PIECES} SELECT v.x, v.y, v.z, p.c AS part FROM p JOIN v ON v.id = p.id WHERE x % 16 IN (0, 15) OR y % 12 IN (0, 11) OR z % 4 IN (0, 3)")
+def ccl_faces(spark, d):
+    return ccl.faces(ccl.parts(bright(spark, d), CCL_SHAPE, size=PIECE), PIECE)
+
+
+@query(f"WITH {PIECES} SELECT DISTINCT least(p.c, q.c) AS a, greatest(p.c, q.c) AS b FROM e JOIN p ON p.id = e.a JOIN p AS q ON q.id = e.b JOIN v a ON a.id = e.a JOIN v b ON b.id = e.b WHERE NOT ({SAME})")
+def ccl_links(spark, d):
+    return ccl.links(ccl.parts(bright(spark, d), CCL_SHAPE, size=PIECE), size=PIECE)
+
+
+@query(f"WITH {LABELS} SELECT x, y, z, c AS component FROM r JOIN v ON v.id = r.id")
+def ccl_relabel(spark, d):
+    return ccl.components(bright(spark, d), CCL_SHAPE, size=PIECE)
+
+
+# What is left when pieces of fewer than 3 voxels of a cell have gone: kept(id), and edges kw among them.
+LEFT = "kept AS (SELECT id FROM (SELECT id, count(*) OVER (PARTITION BY c) AS n FROM p) WHERE n >= 3), kw AS (SELECT e.a, e.b FROM e SEMI JOIN kept ON kept.id = e.a UNION ALL SELECT e.b, e.a FROM e SEMI JOIN kept ON kept.id = e.a), kk AS (SELECT kw.a, kw.b FROM kw SEMI JOIN kept ON kept.id = kw.a), kkk AS (SELECT kk.a, kk.b FROM kk SEMI JOIN kept ON kept.id = kk.b)"
+
+
+@query(f"WITH {PIECES}, {LEFT}, g(id, c) {KEYED.format(v='kept', w='kkk', r='g')} SELECT v.x, v.y, v.z, dense_rank() OVER (ORDER BY g.c) AS label FROM g JOIN v ON v.id = g.id")
+def ccl_cell_dust(spark, d):
+    return ccl.auto(fixture(spark, d, "vol_ccl"), CCL_SHAPE, gte=75, dust=3, dust_scope="cell", size=PIECE)
+
+
 @query(f"WITH {LABELS} SELECT c AS component, count(*) AS voxels FROM r GROUP BY c")
 def ccl_sizes(spark, d):
     return ccl.sizes(ccl.components(bright(spark, d), CCL_SHAPE))
@@ -406,12 +474,21 @@ def grid_offsets(spark, d):
     return ccl.cell_offsets((4, 4, 2), (32, 32, 8), spark)
 
 
-@query()
+ROI = f"v AS (SELECT *, x + 24 * (y + 24 * z) AS id FROM (SELECT CAST(floor(x / 2) AS BIGINT) AS x, CAST(floor(y / 2) AS BIGINT) AS y, z FROM {CCL} GROUP BY 1, 2, 3 HAVING floor(sum(v) / 4) > 90)), w AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON b.x BETWEEN a.x - 1 AND a.x + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 AND b.z BETWEEN a.z - 1 AND a.z + 1 AND a.id <> b.id)"
+
+
+@query(
+    f"WITH RECURSIVE {ROI}, r(id, c) {KEYED.format(v='v', w='w', r='r')}"
+    " SELECT c AS component, count(*) AS voxels, min(x) * 2 AS x0, (max(x) + 1) * 2 - 1 AS x1, min(y) * 2 AS y0, (max(y) + 1) * 2 - 1 AS y1, min(z) AS z0, max(z) AS z1 FROM r JOIN v ON v.id = r.id GROUP BY c HAVING count(*) >= 4"
+)
 def tissue_roi(spark, d):
     return ccl.tissue_roi(fixture(spark, d, "vol_ccl"), CCL_SHAPE, 90, 4, (2, 2, 1))
 
 
-@query()
+EMPTY = f"v AS (SELECT i % 48 AS x, i // 48 % 48 AS y, i // 2304 AS z, i AS id FROM range(0, 16128) t(i) WHERE i NOT IN (SELECT x + 48 * (y + 48 * z) FROM {CCL})), e AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON b.id = a.id + 1 AND b.y = a.y AND b.z = a.z UNION ALL SELECT a.id, b.id FROM v a JOIN v b ON b.id = a.id + 48 AND b.z = a.z UNION ALL SELECT a.id, b.id FROM v a JOIN v b ON b.id = a.id + 2304), w AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e)"
+
+
+@query(f"WITH RECURSIVE {EMPTY}, r(id, c) {KEYED.format(v='v', w='w', r='r')} SELECT x, y, z, CAST(1 AS BIGINT) AS label FROM r JOIN v ON v.id = r.id WHERE c NOT IN (SELECT c FROM r JOIN v ON v.id = r.id WHERE x IN (0, 47) OR y IN (0, 47) OR z IN (0, 6))")
 def fill_holes(spark, d):
     return ccl.fill_holes(fixture(spark, d, "vol_ccl").withColumn("label", F.lit(1).cast("bigint")), CCL_SHAPE)
 
@@ -438,6 +515,19 @@ def mesh_forge(spark, d):
     return found.select("label", "triangles", "x0")
 
 
+_SIDES = " UNION ALL ".join(f"SELECT label, x, y, z, {dx} AS dx, {dy} AS dy, {dz} AS dz FROM seg" for dx, dy, dz in mesh.FACES)
+
+
+@query(
+    f"WITH seg AS {SEG}, f AS ({_SIDES}), open AS (SELECT f.* FROM f ANTI JOIN seg ON seg.label = f.label AND seg.x = f.x + dx AND seg.y = f.y + dy AND seg.z = f.z + dz),"
+    " g AS (SELECT label, (x + greatest(dx, 0)) // 16 AS cx, (y + greatest(dy, 0)) // 16 AS cy, (z + greatest(dz, 0)) // 16 AS cz FROM open)"
+    " SELECT label, CAST(cx AS BIGINT) AS cx, CAST(cy AS BIGINT) AS cy, CAST(cz AS BIGINT) AS cz, 2 * count(*) AS n_triangles FROM g GROUP BY ALL"
+)
+def mesh_fragments(spark, d):
+    found = mesh.gathered(mesh.fragments(mesh.triangles(seg(spark, d)), 16))
+    return found.select("label", "cx", "cy", "cz", "n_triangles")
+
+
 @query()
 def mesh_lods(spark, d):
     return mesh.levels(mesh.triangles(seg(spark, d)), 16, SEG_SHAPE)

@@ -256,3 +256,59 @@ def test_ingest_is_idempotent(spark, tmp_path):
     counts = ingest.arriving_counts(stream).writeStream.format("memory").queryName("arrived").outputMode("complete").trigger(availableNow=True).start()
     counts.awaitTermination()
     assert {tuple(r) for r in spark.table("arrived").collect()} == {(1, 1), (2, 1)}
+
+
+def test_cells_of_any_size_give_the_same_components(spark):
+    import random
+
+    rng = random.Random(2)
+    rows = [(x, y, z, rng.choice([1, 2])) for x in range(9) for y in range(8) for z in range(5) if rng.random() < 0.6]
+    vol = spark.createDataFrame(rows, "x long, y long, z long, label long")
+    for connectivity in (6, 18, 26):
+        one, many, thin = (sorted(map(tuple, ccl.components(vol, (9, 8, 5), connectivity, "label", size).collect())) for size in ((9, 8, 5), (2, 3, 2), (1, 1, 1)))
+        assert one == many == thin and len(one) == len(rows)
+
+
+def test_small_pieces_of_a_cell_go_before_labelling(spark):
+    line, speck = [(x, 0, 0, 9) for x in range(6)], [(3, 3, 0, 9)]
+    vol = spark.createDataFrame(line + speck, "x long, y long, z long, v long")
+    found = lambda **k: {(r.x, r.y, r.z) for r in ccl.auto(vol, (6, 6, 1), gte=5, dust_scope="cell", **k).collect()}
+    assert found(dust=2, size=(6, 6, 1)) == {(x, 0, 0) for x in range(6)}
+    assert found(dust=2, size=(5, 6, 1)) == {(x, 0, 0) for x in range(5)} and len(found(dust=1)) == 7
+
+
+def test_kernels_see_their_halo(spark):
+    from stratavox.operators.kernel import apply_cells
+
+    vol = spark.createDataFrame([(3, 0, 0, 8), (4, 0, 0, 1)], "x long, y long, z long, v long")
+    shift = lambda dense: np.roll(dense, 1, axis=0)
+    assert sorted(map(tuple, apply_cells(vol, (4, 2, 1), (1, 0, 0), shift).collect())) == [(4, 0, 0, 8.0), (5, 0, 0, 1.0)]
+    with pytest.raises(ValueError):
+        apply_cells(vol, (4, 2, 1), (4, 0, 0), shift)
+    assert apply_cells(vol.limit(0), (4, 2, 1), (1, 0, 0), shift).count() == 0
+
+
+def test_fragments_hold_every_triangle_in_z_order(spark):
+    vol = spark.createDataFrame([(x, y, z, 1 + x // 3) for x in range(6) for y in range(5) for z in range(4)], "x long, y long, z long, label long")
+    tris = mesh.triangles(vol)
+    pieces = mesh.fragments(tris, 2)
+    assert pieces.selectExpr("label", "inline(triangles)").exceptAll(tris).count() == 0
+    rows = sorted(mesh.gathered(pieces).collect(), key=lambda r: (r.label, r.place))
+    for label in (1, 2):
+        own = [r for r in rows if r.label == label]
+        assert [r.code for r in own] == sorted(r.code for r in own) and own[0]["first"] == 0
+        assert all(a["first"] + a.n_triangles == b["first"] for a, b in zip(own, own[1:], strict=False))
+    assert sum(r.n_triangles for r in rows) == tris.count()
+
+
+def test_a_transfer_may_leave_levels_out(spark):
+    vol = spark.createDataFrame([(x, 0, 0, 4) for x in range(8)], "x long, y long, z long, v long")
+    mips = lambda **k: {r.mip for r in pool.transferred(vol, (2, 1, 1), 2, **k).collect()}
+    assert mips() == {0, 1, 2} and mips(skip_first=True) == {1, 2} and mips(skip_downsamples=True) == {0}
+
+
+def test_texts_for_people():
+    from stratavox.functions.people import ago_text, size_text
+
+    assert [size_text(n) for n in (0, 999, 1000, 2_345_678, 10**18)] == ["0 B", "999 B", "1.00 kB", "2.35 MB", "1.00 EB"]
+    assert [ago_text(n) for n in (0, 1, 59, 60, 7200, 90_000)] == ["just now", "1 second ago", "59 seconds ago", "1 minute ago", "2 hours ago", "1 day ago"]
