@@ -156,7 +156,10 @@ def note_rows(blocks: int, most: int):
 
 
 def _docs(left: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, in order, their doc_ids, and bytes and offsets of the texts of a block; of equal rows the first."""
+    """Rows, in order, their doc_ids, and bytes and offsets of the texts of a block; of equal rows the first.
+
+    A block always has the same rows, so their places in this order name them.
+    """
     rows = left["row"].to_numpy()
     rows, keep = np.unique(rows, return_index=True)
     data, offsets = buffer(left["text"].combine_chunks().take(pa.array(keep)))
@@ -200,19 +203,19 @@ def segment_rows(buckets: int):
             row, h, start, count, anchor, hot = row[keep], h[keep], start[keep].astype(np.int64), count[keep].astype(np.int64), anchor[keep].astype(np.int64), hot[keep]
             at = np.searchsorted(rows, row)
             note, h, count, anchor, begin = apart(h, count, anchor, offsets[at] + start, hot, data)
-            row, doc, start = row[note], ids[at][note], begin - offsets[at][note]
+            at = at[note]
+            doc, start = ids[at], begin - offsets[at]
             content = np.empty(len(h), np.uint64)
             for a, b in pieces(np.concatenate([[0], np.cumsum(count + SPAN - 1)])):
                 content[a:b] = word_hashes(data, begin[a:b], begin[a:b] + count[a:b] + SPAN - 1)
             order = np.lexsort((doc, content, h))
-            row, doc, h, start, count, anchor, begin, content = (x[order] for x in (row, doc, h, start, count, anchor, begin, content))
+            at, doc, h, start, count, anchor, begin, content = (x[order] for x in (at, doc, h, start, count, anchor, begin, content))
             for bucket, i, j in by_bucket(h, buckets):
                 cuts = i + np.flatnonzero(np.append(True, (h[i + 1 : j] != h[i : j - 1]) | (content[i + 1 : j] != content[i : j - 1])))
                 ends = np.append(cuts[1:], j)
                 size = count[cuts] + SPAN - 1
                 segments = bundle(h[cuts], count[cuts].astype(np.uint8), anchor[cuts].astype(np.uint8), doc[cuts], doc[ends - 1], content[cuts], data[ranges(begin[cuts], size)])
-                own, first, of = np.unique(row[i:j], return_index=True, return_inverse=True)
-                out.append((bucket, left["block"][0].as_py(), segments, bundle((ends - cuts).astype(np.uint32), own, doc[i:j][first], of.astype(np.uint32), start[i:j].astype(np.uint32))))
+                out.append((bucket, left["block"][0].as_py(), segments, bundle((ends - cuts).astype(np.uint32), at[i:j].astype(np.uint32), doc[i:j], start[i:j].astype(np.uint32))))
         return pa.Table.from_batches([batch_of(SEGMENTS, *(map(list, zip(*out, strict=True)) if out else [[]] * 4))])
 
     return run
@@ -328,14 +331,14 @@ def removal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out, cols = [], batch.to_pydict()
         for block, owners, runs in zip(cols["block"], cols["owners"], cols["runs"], strict=True):
-            times, row, doc, of_row, start = unbundle(owners, np.uint32, np.int64, np.int64, np.uint32, np.uint32)
+            times, at, doc, start = unbundle(owners, np.uint32, np.uint32, np.int64, np.uint32)
             seg, owner, j, length = unbundle(runs, np.uint32, np.int64, np.uint8, np.uint8)
             times = times.astype(np.int64)
             own = ranges((np.cumsum(times) - times)[seg], times[seg])
             of = np.repeat(np.arange(len(seg)), times[seg])
-            later = doc[of_row[own]] > owner[of]
+            later = doc[own] > owner[of]
             own, of = own[later], of[later]
-            out.append((block, 2, None, bundle(*runs_of(row[of_row[own]]), start[own] + j[of].astype(np.uint32), length[of])))
+            out.append((block, 2, None, bundle(at[own], start[own] + j[of].astype(np.uint32), length[of])))
         if out:
             yield batch_of(NOTES, *map(list, zip(*out, strict=True)))
 
@@ -351,8 +354,8 @@ def _gone(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.n
     np.add.at(edges, offsets[copies], 1)
     np.add.at(edges, offsets[copies + 1], -1)
     for blob in right.filter(pa.array(kinds == 2))["blob"].to_pylist() if len(right) else ():
-        row, times, start, length = unbundle(blob, np.int64, np.uint32, np.uint32, np.uint8)
-        at = offsets[np.searchsorted(rows, np.repeat(row, times))] + start
+        place, start, length = unbundle(blob, np.uint32, np.uint32, np.uint8)
+        at = offsets[place] + start
         np.add.at(edges, at, 1)
         np.add.at(edges, at + length.astype(np.int64) + SPAN - 1, -1)
     return rows, data, offsets, np.cumsum(edges[:-1]) > 0
