@@ -7,7 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratavox.operators.ccl import contract
 from stratavox.operators.select import AXES, cell
+from stratavox.sources.shared import materialise
 
 TRACED = "label long, cx long, cy long, cz long, x long, y long, z long, px long, py long, pz long, radius double"
 STEPS = np.array([(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) != (0, 0, 0)])
@@ -129,8 +131,8 @@ def smoothed(paths: DataFrame, width: int = 3) -> DataFrame:
     return turned.withColumns({f"n{a}": F.avg(f"d{a}").over(around) for a in AXES}).select("label", "step", *[f"n{a}" for a in AXES])
 
 
-def section_areas(nodes: DataFrame, vol: DataFrame, reach: int = 3) -> DataFrame:
-    """For each node with a normal (label, step, x, y, z, nx, ny, nz): voxels of its label within half a step of its plane."""
+def _sections(nodes: DataFrame, vol: DataFrame, reach: int) -> DataFrame:
+    """label, step, area within reach, and whether the section comes within a voxel of that limit."""
     keyed = vol.select("label", *[F.col(a).alias(f"v{a}") for a in AXES], *[F.floor(F.col(a) / reach).alias(f"c{a}") for a in AXES])
     spread = nodes
     for a in AXES:
@@ -140,7 +142,45 @@ def section_areas(nodes: DataFrame, vol: DataFrame, reach: int = 3) -> DataFrame
     off = sum((F.col(f"v{a}") - F.col(a)) * F.col(f"n{a}") for a in AXES) / norm
     far = sum((F.col(f"v{a}") - F.col(a)) ** 2 for a in AXES)
     inside = (F.abs(off) <= 0.5) & (far <= reach * reach)
-    return joined.groupBy("label", "step").agg(F.sum(F.when(inside, 1).otherwise(0)).cast("bigint").alias("area"))
+    return joined.groupBy("label", "step").agg(F.sum(F.when(inside, 1).otherwise(0)).cast("bigint").alias("area"), F.max(inside & (far > (reach - 1) ** 2)).alias("open"))
+
+
+def section_areas(nodes: DataFrame, vol: DataFrame, reach: int = 3) -> DataFrame:
+    """For each node with a normal (label, step, x, y, z, nx, ny, nz): voxels of its label within half a step of its plane.
+
+    A section is measured within `reach` of its node; those that touch this limit are measured again within twice as
+    much, until none does, so wide sections are whole and narrow ones look at few voxels. Further parts of a label in
+    the same plane, beyond a gap, don't count.
+    """
+    done, todo = None, nodes
+    while True:
+        found = materialise(_sections(todo, vol, reach), "sections")
+        ready = found.filter("not open").select("label", "step", "area")
+        done = ready if done is None else done.unionByName(ready)
+        still = found.filter("open").select("label", "step")
+        if still.isEmpty():
+            return done
+        todo, reach = nodes.join(still, ["label", "step"], "left_semi"), 2 * reach
+
+
+def without_ticks(edges: DataFrame, least: float, resolution: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
+    """edges (label, a, b) without side branches shorter than `least`: paths from a tip to the first node of three edges or more.
+
+    What lies between branching nodes are the components of the other nodes; each is measured by one grouping. Nodes
+    go by a 64-bit hash. Paths without a branching node stay, and what becomes a tip by this is left for another call.
+    """
+    square = sum((((F.col(f"a.{x}") - F.col(f"b.{x}")) * r) ** 2) for x, r in zip(AXES, resolution, strict=True))
+    each = edges.select("label", "a", "b", F.xxhash64("label", "a").alias("ia"), F.xxhash64("label", "b").alias("ib"), F.sqrt(square).alias("length"))
+    degree = each.select(F.explode(F.array("ia", "ib")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
+    side = lambda x: degree.select(F.col("node").alias(f"i{x}"), F.col("degree").alias(f"d{x}"))
+    both = materialise(each.join(side("a"), "ia").join(side("b"), "ib"), "ticks-edges")
+    roots = contract(both.filter("da <= 2 and db <= 2").select(F.col("ia").alias("a"), F.col("ib").alias("b")))
+    inner = F.when(F.col("da") <= 2, F.col("ia")).when(F.col("db") <= 2, F.col("ib"))
+    placed = both.withColumn("node", inner).join(roots, "node", "left").withColumn("part", F.coalesce("root", "node"))
+    ends = F.sum(F.col("da").eqNullSafe(1).cast("int") + F.col("db").eqNullSafe(1).cast("int")).alias("tips")
+    meets = F.sum((F.col("da") > 2).cast("int") + (F.col("db") > 2).cast("int")).alias("meets")
+    short = placed.filter("part is not null").groupBy("part").agg(F.sum("length").alias("all"), ends, meets).filter((F.col("tips") == 1) & (F.col("meets") == 1) & (F.col("all") < least))
+    return placed.join(short.select("part"), "part", "left_anti").select("label", "a", "b")
 
 
 def swc_lines(nodes: DataFrame) -> DataFrame:

@@ -312,3 +312,19 @@ def test_texts_for_people():
 
     assert [size_text(n) for n in (0, 999, 1000, 2_345_678, 10**18)] == ["0 B", "999 B", "1.00 kB", "2.35 MB", "1.00 EB"]
     assert [ago_text(n) for n in (0, 1, 59, 60, 7200, 90_000)] == ["just now", "1 second ago", "59 seconds ago", "1 minute ago", "2 hours ago", "1 day ago"]
+
+
+def test_wide_sections_are_whole(spark):
+    slab = [(x, y, 1, 1) for x in range(31) for y in range(31)] + [(15, 15, 2, 1), (60, 15, 1, 1)]
+    nodes = spark.createDataFrame([(1, 0, 15, 15, 1, 0.0, 0.0, 1.0), (1, 1, 15, 15, 2, 0.0, 0.0, 1.0)], "label long, step long, x long, y long, z long, nx double, ny double, nz double")
+    assert {r.step: r.area for r in skeleton.section_areas(nodes, voxels(spark, slab)).collect()} == {0: 31 * 31, 1: 1}
+
+
+def test_short_side_branches_go(spark):
+    trunk = [((x, 0, 0), (x + 1, 0, 0)) for x in range(20)]
+    twig, limb = [((5, y, 0), (5, y + 1, 0)) for y in range(2)], [((12, y, 0), (12, y + 1, 0)) for y in range(7)]
+    alone = [((0, 50, 0), (1, 50, 0))]
+    frame = spark.createDataFrame([(1, *e) for e in trunk + twig + limb + alone], "label long, a struct<x:long,y:long,z:long>, b struct<x:long,y:long,z:long>")
+    left = {(tuple(r.a), tuple(r.b)) for r in skeleton.without_ticks(frame, 4.0).collect()}
+    assert left == set(trunk + limb + alone)
+    assert skeleton.without_ticks(frame.limit(0), 4.0).count() == 0

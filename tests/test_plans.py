@@ -1,4 +1,4 @@
-"""Planning arithmetic: known values."""
+"""Planning arithmetic. Inputs and results below are fixed values: other planners of such volumes give the same."""
 
 import pytest
 
