@@ -15,70 +15,99 @@ TRACED = "label long, cx long, cy long, cz long, x long, y long, z long, px long
 STEPS = np.array([(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) != (0, 0, 0)])
 
 
-def _adjacent(points: np.ndarray) -> np.ndarray:
-    """For each point the rows of its 26 neighbours, or -1."""
-    low = points.min(axis=0) - 1
-    shape = points.max(axis=0) - low + 2
-    code = lambda p: ((p[..., 2] - low[2]) * shape[1] + p[..., 1] - low[1]) * shape[0] + p[..., 0] - low[0]
-    own = code(points)
-    order = np.argsort(own)
-    there = code(points[:, None, :] + STEPS[None])
-    at = np.minimum(np.searchsorted(own[order], there), len(own) - 1)
-    return np.where(own[order][at] == there, order[at], -1)
-
-
-def _distances(near: np.ndarray, start: np.ndarray, length: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least path costs from the start rows, and the row before each, relaxing all points until nothing gets nearer."""
-    far = np.full(len(near), np.inf)
-    far[start] = 0
-    before = np.full(len(near), -1)
-    while True:
-        offer = np.where(near >= 0, far[np.maximum(near, 0)] + length[None, :] * cost[:, None], np.inf)
-        best = offer.argmin(axis=1)
-        value = offer[np.arange(len(near)), best]
-        nearer = value < far - 1e-9
-        if not nearer.any():
-            return far, before
-        far[nearer] = value[nearer]
-        before[nearer] = near[nearer, best[nearer]]
+#: The most voxels in a cell that forge() takes: a group's arrays are in proportion to it.
+MOST = 1 << 24
+
+
+class _Body:
+    """Voxels of one label in one cell on a dense grid of their box, with a border of one voxel."""
+
+    def __init__(self, points: np.ndarray):
+        self.low = points.min(axis=0) - 1
+        self.shape = points.max(axis=0) - self.low + 2
+        strides = np.array([1, self.shape[0], self.shape[0] * self.shape[1]])
+        self.code = (points - self.low) @ strides
+        self.at = np.full(int(self.shape.prod()), -1, np.int32)
+        self.at[self.code] = np.arange(len(points), dtype=np.int32)
+        self.steps = STEPS @ strides
+        self.points = points
+
+    def near(self, rows: np.ndarray, steps: np.ndarray) -> np.ndarray:
+        """For each of the rows those of its neighbours at these steps, or -1."""
+        return self.at[self.code[rows][:, None] + steps]
+
+    def border(self) -> np.ndarray:
+        """Rows with a face that no other voxel of the label shares."""
+        flat = self.steps[np.abs(STEPS).sum(axis=1) == 1]
+        bare = np.zeros(len(self.code), bool)
+        for s in flat:
+            bare |= self.at[self.code + s] < 0
+        return np.flatnonzero(bare)
+
+    def distances(self, start: np.ndarray, cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Least path costs from the start rows, and the row before each; a step costs its length times its end's cost, of 1 at least.
+
+        A step adds 1 at least, so all open rows less than 1 above the nearest are settled; they are expanded together.
+        """
+        far, before = np.full(len(self.code), np.inf), np.full(len(self.code), -1, np.int32)
+        far[start] = 0
+        length = np.sqrt((STEPS**2).sum(axis=1))
+        waiting = start
+        while len(waiting):
+            ready = far[waiting] < far[waiting].min() + 1
+            now, waiting = waiting[ready], waiting[~ready]
+            there = self.near(now, self.steps)
+            offer = far[now][:, None] + length[None, :] * cost[there]
+            source = np.broadcast_to(now[:, None], there.shape)
+            better = (there >= 0) & (offer < far[there] - 1e-9)
+            there, offer, source = there[better], offer[better], source[better]
+            np.minimum.at(far, there, offer)
+            best = offer <= far[there]
+            before[there[best]] = source[best]
+            waiting = np.unique(np.concatenate([waiting, there]))
+        return far, before
+
+    def clear(self, open_: np.ndarray, row: int, reach: float) -> None:
+        """Close the open rows whose coordinates are all within reach of those of a row."""
+        middle = self.points[row] - self.low
+        least = np.maximum(np.ceil(middle - reach), 0).astype(int)
+        most = np.minimum(np.floor(middle + reach) + 1, self.shape).astype(int)
+        box = self.at.reshape(self.shape[::-1])[least[2] : most[2], least[1] : most[1], least[0] : most[0]]
+        open_[box[box >= 0]] = False
 
 
 def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.DataFrame:
     """TEASAR of one label in one cell: paths to the farthest points along the middle, clearing a ball around each path.
 
-    Every traced voxel comes with the one before it (itself at a root) and its distance to the border.
+    Every traced voxel comes with the one before it (itself at a root) and its distance to the border. Voxels are taken
+    in the order of z, y, x, so reruns agree; repeated ones count once. Memory is 4 bytes for each voxel of the label's
+    box and some 200 for each of its own; each voxel is expanded once a path search.
     """
-    points = group[list(AXES)].to_numpy()
-    near = _adjacent(points)
-    length = np.sqrt((STEPS**2).sum(axis=1))
-    flat = np.abs(STEPS).sum(axis=1) == 1
-    radius = _distances(near, np.flatnonzero((near[:, flat] < 0).any(axis=1)), length, np.ones(len(points)))[0] + 1
-    radius[~np.isfinite(radius)] = 1
+    points = np.unique(group[["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1]
+    body, one = _Body(points), np.ones(len(points))
+    radius = body.distances(body.border(), one)[0] + 1
     penalty = 1 + 100 * (1 - radius / radius.max()) ** 4
     left, rows = np.ones(len(points), bool), {}
     while left.any():
-        first = int(np.flatnonzero(left)[0])
-        reach, _ = _distances(near, np.array([first]), length, np.ones(len(points)))
-        body = np.isfinite(reach)
-        root = int(np.where(body, reach, -1).argmax())
-        plain, _ = _distances(near, np.array([root]), length, np.ones(len(points)))
-        _, before = _distances(near, np.array([root]), length, penalty)
+        reach, _ = body.distances(np.array([int(left.argmax())]), one)
+        found = np.isfinite(reach)
+        root = int(np.where(found, reach, -1).argmax())
+        plain, _ = body.distances(np.array([root]), one)
+        _, before = body.distances(np.array([root]), penalty)
         rows[root] = root
-        open_ = body & left
-        while open_.any():
-            at = int(np.where(open_, plain, -1).argmax())
-            path = []
-            while True:
-                path.append(at)
-                if at in rows:
-                    break
-                rows[at] = int(before[at]) if before[at] >= 0 else at
+        open_ = found & left
+        farthest = np.flatnonzero(found)
+        for at in farthest[np.argsort(-plain[farthest], kind="stable")].tolist():
+            if not open_[at]:
+                continue
+            path = [at]
+            while at not in rows:
+                rows[at] = int(before[at])
                 at = rows[at]
+                path.append(at)
             for p in path:
-                gap = np.abs(points - points[p]).max(axis=1)
-                open_ &= gap > scale * radius[p] + const
-            open_[path] = False
-        left &= ~body
+                body.clear(open_, p, scale * radius[p] + const)
+        left &= ~found
     at, to = np.array(list(rows)), np.array(list(rows.values()))
     out = pd.DataFrame({c: group[c].iloc[0] for c in ("label", "cx", "cy", "cz")}, index=range(len(at)))
     for k, a in enumerate(AXES):
@@ -90,8 +119,10 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.Dat
 def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0) -> DataFrame:
     """Traced voxels of each label in each cell; cells overlap by one voxel, so that fragments meet.
 
-    A group is one label in one cell, which the cell's size bounds.
+    A group is one label in one cell, which the cell's size bounds; cells of more than MOST voxels are an error.
     """
+    if (size[0] + 1) * (size[1] + 1) * (size[2] + 1) > MOST:
+        raise ValueError(f"a cell has at most {MOST} voxels; take smaller ones, fragments meet when merged")
     low = [F.when((F.col(a) % s == 0) & (F.col(a) > 0), F.array(F.lit(0), F.lit(-1))).otherwise(F.array(F.lit(0))) for a, s in zip(AXES, size, strict=True)]
     sent = vol.select("label", *AXES).withColumn("_i", F.explode(low[0])).withColumn("_j", F.explode(low[1])).withColumn("_k", F.explode(low[2]))
     own = cell(size)

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,41 @@ def test_skeletons_are_trees_on_their_labels(spark):
     assert one.filter("x = px AND y = py AND z = pz").count() == 1  # a root; each other voxel has one before it
 
 
+def test_searches_within_a_cell_find_least_costs():
+    import heapq
+
+    rng = np.random.default_rng(5)
+    for _ in range(6):
+        points = np.argwhere(rng.random((7, 6, 5)) < 0.45) + rng.integers(-5, 5, 3)
+        cost, rows = 1 + rng.random(len(points)) * 50, {tuple(p): i for i, p in enumerate(points)}
+        body = skeleton._Body(points)
+        far, heap = np.full(len(points), np.inf), [(0.0, 0)]
+        far[0] = 0
+        while heap:
+            d, u = heapq.heappop(heap)
+            for s in skeleton.STEPS:
+                v = rows.get(tuple(points[u] + s))
+                if v is not None and (n := d + np.sqrt((s**2).sum()) * cost[v]) < far[v]:
+                    far[v] = n
+                    heapq.heappush(heap, (n, v))
+        found, before = body.distances(np.array([0]), cost)
+        assert np.allclose(found, far)
+        reached = np.flatnonzero(np.isfinite(far) & (np.arange(len(far)) > 0))
+        assert np.allclose(far[before[reached]] + np.sqrt(((points[reached] - points[before[reached]]) ** 2).sum(axis=1)) * cost[reached], far[reached])
+
+
+def test_traces_do_not_depend_on_the_order_of_voxels():
+    at = np.argwhere(np.add.outer(np.add.outer((np.arange(19) - 9) ** 2, (np.arange(9) - 4) ** 2), (np.arange(9) - 4) ** 2) < 40)
+    group = pd.DataFrame(at, columns=list("xyz")).assign(label=1, cx=0, cy=0, cz=0)
+    one, other = skeleton.trace(group), skeleton.trace(pd.concat([group, group]).sample(frac=1, random_state=3))
+    assert one.equals(other)
+
+
+def test_cells_of_skeletons_are_bounded(spark):
+    with pytest.raises(ValueError):
+        skeleton.forge(voxels(spark, [(0, 0, 0, 1)]), (512, 512, 512))
+
+
 def test_section_areas(spark):
     bar = voxels(spark, [(x, y, z, 1) for x in range(9) for y in range(3) for z in range(3)])
     nodes = spark.createDataFrame([(1, 0, 4, 1, 1, 1.0, 0.0, 0.0)], "label long, step long, x long, y long, z long, nx double, ny double, nz double")
