@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, kernel, mesh, pool, relabel, select, skeleton, spatial, stats
+from stratavox.operators import ccl, iso, kernel, mesh, pool, relabel, select, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
+from stratavox.sources.shared import materialise
 from stratavox.sources.volume import to_chunks, to_voxels, transfer
 
 BOX = ((16, 24, 1), (80, 100, 5))
@@ -538,6 +539,44 @@ def mesh_bounds(spark, d):
     return mesh.meshes(mesh.triangles(seg(spark, d))).select("label", "x0", "y0", "z0", "x1", "y1", "z1")
 
 
+_BITS = ", ".join(f"({1 << i}, {x}, {y}, {z})" for i, (x, y, z) in enumerate(iso.CORNERS))
+_CUTS = ", ".join(f"({', '.join(str(1 << c) for c in t)})" for t in iso.TETRAHEDRA)
+_WAYS = ", ".join(str(c) for c in iso.CORNERS[1:])
+
+
+@query(
+    f"WITH seg AS MATERIALIZED (SELECT x, y, z, label FROM {SEG}),"
+    f" e AS (SELECT label, x + s * dx AS x, y + s * dy AS y, z + s * dz AS z FROM seg, (VALUES {_WAYS}) w(dx, dy, dz), (VALUES (1), (-1)) t(s)),"
+    " p AS (SELECT label, count(*) AS vertices FROM e ANTI JOIN seg USING (label, x, y, z) GROUP BY label),"
+    f" c AS (SELECT label, x - dx AS x, y - dy AS y, z - dz AS z, bit_or(b) AS mask FROM seg, (VALUES {_BITS}) k(b, dx, dy, dz) GROUP BY ALL),"
+    f" t AS (SELECT label, (mask & p > 0)::INT + (mask & q > 0)::INT + (mask & r > 0)::INT + (mask & s > 0)::INT AS n FROM c, (VALUES {_CUTS}) u(p, q, r, s)),"
+    " q AS (SELECT label, CAST(sum(CASE WHEN n IN (1, 3) THEN 1 WHEN n = 2 THEN 2 ELSE 0 END) AS BIGINT) AS triangles FROM t GROUP BY label)"
+    " SELECT label, vertices, triangles, CAST(vertices - triangles // 2 AS BIGINT) AS euler FROM p JOIN q USING (label)"
+)
+def iso_meshes(spark, d):
+    return mesh.meshes(iso.iso_triangles(seg(spark, d))).select("label", "vertices", "triangles", "euler")
+
+
+_HALVES = ", ".join(str((*d, *c[0], *c[i], *c[j])) for d, c in mesh.FACES.items() for i, j in ((1, 2), (2, 3)))
+_SNAP = ", ".join(f"((x + {n}_x) >> s) + 256 * ((y + {n}_y) >> s) + 65536 * ((z + {n}_z) >> s) AS {n}" for n in "abc")
+
+
+@query(
+    f"WITH seg AS {SEG}, f AS ({_SIDES}), open AS (SELECT f.* FROM f ANTI JOIN seg ON seg.label = f.label AND seg.x = f.x + dx AND seg.y = f.y + dy AND seg.z = f.z + dz),"
+    f" t AS (SELECT label, s, {_SNAP} FROM open JOIN (VALUES {_HALVES}) h(dx, dy, dz, a_x, a_y, a_z, b_x, b_y, b_z, c_x, c_y, c_z) USING (dx, dy, dz), range(0, 9) r(s)),"
+    " k AS (SELECT DISTINCT label, s, CASE least(a, b, c) WHEN a THEN [a, b, c] WHEN b THEN [b, c, a] ELSE [c, a, b] END AS k FROM t WHERE a <> b AND b <> c AND a <> c),"
+    " n AS (SELECT label, s, count(k) AS n FROM (SELECT DISTINCT label FROM seg) CROSS JOIN range(0, 9) r(s) LEFT JOIN k USING (label, s) GROUP BY 1, 2),"
+    " m AS (SELECT label, greatest(4, n // 10) AS most FROM n WHERE s = 0)"
+    " SELECT label, CAST(1 << min(s) AS BIGINT) AS cell, arg_min(n, s) AS triangles FROM n JOIN m USING (label) WHERE n <= most GROUP BY label"
+)
+def mesh_simplified(spark, d):
+    tris = materialise(mesh.triangles(seg(spark, d)), "simplified-whole")
+    cells = iso.cells_for(tris, 10)
+    kept = iso.simplified(tris.join(cells.select("label", F.col("cell").alias("edge")), "label"), F.col("edge"))
+    left = kept.groupBy("label").agg(F.count("*").alias("n"))
+    return cells.join(left, "label", "left").select("label", "cell", F.coalesce("n", F.lit(0)).cast("bigint").alias("triangles"))
+
+
 MORTON_SQL = " + ".join(f"((cx >> {i} & 1) << {3 * i}) + ((cy >> {i} & 1) << {3 * i + 1}) + ((cz >> {i} & 1) << {3 * i + 2})" for i in range(10))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stratavox import registry
 from stratavox.functions.codes import hashed_label, label_of, murmur3_labels
-from stratavox.operators import ccl, mesh, pool, relabel, select, skeleton, stats
+from stratavox.operators import ccl, iso, mesh, pool, relabel, select, skeleton, stats
 from stratavox.sources import volume
 from stratavox.streaming import ingest
 
@@ -364,3 +364,46 @@ def test_short_side_branches_go(spark):
     left = {(tuple(r.a), tuple(r.b)) for r in skeleton.without_ticks(frame, 4.0).collect()}
     assert left == set(trunk + limb + alone)
     assert skeleton.without_ticks(frame.limit(0), 4.0).count() == 0
+
+
+def signed_volume(rows):
+    """Six times the volume within a surface of triangles, from the corners' determinants."""
+    return sum(np.linalg.det(np.array([tuple(r.a), tuple(r.b), tuple(r.c)], float)) for r in rows)
+
+
+def ball(radius):
+    at = range(-radius, radius + 1)
+    return [(x + 20, y + 20, z + 20, 1) for x in at for y in at for z in at if x * x + y * y + z * z <= radius * radius]
+
+
+def test_iso_surfaces_are_closed_and_face_outwards(spark):
+    ring = [(x, y, z, 2) for x in range(5) for y in range(5) for z in range(2) if not (1 < x < 3 and 1 < y < 3)]
+    tris = iso.iso_triangles(voxels(spark, ball(4) + ring + ring[:3]))
+    found = {r.label: r for r in mesh.meshes(tris).collect()}
+    assert {k: r.euler for k, r in found.items()} == {1: 2, 2: 0}
+    assert all(2 * r.edges == 3 * r.triangles for r in found.values())
+    sides = Counter((r.label, p, q) for r in tris.collect() for p, q in ((r.a, r.b), (r.b, r.c), (r.c, r.a)))
+    assert all(sides[label, q, p] == n for (label, p, q), n in sides.items())  # as often one way as the other
+    volume_of = signed_volume(tris.filter("label = 1").collect()) / 6 / 8
+    assert 0.8 < volume_of / len(ball(4)) < 1.1
+    assert iso.iso_triangles(voxels(spark, ball(1)).limit(0)).count() == 0
+
+
+def test_every_mask_of_a_cube_has_the_surface_of_its_complement_turned():
+    for mask in range(1, 255):
+        own, other = iso.crossings(mask), iso.crossings(255 - mask)
+        assert len(own) == len(other) and {frozenset(v for t in own for v in t)} == {frozenset(v for t in other for v in t)}
+
+
+def test_simplified_surfaces_keep_flat_sides_and_volume(spark):
+    box = voxels(spark, [(x, y, z, 1) for x in range(16) for y in range(16) for z in range(16)])
+    flat = iso.simplified(mesh.triangles(box), 6).collect()
+    assert 0 < len(flat) < 3072 / 10 and abs(signed_volume(flat) / 6 - 4096) < 1  # quadrics keep the box's corners and edges
+    tris = mesh.triangles(voxels(spark, ball(9)))
+    before = tris.count()
+    cells = iso.cells_for(tris, 10).first()
+    kept = iso.simplified_by(tris, 10).collect()
+    assert len(kept) == cells.triangles <= before // 10
+    assert 0.75 < signed_volume(kept) / 6 / len(ball(9)) < 1.1
+    assert iso.cells_for(tris, 100, error=2).first().cell == 2
+    assert iso.simplified_by(tris.limit(0), 10).count() == 0
