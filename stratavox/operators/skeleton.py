@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stratavox.operators.ccl import contract
 from stratavox.operators.select import AXES, cell
-from stratavox.sources.shared import materialise
+from stratavox.sources.shared import drop, materialise
 
 TRACED = "label long, cx long, cy long, cz long, x long, y long, z long, px long, py long, pz long, radius double"
 STEPS = np.array([(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1) if (i, j, k) != (0, 0, 0)])
@@ -214,6 +214,30 @@ def without_ticks(edges: DataFrame, least: float, resolution: tuple[int, int, in
     return placed.join(short.select("part"), "part", "left_anti").select("label", "a", "b")
 
 
+def without_loops(edges: DataFrame, resolution: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
+    """edges (label, a, b) of the shortest forest with the same pieces: each loop is cut at its longest edge, of equal ones at the last by (a, b).
+
+    Every piece picks its shortest edge outwards, what is picked is contracted, and of edges between the same two pieces
+    the shortest stays (Boruvka's rounds): pieces at least halve each round, and the edges left get fewer. Repeated edges
+    count once; edges from a node to itself go. Nodes go by a 64-bit hash.
+    """
+    square = sum((((F.col(f"a.{x}") - F.col(f"b.{x}")) * r) ** 2) for x, r in zip(AXES, resolution, strict=True))
+    each = edges.select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    each = each.select(F.xxhash64("label", "a").alias("p"), F.xxhash64("label", "b").alias("q"), F.struct(F.sqrt(square).alias("length"), "label", "a", "b").alias("e")).filter("p != q")
+    shortest = lambda df: df.groupBy(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).agg(F.min("e").alias("e"))
+    left, kept = materialise(shortest(each), "loops-left"), each.limit(0).select("e.label", "e.a", "e.b")
+    while not left.isEmpty():
+        ends = left.select(F.explode(F.array("p", "q")).alias("piece"), F.struct("e", "p", "q").alias("s"))
+        picked = materialise(ends.groupBy("piece").agg(F.min("s").alias("s")).select("s.*").distinct(), "loops-picked")
+        kept = kept.unionByName(picked.select("e.label", "e.a", "e.b"))
+        roots = materialise(contract(picked.select(F.col("p").alias("a"), F.col("q").alias("b"))), "loops-roots")
+        for end in "pq":
+            left = left.join(roots.select(F.col("node").alias(end), F.col("root").alias(f"r{end}")), end)
+        left = materialise(shortest(left.filter("rp != rq").select(F.col("rp").alias("p"), F.col("rq").alias("q"), "e")), "loops-left")
+        drop(roots)
+    return kept
+
+
 def swc_lines(nodes: DataFrame) -> DataFrame:
     """SWC lines (id, type, x, y, z, radius, parent) of nodes with columns label, node, x, y, z, radius, parent."""
     return nodes.select("label", "node", F.concat_ws(" ", F.col("node").cast("string"), F.lit("0"), *[F.col(a).cast("string") for a in AXES], F.col("radius").cast("string"), F.col("parent").cast("string")).alias("line"))

@@ -681,6 +681,11 @@ def cable_length(spark, d):
     return skeleton.cable_length(skeleton.merge(path_rows(spark, d))[1]).withColumn("length", F.round("length", 3))
 
 
+@query(f"WITH {PATHS} SELECT label, count(DISTINCT (x, y, z)) - 1 AS edges FROM paths GROUP BY label HAVING count(DISTINCT (x, y, z)) > 1")
+def skeleton_forest(spark, d):
+    return skeleton.without_loops(skeleton.merge(path_rows(spark, d))[1]).groupBy("label").agg(F.count("*").alias("edges"))
+
+
 @query(f"WITH {PATHS}, t AS (SELECT *, lead(y) OVER w - y AS dy, lead(z) OVER w - z AS dz FROM paths WINDOW w AS (PARTITION BY label ORDER BY step)) SELECT label, step, round(avg(dy) OVER n, 6) AS ny, round(avg(dz) OVER n, 6) AS nz FROM t WINDOW n AS (PARTITION BY label ORDER BY step ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)")
 def smoothed_normals(spark, d):
     return skeleton.smoothed(paths(spark, d), 3).select("label", "step", F.round("ny", 6).alias("ny"), F.round("nz", 6).alias("nz"))

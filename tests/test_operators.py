@@ -407,3 +407,26 @@ def test_simplified_surfaces_keep_flat_sides_and_volume(spark):
     assert 0.75 < signed_volume(kept) / 6 / len(ball(9)) < 1.1
     assert iso.cells_for(tris, 100, error=2).first().cell == 2
     assert iso.simplified_by(tris.limit(0), 10).count() == 0
+
+
+def test_loops_are_cut_at_their_longest_edges(spark):
+    rng = random.Random(8)
+    nodes = [(rng.randrange(12), rng.randrange(12), rng.randrange(3)) for _ in range(60)]
+    links = {(label, *sorted(rng.sample(nodes, 2))) for label in (1, 2) for _ in range(90)}
+    links = {e for e in links if e[1] != e[2]}
+    root = {}
+
+    def top(n):
+        while root.setdefault(n, n) != n:
+            n = root[n]
+        return n
+
+    want = set()
+    for label, a, b in sorted(links, key=lambda e: (sum((p - q) ** 2 for p, q in zip(e[1], e[2], strict=True)), e)):
+        if top((label, a)) != top((label, b)):
+            root[top((label, a))] = top((label, b))
+            want.add((label, a, b))
+    turned = [(label, b, a) for label, a, b in list(links)[:20]] + [(1, nodes[0], nodes[0])]
+    frame = spark.createDataFrame([*links, *turned], "label long, a struct<x:long,y:long,z:long>, b struct<x:long,y:long,z:long>")
+    assert {(r.label, tuple(r.a), tuple(r.b)) for r in skeleton.without_loops(frame).collect()} == want
+    assert skeleton.without_loops(frame.limit(0)).count() == 0
