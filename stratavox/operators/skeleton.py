@@ -36,6 +36,13 @@ class _Body:
         """For each of the rows those of its neighbours at these steps, or -1."""
         return self.at[self.code[rows][:, None] + steps]
 
+    def rows(self, points: np.ndarray) -> np.ndarray:
+        """The rows of those of the points that are voxels of the label."""
+        off = points - self.low
+        inside = ((off >= 0) & (off < self.shape)).all(axis=1)
+        found = self.at[off[inside] @ np.array([1, self.shape[0], self.shape[0] * self.shape[1]])]
+        return found[found >= 0]
+
     def border(self) -> np.ndarray:
         """Rows with a face that no other voxel of the label shares."""
         flat = self.steps[np.abs(STEPS).sum(axis=1) == 1]
@@ -81,10 +88,13 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.Dat
 
     Every traced voxel comes with the one before it (itself at a root) and its distance to the border. Voxels are taken
     in the order of z, y, x, so reruns agree; repeated ones count once. Memory is 4 bytes for each voxel of the label's
-    box and some 200 for each of its own; each voxel is expanded once a path search.
+    box and some 200 for each of its own; each voxel is expanded once a path search. Rows with a true `target`, if there
+    is such a column, name voxels that get a path in any case; they add no voxels.
     """
-    points = np.unique(group[["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1]
+    wanted = group["target"].to_numpy(bool) if "target" in group else np.zeros(len(group), bool)
+    points = np.unique(group.loc[~wanted, ["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1]
     body, one = _Body(points), np.ones(len(points))
+    targets = body.rows(np.unique(group.loc[wanted, ["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1])
     radius = body.distances(body.border(), one)[0] + 1
     penalty = 1 + 100 * (1 - radius / radius.max()) ** 4
     left, rows = np.ones(len(points), bool), {}
@@ -107,6 +117,10 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.Dat
                 path.append(at)
             for p in path:
                 body.clear(open_, p, scale * radius[p] + const)
+        for at in targets[found[targets]].tolist():
+            while at not in rows:
+                rows[at] = int(before[at])
+                at = rows[at]
         left &= ~found
     at, to = np.array(list(rows)), np.array(list(rows.values()))
     out = pd.DataFrame({c: group[c].iloc[0] for c in ("label", "cx", "cy", "cz")}, index=range(len(at)))
@@ -116,24 +130,49 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.Dat
     return out[[x.split()[0] for x in TRACED.split(", ")]]
 
 
-def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0) -> DataFrame:
+def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: DataFrame | None = None) -> DataFrame:
     """Traced voxels of each label in each cell; cells overlap by one voxel, so that fragments meet.
 
-    A group is one label in one cell, which the cell's size bounds; cells of more than MOST voxels are an error.
+    A group is one label in one cell, which the cell's size bounds; cells of more than MOST voxels are an error. Targets
+    (label, x, y, z), such as nearest_voxels() gives, get a path each; those that are no voxels of their label don't count.
     """
     if (size[0] + 1) * (size[1] + 1) * (size[2] + 1) > MOST:
         raise ValueError(f"a cell has at most {MOST} voxels; take smaller ones, fragments meet when merged")
     low = [F.when((F.col(a) % s == 0) & (F.col(a) > 0), F.array(F.lit(0), F.lit(-1))).otherwise(F.array(F.lit(0))) for a, s in zip(AXES, size, strict=True)]
-    sent = vol.select("label", *AXES).withColumn("_i", F.explode(low[0])).withColumn("_j", F.explode(low[1])).withColumn("_k", F.explode(low[2]))
+    marked = vol.select("label", *AXES, F.lit(False).alias("target"))
+    if targets is not None:
+        marked = marked.unionByName(targets.select("label", *AXES, F.lit(True).alias("target")).distinct())
+    sent = marked.withColumn("_i", F.explode(low[0])).withColumn("_j", F.explode(low[1])).withColumn("_k", F.explode(low[2]))
     own = cell(size)
-    keyed = sent.select("label", *[(own[f"c{a}"] + F.col(k)).alias(f"c{a}") for a, k in zip(AXES, ("_i", "_j", "_k"), strict=True)], *AXES)
+    keyed = sent.select("label", *[(own[f"c{a}"] + F.col(k)).alias(f"c{a}") for a, k in zip(AXES, ("_i", "_j", "_k"), strict=True)], *AXES, "target")
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        return trace(group) if len(group) >= max(dust, 1) else pd.DataFrame(columns=[x.split()[0] for x in TRACED.split(", ")])
+        return trace(group) if (~group["target"]).sum() >= max(dust, 1) else pd.DataFrame(columns=[x.split()[0] for x in TRACED.split(", ")])
 
     return keyed.groupBy("label", "cx", "cy", "cz").applyInPandas(one, TRACED)
 
 
+def nearest_voxels(points: DataFrame, vol: DataFrame, radius: int) -> DataFrame:
+    """For each point (label, x, y, z, kind) at most radius away from its label: the nearest voxel, the first by (z, y, x) of equal ones.
+
+    Both meet in cells as wide as the radius, on the label and the cell; further columns of the points are left out.
+    """
+    keyed = vol.select("label", *[F.col(a).alias(f"v{a}") for a in AXES], *[F.floor(F.col(a) / radius).alias(f"c{a}") for a in AXES])
+    spread = points.select("label", *AXES, "kind").distinct()
+    for a in AXES:
+        spread = spread.withColumn("_d", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn(f"c{a}", F.floor(F.col(a) / radius) + F.col("_d"))
+    far = sum((F.col(f"v{a}") - F.col(a)) * (F.col(f"v{a}") - F.col(a)) for a in AXES)
+    met = spread.drop("_d").join(keyed, ["label", "cx", "cy", "cz"]).withColumn("_far", far).filter(F.col("_far") <= radius * radius)
+    best = met.groupBy("label", *AXES, "kind").agg(F.min(F.struct("_far", "vz", "vy", "vx")).alias("b"))
+    return best.select("label", *[F.col(f"b.v{a}").alias(a) for a in AXES], "kind")
+
+
+def typed(nodes: DataFrame, targets: DataFrame) -> DataFrame:
+    """Nodes with the kind of the target at their place, the least of several, 0 elsewhere."""
+    kinds = targets.groupBy("label", *AXES).agg(F.min("kind").alias("kind"))
+    return nodes.join(kinds, ["label", *AXES], "left").withColumn("kind", F.coalesce("kind", F.lit(0)))
+
+
 def merge(traced: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Nodes (label, x, y, z, radius) and edges of each label over all cells: equal vertices are one, equal edges too."""
     nodes = traced.groupBy("label", *AXES).agg(F.max("radius").alias("radius"))

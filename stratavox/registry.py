@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, iso, kernel, mesh, pool, relabel, select, skeleton, spatial, stats
+from stratavox.operators import ccl, graph_volume, iso, kernel, mesh, pool, relabel, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.shared import materialise
@@ -529,6 +529,22 @@ def mesh_fragments(spark, d):
     return found.select("label", "cx", "cy", "cz", "n_triangles")
 
 
+FRAGMENT_CODE = " + ".join(f"((cx >> {i} & 1) << {3 * i}) + ((cy >> {i} & 1) << {3 * i + 1}) + ((cz >> {i} & 1) << {3 * i + 2})" for i in range(10))
+
+
+@query(
+    f"WITH seg AS {SEG}, f AS ({_SIDES}), open AS (SELECT f.* FROM f ANTI JOIN seg ON seg.label = f.label AND seg.x = f.x + dx AND seg.y = f.y + dy AND seg.z = f.z + dz),"
+    " g AS (SELECT label, CAST((x + greatest(dx, 0)) // 16 AS BIGINT) AS cx, CAST((y + greatest(dy, 0)) // 16 AS BIGINT) AS cy, CAST((z + greatest(dz, 0)) // 16 AS BIGINT) AS cz FROM open),"
+    f" n AS (SELECT label, CAST({FRAGMENT_CODE} AS BIGINT) AS code, 2 * count(*) AS n_triangles FROM g GROUP BY ALL)"
+    " SELECT label, code, CAST(n_triangles AS BIGINT) AS n_triangles, CAST(coalesce(sum(n_triangles) OVER (PARTITION BY label ORDER BY code ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first,"
+    " row_number() OVER (PARTITION BY label ORDER BY code) AS place, (label >> 4) & 15 AS shard, (label >> 2) & 3 AS minishard FROM n"
+)
+def mesh_shards(spark, d):
+    pieces = mesh.fragments(mesh.triangles(seg(spark, d)), 24)
+    found = sharded.meshes(pieces, ShardSpec(2, 2, 4), 16)
+    return found.select("label", "code", F.size("triangles").cast("bigint").alias("n_triangles"), "first", "place", "shard", "minishard")
+
+
 @query()
 def mesh_lods(spark, d):
     return mesh.levels(mesh.triangles(seg(spark, d)), 16, SEG_SHAPE)
@@ -646,6 +662,39 @@ def common_layer_whole(spark, d):
     return spatial.common_layer(seg(spark, d).withColumns(ends), 2, 5).select("x", "y", "z", F.coalesce("layer", F.lit(-1).cast("bigint")).alias("layer"))
 
 
+GRAPH = f"seg AS {SEG}, tops AS (SELECT x, y, z, CASE WHEN label % 3 = 0 THEN label // 7 ELSE label // 10 END // 4 AS label FROM seg WHERE label % 5 > 0), top AS (SELECT * FROM tops WHERE label <> 0)"
+
+
+def graph_tree(spark, d):
+    """Two layers over the labels: those divisible by 3 move to another parent at time 5, those divisible by 5 lose theirs."""
+    child = seg(spark, d).select(F.col("label").alias("child")).distinct()
+    until = F.when((F.col("child") % 3 == 0) | (F.col("child") % 5 == 0), F.lit(5)).cast("bigint")
+    before = child.select("child", F.expr("child div 10").alias("parent"), F.lit(1).alias("layer"), F.lit(0).cast("bigint").alias("valid_from"), until.alias("valid_to"))
+    after = child.filter("child % 3 = 0 and child % 5 > 0").select("child", F.expr("child div 7").alias("parent"), F.lit(1).alias("layer"), F.lit(5).cast("bigint").alias("valid_from"), F.lit(None).cast("bigint").alias("valid_to"))
+    first = before.unionByName(after)
+    second = first.select(F.col("parent").alias("child")).distinct()
+    always = [F.lit(None).cast("bigint").alias(c) for c in ("valid_from", "valid_to")]
+    return first.unionByName(second.select("child", F.expr("child div 4").alias("parent"), F.lit(2).alias("layer"), *always))
+
+
+@query(f"WITH {GRAPH} SELECT x, y, z, CAST(label AS BIGINT) AS label FROM top")
+def graph_ancestors(spark, d):
+    return graph_volume.ancestors(seg(spark, d), graph_tree(spark, d), 2, time=6).select("x", "y", "z", "label")
+
+
+@query(
+    f"WITH {GRAPH}, f AS ({_SIDES.replace('FROM seg', 'FROM top')}), open AS (SELECT f.* FROM f ANTI JOIN top ON top.label = f.label AND top.x = f.x + dx AND top.y = f.y + dy AND top.z = f.z + dz)"
+    " SELECT CAST(label AS BIGINT) AS label, 2 * count(*) AS triangles FROM open GROUP BY label"
+)
+def graph_meshes(spark, d):
+    return graph_volume.surfaces(seg(spark, d), graph_tree(spark, d), 2, time=6).groupBy("label").agg(F.count("*").alias("triangles"))
+
+
+@query("SELECT DISTINCT substr(CAST(CAST(i AS HUGEINT) * 68719476736 + 200 * 72057594037927936::HUGEINT AS VARCHAR), 1, 6) AS prefix FROM range(0, 1048576) t(i)")
+def graph_prefixes(spark, d):
+    return graph_volume.prefixes(spark, 200)
+
+
 # Skeletons
 
 
@@ -686,6 +735,26 @@ def skeleton_forest(spark, d):
     return skeleton.without_loops(skeleton.merge(path_rows(spark, d))[1]).groupBy("label").agg(F.count("*").alias("edges"))
 
 
+@query(
+    f"WITH {PATHS}, n AS (SELECT label, count(DISTINCT (x, y, z)) AS nodes FROM paths GROUP BY label)"
+    " SELECT label, nodes, nodes - 1 AS edges, (label >> 3) & 31 AS shard, (label >> 1) & 3 AS minishard FROM n"
+)
+def skeleton_shards(spark, d):
+    nodes, edges = sharded.skeletons(path_rows(spark, d), ShardSpec(1, 2, 5))
+    counted = edges.groupBy("label").agg(F.count("*").alias("edges"))
+    found = nodes.groupBy("label", "shard", "minishard").agg(F.count("*").alias("nodes")).join(counted, "label", "left")
+    return found.select("label", "nodes", F.coalesce("edges", F.lit(0)).cast("bigint").alias("edges"), "shard", "minishard")
+
+
+@query(
+    f"{WITH}, m AS (SELECT p.segid AS label, p.x, p.y, p.z, p.swc_label AS kind, s.x AS vx, s.y AS vy, s.z AS vz, (s.x - p.x) * (s.x - p.x) + (s.y - p.y) * (s.y - p.y) + (s.z - p.z) * (s.z - p.z) AS far FROM points p JOIN seg s ON s.label = p.segid)"
+    " SELECT DISTINCT label, x, y, z, kind FROM (SELECT label, vx AS x, vy AS y, vz AS z, kind, row_number() OVER (PARTITION BY label, m.x, m.y, m.z, kind ORDER BY far, vz, vy, vx) AS r FROM m WHERE far <= 400) WHERE r = 1"
+)
+def synapse_voxels(spark, d):
+    points = fixture(spark, d, "points").select(F.col("segid").alias("label"), "x", "y", "z", F.col("swc_label").alias("kind"))
+    return skeleton.nearest_voxels(points, seg(spark, d), 20).distinct()
+
+
 @query(f"WITH {PATHS}, t AS (SELECT *, lead(y) OVER w - y AS dy, lead(z) OVER w - z AS dz FROM paths WINDOW w AS (PARTITION BY label ORDER BY step)) SELECT label, step, round(avg(dy) OVER n, 6) AS ny, round(avg(dz) OVER n, 6) AS nz FROM t WINDOW n AS (PARTITION BY label ORDER BY step ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)")
 def smoothed_normals(spark, d):
     return skeleton.smoothed(paths(spark, d), 3).select("label", "step", F.round("ny", 6).alias("ny"), F.round("nz", 6).alias("nz"))
