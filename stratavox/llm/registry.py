@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from stratavox.llm.centroids import OP12_SQL, op12_centroids
 from stratavox.llm.chat import OP5_SQL, op5_chat
 from stratavox.llm.digest import op9_fingerprints
 from stratavox.llm.extract import op10_extraction
@@ -26,8 +27,9 @@ def queries() -> dict:
         "op8_packing": op8_packing,
         "op9_fingerprints": op9_fingerprints,
         "op10_extraction": op10_extraction,
+        "op12_centroids": op12_centroids,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": OP5_SQL}
+    return {"op5_chat": OP5_SQL, "op12_centroids": OP12_SQL}
