@@ -12,6 +12,7 @@ from stratavox.llm.mixing import op7_mixing
 from stratavox.llm.packing import op8_packing
 from stratavox.llm.personal import op3_personal
 from stratavox.llm.quality import op1_quality
+from stratavox.llm.repair import OP13_SQL, op13_repair
 from stratavox.llm.suffix import op2_suffix_dedup
 
 
@@ -28,8 +29,9 @@ def queries() -> dict:
         "op9_fingerprints": op9_fingerprints,
         "op10_extraction": op10_extraction,
         "op12_centroids": op12_centroids,
+        "op13_repair": op13_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat": OP5_SQL, "op12_centroids": OP12_SQL}
+    return {"op5_chat": OP5_SQL, "op12_centroids": OP12_SQL, "op13_repair": OP13_SQL}
