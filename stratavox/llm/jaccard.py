@@ -28,18 +28,18 @@ _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct (hash, row) pairs of all rows' shingles; then each row's count and the id of its set."""
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (hash, row) pairs of all rows' shingles of so many words; then each row's count and the id of its set."""
     n = len(offsets) - 1
     low = _lower[data]
     starts, ends, n_words = words(low, offsets)
     w = word_hashes(low, starts, ends)
-    take = np.minimum(n_words, SHINGLE)
+    take = np.minimum(n_words, width)
     n_grams = np.where(n_words > 0, n_words - take + 1, 0)
     first = ranges(np.cumsum(n_words) - n_words, n_grams)
     row = np.repeat(np.arange(n, dtype=np.int32), n_grams)
     h = mix64(take[row].astype(np.uint64))
-    for j in range(SHINGLE):
+    for j in range(width):
         own = w[np.minimum(first + j, max(len(w) - 1, 0))] if len(w) else w
         h = np.where(j < take[row], mix64(h ^ own) + np.uint64(j), h)
     h &= ~np.uint64(255)  # 56 bits: of two documents of 500 shingles, two differing ones agree once in 3e11 pairs
@@ -212,7 +212,7 @@ def verified(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", "bits_a", "bits_b", "hashes_a", "hashes_b").mapInArrow(linked_rows, "a long, b long")
 
 
-def _fits(a, b):
+def fits(a, b):
     return (100 * F.least(a, b) >= LEAST * F.greatest(a, b)) & (a > 0)
 
 
@@ -246,10 +246,10 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         own = keys.join(parts, "set_id")
         hub = F.max(F.struct("n_keys", "set_id", "n", "part"))
         hubs = own.groupBy("key").agg(hub.alias("hub"), F.min("part").alias("_a"), F.max("part").alias("_b")).filter("_a < _b")
-        offers = own.join(hubs, "key").filter((F.col("part") != F.col("hub.part")) & _fits(F.col("n"), F.col("hub.n")))
+        offers = own.join(hubs, "key").filter((F.col("part") != F.col("hub.part")) & fits(F.col("n"), F.col("hub.n")))
         best = offers.groupBy(F.col("set_id").alias("b")).agg(F.max(F.struct("hub.n_keys", "hub.set_id")).alias("best"))
         tried.append(materialise(best.select("b", F.col("best.set_id").alias("a")), "jaccard-pairs"))
-        parts = _joined(parts, verified(tried[-1], sketch))
+        parts = joined(parts, verified(tried[-1], sketch))
     labelled = keys.join(parts, "set_id")
     open_ = labelled.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m"), F.sum("rank").alias("_ranks"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b")
     open_ = open_.groupBy("_m", "_who").agg(F.min_by("key", "_ranks").alias("key"))  # shingles of the same sets give the same pairs; the first has the lowest ranks
@@ -261,16 +261,16 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     other = left.select("key", F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("part").alias("part_b"), F.col("behind").alias("behind_b"), F.explode(F.array("band", F.col("band") - 1)).alias("band"))
     both = F.col("n") + F.col("nb")
     ordered = F.struct("n", "set_id") < F.struct("nb", "b")
-    again = small.join(other, ["key", "band"]).filter(ordered & (F.col("part") != F.col("part_b")) & _fits(F.col("n"), F.col("nb")) & enough("behind", both) & enough("behind_b", both))
+    again = small.join(other, ["key", "band"]).filter(ordered & (F.col("part") != F.col("part_b")) & fits(F.col("n"), F.col("nb")) & enough("behind", both) & enough("behind_b", both))
     side = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
     before = reduce(DataFrame.unionByName, tried).select(*side)
     more = again.select(F.col("set_id").alias("a"), "b").select(*side).distinct().join(before, ["a", "b"], "left_anti")
-    parts = _joined(parts, verified(more, sketch))
+    parts = joined(parts, verified(more, sketch))
     drop(sketch, keys, left, *tried)
     return sets, parts
 
 
-def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
+def joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     """parts (set_id, part) after links (a, b) between sets; only links between different parts take part in the rounds."""
     found = materialise(links, "jaccard-links")
     side = lambda x: parts.select(F.col("set_id").alias(x), F.col("part").alias(f"part_{x}"))
@@ -281,18 +281,25 @@ def _joined(parts: DataFrame, links: DataFrame) -> DataFrame:
     return after
 
 
-def _cells(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """SETS rows with a salt; the least row of each set and salt; the least row of each part, with its sets.
+def cells(sets: DataFrame, parts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For SETS rows and the parts of sets: the rows with a salt; the least row of each set and salt; the least row of each part, with its sets.
 
     A row is less than another by doc_id, nulls last, then by the hash of its text. The salt splits sets that many rows have.
     """
-    sets, parts = set_links(docs)
     sets = with_salt(sets, "doc_id", "hash")
     least = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("doc_id"), F.col("hash").alias("hash"))
-    cells = sets.filter("n_shingles > 0").groupBy("set_id", "salt").agg(F.min(least).alias("least"))
-    groups = cells.groupBy("set_id").agg(F.min("least").alias("least")).join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
+    lows = sets.filter("n_shingles > 0").groupBy("set_id", "salt").agg(F.min(least).alias("least"))
+    groups = lows.groupBy("set_id").agg(F.min("least").alias("least")).join(parts, "set_id", "left").withColumn("part", F.coalesce("part", "set_id"))
     lowest = groups.groupBy("part").agg(F.min("least").alias("least"))
-    return sets, cells, groups.select("set_id", "part").join(lowest, "part")
+    return sets, lows, groups.select("set_id", "part").join(lowest, "part")
+
+
+def named(sets: DataFrame, parts: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of SETS rows."""
+    sets, lows, least = cells(sets, parts)
+    names = lows.select("set_id", "salt").join(least.select("set_id", F.col("least.doc_id").alias("component_id")), "set_id")
+    whole = sets.withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id"))).join(names, ["set_id", "salt"], "left")
+    return whole.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -302,10 +309,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     fewer than five words has its words as one shingle. Repeated rows are kept and linked like others; a null doc_id is
     never a component's name unless nothing else is in it. Other columns are ignored. Sets go by a 64-bit id.
     """
-    sets, cells, least = _cells(docs)
-    named = cells.select("set_id", "salt").join(least.select("set_id", F.col("least.doc_id").alias("component_id")), "set_id")
-    whole = sets.withColumn("set_id", F.when(F.col("n_shingles") > 0, F.col("set_id"))).join(named, ["set_id", "salt"], "left")
-    return whole.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named(*set_links(docs))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -313,7 +317,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
 
     Of repeated rows one stays. Rows without words are linked with nothing and stay.
     """
-    least = _cells(docs)[2].select("least.*").distinct()
+    least = cells(*set_links(docs))[2].select("least.*").distinct()
     kept = materialise(least.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("null").alias("_null"), F.col("hash").alias("_hash")), "jaccard-kept")
     text, own = text_of(docs), F.col("doc_id").cast("long")
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.coalesce(own, F.lit(0)).alias("_id"), own.isNull().alias("_null"), F.xxhash64(text).alias("_hash"), text.rlike(WORD).alias("_words"))

@@ -8,6 +8,7 @@ from stratavox.llm.digest import op9_fingerprints
 from stratavox.llm.extract import op10_extraction
 from stratavox.llm.jaccard import op6_jaccard
 from stratavox.llm.media import op4_media
+from stratavox.llm.minhash import op11_minhash
 from stratavox.llm.mixing import op7_mixing
 from stratavox.llm.packing import op8_packing
 from stratavox.llm.personal import op3_personal
@@ -28,6 +29,7 @@ def queries() -> dict:
         "op8_packing": op8_packing,
         "op9_fingerprints": op9_fingerprints,
         "op10_extraction": op10_extraction,
+        "op11_minhash": op11_minhash,
         "op12_centroids": op12_centroids,
         "op13_repair": op13_repair,
     }
