@@ -44,6 +44,11 @@ def surface(vol: DataFrame, resolution: Size = (1, 1, 1)) -> DataFrame:
 
 def triangles(vol: DataFrame, resolution: Size = (1, 1, 1)) -> DataFrame:
     """A closed surface of each label: two triangles for each exposed face, with corners in physical units."""
+    return triangles_of(exposed_faces(vol), resolution)
+
+
+def triangles_of(faces: DataFrame, resolution: Size = (1, 1, 1)) -> DataFrame:
+    """The two triangles of each exposed face."""
     quads = None
     for d, corners in FACES.items():
         here = F.lit(True)
@@ -51,7 +56,7 @@ def triangles(vol: DataFrame, resolution: Size = (1, 1, 1)) -> DataFrame:
             here &= F.col(f"d{a}") == v
         points = F.array(*[F.struct(*[((F.col(a) + c) * r).cast("bigint").alias(a) for a, c, r in zip(AXES, p, resolution, strict=True)]) for p in corners])
         quads = F.when(here, points) if quads is None else quads.when(here, points)
-    faces = exposed_faces(vol).select("label", quads.alias("q"))
+    faces = faces.select("label", quads.alias("q"))
     pick = lambda *i: F.struct(*[F.col("q")[k].alias(n) for k, n in zip(i, "abc", strict=True)])
     return faces.select("label", F.explode(F.array(pick(0, 1, 2), pick(0, 2, 3))).alias("t")).select("label", "t.*")
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, graph_volume, iso, kernel, mesh, pool, relabel, select, sharded, skeleton, spatial, stats
+from stratavox.operators import ccl, chunks, graph_volume, iso, kernel, mesh, pool, relabel, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.shared import materialise
@@ -429,6 +429,13 @@ def ccl_components(spark, d):
     return ccl.components(bright(spark, d), CCL_SHAPE)
 
 
+@query(f"WITH {LABELS} SELECT x, y, z, c AS component FROM r JOIN v ON v.id = r.id")
+def chunk_components(spark, d):
+    size = (16, 12, 4)
+    found = chunks.chunk_components(to_chunks(bright(spark, d).withColumn("v", F.lit(1)), size), size, CCL_SHAPE)
+    return to_voxels(found, size).select("x", "y", "z", (F.col("v") - 1).alias("component"))
+
+
 PIECE = (16, 12, 4)  # cells that cut the volume into many
 SAME = "a.x // 16 = b.x // 16 AND a.y // 12 = b.y // 12 AND a.z // 4 = b.z // 4"
 KEYED = "USING KEY (id) AS (SELECT id, id FROM {v} UNION SELECT {w}.b, min({r}.c) FROM {r} JOIN {w} ON {w}.a = {r}.id JOIN recurring.{r} AS k ON k.id = {w}.b WHERE {r}.c < k.c GROUP BY {w}.b)"
@@ -494,6 +501,48 @@ def fill_holes(spark, d):
     return ccl.fill_holes(fixture(spark, d, "vol_ccl").withColumn("label", F.lit(1).cast("bigint")), CCL_SHAPE)
 
 
+# Dense chunks
+
+
+CHUNK = (32, 16, 4)  # the volume's end lies within a chunk
+
+
+def label_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return to_chunks(seg(spark, d).select("x", "y", "z", F.col("label").alias("v")), CHUNK, "int64")
+
+
+@query(f"SELECT label, count(*) AS voxels FROM {SEG} GROUP BY label")
+def chunk_counts(spark, d):
+    return chunks.chunk_counts(label_chunks(spark, d), CHUNK)
+
+
+@query(f"SELECT label, min(x) AS x0, max(x) AS x1, min(y) AS y0, max(y) AS y1, min(z) AS z0, max(z) AS z1, count(*) AS voxels FROM {SEG} GROUP BY label")
+def chunk_boxes(spark, d):
+    return chunks.chunk_boxes(label_chunks(spark, d), CHUNK)
+
+
+def levels_of(found: DataFrame, chunk) -> DataFrame:
+    """The voxels of a chunk pyramid, with their mip."""
+    mips = [to_voxels(found.filter(F.col("mip") == m), chunk).withColumn("mip", F.lit(m).cast("bigint")) for m in (1, 2)]
+    return mips[0].unionByName(mips[1])
+
+
+@query(" UNION ALL ".join(f"SELECT * FROM (SELECT CAST(floor(x / {2 << m}) AS BIGINT) AS x, CAST(floor(y / {2 << m}) AS BIGINT) AS y, z, CAST(floor(sum(v) / {4 << 2 * m}) AS BIGINT) AS v, CAST({m + 1} AS BIGINT) AS mip FROM {SEG} GROUP BY 1, 2, 3) WHERE v > 0" for m in (0, 1)))
+def chunk_pyramid(spark, d):
+    images = to_chunks(seg(spark, d).select("x", "y", "z", "v"), CHUNK, "uint8")
+    return levels_of(chunks.chunk_pyramid(images, CHUNK, (2, 2, 1), 2, shape=SEG_SHAPE), CHUNK)
+
+
+def _modes(below: str, shape: tuple) -> str:
+    rooms = " * ".join(f"least(2, {s} - 2 * {a})" for a, s in zip("xy", shape, strict=True))
+    return f"SELECT x, y, z, label FROM (SELECT *, sum(n) OVER (PARTITION BY x, y, z) AS used, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS r FROM (SELECT {DOWN}, label, count(*) AS n FROM {below} GROUP BY 1, 2, 3, 4)) WHERE r = 1 AND {rooms} - used < n"
+
+
+@query(f"WITH a AS ({_modes(SEG, (128, 128))}), b AS ({_modes('a', (64, 64))}) SELECT x, y, z, label AS v, CAST(1 AS BIGINT) AS mip FROM a UNION ALL SELECT x, y, z, label, 2 FROM b")
+def chunk_modes(spark, d):
+    return levels_of(chunks.chunk_pyramid(label_chunks(spark, d), CHUNK, (2, 2, 1), 2, "segmentation", shape=SEG_SHAPE), CHUNK)
+
+
 # Meshes
 
 
@@ -516,6 +565,16 @@ def mesh_forge(spark, d):
     return found.select("label", "triangles", "x0")
 
 
+@query(f"WITH s AS {SEG}, f AS ({FACE_SQL}) SELECT label, count(*) AS faces, CAST(sum(abs(dx) * 16 * 40 + abs(dy) * 16 * 40 + abs(dz) * 16 * 16) AS BIGINT) AS area FROM f GROUP BY label")
+def chunk_surface(spark, d):
+    return chunks.chunk_surface(label_chunks(spark, d), CHUNK, (16, 16, 40))
+
+
+@query(f"WITH s AS {SEG}, f AS ({FACE_SQL}) SELECT * FROM f")
+def chunk_faces(spark, d):
+    return chunks.chunk_faces(label_chunks(spark, d), CHUNK)
+
+
 _SIDES = " UNION ALL ".join(f"SELECT label, x, y, z, {dx} AS dx, {dy} AS dy, {dz} AS dz FROM seg" for dx, dy, dz in mesh.FACES)
 
 
