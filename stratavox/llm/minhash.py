@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,8 @@ MINIMA = CHUNKS * COMPONENTS
 SURE = CHUNKS * (ERRORS + 1) - 1
 #: Pairs that meet are left out if they differ in more components; of 60, a pair of similarity 0.8 does so once in about 2e6.
 MOST = 28
-ROUNDS = 3
+#: Sets of a block, two of which are compared in one task.
+BLOCK = 1024
 SETS = "doc_id long, hash long, n_shingles long, set_id long, signature binary"
 KEYS = "set_id long, n long, key long"
 FULL = "set_id long, hashes binary"
@@ -103,6 +103,62 @@ def linked_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch_of("a long, b long", batch.column(0).take(keep), batch.column(1).take(keep))
 
 
+def overlaps(own: np.ndarray, many: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each of many sets has in common with a sorted one."""
+    every = np.concatenate(many)
+    at = np.searchsorted(own, every)
+    hit = own[np.minimum(at, len(own) - 1)] == every
+    return np.add.reduceat(hit, np.cumsum([0] + [len(x) for x in many[:-1]]), dtype=np.int64)
+
+
+def tile_links(table_: pa.Table) -> pa.Table:
+    """For applyInArrow by tile: links (a, b) between different parts of its sets, at most one less than there are sets.
+
+    A tile has two blocks of sets, or one. Signatures are compared all with all; sets of pairs within MOST of each other whose parts
+    aren't joined yet are compared in full.
+    """
+    head, links = table_.slice(0, 1).to_pylist()[0], []
+    ids, part = table_["set_id"].to_numpy(), np.unique(table_["part"].to_numpy(), return_inverse=True)[1]
+    first = table_["first"].to_numpy(zero_copy_only=False)
+    x, at = _hashes(table_["hashes"].combine_chunks())
+    sets, n = [x[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], np.diff(at)
+    sign = np.frombuffer(buffer(table_["signature"])[0].tobytes(), "<u2").reshape(-1, MINIMA)
+    within = not head["other"] and head["i"] == head["j"]
+    right = np.flatnonzero(~first) if not within else np.arange(len(ids))
+    for k in np.flatnonzero(first):
+        near = right[right > k] if within else right
+        near = near[(part[near] != part[k]) & (100 * np.minimum(n[near], n[k]) >= LEAST * np.maximum(n[near], n[k]))]
+        near = near[(sign[near] != sign[k]).sum(axis=1) <= MOST]
+        for block in np.array_split(near, -(-len(near) // 256)) if len(near) else ():
+            same = overlaps(sets[k], [sets[j] for j in block])
+            for j in block[100 * same >= LEAST * (n[block] + n[k] - same)]:
+                if part[j] != part[k]:
+                    links.append((ids[k], ids[j]))
+                    part[part == part[j]] = part[k]
+    return pa.Table.from_batches([batch_of("a long, b long", *(map(list, zip(*links, strict=True)) if links else [[]] * 2))])
+
+
+def tiles(homed: DataFrame) -> DataFrame:
+    """Rows of sets (set_id, home, part, hub, ...) by tile of their home: home, i, other and j, and whether a row is of the tile's first block.
+
+    Sets of the hub's part are compared with those of other parts only, and these with each other too; either are dealt to
+    blocks of about BLOCK sets by a hash. A home whose sets are all of one part gives no tiles.
+    """
+    known = homed.groupBy("home").agg(F.count_if("inner").alias("_c"), F.count_if(~F.col("inner")).alias("_u")).filter("_u > 0 and _c + _u > 1")
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("int")
+    mine = homed.join(known, "home").withColumns({"_nu": blocks("_u"), "_nc": blocks("_c")})
+    own = F.pmod(F.xxhash64("set_id", F.lit(3)), F.when(F.col("inner"), F.col("_nc")).otherwise(F.col("_nu"))).cast("int")
+    upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+    tile = lambda i, other, j, first: F.struct(i.alias("i"), F.lit(other).alias("other"), j.alias("j"), first.alias("first"))
+    inner = F.transform(upto("_nu"), lambda i: tile(i, True, F.col("_b"), F.lit(False)))
+    outer = F.concat(
+        F.transform(upto("_nu"), lambda j: tile(F.least(F.col("_b"), j), False, F.greatest(F.col("_b"), j), F.col("_b") <= j)),
+        F.transform(upto("_nc"), lambda j: tile(F.col("_b"), True, j, F.lit(True))),
+    )
+    dealt = mine.withColumn("_b", own).withColumn("_t", F.explode(F.when(F.col("inner"), inner).otherwise(outer)))
+    return dealt.select("home", "_t.*", "set_id", "part")
+
+
 def confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets that are linked. A hub a may be in many pairs, so it is joined last, where skew can be split."""
     side = lambda x: full.select(F.col("set_id").alias(x), F.col("hashes").alias(f"hashes_{x}"))
@@ -130,10 +186,12 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """SETS rows of docs, and set_id and part, its component, of the sets that may have links.
 
     Equal sets are one set. Sets meet where a chunk of their signatures differs in ERRORS components at most, so that all
-    pairs within SURE of each other meet. In a few rounds each set is compared with one hub: of those that are the heaviest
-    of a key of its own, the one that it shares the most keys with; a set is heavy if many sets have its keys, as an
-    original's are had by its copies. Then, by key and tiles of close sizes, all pairs that are not in one component yet and
-    whose signatures are within MOST are compared; none that could join two components is left out.
+    pairs within SURE of each other meet. A set is heavy if many sets have its keys, as an original's are had by its copies.
+    First each set is compared with one hub: of those that are the heaviest of a key of its own, the one that it shares the
+    most keys with. Then sets are at home with the heaviest of all these, and those of one home that are in different
+    components are compared in tiles of two blocks, signatures first. Last, by key and bands of close sizes, pairs of
+    different homes and components. None that meet and could join two components is left out, and a large group of near
+    copies that are just not similar enough makes no rows of pairs.
     """
     text = text_of(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
@@ -153,30 +211,33 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = row.join(where, ["null", "id", "hash"]).select("set_id", "text")
     full = materialise(own.mapInArrow(full_rows, FULL).dropDuplicates(["set_id"]), "minhash-full")
     parts = materialise(near.select("set_id", F.col("set_id").alias("part")), "minhash-parts")
-    tried = []
-    for _ in range(ROUNDS):
-        placed = keys.join(parts, "set_id")
-        hubs = placed.groupBy("key").agg(F.max(F.struct("weight", "set_id", "n", "part")).alias("hub"), F.min("part").alias("_a"), F.max("part").alias("_b")).filter("_a < _b")
-        offers = placed.join(hubs, "key").filter((F.col("part") != F.col("hub.part")) & fits(F.col("n"), F.col("hub.n")))
-        counted = offers.groupBy(F.col("set_id").alias("b"), F.col("hub.set_id").alias("a")).agg(F.count("*").alias("k"))
-        best = counted.groupBy("b").agg(F.max(F.struct("k", "a")).alias("best"))
-        tried.append(materialise(best.select("b", F.col("best.a").alias("a")), "minhash-pairs"))
-        parts = joined(parts, confirmed(tried[-1], full))
-    placed = keys.drop("weight").join(parts, "set_id")
-    open_ = placed.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.count("*").alias("_m"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b")
+    hub = F.struct("weight", "set_id", "n", "part")
+    hubs = lambda placed: placed.groupBy("key").agg(F.max(hub).alias("hub"), F.min("part").alias("_a"), F.max("part").alias("_b")).filter("_a < _b")
+    placed = keys.join(parts, "set_id")
+    offers = placed.join(hubs(placed), "key").filter((F.col("part") != F.col("hub.part")) & fits(F.col("n"), F.col("hub.n")))
+    counted = offers.groupBy(F.col("set_id").alias("b"), F.col("hub.set_id").alias("a")).agg(F.count("*").alias("k"))
+    best = counted.groupBy("b").agg(F.max(F.struct("k", "a")).alias("best"))
+    tried = materialise(best.select("b", F.col("best.a").alias("a")), "minhash-pairs")
+    parts = joined(parts, confirmed(tried, full))
+    placed = keys.join(parts, "set_id")
+    home = placed.join(hubs(placed), "key").groupBy("set_id", "part").agg(F.max("hub").alias("hub"))
+    home = materialise(home.select("set_id", F.col("hub.set_id").alias("home"), "part", (F.col("part") == F.col("hub.part")).alias("inner")), "minhash-homes")
+    whole = tiles(home).join(near.select("set_id", "signature"), "set_id").join(full, "set_id")
+    parts = joined(parts, whole.groupBy("home", "i", "other", "j").applyInArrow(tile_links, "a long, b long"))
+    placed = keys.drop("weight").join(parts, "set_id").join(home.select("set_id", "home"), "set_id")
+    open_ = placed.groupBy("key").agg(F.min("part").alias("_a"), F.max("part").alias("_b"), F.min("home").alias("_h"), F.max("home").alias("_i"), F.count("*").alias("_m"), F.sum(F.xxhash64("set_id").cast("decimal(38,0)")).alias("_who")).filter("_a != _b and _h != _i")
     open_ = open_.groupBy("_m", "_who").agg(F.min("key").alias("key"))  # keys of the same sets give the same pairs
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100.0 / LEAST)) + 1e-9).cast("int")
     left = placed.join(open_, "key", "left_semi").join(near.select("set_id", "signature"), "set_id")
-    left = materialise(left.select("key", "set_id", "n", "part", band.alias("band"), *_words("signature", "w")), "minhash-open")
-    names = {"set_id": "b", "n": "nb", "part": "part_b"} | {f"w{i}": f"v{i}" for i in range(MINIMA * BITS // 64)}
+    left = materialise(left.select("key", "set_id", "n", "part", "home", band.alias("band"), *_words("signature", "w")), "minhash-open")
+    names = {"set_id": "b", "n": "nb", "part": "part_b", "home": "home_b"} | {f"w{i}": f"v{i}" for i in range(MINIMA * BITS // 64)}
     other = left.select("key", F.explode(F.array("band", F.col("band") - 1)).alias("band"), *[F.col(k).alias(v) for k, v in names.items()])
     ordered = F.struct("n", "set_id") < F.struct("nb", "b")
-    again = left.join(other, ["key", "band"]).filter(ordered & (F.col("part") != F.col("part_b")) & fits(F.col("n"), F.col("nb")) & (_apart("w", "v") <= MOST))
+    again = left.join(other, ["key", "band"]).filter(ordered & (F.col("part") != F.col("part_b")) & (F.col("home") != F.col("home_b")) & fits(F.col("n"), F.col("nb")) & (_apart("w", "v") <= MOST))
     side = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    before = reduce(DataFrame.unionByName, tried).select(*side)
-    more = again.select(F.col("set_id").alias("a"), "b").select(*side).distinct().join(before, ["a", "b"], "left_anti")
+    more = again.select(F.col("set_id").alias("a"), "b").select(*side).distinct()
     parts = joined(parts, confirmed(more, full))
-    drop(near, keys, full, left, *tried)
+    drop(near, keys, full, left, home, tried)
     return sets.drop("signature"), parts
 
 

@@ -55,8 +55,10 @@ def test_equals_all_pairs(spark, seed):
     assert found(minhash.near_duplicates(documents(spark, rows))) == brute(rows)
 
 
-def test_chain_and_crowd(spark):
-    """A chain in which only neighbours link, and a crowd of copies of one text that hardly link with each other."""
+@pytest.mark.parametrize("block", [minhash.BLOCK, 16])
+def test_chain_and_crowd(spark, monkeypatch, block):
+    """A chain in which only neighbours link, and a crowd of copies of one text of which many are just not similar enough."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rng = random.Random(5)
     words = sentence(rng, 400).split(" ")
     rows = []
@@ -67,9 +69,13 @@ def test_chain_and_crowd(spark):
     base = sentence(rng, 300).split(" ")
     for i in range(150):
         copy = list(base)
-        for j in rng.sample(range(300), 14):
+        for j in rng.sample(range(300), rng.choice([10, 14, 18, 24])):
             copy[j] = f"w{i}x{j}"
         rows.append((100 + i, " ".join(copy), "a"))
+        if i % 10 == 0:  # a copy of a copy, which links with it alone
+            for j in rng.sample(range(300), 10):
+                copy[j] = f"y{i}x{j}"
+            rows.append((400 + i, " ".join(copy), "a"))
     rows.append((999, " ".join(base), "a"))
     assert found(minhash.near_duplicates(documents(spark, rows))) == brute(rows)
 
