@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratavox.llm.common import WORD, batch_of, buffer, configure, drop, materialise, mix64, pieces, ranges, table, text_of
-from stratavox.llm.packed import BATCH, PACKED, batch_number, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted, with_salt
+from stratavox.llm.packed import BATCH, FAN, PACKED, Fan, batch_number, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted, with_salt
 from stratavox.llm.packing import word_hashes, words
 from stratavox.operators.ccl import contract
 
@@ -96,26 +96,39 @@ def shingle_rows(buckets: int):
     return run
 
 
+def member_batch(found: list, blocks: int) -> pa.RecordBatch:
+    """MEMBERS rows of lists of (set, size, hash, count) arrays, a row for each block of set ids."""
+    ids, sizes, h, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((h, block_of(ids, blocks)))
+    ids, sizes, h, n = ids[order], sizes[order], h[order], n[order]
+    block = block_of(ids, blocks)
+    cuts = np.flatnonzero(np.diff(block, prepend=-1))
+    out = []
+    for i, j in zip(cuts, np.append(cuts[1:], len(ids)), strict=True):
+        used, at, row = np.unique(ids[i:j], return_index=True, return_inverse=True)
+        out.append((block[i], press(used), press(sizes[i:j][at]), press(row.astype(np.uint32)), press_sorted(h[i:j]), press(n[i:j])))
+    return batch_of(MEMBERS, *map(list, zip(*out, strict=True)))
+
+
+def members_again(blocks: int):
+    """For applyInArrow by coarse block and group: MEMBERS rows of fine blocks."""
+
+    def run(table_: pa.Table) -> pa.Table:
+        found = []
+        for x in table_.to_pylist():
+            row = unpress(x["row"], np.uint32)
+            found.append((unpress(x["sets"], np.uint64)[row], unpress(x["sizes"], np.uint32)[row], unpress_sorted(x["hashes"]), unpress(x["counts"], np.uint16)))
+        return pa.Table.from_batches([member_batch(found, blocks)])
+
+    return run
+
+
 def member_rows(blocks: int):
     """For mapInArrow over answered batches: the shared shingles of sets, packed by block of set ids.
 
     What a task has read is gathered first, so that a task gives one row for each block.
     """
 
-    def flush(found: list) -> Iterator[pa.RecordBatch]:
-        if not found:
-            return
-        ids, sizes, h, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        order = np.lexsort((h, block_of(ids, blocks)))
-        ids, sizes, h, n = ids[order], sizes[order], h[order], n[order]
-        block = block_of(ids, blocks)
-        cuts = np.flatnonzero(np.diff(block, prepend=-1))
-        out = []
-        for i, j in zip(cuts, np.append(cuts[1:], len(ids)), strict=True):
-            used, at, row = np.unique(ids[i:j], return_index=True, return_inverse=True)
-            out.append((block[i], press(used), press(sizes[i:j][at]), press(row.astype(np.uint32)), press_sorted(h[i:j]), press(n[i:j])))
-        yield batch_of(MEMBERS, *map(list, zip(*out, strict=True)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for batch in batches:
@@ -132,9 +145,10 @@ def member_rows(blocks: int):
                 found.append((sets[own], sizes[own], np.repeat(hashes, times[at]), np.repeat(total, times[at])))
                 held += len(own)
                 if held > GATHER:
-                    yield from flush(found)
+                    yield member_batch(found, blocks)
                     found, held = [], 0
-        yield from flush(found)
+        if found:
+            yield member_batch(found, blocks)
 
     return run
 
@@ -216,7 +230,7 @@ def fits(a, b):
     return (100 * F.least(a, b) >= LEAST * F.greatest(a, b)) & (a > 0)
 
 
-def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def set_links(docs: DataFrame, fan_out: int = FAN) -> tuple[DataFrame, DataFrame]:
     """SETS rows of docs, and set_id and part, its component, of the sets that may have links.
 
     Equal sets are one set. Every set's shingles are counted over all sets; sets that share a prefix shingle and whose
@@ -230,13 +244,15 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = text_of(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), text.alias("text"))
     sets = materialise(rows.mapInArrow(set_rows, SETS), "jaccard-sets")
-    buckets = buckets_for(8 * (sets.agg(F.sum("n_shingles")).first()[0] or 0))
-    packed = materialise(rows.select("text").mapInArrow(shingle_rows(buckets), PACKED), "jaccard-packed")
-    answer = materialise(shared(packed), "jaccard-answer")
+    fan = Fan(buckets_for(8 * (sets.agg(F.sum("n_shingles")).first()[0] or 0)), fan_out)
+    packed = materialise(rows.select("text").mapInArrow(shingle_rows(fan.coarse), PACKED), "jaccard-packed")
+    answer = materialise(shared(packed, fan), "jaccard-answer")
     payload = materialise(packed.select("bucket", "batch", F.col("counts").alias("counts0"), "payload"), "jaccard-payload")
     drop(packed)
     own = payload.join(answer, ["bucket", "batch"])
-    members = own.select("counts0", "payload", "at", "hashes", "counts").mapInArrow(member_rows(buckets), MEMBERS)
+    members = own.select("counts0", "payload", "at", "hashes", "counts").mapInArrow(member_rows(fan.coarse), MEMBERS)
+    if fan.per > 1:
+        members = members.withColumn("group", fan.group("sets")).groupBy("block", "group").applyInArrow(members_again(fan.fine), MEMBERS)
     sketch = materialise(members.groupBy("block").applyInArrow(sketches, SKETCH), "jaccard-sketch")
     drop(payload, answer)
     keys = materialise(sketch.select("set_id", "n", "prefix").mapInArrow(prefix_rows, KEYS), "jaccard-keys")
@@ -302,14 +318,15 @@ def named(sets: DataFrame, parts: DataFrame) -> DataFrame:
     return whole.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def link_documents(docs: DataFrame) -> DataFrame:
+def link_documents(docs: DataFrame, fan_out: int = FAN) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of docs.
 
     component_id is the smallest doc_id that links reach. A document without words has no shingles and no links; one of
     fewer than five words has its words as one shingle. Repeated rows are kept and linked like others; a null doc_id is
     never a component's name unless nothing else is in it. Other columns are ignored. Sets go by a 64-bit id.
+    fan_out is what FAN of packed says; it changes the route alone.
     """
-    return named(*set_links(docs))
+    return named(*set_links(docs, fan_out))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratavox.llm.common import batch_of, buffer, configure, drop, materialise, mix64, pieces, ranges, table, text_of
-from stratavox.llm.packed import PACKED, batch_number, block_column, block_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted, with_salt
+from stratavox.llm.packed import FAN, PACKED, Fan, batch_number, block_column, block_of, bucket_of, buckets_for, by_bucket, press, press_sorted, shared, unpress, unpress_sorted, with_salt
 from stratavox.llm.packing import word_hashes
 
 #: Bytes of a repeated string, and of an anchor within it.
@@ -119,20 +119,31 @@ def anchor_rows(buckets: int):
     return run
 
 
+def note_batch(found: list, blocks: int) -> pa.RecordBatch:
+    """NOTES rows of lists of (row, hash, start, count, anchor, hot) arrays, one for each block of documents."""
+    row, h, start, count, anchor, hot = (np.concatenate(x) for x in zip(*found, strict=True))
+    block = block_of(row, blocks)
+    order = np.lexsort((row, block))
+    row, h, start, count, anchor, hot, block = (x[order] for x in (row, h, start, count, anchor, hot, block))
+    cuts = np.flatnonzero(np.diff(block, prepend=-1))
+    ends = np.append(cuts[1:], len(row))
+    return batch_of(NOTES, *map(list, zip(*[(block[i], 0, None, bundle(*runs_of(row[i:j]), h[i:j], start[i:j], count[i:j], anchor[i:j], hot[i:j])) for i, j in zip(cuts, ends, strict=True)], strict=True)))
+
+
+def noted(blobs: list[bytes]) -> list[tuple]:
+    """The arrays of notes of kind 0."""
+    parts = [unbundle(x, np.int64, np.uint32, np.uint64, np.uint32, np.uint8, np.uint8, np.uint8) for x in blobs]
+    return [(np.repeat(x[0], x[1]), *x[2:]) for x in parts]
+
+
+def notes_again(blocks: int):
+    """For applyInArrow by coarse block and group: NOTES rows of fine blocks."""
+    return lambda table_: pa.Table.from_batches([note_batch(noted(table_["blob"].to_pylist()), blocks)])
+
+
 def note_rows(blocks: int, most: int):
     """For mapInArrow over answered batches: the anchors that two documents share, by block of documents (kind 0)."""
 
-    def flush(found: list) -> Iterator[pa.RecordBatch]:
-        if not found:
-            return
-        row, h, start, count, anchor, hot = (np.concatenate(x) for x in zip(*found, strict=True))
-        block = block_of(row, blocks)
-        order = np.lexsort((row, block))
-        row, h, start, count, anchor, hot, block = (x[order] for x in (row, h, start, count, anchor, hot, block))
-        cuts = np.flatnonzero(np.diff(block, prepend=-1))
-        ends = np.append(cuts[1:], len(row))
-        yield batch_of(NOTES, *map(list, zip(*[(block[i], 0, None, bundle(*runs_of(row[i:j]), h[i:j], start[i:j], count[i:j], anchor[i:j], hot[i:j])) for i, j in zip(cuts, ends, strict=True)], strict=True)))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, held = [], 0
         for batch in batches:
@@ -148,9 +159,10 @@ def note_rows(blocks: int, most: int):
                 found.append((ids[place[own]], np.repeat(hashes, times[at]), start[own], count[own], anchor[own], np.repeat(hot, times[at])))
                 held += len(own)
                 if held > GATHER:
-                    yield from flush(found)
+                    yield note_batch(found, blocks)
                     found, held = [], 0
-        yield from flush(found)
+        if found:
+            yield note_batch(found, blocks)
 
     return run
 
@@ -196,9 +208,7 @@ def segment_rows(buckets: int):
         if blobs and len(left):
             rows, ids, data, offsets = _docs(left)
             copies = right.filter(pa.array(kinds == 1))["doc"].to_numpy()
-            parts = [unbundle(x, np.int64, np.uint32, np.uint64, np.uint32, np.uint8, np.uint8, np.uint8) for x in blobs]
-            parts = [(np.repeat(x[0], x[1]), *x[2:]) for x in parts]
-            row, h, start, count, anchor, hot = (np.concatenate(x) for x in zip(*parts, strict=True))
+            row, h, start, count, anchor, hot = (np.concatenate(x) for x in zip(*noted(blobs), strict=True))
             keep = ~np.isin(row, copies)
             row, h, start, count, anchor, hot = row[keep], h[keep], start[keep].astype(np.int64), count[keep].astype(np.int64), anchor[keep].astype(np.int64), hot[keep]
             at = np.searchsorted(rows, row)
@@ -294,12 +304,76 @@ def repeated_runs(h: np.ndarray, count: np.ndarray, anchor: np.ndarray, least: n
     return seg[cut], owner[cut], j[cut], np.diff(np.append(cut, len(seg)))
 
 
+KINDS = (np.uint64, np.uint8, np.uint8, np.int64, np.int64, np.uint64, np.uint8)
+
+
+def _dealt(segments: list[bytes], fine: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Segments of many rows in the order of their fine buckets: columns, texts, these buckets, and the place of each among all."""
+    parts = [unbundle(x, *KINDS) for x in segments]
+    cols = [np.concatenate([p[i] for p in parts]) for i in range(6)]
+    raw, size = np.concatenate([p[6] for p in parts]), cols[1].astype(np.int64) + SPAN - 1
+    bucket = bucket_of(cols[0], fine)
+    order = np.argsort(bucket, kind="stable")
+    text = raw[ranges((np.cumsum(size) - size)[order], size[order])]
+    return [c[order] for c in cols], np.split(text, np.cumsum(size[order])[:-1]) if len(order) else [], bucket[order], order
+
+
+def segments_again(fine: int):
+    """For applyInArrow by coarse bucket and group of blocks: its segments by fine bucket; the group stands for the block."""
+
+    def run(table_: pa.Table) -> pa.Table:
+        cols, texts, bucket, _ = _dealt(table_["segments"].to_pylist(), fine)
+        cuts, out, group = np.flatnonzero(np.diff(bucket, prepend=-1)), [], table_["group"][0].as_py()
+        for i, j in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
+            out.append((bucket[i], group, bundle(*(c[i:j] for c in cols), np.concatenate(texts[i:j]))))
+        return pa.Table.from_batches([batch_of("bucket long, block long, segments binary", *map(list, zip(*out, strict=True)))])
+
+    return run
+
+
+def runs_back(fine: int):
+    """For cogroup by coarse bucket and group, of blocks' segments and of the runs found in fine buckets: REPEATS rows of each block."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        if len(left) and len(right):
+            _, _, bucket, order = _dealt(left["segments"].to_pylist(), fine)
+            blocks, sizes = left["block"].to_pylist(), [len(unbundle(x, *KINDS)[0]) for x in left["segments"].to_pylist()]
+            found = []
+            for at, raw in zip(right["fine"].to_pylist(), right["runs"].to_pylist(), strict=True):
+                seg, owner, j, length = unbundle(raw, np.uint32, np.int64, np.uint8, np.uint8)
+                found.append((order[np.searchsorted(bucket, at) + seg], owner, j, length))
+            seg, owner, j, length = (np.concatenate(x) for x in zip(*found, strict=True))
+            first = np.concatenate([[0], np.cumsum(sizes)])
+            of = np.searchsorted(first, seg, "right") - 1
+            by = np.argsort(of, kind="stable")
+            seg, owner, j, length, of = (x[by] for x in (seg, owner, j, length, of))
+            cuts = np.flatnonzero(np.diff(of, prepend=-1))
+            for a, b in zip(cuts, np.append(cuts[1:], len(of)), strict=True):
+                out.append((left["bucket"][0].as_py(), blocks[of[a]], bundle((seg[a:b] - first[of[a]]).astype(np.uint32), owner[a:b], j[a:b], length[a:b])))
+        return pa.Table.from_batches([batch_of(REPEATS, *(map(list, zip(*out, strict=True)) if out else [[]] * 3))])
+
+    return run
+
+
+def repeats(segments: DataFrame, fan: Fan) -> DataFrame:
+    """REPEATS rows of SEGMENTS rows, whose buckets are the coarse ones of fan."""
+    light = segments.select("bucket", "block", "segments")
+    if fan.per == 1:
+        return light.groupBy("bucket").applyInArrow(find_repeats, REPEATS)
+    grouped = light.withColumn("group", fan.group("block"))
+    cut = grouped.groupBy("bucket", "group").applyInArrow(segments_again(fan.fine), "bucket long, block long, segments binary")
+    found = cut.groupBy("bucket").applyInArrow(find_repeats, REPEATS)
+    back = found.select(F.floor(F.col("bucket") / fan.per).cast("long").alias("bucket"), F.col("block").alias("group"), F.col("bucket").alias("fine"), "runs")
+    return grouped.groupBy("bucket", "group").cogroup(back.groupBy("bucket", "group")).applyInArrow(runs_back(fan.fine), REPEATS)
+
+
 def find_repeats(table_: pa.Table) -> pa.Table:
     """For applyInArrow by bucket: runs of strings of each block's segments that a smaller document than some owner has."""
     h, count, anchor, least, last, content, raw, begin, origin, number = ([] for _ in range(10))
     base = 0
     for k, blob in enumerate(table_["segments"]):
-        a, b, c, d, e, f, g = unbundle(blob.as_py(), np.uint64, np.uint8, np.uint8, np.int64, np.int64, np.uint64, np.uint8)
+        a, b, c, d, e, f, g = unbundle(blob.as_py(), *KINDS)
         size = b.astype(np.int64) + SPAN - 1
         for x, y in zip((h, count, anchor, least, last, content, raw), (a, b.astype(np.int64), c.astype(np.int64), d, e, f, g), strict=True):
             x.append(y)
@@ -384,10 +458,10 @@ def remover(with_text: bool):
     return run, ddl
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT, fan_out: int = FAN) -> DataFrame:
     """RESULT rows of docs: each document without the bytes of SPAN-byte strings that a document of smaller doc_id has.
 
-    with_text adds the bytes that are left, as kept; hot (at most 65534) is what HOT says. Strings are judged on the input. Nulls count as empty. Whole copies
+    with_text adds the bytes that are left, as kept; hot (at most 65534) is what HOT says, fan_out what FAN of packed says. Strings are judged on the input. Nulls count as empty. Whole copies
     are found by their digest first; a copy of at least SPAN bytes goes whole. Every row has its own result: rows of one
     doc_id with unlike texts take nothing from each other, equal rows fare alike, and a row without a doc_id, which no
     order places, stays whole and takes nothing from others. Rows go by a 64-bit hash of doc_id and text. Other columns
@@ -396,11 +470,15 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> D
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of(docs).alias("text"))
     rows = own.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
     digest = materialise(rows.filter("doc_id is not null").select("row", "doc_id", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n")), "suffix-digests")
-    blocks = buckets = 2 * buckets_for(digest.agg(F.sum("n")).first()[0])
-    packed = materialise(rows.filter("doc_id is not null").select("row", "text").mapInArrow(anchor_rows(buckets), PACKED), "suffix-anchors")
-    answer = materialise(shared(packed), "suffix-answer")
+    fan = Fan(2 * buckets_for(digest.agg(F.sum("n")).first()[0]), fan_out, 4 << 20)
+    blocks = fan.fine
+    packed = materialise(rows.filter("doc_id is not null").select("row", "text").mapInArrow(anchor_rows(fan.coarse), PACKED), "suffix-anchors")
+    answer = materialise(shared(packed, fan), "suffix-answer")
     answered = packed.select("bucket", "batch", "payload").join(answer, ["bucket", "batch"])
-    notes = materialise(answered.select("payload", "at", "hashes", "counts").mapInArrow(note_rows(blocks, hot), NOTES), "suffix-notes")
+    notes = answered.select("payload", "at", "hashes", "counts").mapInArrow(note_rows(fan.coarse, hot), NOTES)
+    if fan.per > 1:
+        notes = notes.withColumn("group", fan.group("blob")).groupBy("block", "group").applyInArrow(notes_again(blocks), NOTES)
+    notes = materialise(notes, "suffix-notes")
     drop(packed, answer)
     salted = with_salt(digest, "row")
     cells = salted.groupBy("sha", "salt").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
@@ -409,9 +487,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = True, hot: int = HOT) -> D
     later = salted.join(first, ["sha", "salt"]).filter("doc_id > first").select(block_column("row", blocks).alias("block"), F.lit(1).alias("kind"), F.col("row").alias("doc"), F.lit(None).cast("binary").alias("blob"))
     later = materialise(later, "suffix-copies")
     placed = rows.withColumn("block", block_column("row", blocks)).select("block", "row", "doc_id", "text").groupBy("block")
-    segments = materialise(placed.cogroup(notes.unionByName(later).groupBy("block")).applyInArrow(segment_rows(buckets), SEGMENTS), "suffix-segments")
+    segments = materialise(placed.cogroup(notes.unionByName(later).groupBy("block")).applyInArrow(segment_rows(fan.coarse), SEGMENTS), "suffix-segments")
     drop(notes, digest)
-    runs = materialise(segments.select("bucket", "block", "segments").groupBy("bucket").applyInArrow(find_repeats, REPEATS), "suffix-runs")
+    runs = materialise(repeats(segments, fan), "suffix-runs")
     gone = materialise(segments.select("bucket", "block", "owners").join(runs, ["bucket", "block"]).select("block", "owners", "runs").mapInArrow(removal_rows, NOTES), "suffix-removals")
     drop(segments, runs)
     return placed.cogroup(gone.unionByName(later).groupBy("block")).applyInArrow(*remover(with_text))

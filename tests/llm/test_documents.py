@@ -1,6 +1,7 @@
 """The operators on documents against brute force, on awkward tables."""
 
 import hashlib
+import random
 import re
 import zlib
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 import pytest
 from helpers import SCHEMA, awkward, documents, sentence
 
-from stratavox.llm import digest, jaccard, media, mixing, packing, personal, quality, suffix
+from stratavox.llm import digest, jaccard, media, mixing, packed, packing, personal, quality, suffix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PATTERNS = {
@@ -37,8 +38,9 @@ def nothing(spark):
     return spark.createDataFrame([], SCHEMA)
 
 
-@pytest.mark.parametrize("hot", [suffix.HOT, 0])
-def test_repeats_are_removed(docs, rows, hot):
+@pytest.mark.parametrize(("hot", "fan_out"), [(suffix.HOT, packed.FAN), (0, packed.FAN), (suffix.HOT, 8), (3, 50)])
+def test_repeats_are_removed(docs, rows, hot, fan_out, monkeypatch):
+    monkeypatch.setattr(packed, "MERGED", 1)  # several groups
     first, expected = {}, {}
     for i, text in sorted({(i, t or "") for i, t, _ in rows}):
         raw = text.encode()
@@ -48,7 +50,7 @@ def test_repeats_are_removed(docs, rows, hot):
                 gone[j : j + 50] = b"\1" * 50
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         expected[i] = (len(raw), sum(gone), len(re.findall(rb"\x01+", bytes(gone))), hashlib.sha256(kept).hexdigest(), kept)
-    found = suffix.remove_repeats(docs, hot=hot).collect()
+    found = suffix.remove_repeats(docs, hot=hot, fan_out=fan_out).collect()
     assert Counter(r.doc_id for r in found) == Counter(i for i, *_ in rows)
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in found} == expected
 
@@ -102,6 +104,32 @@ def test_links_match_all_pairs(docs, rows):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(rows)
 
 
+def test_links_by_two_levels(docs, monkeypatch):
+    """An exchange cut to few rows a batch, merged and cut again, gives the same links."""
+    whole = sorted(map(repr, jaccard.link_documents(docs).collect()))
+    monkeypatch.setattr(packed, "MERGED", 1)
+    assert packed.Fan(64, 8).groups > 1
+    for fan_out in (8, 50):
+        assert sorted(map(repr, jaccard.link_documents(docs, fan_out).collect())) == whole
+
+
+def test_rows_of_a_batch_are_bounded(monkeypatch):
+    """However many buckets there are, a batch is cut into FAN rows at most, and coarse buckets hold whole fine ones."""
+    for module in (jaccard, suffix):
+        monkeypatch.setattr(module, "batch_number", lambda k: k)
+    rng = np.random.default_rng(2)
+    text = " ".join(sentence(random.Random(1), 10) for _ in range(3000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["row", "text"])
+    for buckets in (128, 5_000, 200_000, 1 << 20):
+        fan = packed.Fan(buckets)
+        assert fan.fine >= buckets and fan.per <= packed.FAN
+        for rows in (jaccard.shingle_rows(fan.coarse)(iter([batch.select(["text"])])), suffix.anchor_rows(fan.coarse)(iter([batch]))):
+            assert sum(len(x) for x in rows) <= packed.FAN
+        h = rng.integers(0, 1 << 63, 10_000, np.int64).view(np.uint64) * np.uint64(3)
+        assert (packed.bucket_of(h, fan.fine) // fan.per == packed.bucket_of(h, fan.coarse)).all()
+        assert (packed.block_of(h.view(np.int64), fan.fine) % fan.coarse == packed.block_of(h.view(np.int64), fan.coarse)).all()
+
+
 def test_links_in_chains_and_crowds(spark):
     import random
 
