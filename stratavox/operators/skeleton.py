@@ -201,38 +201,6 @@ def smoothed(paths: DataFrame, width: int = 3) -> DataFrame:
     return turned.withColumns({f"n{a}": F.avg(f"d{a}").over(around) for a in AXES}).select("label", "step", *[f"n{a}" for a in AXES])
 
 
-def _sections(nodes: DataFrame, vol: DataFrame, reach: int) -> DataFrame:
-    """label, step, area within reach, and whether the section comes within a voxel of that limit."""
-    keyed = vol.select("label", *[F.col(a).alias(f"v{a}") for a in AXES], *[F.floor(F.col(a) / reach).alias(f"c{a}") for a in AXES])
-    spread = nodes
-    for a in AXES:
-        spread = spread.withColumn("_d", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn(f"c{a}", F.floor(F.col(a) / reach) + F.col("_d"))
-    joined = spread.drop("_d").join(keyed, ["label", "cx", "cy", "cz"])
-    norm = F.sqrt(sum(F.col(f"n{a}") ** 2 for a in AXES))
-    off = sum((F.col(f"v{a}") - F.col(a)) * F.col(f"n{a}") for a in AXES) / norm
-    far = sum((F.col(f"v{a}") - F.col(a)) ** 2 for a in AXES)
-    inside = (F.abs(off) <= 0.5) & (far <= reach * reach)
-    return joined.groupBy("label", "step").agg(F.sum(F.when(inside, 1).otherwise(0)).cast("bigint").alias("area"), F.max(inside & (far > (reach - 1) ** 2)).alias("open"))
-
-
-def section_areas(nodes: DataFrame, vol: DataFrame, reach: int = 3) -> DataFrame:
-    """For each node with a normal (label, step, x, y, z, nx, ny, nz): voxels of its label within half a step of its plane.
-
-    A section is measured within `reach` of its node; those that touch this limit are measured again within twice as
-    much, until none does, so wide sections are whole and narrow ones look at few voxels. Further parts of a label in
-    the same plane, beyond a gap, don't count.
-    """
-    done, todo = None, nodes
-    while True:
-        found = materialise(_sections(todo, vol, reach), "sections")
-        ready = found.filter("not open").select("label", "step", "area")
-        done = ready if done is None else done.unionByName(ready)
-        still = found.filter("open").select("label", "step")
-        if still.isEmpty():
-            return done
-        todo, reach = nodes.join(still, ["label", "step"], "left_semi"), 2 * reach
-
-
 def without_ticks(edges: DataFrame, least: float, resolution: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
     """edges (label, a, b) without side branches shorter than `least`: paths from a tip to the first node of three edges or more.
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, chunks, graph_volume, iso, kernel, mesh, pool, relabel, select, sharded, skeleton, spatial, stats
+from stratavox.operators import ccl, chunks, graph_volume, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.shared import materialise
@@ -784,6 +784,25 @@ def skeleton_nodes(spark, d):
     return skeleton.merge(path_rows(spark, d))[0]
 
 
+def _slice(k: str, at: str, u: str, v: str) -> str:
+    """The voxels of the plane across `at` through each label's node k, and which of them touch by side or corner."""
+    return f"p{k} AS (SELECT s.label, s.x + 128 * (s.y + 128 * s.z) AS id, s.{u} AS u, s.{v} AS v, s.x = n.x AND s.y = n.y AND s.z = n.z AS node FROM s JOIN n{k} n ON n.label = s.label AND n.{at} = s.{at}), w{k} AS (SELECT a.id AS a, b.id AS b FROM p{k} a JOIN p{k} b ON b.label = a.label AND abs(a.u - b.u) <= 1 AND abs(a.v - b.v) <= 1 AND a.id <> b.id), {_spread(k)}"
+
+
+def _spread(k: str) -> str:
+    """All that is reached from the nodes, r(id)."""
+    return f"r{k}(id) AS (SELECT id FROM p{k} WHERE node UNION SELECT w.b FROM r{k} r JOIN w{k} w ON w.a = r.id)"
+
+
+@query(f"WITH RECURSIVE s AS {SEG}, n0 AS (SELECT label, n.x AS x, n.y AS y, n.z AS z FROM (SELECT label, min(struct_pack(z := z, y := y, x := x)) AS n FROM s GROUP BY label)), n1 AS (SELECT label, n.x AS x, n.y AS y, n.z AS z FROM (SELECT label, max(struct_pack(z := z, y := y, x := x)) AS n FROM s GROUP BY label)), {_slice('0', 'z', 'x', 'y')}, {_slice('1', 'x', 'y', 'z')} SELECT label, CAST(0 AS BIGINT) AS step, CAST(count(*) * 16 * 16 AS BIGINT) AS area FROM r0 JOIN p0 USING (id) GROUP BY label UNION ALL SELECT label, 1, CAST(count(*) * 16 * 40 AS BIGINT) FROM r1 JOIN p1 USING (id) GROUP BY label")
+def section_areas(spark, d):
+    vol = seg(spark, d)
+    ends = vol.groupBy("label").agg(F.min(F.struct("z", "y", "x")).alias("n0"), F.max(F.struct("z", "y", "x")).alias("n1"))
+    each = [ends.select("label", F.lit(k).alias("step"), *[F.col(f"n{k}.{a}").alias(a) for a in "xyz"], *[F.lit(float(w)).alias(f"n{a}") for a, w in zip("xyz", n, strict=True)]) for k, n in ((0, (0, 0, 1)), (1, (1, 0, 0)))]
+    found = sections.section_areas(each[0].unionByName(each[1]), vol, (16, 16, 40), (32, 32, 4))
+    return found.select("label", "step", F.round("area").cast("bigint").alias("area"))
+
+
 @query(f"WITH {LINKS} SELECT label, count(*) AS edges, round(sum(sqrt(CAST((a // 100 - b // 100) * (a // 100 - b // 100) + (a % 100 - b % 100) * (a % 100 - b % 100) AS DOUBLE))), 3) AS length FROM e GROUP BY label")
 def cable_length(spark, d):
     return skeleton.cable_length(skeleton.merge(path_rows(spark, d))[1]).withColumn("length", F.round("length", 3))

@@ -240,12 +240,6 @@ def test_cells_of_skeletons_are_bounded(spark):
         skeleton.forge(voxels(spark, [(0, 0, 0, 1)]), (512, 512, 512))
 
 
-def test_section_areas(spark):
-    bar = voxels(spark, [(x, y, z, 1) for x in range(9) for y in range(3) for z in range(3)])
-    nodes = spark.createDataFrame([(1, 0, 4, 1, 1, 1.0, 0.0, 0.0)], "label long, step long, x long, y long, z long, nx double, ny double, nz double")
-    assert skeleton.section_areas(nodes, bar).first().area == 9
-
-
 def test_chunks_shards_and_files(spark, tmp_path):
     vol = voxels(spark, [(x, y, z, 1 + (x * y + z) % 200) for x in range(10) for y in range(9) for z in range(3)], "x long, y long, z long, v long")
     chunks = volume.to_chunks(vol, (4, 4, 4))
@@ -350,12 +344,6 @@ def test_texts_for_people():
     assert [ago_text(n) for n in (0, 1, 59, 60, 7200, 90_000)] == ["just now", "1 second ago", "59 seconds ago", "1 minute ago", "2 hours ago", "1 day ago"]
 
 
-def test_wide_sections_are_whole(spark):
-    slab = [(x, y, 1, 1) for x in range(31) for y in range(31)] + [(15, 15, 2, 1), (60, 15, 1, 1)]
-    nodes = spark.createDataFrame([(1, 0, 15, 15, 1, 0.0, 0.0, 1.0), (1, 1, 15, 15, 2, 0.0, 0.0, 1.0)], "label long, step long, x long, y long, z long, nx double, ny double, nz double")
-    assert {r.step: r.area for r in skeleton.section_areas(nodes, voxels(spark, slab)).collect()} == {0: 31 * 31, 1: 1}
-
-
 def test_short_side_branches_go(spark):
     trunk = [((x, 0, 0), (x + 1, 0, 0)) for x in range(20)]
     twig, limb = [((5, y, 0), (5, y + 1, 0)) for y in range(2)], [((12, y, 0), (12, y + 1, 0)) for y in range(7)]
