@@ -357,3 +357,55 @@ def chunk_components(chunks: DataFrame, chunk: Size, shape: Size) -> DataFrame:
         return pa.Table.from_batches([_batch("cx long, cy long, cz long, dtype string, data binary", list(map(list, zip(*out, strict=True))) or [[]] * 5)])
 
     return local.groupBy(*AT).cogroup(known.groupBy(*AT)).applyInArrow(relabel, "cx long, cy long, cz long, dtype string, data binary")
+
+
+PIECES = "cx long, cy long, cz long, ox int, oy int, oz int, dtype string, size array<int>, data binary"
+CHUNKS = "cx long, cy long, cz long, dtype string, data binary"
+
+
+def with_halo(chunks: DataFrame, chunk: Size, shape: Size, work: Callable[[np.ndarray], np.ndarray], halo: int = 1) -> DataFrame:
+    """Chunks after work on each with `halo` voxels of its neighbours around it; only these are sent, to chunks within the shape.
+
+    Chunks that are absent but have something beside them take part. work gets an array in z, y, x order with the halo around it, and gives
+    one without; what it puts beyond the shape is dropped, and so are chunks of background alone.
+    """
+    grid = [-(-s // c) for s, c in zip(shape, chunk, strict=True)]
+    steps = [(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)]
+
+    def spread(at, dense):
+        for d in steps:
+            to = [a + b for a, b in zip(at, d, strict=True)]
+            part = dense[tuple({-1: np.s_[:halo], 0: np.s_[:], 1: np.s_[-halo:]}[d[a]] for a in (2, 1, 0))]
+            if all(0 <= t < g for t, g in zip(to, grid, strict=True)) and (d == (0, 0, 0) or part.any()):
+                first = [{-1: halo + chunk[a], 0: halo, 1: 0}[d[a]] for a in range(3)]
+                yield [*[[t] for t in to], *[[f] for f in first], [dense.dtype.str], [list(part.shape)], [np.ascontiguousarray(part).tobytes()]]
+
+    def join(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        whole = np.zeros([c + 2 * halo for c in chunk[::-1]], rows[0]["dtype"])
+        for r in rows:
+            nz, ny, nx = r["size"]
+            whole[r["oz"] : r["oz"] + nz, r["oy"] : r["oy"] + ny, r["ox"] : r["ox"] + nx] = np.frombuffer(r["data"], r["dtype"]).reshape(nz, ny, nx)
+        out = work(whole).copy()
+        for axis, c in enumerate(AT):
+            out[tuple(np.s_[max(0, shape[axis] - rows[0][c] * chunk[axis]) :] if k == OF[axis] else np.s_[:] for k in range(3))] = 0
+        some = [[rows[0][c]] for c in AT] + [[out.dtype.str], [np.ascontiguousarray(out).tobytes()]] if out.any() else [[]] * 5
+        return pa.Table.from_batches([_batch(CHUNKS, some)])
+
+    return _over(chunks, chunk, PIECES, spread).groupBy(*AT).applyInArrow(join, CHUNKS)
+
+
+def grown(whole: np.ndarray) -> np.ndarray:
+    """An array without its halo of 1, whose background has taken the least label beside it, corners included."""
+    top = np.iinfo(whole.dtype).max
+    far = np.where(whole == 0, top, whole)
+    for k in range(3):  # the least of three along each axis
+        n = far.shape[k]
+        far = np.minimum.reduce([np.take(far, range(i, n - 2 + i), axis=k) for i in range(3)])
+    own = whole[1:-1, 1:-1, 1:-1]
+    return np.where((own == 0) & (far != top), far, own)
+
+
+def chunk_dilate(chunks: DataFrame, chunk: Size, shape: Size) -> DataFrame:
+    """Background voxels beside a label, corners included, take it, the least of several; as select.dilate, within the shape."""
+    return with_halo(chunks, chunk, shape, grown)

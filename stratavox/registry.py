@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, chunks, graph_volume, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
+from stratavox.operators import ccl, chunks, graph_volume, holes, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.shared import materialise
@@ -501,6 +501,50 @@ def fill_holes(spark, d):
     return ccl.fill_holes(fixture(spark, d, "vol_ccl").withColumn("label", F.lit(1).cast("bigint")), CCL_SHAPE)
 
 
+HOLED = f"(SELECT x, y, z, 1 + CAST(floor(x / 16) AS BIGINT) AS label FROM {CCL} WHERE v >= 15)"
+_WIDER = f"SELECT x, y, z, coalesce(max(own), min(label)) AS label FROM (SELECT x + a.i AS x, y + b.i AS y, z + c.i AS z, label, CASE WHEN a.i = 0 AND b.i = 0 AND c.i = 0 THEN label END AS own FROM {HOLED}, range(-1, 2) a(i), range(-1, 2) b(i), range(-1, 2) c(i)) WHERE x BETWEEN 0 AND 47 AND y BETWEEN 0 AND 47 AND z BETWEEN 0 AND 6 GROUP BY x, y, z"
+_RIMS = " UNION ALL ".join(f"SELECT {2 * k + far} AS side, {u} AS u, {w} AS w, {u} IN (0, {CCL_SHAPE['xyz'.index(u)] - 1}) OR {w} IN (0, {CCL_SHAPE['xyz'.index(w)] - 1}) AS rim, id FROM v WHERE {a} = {far * (CCL_SHAPE[k] - 1)}" for k, (a, u, w) in enumerate(("xyz", "yxz", "zxy")) for far in (0, 1))
+
+
+def _filled(level: int) -> str:
+    """Labels with their holes filled at a level: pieces of background, their faces by label, and which pieces are open."""
+    reach = "o(id, side) AS (SELECT id, side FROM s WHERE rim UNION SELECT b.id, b.side FROM o JOIN s a ON a.id = o.id AND a.side = o.side JOIN s b ON b.side = a.side AND abs(a.u - b.u) + abs(a.w - b.w) = 1)" if level >= 2 else "o AS (SELECT id FROM s)"
+    return f"""WITH RECURSIVE base AS ({_WIDER if level >= 3 else f'SELECT * FROM {HOLED}'}), v AS (SELECT i % 48 AS x, i // 48 % 48 AS y, i // 2304 AS z, i AS id FROM range(0, 16128) t(i) WHERE i NOT IN (SELECT x + 48 * (y + 48 * z) FROM base)),
+ e AS (SELECT a.id AS a, b.id AS b FROM v a JOIN v b ON b.id = a.id + 1 AND b.y = a.y AND b.z = a.z UNION ALL SELECT a.id, b.id FROM v a JOIN v b ON b.id = a.id + 48 AND b.z = a.z UNION ALL SELECT a.id, b.id FROM v a JOIN v b ON b.id = a.id + 2304), w AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+ r(id, c) {KEYED.format(v='v', w='w', r='r')}, s AS ({_RIMS}), {reach}, shut AS (SELECT DISTINCT c FROM r JOIN o USING (id)),
+ d AS (SELECT * FROM (VALUES (1, 0, 0), (-1, 0, 0), (0, 1, 0), (0, -1, 0), (0, 0, 1), (0, 0, -1)) d(dx, dy, dz)), t AS (SELECT c, label, count(*) AS n FROM r JOIN v USING (id), d JOIN base b ON b.x = v.x + dx AND b.y = v.y + dy AND b.z = v.z + dz GROUP BY c, label),
+ best AS (SELECT *, sum(n) OVER (PARTITION BY c) AS whole, row_number() OVER (PARTITION BY c ORDER BY n DESC, label) AS place FROM t)
+ SELECT x, y, z, label, false AS hole FROM base UNION ALL SELECT x, y, z, label, true FROM r JOIN v USING (id) JOIN best USING (c) WHERE place = 1 AND 100 * n >= {holes.least_share(level)} * whole AND c NOT IN (SELECT c FROM shut)"""
+
+
+def filled(spark: SparkSession, d: str, level: int) -> DataFrame:
+    size = (16, 12, 4)
+    labels = fixture(spark, d, "vol_ccl").filter("v >= 15").select("x", "y", "z", (1 + F.floor(F.col("x") / 16)).cast("bigint").alias("v"))
+    found = holes.fill_levels(to_chunks(labels, size, "int64"), size, CCL_SHAPE, level)
+    own = to_voxels(found.select("cx", "cy", "cz", "dtype", F.col("holes").alias("data")), size).select("x", "y", "z", F.lit(True).alias("hole"))
+    return to_voxels(found, size).withColumnRenamed("v", "label").join(own, ["x", "y", "z"], "left").withColumn("hole", F.coalesce("hole", F.lit(False)))
+
+
+@query(_filled(1))
+def fill_level_1(spark, d):
+    return filled(spark, d, 1)
+
+
+@query(_filled(2))
+def fill_level_2(spark, d):
+    return filled(spark, d, 2)
+
+
+@query(_filled(3))
+def fill_level_3(spark, d):
+    return filled(spark, d, 3)
+
+
+@query(_filled(50))
+def fill_level_50(spark, d):
+    return filled(spark, d, 50)
+
+
 # Dense chunks
 
 
