@@ -21,10 +21,12 @@ MINIMA = CHUNKS * COMPONENTS
 SURE = CHUNKS * (ERRORS + 1) - 1
 #: Pairs that meet are left out if they differ in more components; of 60, a pair of similarity 0.8 does so once in about 2e6.
 MOST = 28
+#: Sets that may have links are broadcast (three numbers each) up to so many, so that texts stay where they are; beyond that texts are shuffled to them.
+MOST_NEAR = 500_000
 #: Sets of a block, two of which are compared in one task.
 BLOCK = 1024
 SETS = "doc_id long, hash long, n_shingles long, set_id long, signature binary"
-KEYS = "set_id long, n long, key long"
+KEYS = "set_id long, key long"
 FULL = "set_id long, hashes binary"
 
 _random = np.random.default_rng(20).integers(0, 1 << 63, (2, MINIMA), np.int64).view(np.uint64)
@@ -56,19 +58,19 @@ def signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For mapInArrow over (set_id, n, signature): a key for each chunk and each choice of the components that may differ.
+    """For mapInArrow over (set_id, signature): a key for each chunk and each choice of the components that may differ.
 
     With ERRORS = 1, a chunk gives a key for each component that is left out: two chunks that differ in one component or
     none agree in one of them.
     """
     rest = np.array([[i for i in range(COMPONENTS) if i != e] for e in range(COMPONENTS)])
     for batch in batches:
-        sign = np.frombuffer(buffer(batch.column(2))[0].tobytes(), "<u2").reshape(-1, CHUNKS, COMPONENTS)
+        sign = np.frombuffer(buffer(batch.column(1))[0].tobytes(), "<u2").reshape(-1, CHUNKS, COMPONENTS)
         packed = np.ascontiguousarray(sign[:, :, rest]).view("<u8")[..., 0]  # set, chunk, component left out
         which = mix64(np.arange(1, MINIMA + 1, dtype=np.uint64)).reshape(CHUNKS, COMPONENTS)
         keys = mix64(packed ^ which).reshape(-1)
         row = pa.array(np.repeat(np.arange(len(sign)), MINIMA))
-        yield batch_of(KEYS, batch.column(0).take(row), batch.column(1).take(row), keys.view(np.int64))
+        yield batch_of(KEYS, batch.column(0).take(row), keys.view(np.int64))
 
 
 def full_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,14 +201,15 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = F.struct(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("hash").alias("hash"))
     one = sets.filter("n_shingles > 0").groupBy("set_id").agg(F.first("n_shingles").alias("n"), F.min(least).alias("least"), F.first("signature").alias("signature"))
     one = materialise(one, "minhash-one")
-    every = one.select("set_id", "n", "signature").mapInArrow(key_rows, KEYS)
+    every = one.select("set_id", "signature").mapInArrow(key_rows, KEYS)
     often = every.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     found = materialise(every.join(often, "key"), "minhash-found")
     heavy = found.groupBy("set_id").agg(F.sum("m").alias("weight"))
     near = materialise(one.join(heavy, "set_id"), "minhash-near")
-    keys = materialise(found.select("key", "set_id", "n").join(near.select("set_id", "weight"), "set_id"), "minhash-keys")
+    few = F.broadcast if near.count() <= MOST_NEAR else lambda df: df
+    keys = materialise(found.select("key", "set_id").join(few(near.select("set_id", "n", "weight")), "set_id"), "minhash-keys")
     drop(one, found)
-    where = near.select("set_id", "least.*")
+    where = few(near.select("set_id", "least.*"))
     row = rows.select(F.col("doc_id").isNull().alias("null"), F.coalesce("doc_id", F.lit(0)).alias("id"), "hash", "text")
     own = row.join(where, ["null", "id", "hash"]).select("set_id", "text")
     full = materialise(own.mapInArrow(full_rows, FULL).dropDuplicates(["set_id"]), "minhash-full")
