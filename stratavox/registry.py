@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, chunks, graph_volume, holes, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
+from stratavox.operators import ccl, chunks, graph_chunks, graph_volume, holes, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.shared import materialise
@@ -913,3 +913,27 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_sql)
+
+
+# Chunks of 32 x 32 x 4 voxels; a node joins labels of one chunk by threes, and layers above join these by sixes and twelves.
+NODE = "1000 * (x // 32 + 4 * (y // 32) + 16 * (z // 4)) + label // 3"
+SPLIT_SQL = f"""seg AS (SELECT x, y, z, CAST({NODE} AS BIGINT) AS node, label FROM {SEG} WHERE label <= 60),
+ win AS (SELECT x // 32 - a.i AS cx, y // 32 - b.i AS cy, z // 4 - c.i AS cz, x, y, z, node, label, a.i + b.i + c.i = 0 AS own FROM seg, range(2) a(i), range(2) b(i), range(2) c(i) WHERE (a.i = 0 OR x % 32 = 0 AND x > 0) AND (b.i = 0 OR y % 32 = 0 AND y > 0) AND (c.i = 0 OR z % 4 = 0 AND z > 0)),
+ lay AS (SELECT *, CASE WHEN cx // 2 = (cx + 1) // 2 AND cy // 2 = (cy + 1) // 2 AND cz // 2 = (cz + 1) // 2 THEN 3 ELSE 4 END AS layer FROM win),
+ rooted AS (SELECT cx, cy, cz, x, y, z, node, own, CASE layer WHEN 3 THEN 30000000 + 1000 * (x // 64 + 2 * (y // 64)) + label // 6 ELSE 40000000 + label // 12 END AS root FROM lay),
+ n AS (SELECT cx, cy, cz, root, count(DISTINCT node) AS n, min(node) AS sole FROM rooted WHERE own GROUP BY cx, cy, cz, root),
+ told AS (SELECT r.*, n.n, n.sole, row_number() OVER () AS id FROM rooted r LEFT JOIN n USING (cx, cy, cz, root)),
+ far AS MATERIALIZED (SELECT * FROM told WHERE NOT own AND n > 1),
+ w AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM far a JOIN far b ON a.cx = b.cx AND a.cy = b.cy AND a.cz = b.cz AND a.root = b.root AND abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND abs(a.z - b.z) <= 1 AND a.id <> b.id)"""
+
+
+@query(
+    f"WITH RECURSIVE {SPLIT_SQL.replace('told AS (', 'told AS MATERIALIZED (')}, r(id, c) {KEYED.format(v='far', w='w', r='r')},"
+    " met AS (SELECT r.c, min(o.node) AS label FROM r JOIN far f ON f.id = r.id JOIN told o ON o.own AND o.cx = f.cx AND o.cy = f.cy AND o.cz = f.cz AND o.root = f.root AND ((f.x = 32 * (f.cx + 1) AND o.x = f.x - 1 AND o.y = f.y AND o.z = f.z) OR (f.y = 32 * (f.cy + 1) AND o.x = f.x AND o.y = f.y - 1 AND o.z = f.z) OR (f.z = 4 * (f.cz + 1) AND o.x = f.x AND o.y = f.y AND o.z = f.z - 1)) GROUP BY r.c)"
+    " SELECT cx, cy, cz, x, y, z, node AS label FROM told WHERE own UNION ALL SELECT cx, cy, cz, x, y, z, sole FROM told WHERE NOT own AND n = 1 UNION ALL SELECT f.cx, f.cy, f.cz, f.x, f.y, f.z, met.label FROM far f JOIN r ON r.id = f.id JOIN met ON met.c = r.c"
+)
+def graph_overlaps(spark, d):
+    vol = seg(spark, d).filter("label <= 60").withColumn("node", F.expr("1000 * (x div 32 + 4 * (y div 32) + 16 * (z div 4)) + label div 3"))
+    up = vol.select("node", F.expr("30000000 + 1000 * (x div 64 + 2 * (y div 64)) + label div 6").alias("third"), F.expr("40000000 + label div 12").alias("fourth"))
+    links = up.select(F.col("node").alias("child"), F.col("third").alias("parent"), F.lit(3).alias("layer")).unionByName(up.select(F.col("third").alias("child"), F.col("fourth").alias("parent"), F.lit(4).alias("layer")))
+    return graph_chunks.overlap_labels(vol.select("x", "y", "z", "node"), links.distinct(), (32, 32, 4), 4)
