@@ -34,3 +34,25 @@ def prefixes(spark: SparkSession, layer: int, layer_bits: int = 8, x_bits: int =
     label = F.shiftleft(F.col("id"), 64 - layer_bits - x_bits - y_bits) + F.lit(base).cast("bigint")
     labels = spark.range(1 << (x_bits + y_bits)).select(label.alias("label"))
     return labels.select(F.substring(unsigned("label").cast("string"), 1, length).alias("prefix")).distinct()
+
+
+def with_prefix(table: DataFrame, length: int = 6) -> DataFrame:
+    """A table with the first digits of its labels, read as unsigned: what is merged or listed by prefix meets in one partition or folder."""
+    return table.withColumn("prefix", F.substring(unsigned("label").cast("string"), 1, length))
+
+
+def manifests(fragments: DataFrame, length: int = 6) -> DataFrame:
+    """prefix, label, fragments and their names, in order, of each label from rows (label, name); labels of a prefix lie together.
+
+    Only prefixes that labels have are there, so none has to be tried in vain.
+    """
+    own = fragments.select("label", "name").distinct().groupBy("label").agg(F.sort_array(F.collect_list("name")).alias("names"))
+    return with_prefix(own, length).select("prefix", "label", F.size("names").cast("long").alias("fragments"), F.concat_ws(",", "names").alias("names"))
+
+
+def merge_by_prefix(traced: DataFrame, path: str, length: int = 6) -> None:
+    """Skeletons of a graph volume from fragments (see skeleton.forge), merged by label and written with a folder for each prefix: nodes and edges."""
+    from stratavox.operators.skeleton import merge
+
+    for name, found in zip(("nodes", "edges"), merge(traced), strict=True):
+        with_prefix(found, length).repartition("prefix", "label").sortWithinPartitions("prefix", "label").write.mode("overwrite").partitionBy("prefix").parquet(f"{path}/{name}")

@@ -20,9 +20,13 @@ MOST = 1 << 24
 
 
 class _Body:
-    """Voxels of one label in one cell on a dense grid of their box, with a border of one voxel."""
+    """Voxels of one label in one cell on a dense grid of their box, with a border of one voxel.
 
-    def __init__(self, points: np.ndarray):
+    bits, if given, has a bit for each of STEPS that a path may take from a voxel.
+    """
+
+    def __init__(self, points: np.ndarray, bits: np.ndarray | None = None):
+        self.bits = bits
         self.low = points.min(axis=0) - 1
         self.shape = points.max(axis=0) - self.low + 2
         strides = np.array([1, self.shape[0], self.shape[0] * self.shape[1]])
@@ -36,6 +40,13 @@ class _Body:
         """For each of the rows those of its neighbours at these steps, or -1."""
         return self.at[self.code[rows][:, None] + steps]
 
+    def onward(self, rows: np.ndarray) -> np.ndarray:
+        """For each of the rows those of the neighbours that its bits lead to, or -1."""
+        there = self.near(rows, self.steps)
+        if self.bits is None:
+            return there
+        return np.where(self.bits[rows][:, None] >> np.arange(len(STEPS)) & 1, there, -1)
+
     def rows(self, points: np.ndarray) -> np.ndarray:
         """The rows of those of the points that are voxels of the label."""
         off = points - self.low
@@ -63,7 +74,7 @@ class _Body:
         while len(waiting):
             ready = far[waiting] < far[waiting].min() + 1
             now, waiting = waiting[ready], waiting[~ready]
-            there = self.near(now, self.steps)
+            there = self.onward(now)
             offer = far[now][:, None] + length[None, :] * cost[there]
             source = np.broadcast_to(now[:, None], there.shape)
             better = (there >= 0) & (offer < far[there] - 1e-9)
@@ -83,19 +94,60 @@ class _Body:
         open_[box[box >= 0]] = False
 
 
-def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.DataFrame:
+def step_bits(points: np.ndarray, node: np.ndarray, chunk: tuple[int, int, int]) -> np.ndarray:
+    """A bit for each of STEPS that leads from a voxel (of one label) to one of its own node, or, from the sides of chunks, to any.
+
+    Within a chunk parts of a label that merely touch are different nodes. Nodes of different chunks never are the same, so
+    there the label itself, the root of both, says what belongs together.
+    """
+    body = _Body(points)
+    side = ((points % chunk == 0) | (points % chunk == np.array(chunk) - 1)).any(axis=1)
+    there = body.near(np.arange(len(points)), body.steps)
+    open_ = (there >= 0) & (side[:, None] | (node[there] == node[:, None]))
+    return (open_.astype(np.int64) << np.arange(len(STEPS))).sum(axis=1)
+
+
+def graph_bits(vol: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
+    """x, y, z and bits of every voxel (label, node, x, y, z), as step_bits() tells them: see STEPS for the order of bits.
+
+    A group is a chunk with one voxel of its neighbours around it; only voxels on sides are sent more than once.
+    """
+    out = vol.select("label", "node", *AXES, *[F.floor(F.col(a) / s).cast("long").alias(f"c{a}") for a, s in zip(AXES, chunk, strict=True)], F.lit(True).alias("own"))
+    for a, s in zip(AXES, chunk, strict=True):
+        low, high = F.pmod(F.col(a), F.lit(s)) == 0, F.pmod(F.col(a), F.lit(s)) == s - 1
+        away = F.concat(F.array(F.lit(0)), F.when(low, F.array(F.lit(-1))).otherwise(F.array().cast("array<int>")), F.when(high, F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+        out = out.withColumn("_d", F.explode(away)).withColumn(f"c{a}", F.col(f"c{a}") + F.col("_d")).withColumn("own", F.col("own") & (F.col("_d") == 0)).drop("_d")
+
+    def one(group: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for _, g in group.groupby("label"):
+            g = g.drop_duplicates(list(AXES))
+            points = g[list(AXES)].to_numpy()
+            parts.append(g.assign(bits=step_bits(points, g["node"].to_numpy(), chunk))[g["own"]])
+        return pd.concat(parts)[[*AXES, "bits"]]
+
+    return out.groupBy("cx", "cy", "cz").applyInPandas(one, "x long, y long, z long, bits long")
+
+
+def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tuple[int, int, int] | None = None) -> pd.DataFrame:
     """TEASAR of one label in one cell: paths to the farthest points along the middle, clearing a ball around each path.
 
     Every traced voxel comes with the one before it (itself at a root) and its distance to the border. Voxels are taken
     in the order of z, y, x, so reruns agree; repeated ones count once. Memory is 4 bytes for each voxel of the label's
     box and some 200 for each of its own; each voxel is expanded once a path search. Rows with a true `target`, if there
-    is such a column, name voxels that get a path in any case; they add no voxels.
+    is such a column, name voxels that get a path in any case; they add no voxels. With the size of a graph volume's chunks
+    and a column node, paths take only steps that step_bits() allows, so parts of a label that merely touch stay apart;
+    the voxel before another is then the next one on its way to the root.
     """
     wanted = group["target"].to_numpy(bool) if "target" in group else np.zeros(len(group), bool)
     points = np.unique(group.loc[~wanted, ["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1]
-    body, one = _Body(points), np.ones(len(points))
+    bits = None
+    if chunk is not None:
+        names = group.loc[~wanted].drop_duplicates(["z", "y", "x"]).sort_values(["z", "y", "x"])["node"].to_numpy()
+        bits = step_bits(points, names, chunk)
+    body, one = _Body(points, bits), np.ones(len(points))
     targets = body.rows(np.unique(group.loc[wanted, ["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1])
-    radius = body.distances(body.border(), one)[0] + 1
+    radius = _Body(points).distances(body.border(), one)[0] + 1  # the shape's, whatever joins it
     penalty = 1 + 100 * (1 - radius / radius.max()) ** 4
     left, rows = np.ones(len(points), bool), {}
     while left.any():
@@ -130,24 +182,26 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0) -> pd.Dat
     return out[[x.split()[0] for x in TRACED.split(", ")]]
 
 
-def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: DataFrame | None = None) -> DataFrame:
+def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: DataFrame | None = None, chunk: tuple[int, int, int] | None = None) -> DataFrame:
     """Traced voxels of each label in each cell; cells overlap by one voxel, so that fragments meet.
 
     A group is one label in one cell, which the cell's size bounds; cells of more than MOST voxels are an error. Targets
     (label, x, y, z), such as nearest_voxels() gives, get a path each; those that are no voxels of their label don't count.
+    For a graph volume, chunk is the size of its chunks and a column node has the voxels' nodes at layer 2: see trace().
     """
     if (size[0] + 1) * (size[1] + 1) * (size[2] + 1) > MOST:
         raise ValueError(f"a cell has at most {MOST} voxels; take smaller ones, fragments meet when merged")
     low = [F.when((F.col(a) % s == 0) & (F.col(a) > 0), F.array(F.lit(0), F.lit(-1))).otherwise(F.array(F.lit(0))) for a, s in zip(AXES, size, strict=True)]
-    marked = vol.select("label", *AXES, F.lit(False).alias("target"))
+    node = ["node"] if chunk is not None else []
+    marked = vol.select("label", *AXES, *node, F.lit(False).alias("target"))
     if targets is not None:
-        marked = marked.unionByName(targets.select("label", *AXES, F.lit(True).alias("target")).distinct())
+        marked = marked.unionByName(targets.select("label", *AXES, F.lit(True).alias("target")).distinct(), allowMissingColumns=True)
     sent = marked.withColumn("_i", F.explode(low[0])).withColumn("_j", F.explode(low[1])).withColumn("_k", F.explode(low[2]))
     own = cell(size)
-    keyed = sent.select("label", *[(own[f"c{a}"] + F.col(k)).alias(f"c{a}") for a, k in zip(AXES, ("_i", "_j", "_k"), strict=True)], *AXES, "target")
+    keyed = sent.select("label", *[(own[f"c{a}"] + F.col(k)).alias(f"c{a}") for a, k in zip(AXES, ("_i", "_j", "_k"), strict=True)], *AXES, *node, "target")
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        return trace(group) if (~group["target"]).sum() >= max(dust, 1) else pd.DataFrame(columns=[x.split()[0] for x in TRACED.split(", ")])
+        return trace(group, chunk=chunk) if (~group["target"]).sum() >= max(dust, 1) else pd.DataFrame(columns=[x.split()[0] for x in TRACED.split(", ")])
 
     return keyed.groupBy("label", "cx", "cy", "cz").applyInPandas(one, TRACED)
 

@@ -937,3 +937,19 @@ def graph_overlaps(spark, d):
     up = vol.select("node", F.expr("30000000 + 1000 * (x div 64 + 2 * (y div 64)) + label div 6").alias("third"), F.expr("40000000 + label div 12").alias("fourth"))
     links = up.select(F.col("node").alias("child"), F.col("third").alias("parent"), F.lit(3).alias("layer")).unionByName(up.select(F.col("third").alias("child"), F.col("fourth").alias("parent"), F.lit(4).alias("layer")))
     return graph_chunks.overlap_labels(vol.select("x", "y", "z", "node"), links.distinct(), (32, 32, 4), 4)
+
+
+_BITS = " UNION ALL ".join(f"SELECT a.x, a.y, a.z, CAST({1 << k} AS BIGINT) AS bit FROM seg a JOIN seg b ON b.label = a.label AND b.x = a.x + {i} AND b.y = a.y + {j} AND b.z = a.z + {m} WHERE a.side OR a.node = b.node" for k, (i, j, m) in enumerate(skeleton.STEPS.tolist()))
+THICK = f"(SELECT x, y, z, CAST(label // 16 AS BIGINT) AS label, CAST({NODE} AS BIGINT) AS node, x % 32 IN (0, 31) OR y % 32 IN (0, 31) OR z % 4 IN (0, 3) AS side FROM {SEG})"
+
+
+@query(f"WITH seg AS {THICK}, e AS ({_BITS}) SELECT s.x, s.y, s.z, CAST(coalesce(sum(bit), 0) AS BIGINT) AS bits FROM seg s LEFT JOIN e ON e.x = s.x AND e.y = s.y AND e.z = s.z GROUP BY s.x, s.y, s.z")
+def graph_bits(spark, d):
+    vol = seg(spark, d).select("x", "y", "z", F.expr("label div 16").alias("label"), F.expr("1000 * (x div 32 + 4 * (y div 32) + 16 * (z div 4)) + label div 3").alias("node"))
+    return skeleton.graph_bits(vol, (32, 32, 4))
+
+
+@query(f"WITH seg AS {SEG}, f AS (SELECT DISTINCT 200::HUGEINT * 72057594037927936 + label * 70368744177664 AS label, x // 32 || '_' || y // 32 || '_' || z // 4 AS name FROM seg) SELECT substr(CAST(label AS VARCHAR), 1, 6) AS prefix, CAST(label AS VARCHAR) AS label, count(*) AS fragments, string_agg(name, ',' ORDER BY name) AS names FROM f GROUP BY label")
+def graph_manifests(spark, d):
+    parts = seg(spark, d).select((F.lit((200 << 56) - (1 << 64)) + F.col("label") * (1 << 46)).alias("label"), F.concat_ws("_", F.expr("x div 32"), F.expr("y div 32"), F.expr("z div 4")).alias("name"))
+    return graph_volume.manifests(parts).withColumn("label", unsigned("label").cast("string"))

@@ -92,3 +92,49 @@ def test_layers(spark):
     at = spark.createDataFrame([(0, 0, 0), (1, 0, 0), (3, 0, 0), (2, 2, 7)], "cx long, cy long, cz long")
     assert [r.n for r in at.select(graph_chunks.agreed_layer(2, 9).alias("n")).collect()] == [3, 4, 5, 6]
     assert at.select(F.max(graph_chunks.agreed_layer(2, 4)).alias("n")).first().n == 4
+
+
+def arms(spark):
+    """Two arms that touch all along and are joined at one end only: they are two nodes in their chunk, and one in the next."""
+    rows = [(1, 1 + (y > 1), x, y, 1) for x in range(1, 16) for y in range(1, 3)] + [(1, 3, x, y, 1) for x in range(16, 20) for y in range(1, 3)]
+    return spark.createDataFrame(rows, "label long, node long, x long, y long, z long")
+
+
+def test_touching_arms_stay_apart(spark):
+    from stratavox.operators import skeleton
+
+    free = {(r.x, r.y, r.px, r.py) for r in skeleton.forge(arms(spark), (64, 64, 8)).collect()}
+    kept = {(r.x, r.y, r.px, r.py) for r in skeleton.forge(arms(spark), (64, 64, 8), chunk=(16, 16, 16)).collect()}
+    crossing = lambda paths: {p for p in paths if p[1] != p[3] and max(p[0], p[2]) < 15}
+    assert not crossing(kept) and {x for x, *_ in kept} >= set(range(2, 15))
+    tips = {y for x, y, *_ in kept if x == 1}
+    assert tips == {1, 2} and len({y for x, y, *_ in free if x == 1}) == 1  # without the graph one path covers both
+
+
+def test_bits_are_the_rule(spark):
+    from stratavox.operators import skeleton
+
+    rng = np.random.default_rng(4)
+    dense = rng.integers(0, 3, (9, 8, 7))
+    node = rng.integers(0, 2, dense.shape) + 10 * (np.indices(dense.shape) // 4).sum(axis=0)
+    vol = spark.createDataFrame([(int(dense[p]), int(node[p]), *map(int, p)) for p in np.ndindex(*dense.shape) if dense[p]], "label long, node long, x long, y long, z long")
+    found = {(r.x, r.y, r.z): r.bits for r in skeleton.graph_bits(vol.unionByName(vol.limit(3)), (4, 4, 4)).collect()}
+    for p in np.ndindex(*dense.shape):
+        if dense[p]:
+            told = 0
+            for k, s in enumerate(skeleton.STEPS.tolist()):
+                q = tuple(np.add(p, s))
+                if all(0 <= a < n for a, n in zip(q, dense.shape, strict=True)) and dense[q] == dense[p] and (any(a % 4 in (0, 3) for a in p) or node[p] == node[q]):
+                    told |= 1 << k
+            assert found[p] == told
+
+
+def test_merge_by_prefix(spark, tmp_path):
+    from stratavox.operators import graph_volume, skeleton
+
+    traced = skeleton.forge(arms(spark).withColumn("label", F.lit(123456789)), (8, 64, 8))
+    graph_volume.merge_by_prefix(traced, str(tmp_path))
+    nodes, edges = skeleton.merge(traced)
+    back = spark.read.parquet(f"{tmp_path}/nodes")
+    assert {r.prefix for r in back.select("prefix").distinct().collect()} == {123456} and back.count() == nodes.count()
+    assert spark.read.parquet(f"{tmp_path}/edges").count() == edges.count()
