@@ -6,6 +6,7 @@ and so is the part of a chunk beyond the volume's end. Labels and values of 0 ar
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stratavox.functions.codes import compressed_morton, shard_number
 from stratavox.operators.ccl import contract, links
 from stratavox.operators.mesh import triangles_of
 from stratavox.operators.pool import Method, method_for
 from stratavox.operators.select import AXES
+from stratavox.plans.scales import ShardSpec
 from stratavox.sources.shared import materialise
 
 Size = tuple[int, int, int]
@@ -123,13 +126,12 @@ def pooled(windows: np.ndarray, kind: Method, rooms, sparse: bool) -> np.ndarray
     return np.where(rooms - used < best, least, 0).astype(windows.dtype)
 
 
-def chunk_pyramid(chunks: DataFrame, chunk: Size, factor: Size, levels: int, layer: str = "image", method: Method = Method.AUTO, sparse: bool = False, shape: Size | None = None) -> DataFrame:
-    """Levels 1 to `levels` as chunk tables with their mip: chunks of the same size, of which each holds several of the level below.
+def pooled_blocks(chunks: DataFrame, chunk: Size, factor: Size, levels: int, layer: str = "image", method: Method = Method.AUTO, sparse: bool = False, shape: Size | None = None, keep: bool = False) -> DataFrame:
+    """BLOCKS rows: what each chunk gives to levels 1 to `levels`, and its own voxels as level 0 if kept. No shuffle.
 
-    A chunk is pooled through all levels where it lies, as its sides are multiples of factor^levels; then the blocks of a
-    level meet by the chunk that they lie in. What is shuffled is the levels themselves. Averages carry sums and counts
-    upward and are floors over the voxels that the volume has in a window, or over those that aren't 0 if sparse.
-    Blocks and chunks of background alone are absent.
+    A chunk is pooled through all levels where it lies, as its sides are multiples of factor^levels. Averages carry sums and
+    counts upward and are floors over the voxels that the volume has in a window, or over those that aren't 0 if sparse.
+    Blocks of background alone are absent.
     """
     if any(c % f**levels for c, f in zip(chunk, factor, strict=True)):
         raise ValueError("a chunk's sides must be multiples of factor ** levels")
@@ -137,6 +139,8 @@ def chunk_pyramid(chunks: DataFrame, chunk: Size, factor: Size, levels: int, lay
 
     def work(at, dense):
         below, count = dense.astype(np.int64) if kind == Method.AVERAGE else dense, None
+        if keep and dense.any():
+            yield [[0], *[[a] for a in at], [0], [0], [0], [dense.dtype.str], [list(dense.shape)], [dense.tobytes()]]
         for mip in range(1, levels + 1):
             whole = tuple(f**mip for f in factor)
             if kind == Method.AVERAGE:
@@ -161,17 +165,94 @@ def chunk_pyramid(chunks: DataFrame, chunk: Size, factor: Size, levels: int, lay
                 place = [at[a] * (chunk[a] // whole[a]) for a in range(3)]
                 yield [[mip], *[[p // c] for p, c in zip(place, chunk, strict=True)], *[[p % c] for p, c in zip(place, chunk, strict=True)], [level.dtype.str], [list(level.shape)], [level.tobytes()]]
 
+    return _over(chunks, chunk, BLOCKS, work)
+
+
+def _whole(rows: list[dict], chunk: Size) -> np.ndarray:
+    """The array of a chunk from its blocks."""
+    out = np.zeros(chunk[::-1], rows[0]["dtype"])
+    for r in rows:
+        nz, ny, nx = r["size"]
+        out[r["oz"] : r["oz"] + nz, r["oy"] : r["oy"] + ny, r["ox"] : r["ox"] + nx] = np.frombuffer(r["data"], r["dtype"]).reshape(nz, ny, nx)
+    return out
+
+
+def chunk_pyramid(chunks: DataFrame, chunk: Size, factor: Size, levels: int, layer: str = "image", method: Method = Method.AUTO, sparse: bool = False, shape: Size | None = None) -> DataFrame:
+    """Levels 1 to `levels` as chunk tables with their mip: chunks of the same size, of which each holds several of the level below.
+
+    The blocks of a level (see pooled_blocks(), which has the options) meet by the chunk that they lie in; what is shuffled is the levels themselves.
+    """
+
     def join(group: pa.Table) -> pa.Table:
         rows = group.to_pylist()
-        out = np.zeros(chunk[::-1], rows[0]["dtype"])
-        for r in rows:
-            nz, ny, nx = r["size"]
-            out[r["oz"] : r["oz"] + nz, r["oy"] : r["oy"] + ny, r["ox"] : r["ox"] + nx] = np.frombuffer(r["data"], r["dtype"]).reshape(nz, ny, nx)
         first = rows[0]
-        ddl = "mip long, cx long, cy long, cz long, dtype string, data binary"
-        return pa.Table.from_batches([_batch(ddl, [[first["mip"]], [first["cx"]], [first["cy"]], [first["cz"]], [first["dtype"]], [out.tobytes()]])])
+        return pa.Table.from_batches([_batch("mip long, cx long, cy long, cz long, dtype string, data binary", [[first["mip"]], [first["cx"]], [first["cy"]], [first["cz"]], [first["dtype"]], [_whole(rows, chunk).tobytes()]])])
+
+    return pooled_blocks(chunks, chunk, factor, levels, layer, method, sparse, shape).groupBy("mip", *AT).applyInArrow(join, "mip long, cx long, cy long, cz long, dtype string, data binary")
+
+
+SHARDED = "mip long, shard long, minishard long, code long, cx long, cy long, cz long, dtype string, data binary"
+
+
+def in_shards(blocks: DataFrame, chunk: Size, specs: dict[int, tuple[ShardSpec, Size]]) -> DataFrame:
+    """SHARDED rows of BLOCKS rows: whole chunks by level and shard, in the order of minishard and code. One shuffle.
+
+    specs has the bits and the grid of chunks of each level. A group is one shard, which its bits bound; its chunks are put
+    together one after another.
+    """
+    code, shard, mini = F.lit(None).cast("long"), F.lit(None).cast("long"), F.lit(None).cast("long")
+    for mip, (spec, grid) in specs.items():
+        own = compressed_morton(*AT, grid)
+        high, low = shard_number(own, spec.preshift, spec.minishard, spec.shard)
+        code, shard, mini = (F.when(F.col("mip") == mip, new).otherwise(old) for new, old in ((own, code), (high, shard), (low, mini)))
+
+    def join(group: pa.Table) -> pa.Table:
+        found: dict = {}
+        for r in group.to_pylist():
+            found.setdefault((r["minishard"], r["code"]), []).append(r)
+        out = []
+        for (mini, code), rows in sorted(found.items()):
+            out.append((rows[0]["mip"], rows[0]["shard"], mini, code, *[rows[0][c] for c in AT], rows[0]["dtype"], _whole(rows, chunk).tobytes()))
+        return pa.Table.from_batches([_batch(SHARDED, list(map(list, zip(*out, strict=True))))])
+
+    return blocks.withColumns({"code": code, "shard": shard, "minishard": mini}).groupBy("mip", "shard").applyInArrow(join, SHARDED)
+
+
+def sharded_pyramid(chunks: DataFrame, chunk: Size, factor: Size, levels: int, specs: dict[int, tuple[ShardSpec, Size]], keep: bool = False, **options) -> DataFrame:
+    """All levels of a pyramid dealt to the shards of each level, in one pass with one shuffle; level 0 too if kept.
+
+    A task pools its chunks through all levels, and every level's blocks go straight to their shard.
+    """
+    return in_shards(pooled_blocks(chunks, chunk, factor, levels, keep=keep, **options), chunk, specs)
+
+
+def moved_blocks(chunks: DataFrame, chunk: Size, to: Size, box: tuple[Size, Size], shift: Size = (0, 0, 0)) -> DataFrame:
+    """BLOCKS rows, at level 0, of the voxels within a box, moved by shift and cut by chunks of another size. No shuffle."""
+
+    def work(at, dense):
+        low = [max(box[0][a], at[a] * chunk[a]) for a in range(3)]
+        high = [min(box[1][a], (at[a] + 1) * chunk[a]) for a in range(3)]
+        if any(p >= q for p, q in zip(low, high, strict=True)):
+            return
+        cells = [range((low[a] + shift[a]) // to[a], (high[a] + shift[a] - 1) // to[a] + 1) for a in range(3)]
+        for place in itertools.product(*cells):
+            first = [max(low[a] + shift[a], place[a] * to[a]) for a in range(3)]
+            last = [min(high[a] + shift[a], (place[a] + 1) * to[a]) for a in range(3)]
+            cut = dense[tuple(np.s_[first[a] - shift[a] - at[a] * chunk[a] : last[a] - shift[a] - at[a] * chunk[a]] for a in (2, 1, 0))]
+            if cut.any():
+                yield [[0], *[[p] for p in place], *[[first[a] - place[a] * to[a]] for a in range(3)], [dense.dtype.str], [list(cut.shape)], [np.ascontiguousarray(cut).tobytes()]]
+
+    return _over(chunks, chunk, BLOCKS, work)
+
+
+def sharded_transfer(chunks: DataFrame, chunk: Size, to: Size, box: tuple[Size, Size], spec: ShardSpec, grid: Size, shift: Size = (0, 0, 0)) -> DataFrame:
+    """A copy cut out, moved (to places of 0 and more), cut by other chunks and dealt to shards, with one shuffle."""
+    return in_shards(moved_blocks(chunks, chunk, to, box, shift), to, {0: (spec, grid)})
+
 
-    return _over(chunks, chunk, BLOCKS, work).groupBy("mip", *AT).applyInArrow(join, "mip long, cx long, cy long, cz long, dtype string, data binary")
+def write_sharded(shards: DataFrame, path: str) -> None:
+    """A folder for each level and shard, written where a shard lies: no further shuffle; its chunks are in order."""
+    shards.write.mode("overwrite").partitionBy("mip", "shard").parquet(path)
 
 
 def _own_faces(at: tuple, dense: np.ndarray, chunk: Size, axis: int):

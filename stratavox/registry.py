@@ -577,6 +577,46 @@ def chunk_pyramid(spark, d):
     return levels_of(chunks.chunk_pyramid(images, CHUNK, (2, 2, 1), 2, shape=SEG_SHAPE), CHUNK)
 
 
+def _code(grid: tuple) -> str:
+    """The compressed Morton code of cx, cy, cz on a grid."""
+    need, out = [max(0, (g - 1).bit_length()) for g in grid], []
+    for i in range(max(need)):
+        out += [f"(((c{a} >> {i}) & 1) << {len(out) + k})" for k, a in enumerate(a for a, n in zip("xyz", need, strict=True) if i < n)]
+    return " | ".join(out)
+
+
+#: Levels of the sharded pyramid: bits and grid of each.
+SHARDS = {0: (ShardSpec(1, 2, 3), (4, 8, 2)), 1: (ShardSpec(0, 1, 3), (2, 4, 2)), 2: (ShardSpec(0, 1, 1), (1, 2, 2))}
+_LEVELS = " UNION ALL ".join(f"SELECT CAST(floor(x / {1 << m}) AS BIGINT) AS x, CAST(floor(y / {1 << m}) AS BIGINT) AS y, z, CAST(floor(sum(v) / {1 << 2 * m}) AS BIGINT) AS v, CAST({m} AS BIGINT) AS mip FROM {SEG} GROUP BY 1, 2, 3" for m in SHARDS)
+_SHARD = " ".join(f"WHEN {m} THEN ({_code(grid)}) >> {spec.preshift}" for m, (spec, grid) in SHARDS.items())
+_MINI = " ".join(f"WHEN {m} THEN {spec.minishard}" for m, (spec, _) in SHARDS.items())
+
+
+@query(f"WITH v AS ({_LEVELS}), c AS (SELECT *, x // 32 AS cx, y // 16 AS cy, z // 4 AS cz FROM v WHERE v > 0), m AS (SELECT *, CASE mip {_SHARD} END AS low, CASE mip {_MINI} END AS bits FROM c) SELECT mip, CAST(low >> bits AS BIGINT) AS shard, CAST(low & ((1 << bits) - 1) AS BIGINT) AS minishard, cx, cy, cz, count(*) AS voxels, CAST(sum(v) AS BIGINT) AS total FROM m GROUP BY ALL")
+def sharded_pyramid(spark, d):
+    images = to_chunks(seg(spark, d).select("x", "y", "z", "v"), CHUNK, "uint8")
+    found = chunks.sharded_pyramid(images, CHUNK, (2, 2, 1), 2, SHARDS, keep=True, shape=SEG_SHAPE)
+    return shard_totals(found, CHUNK)
+
+
+def shard_totals(found: DataFrame, chunk) -> DataFrame:
+    """Voxels and their sum in each chunk of each shard."""
+    voxels = None
+    for m in SHARDS:
+        own = to_voxels(found.filter(F.col("mip") == m), chunk).withColumn("mip", F.lit(m).cast("bigint"))
+        voxels = own if voxels is None else voxels.unionByName(own)
+    keyed = voxels.withColumns({f"c{a}": F.floor(F.col(a) / s).cast("bigint") for a, s in zip("xyz", chunk, strict=True)})
+    counts = keyed.groupBy("mip", "cx", "cy", "cz").agg(F.count("*").alias("voxels"), F.sum("v").alias("total"))
+    return found.select("mip", "shard", "minishard", "cx", "cy", "cz").join(counts, ["mip", "cx", "cy", "cz"])
+
+
+@query(f"WITH c AS (SELECT (x + 3) // 16 AS cx, (y + 7) // 32 AS cy, (z + 1) // 2 AS cz, v FROM {SEG} WHERE {IN_BOX} AND v > 0), m AS (SELECT *, ({_code((8, 4, 4))}) >> 1 AS low FROM c) SELECT CAST(0 AS BIGINT) AS mip, CAST((low >> 2) & 31 AS BIGINT) AS shard, CAST(low & 3 AS BIGINT) AS minishard, cx, cy, cz, count(*) AS voxels, CAST(sum(v) AS BIGINT) AS total FROM m GROUP BY ALL")
+def sharded_transfer(spark, d):
+    images = to_chunks(seg(spark, d).select("x", "y", "z", "v"), CHUNK, "uint8")
+    found = chunks.sharded_transfer(images, CHUNK, (16, 32, 2), BOX, ShardSpec(1, 2, 5), (8, 4, 4), (3, 7, 1))
+    return shard_totals(found, (16, 32, 2))
+
+
 def _modes(below: str, shape: tuple) -> str:
     rooms = " * ".join(f"least(2, {s} - 2 * {a})" for a, s in zip("xy", shape, strict=True))
     return f"SELECT x, y, z, label FROM (SELECT *, sum(n) OVER (PARTITION BY x, y, z) AS used, row_number() OVER (PARTITION BY x, y, z ORDER BY n DESC, label) AS r FROM (SELECT {DOWN}, label, count(*) AS n FROM {below} GROUP BY 1, 2, 3, 4)) WHERE r = 1 AND {rooms} - used < n"

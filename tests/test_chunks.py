@@ -82,3 +82,34 @@ def test_only_sides_are_shuffled(spark):
     dense = to_chunks(voxels(spark, 8), CHUNK, "int64")
     planes = chunks._over(dense, CHUNK, chunks.SIDES, chunks._sides(CHUNK)).collect()
     assert len(planes) <= 6 * dense.count() and max(len(r.labels) for r in planes) == 8 * 8 * 8
+
+
+def test_levels_and_shards_in_one_exchange(spark, tmp_path):
+    from stratavox.plans.scales import ShardSpec
+
+    vol = voxels(spark, 11, 200)
+    dense = to_chunks(vol, CHUNK, "uint8")
+    path = str(tmp_path / "chunks")
+    dense.write.parquet(path)
+    back = spark.read.parquet(path)
+    specs = {0: (ShardSpec(0, 1, 3), (3, 2, 3)), 1: (ShardSpec(0, 1, 2), (2, 1, 3)), 2: (ShardSpec(0, 0, 2), (1, 1, 3))}
+    found = chunks.sharded_pyramid(back, CHUNK, (2, 2, 1), 2, specs, keep=True, shape=SHAPE)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    chunks.write_sharded(found, str(tmp_path / "shards"))
+    written = spark.read.parquet(str(tmp_path / "shards"))
+    for mip in (1, 2):
+        same(to_voxels(written.filter(F.col("mip") == mip), CHUNK), pool.pyramid(vol, (2, 2, 1), 2, shape=SHAPE).filter(f"mip = {mip} and v > 0").drop("mip"))
+    same(to_voxels(written.filter("mip = 0"), CHUNK), vol)
+    for _, own in written.toPandas().groupby(["mip", "shard"]):
+        order = list(zip(own["minishard"], own["code"], strict=True))
+        assert order == sorted(order)
+
+
+def test_moved_blocks(spark):
+    from stratavox.plans.scales import ShardSpec
+    from stratavox.sources.volume import transfer
+
+    vol, box, shift = voxels(spark, 12), ((2, 1, 0), (20, 12, 8)), (5, 3, 2)
+    found = chunks.sharded_transfer(to_chunks(vol, CHUNK, "uint16"), CHUNK, (5, 7, 3), box, ShardSpec(1, 1, 5), (5, 3, 4), shift)
+    same(to_voxels(found, (5, 7, 3)), transfer(vol, box, shift))
