@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratavox.functions.codes import compressed_morton, morton, shard_number, unsigned
-from stratavox.operators import ccl, chunks, graph_chunks, graph_volume, holes, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
+from stratavox.operators import ccl, chunks, cuts, graph_chunks, graph_volume, holes, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
 from stratavox.sources.shared import materialise
@@ -993,3 +993,21 @@ def graph_bits(spark, d):
 def graph_manifests(spark, d):
     parts = seg(spark, d).select((F.lit((200 << 56) - (1 << 64)) + F.col("label") * (1 << 46)).alias("label"), F.concat_ws("_", F.expr("x div 32"), F.expr("y div 32"), F.expr("z div 4")).alias("name"))
     return graph_volume.manifests(parts).withColumn("label", unsigned("label").cast("string"))
+
+
+# Faces of voxels of 2 x 2 x 2 units, cut at the planes of a grid of 33: what part of each lies in each cell.
+def _cut(axis: str) -> str:
+    at = {a: f"(2 * {a} + CASE WHEN d{a} > 0 THEN 2 ELSE 0 END) // 33" if a == axis else f"2 * {a} // 33 + {a}o.i" for a in "xyz"}
+    rest = [a for a in "xyz" if a != axis]
+    parts = [f"(least(2 * {a} + 2, 33 * ({at[a]}) + 33) - greatest(2 * {a}, 33 * ({at[a]})))" for a in rest]
+    cells = ", ".join(f"CAST({at[a]} AS BIGINT) AS c{a}" for a in "xyz")
+    return f"SELECT label, {cells}, {parts[0]} * {parts[1]} AS area FROM f, range(2) {rest[0]}o(i), range(2) {rest[1]}o(i) WHERE d{axis} <> 0 AND {parts[0]} > 0 AND {parts[1]} > 0"
+
+
+@query(f"WITH s AS {SEG}, f AS ({FACE_SQL}) SELECT label, cx, cy, cz, CAST(sum(area) AS BIGINT) AS area FROM ({' UNION ALL '.join(map(_cut, 'xyz'))}) GROUP BY label, cx, cy, cz")
+def cut_fragments(spark, d):
+    found = cuts.cut(cuts.on_grid(mesh.triangles(seg(spark, d), (2, 2, 2)), 33))
+    u, v = ([F.col(f"{p}.{a}") - F.col(f"a.{a}") for a in "xyz"] for p in "bc")
+    normal = [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
+    area = F.sqrt(normal[0] ** 2 + normal[1] ** 2 + normal[2] ** 2) / 2
+    return found.groupBy("label", "cx", "cy", "cz").agg(F.round(F.sum(area)).cast("bigint").alias("area"))
