@@ -129,7 +129,7 @@ def graph_bits(vol: DataFrame, chunk: tuple[int, int, int]) -> DataFrame:
     return out.groupBy("cx", "cy", "cz").applyInPandas(one, "x long, y long, z long, bits long")
 
 
-def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tuple[int, int, int] | None = None) -> pd.DataFrame:
+def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tuple[int, int, int] | None = None, soma: float | None = None, soma_scale: float = 1.0, soma_const: float = 2.0) -> pd.DataFrame:
     """TEASAR of one label in one cell: paths to the farthest points along the middle, clearing a ball around each path.
 
     Every traced voxel comes with the one before it (itself at a root) and its distance to the border. Voxels are taken
@@ -138,6 +138,10 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tu
     is such a column, name voxels that get a path in any case; they add no voxels. With the size of a graph volume's chunks
     and a column node, paths take only steps that step_bits() allows, so parts of a label that merely touch stay apart;
     the voxel before another is then the next one on its way to the root.
+
+    A label that somewhere is `soma` or more from its border has a cell body: paths of the piece that holds it start from the
+    one voxel farthest from the border, the first of several, and voxels within soma_scale times that distance plus soma_const
+    of it get no path of their own and clear none. So a body adds no branches, and each arm is one from its middle.
     """
     wanted = group["target"].to_numpy(bool) if "target" in group else np.zeros(len(group), bool)
     points = np.unique(group.loc[~wanted, ["z", "y", "x"]].to_numpy(), axis=0)[:, ::-1]
@@ -154,10 +158,17 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tu
         reach, _ = body.distances(np.array([int(left.argmax())]), one)
         found = np.isfinite(reach)
         root = int(np.where(found, reach, -1).argmax())
+        middle = int(radius.argmax())
+        body_here = soma is not None and radius[middle] >= soma and found[middle]
+        root = middle if body_here else root
         plain, _ = body.distances(np.array([root]), one)
         _, before = body.distances(np.array([root]), penalty)
         rows[root] = root
         open_ = found & left
+        outside = np.ones(len(points), bool)
+        if body_here:
+            outside = ((points - points[middle]) ** 2).sum(axis=1) > (soma_scale * radius[middle] + soma_const) ** 2
+            open_ &= outside
         farthest = np.flatnonzero(found)
         for at in farthest[np.argsort(-plain[farthest], kind="stable")].tolist():
             if not open_[at]:
@@ -168,7 +179,8 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tu
                 at = rows[at]
                 path.append(at)
             for p in path:
-                body.clear(open_, p, scale * radius[p] + const)
+                if outside[p]:
+                    body.clear(open_, p, scale * radius[p] + const)
         for at in targets[found[targets]].tolist():
             while at not in rows:
                 rows[at] = int(before[at])
@@ -182,12 +194,12 @@ def trace(group: pd.DataFrame, scale: float = 4.0, const: float = 2.0, chunk: tu
     return out[[x.split()[0] for x in TRACED.split(", ")]]
 
 
-def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: DataFrame | None = None, chunk: tuple[int, int, int] | None = None) -> DataFrame:
+def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: DataFrame | None = None, chunk: tuple[int, int, int] | None = None, soma: float | None = None) -> DataFrame:
     """Traced voxels of each label in each cell; cells overlap by one voxel, so that fragments meet.
 
     A group is one label in one cell, which the cell's size bounds; cells of more than MOST voxels are an error. Targets
     (label, x, y, z), such as nearest_voxels() gives, get a path each; those that are no voxels of their label don't count.
-    For a graph volume, chunk is the size of its chunks and a column node has the voxels' nodes at layer 2: see trace().
+    For a graph volume, chunk is the size of its chunks and a column node has the voxels' nodes at layer 2; soma is the distance from its border that tells a cell body: see trace().
     """
     if (size[0] + 1) * (size[1] + 1) * (size[2] + 1) > MOST:
         raise ValueError(f"a cell has at most {MOST} voxels; take smaller ones, fragments meet when merged")
@@ -201,7 +213,7 @@ def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: Da
     keyed = sent.select("label", *[(own[f"c{a}"] + F.col(k)).alias(f"c{a}") for a, k in zip(AXES, ("_i", "_j", "_k"), strict=True)], *AXES, *node, "target")
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        return trace(group, chunk=chunk) if (~group["target"]).sum() >= max(dust, 1) else pd.DataFrame(columns=[x.split()[0] for x in TRACED.split(", ")])
+        return trace(group, chunk=chunk, soma=soma) if (~group["target"]).sum() >= max(dust, 1) else pd.DataFrame(columns=[x.split()[0] for x in TRACED.split(", ")])
 
     return keyed.groupBy("label", "cx", "cy", "cz").applyInPandas(one, TRACED)
 
