@@ -82,6 +82,12 @@ def test_chain_and_crowd(spark, monkeypatch, block):
     assert found(minhash.near_duplicates(documents(spark, rows))) == brute(rows)
 
 
+def test_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert found(minhash.near_duplicates(docs)) == brute(rows)
+
+
 def test_template_without_links(spark):
     """Texts that share more than half of their words meet in the same keys, and none may be linked."""
     rng = random.Random(6)
