@@ -10,6 +10,7 @@ from stratavox.functions.codes import compressed_morton, morton, shard_number, u
 from stratavox.operators import ccl, chunks, cuts, graph_chunks, graph_volume, holes, iso, kernel, mesh, pool, relabel, sections, select, sharded, skeleton, spatial, stats
 from stratavox.plans.scales import ShardSpec
 from stratavox.sources.fixtures import CCL_SHAPE, SEG_SHAPE, SQL, fixture, stack
+from stratavox.sources.palettes import decode_chunks, encode_chunks
 from stratavox.sources.shared import materialise
 from stratavox.sources.volume import to_chunks, to_voxels, transfer
 
@@ -1011,3 +1012,8 @@ def cut_fragments(spark, d):
     normal = [u[1] * v[2] - u[2] * v[1], u[2] * v[0] - u[0] * v[2], u[0] * v[1] - u[1] * v[0]]
     area = F.sqrt(normal[0] ** 2 + normal[1] ** 2 + normal[2] ** 2) / 2
     return found.groupBy("label", "cx", "cy", "cz").agg(F.round(F.sum(area)).cast("bigint").alias("area"))
+
+
+@query(f"SELECT x, y, z, label AS v FROM {SEG}")
+def label_palettes(spark, d):
+    return to_voxels(decode_chunks(encode_chunks(label_chunks(spark, d), CHUNK), CHUNK), CHUNK)
