@@ -19,7 +19,7 @@ CHUNKS, COMPONENTS, ERRORS, BITS = 12, 5, 1, 16
 MINIMA = CHUNKS * COMPONENTS
 #: All pairs of signatures that differ in up to SURE components meet: were each chunk to differ in more than ERRORS, the whole would differ in SURE + 1.
 SURE = CHUNKS * (ERRORS + 1) - 1
-#: Pairs that meet are left out if they differ in more components; of 60, a pair of similarity 0.8 does so once in about 2e6.
+#: Pairs that meet are left out if they differ in more components; of 60, a pair of similarity 0.8 does so once in about 1.2e6.
 MOST = 28
 #: Sets that may have links are broadcast (three numbers each) up to so many, so that texts stay where they are; beyond that texts are shuffled to them.
 MOST_NEAR = 500_000
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     and no links; one word alone is a shingle. Repeated rows and equal sets are linked and each has a row. A null text is
     empty; a null doc_id names a component only if nothing else is in it, and is kept then. An empty table gives no
     rows. Other columns are ignored. Every link that is given is exact but for hashes of 48 bits; of pairs that are just
-    similar enough (0.8), one in about 2e6 doesn't meet.
+    similar enough (0.8), one in about 1.1e6 is missed.
     """
     return named(*set_links(docs)).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
