@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratavox.sources.shared import materialise
+
 
 def remap_keep(vol: DataFrame, table: DataFrame) -> DataFrame:
     """Labels by the table (old, new); those that it lacks stay."""
@@ -27,19 +29,25 @@ def remap_array(vol: DataFrame, values: DataFrame) -> DataFrame:
 def renumber(vol: DataFrame) -> DataFrame:
     """label and number, counting the labels other than 0 from 1 in their order.
 
-    Ranks come from counts of a few thousand ranges of labels, so no task sorts all labels.
+    Ranks come from counts of ranges of labels, so no task sorts all labels.
     """
     distinct = vol.select("label").filter("label != 0").distinct()
     return ranked(distinct, "label", "number")
 
 
-def ranked(rows: DataFrame, key: str, name: str, parts: int = 256) -> DataFrame:
-    """rows with the rank of a distinct numeric key, from 1: ranges of the key are counted, then ranked within."""
-    from pyspark.sql import Window
+def ranked(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """rows with the rank of a distinct key, from 1.
 
-    edges = rows.agg(F.percentile_approx(key, [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    part = F.size(F.filter(F.array(*[F.lit(e) for e in sorted(set(edges))]).cast("array<bigint>"), lambda e: e < F.col(key)))
-    keyed = rows.withColumn("_part", part)
-    first = keyed.groupBy("_part").agg(F.count("*").alias("_n")).withColumn("_first", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    within = F.row_number().over(Window.partitionBy("_part").orderBy(key))
-    return keyed.join(F.broadcast(first.drop("_n")), "_part").withColumn(name, (within + F.col("_first")).cast("bigint")).drop("_part", "_first")
+    Rows are dealt out by ranges of the key and numbered within each; a range's ranks begin after the counts of those before
+    it. Ranges are the session's shuffle partitions, so their number grows with what the session is set up for, and the
+    counts that are broadcast are a row for each.
+    """
+    spread = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("_at", F.monotonically_increasing_id())
+    placed = materialise(spread, "ranked")
+    part = F.shiftright("_at", 33)  # an id is its partition's number and, in 33 bits, the row's within it
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    first = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_first"))
+    own = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = placed.withColumn("_part", part).join(F.broadcast(first), "_part").withColumn(name, (F.col("_first") + own + 1).cast("bigint"))
+    return numbered.select(*rows.columns, name)

@@ -418,3 +418,14 @@ def test_loops_are_cut_at_their_longest_edges(spark):
     frame = spark.createDataFrame([*links, *turned], "label long, a struct<x:long,y:long,z:long>, b struct<x:long,y:long,z:long>")
     assert {(r.label, tuple(r.a), tuple(r.b)) for r in skeleton.without_loops(frame).collect()} == want
     assert skeleton.without_loops(frame.limit(0)).count() == 0
+
+
+def test_ranks_over_many_ranges(spark):
+    from stratavox.operators.relabel import ranked
+
+    rng = np.random.default_rng(6)
+    keys = [int(k) for k in np.unique(rng.integers(-(1 << 62), 1 << 62, 5000))]
+    df = spark.createDataFrame([(k, str(k)) for k in rng.permutation(keys).tolist()], "k long, t string").repartition(7)
+    found = {r.k: (r.n, r.t) for r in ranked(df, "k", "n").collect()}
+    assert found == {k: (i + 1, str(k)) for i, k in enumerate(keys)}
+    assert ranked(df.limit(0), "k", "n").collect() == []
