@@ -429,3 +429,19 @@ def test_ranks_over_many_ranges(spark):
     found = {r.k: (r.n, r.t) for r in ranked(df, "k", "n").collect()}
     assert found == {k: (i + 1, str(k)) for i, k in enumerate(keys)}
     assert ranked(df.limit(0), "k", "n").collect() == []
+
+
+def test_files_of_skeletons_indexes_and_copies(spark, tmp_path):
+    from stratavox.sources.volume import read_volume, transfer, write_index, write_swc, write_volume
+
+    nodes = spark.createDataFrame([(1, 2, 5, 6, 7, 1.5, 1), (1, 1, 4, 6, 7, 2.0, -1), (9, 1, 0, 0, 0, 1.0, -1)], "label long, node long, x long, y long, z long, radius double, parent long")
+    write_swc(skeleton.swc_lines(nodes), f"{tmp_path}/swc")
+    read = lambda label: [line for f in sorted((tmp_path / f"swc/label={label}").glob("part-*")) for line in f.read_text().splitlines()]
+    assert read(1) == ["1 0 4 6 7 2.0 -1", "2 0 5 6 7 1.5 1"] and read(9) == ["1 0 0 0 0 1.0 -1"]
+    index = spark.createDataFrame([(1, 0, 5), (2, 3, 4)], "label long, x0 long, x1 long")
+    write_index(index, path=f"{tmp_path}/index")
+    write_index(index, path=f"{tmp_path}/index")  # takes the place of the first
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/index").collect())) == [(1, 0, 5), (2, 3, 4)]
+    vol = voxels(spark, [(x, x + 1, 0, 3) for x in range(4)])
+    write_volume(transfer(vol).withColumn("mip", F.lit(0)), f"{tmp_path}/copy")
+    assert sorted(map(tuple, read_volume(spark, f"{tmp_path}/copy", 0).select(vol.columns).collect())) == sorted(map(tuple, vol.collect()))
