@@ -221,16 +221,20 @@ def forge(vol: DataFrame, size: tuple[int, int, int], dust: int = 0, targets: Da
 def nearest_voxels(points: DataFrame, vol: DataFrame, radius: int) -> DataFrame:
     """For each point (label, x, y, z, kind) at most radius away from its label: the nearest voxel, the first by (z, y, x) of equal ones.
 
-    Both meet in cells as wide as the radius, on the label and the cell; further columns of the points are left out.
+    Both meet in cells as wide as the radius, on the label and the cell; further columns of the points are left out. A place
+    goes to 27 cells once, whatever kinds it has, and only if its label has voxels. Spark's size estimate knows nothing of
+    the 27, so the join is told to sort: neither side is ever sent to the driver.
     """
     keyed = vol.select("label", *[F.col(a).alias(f"v{a}") for a in AXES], *[F.floor(F.col(a) / radius).alias(f"c{a}") for a in AXES])
-    spread = points.select("label", *AXES, "kind").distinct()
+    places = points.groupBy("label", *AXES).agg(F.collect_set(F.struct("kind")).alias("kinds"))
+    spread = places.join(vol.select("label").distinct().hint("merge"), "label", "left_semi")
     for a in AXES:
         spread = spread.withColumn("_d", F.explode(F.sequence(F.lit(-1), F.lit(1)))).withColumn(f"c{a}", F.floor(F.col(a) / radius) + F.col("_d"))
     far = sum((F.col(f"v{a}") - F.col(a)) * (F.col(f"v{a}") - F.col(a)) for a in AXES)
-    met = spread.drop("_d").join(keyed, ["label", "cx", "cy", "cz"]).withColumn("_far", far).filter(F.col("_far") <= radius * radius)
-    best = met.groupBy("label", *AXES, "kind").agg(F.min(F.struct("_far", "vz", "vy", "vx")).alias("b"))
-    return best.select("label", *[F.col(f"b.v{a}").alias(a) for a in AXES], "kind")
+    met = spread.drop("_d", "kinds").hint("merge").join(keyed, ["label", "cx", "cy", "cz"]).withColumn("_far", far).filter(F.col("_far") <= radius * radius)
+    best = met.groupBy("label", *AXES).agg(F.min(F.struct("_far", "vz", "vy", "vx")).alias("b"))
+    found = best.join(places.hint("merge"), ["label", *AXES]).select("label", F.col("b"), F.explode("kinds").alias("k"))
+    return found.select("label", *[F.col(f"b.v{a}").alias(a) for a in AXES], "k.kind")
 
 
 def typed(nodes: DataFrame, targets: DataFrame) -> DataFrame:

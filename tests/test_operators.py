@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from stratavox import registry
@@ -445,3 +446,11 @@ def test_files_of_skeletons_indexes_and_copies(spark, tmp_path):
     vol = voxels(spark, [(x, x + 1, 0, 3) for x in range(4)])
     write_volume(transfer(vol).withColumn("mip", F.lit(0)), f"{tmp_path}/copy")
     assert sorted(map(tuple, read_volume(spark, f"{tmp_path}/copy", 0).select(vol.columns).collect())) == sorted(map(tuple, vol.collect()))
+
+
+def test_nearest_voxels_send_nothing_to_the_driver(spark):
+    points = spark.createDataFrame([(1, 0, 0, 0, "a"), (1, 0, 0, 0, None), (1, 9, 0, 0, "a"), (2, 0, 0, 0, "a")], "label long, x long, y long, z long, kind string")
+    vol = spark.createDataFrame([(1, 2, 0, 0), (1, 0, 2, 0), (1, 0, 0, 4), (3, 0, 0, 0)], "label long, x long, y long, z long")
+    found = skeleton.nearest_voxels(points, vol, 3)
+    assert sorted(map(str, found.collect())) == sorted(map(str, [Row(label=1, x=2, y=0, z=0, kind=k) for k in ("a", None)]))
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
