@@ -16,8 +16,8 @@ def voxel_counts(vol: DataFrame, by: str = "label") -> DataFrame:
 
 
 def cell_counts(vol: DataFrame, size: Size, shape: Size) -> DataFrame:
-    """Voxels of each label in each grid cell, label 0 being what a cell's volume has left."""
-    counts = vol.filter("label != 0").groupBy(*[c.alias(n) for n, c in cell(size).items()], "label").agg(F.count("*").alias("voxels"))
+    """Voxels of each label in each grid cell, label 0 being what a cell's volume has left, 0 in a full cell; every cell has that row."""
+    counts = vol.filter(~F.col("label").eqNullSafe(0)).groupBy(*[c.alias(n) for n, c in cell(size).items()], "label").agg(F.count("*").alias("voxels"))
     grid = tuple(-(-s // c) for s, c in zip(shape, size, strict=True))
     cells = vol.sparkSession.range(grid[0] * grid[1] * grid[2])
     i = F.col("id")
@@ -28,7 +28,7 @@ def cell_counts(vol: DataFrame, size: Size, shape: Size) -> DataFrame:
     cells = cells.select(*[c.cast("bigint").alias(n) for n, c in at.items()]).withColumn("_room", room.cast("bigint"))
     used = counts.groupBy("cx", "cy", "cz").agg(F.sum("voxels").alias("_used"))
     empty = cells.join(used, ["cx", "cy", "cz"], "left").select("cx", "cy", "cz", F.lit(0).cast("bigint").alias("label"), (F.col("_room") - F.coalesce("_used", F.lit(0))).alias("voxels"))
-    return counts.unionByName(empty.filter("voxels > 0"))
+    return counts.unionByName(empty)
 
 
 def sum_counts(partial: DataFrame) -> DataFrame:

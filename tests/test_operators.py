@@ -448,6 +448,13 @@ def test_files_of_skeletons_indexes_and_copies(spark, tmp_path):
     assert sorted(map(tuple, read_volume(spark, f"{tmp_path}/copy", 0).select(vol.columns).collect())) == sorted(map(tuple, vol.collect()))
 
 
+def test_full_cells_have_a_row_of_no_background(spark):
+    cube = [(x, y, z, 3 if z else None) for x in range(4) for y in range(4) for z in range(2)]
+    vol = spark.createDataFrame(cube, "x long, y long, z long, label long")
+    found = {tuple(r) for r in stats.cell_counts(vol, (4, 4, 2), (8, 4, 2)).collect()}
+    assert found == {(0, 0, 0, 3, 16), (0, 0, 0, None, 16), (0, 0, 0, 0, 0), (1, 0, 0, 0, 32)}
+
+
 def test_nearest_voxels_send_nothing_to_the_driver(spark):
     points = spark.createDataFrame([(1, 0, 0, 0, "a"), (1, 0, 0, 0, None), (1, 9, 0, 0, "a"), (2, 0, 0, 0, "a")], "label long, x long, y long, z long, kind string")
     vol = spark.createDataFrame([(1, 2, 0, 0), (1, 0, 2, 0), (1, 0, 0, 4), (3, 0, 0, 0)], "label long, x long, y long, z long")
