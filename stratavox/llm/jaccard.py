@@ -19,6 +19,8 @@ from stratavox.operators.ccl import contract
 SHINGLE, LEAST = 5, 80
 #: Bits of a set's signature, records that a task gathers before it packs them, and rounds of comparing with hubs.
 BITS, GATHER, ROUNDS = 4096, 1 << 21, 3
+#: Parts of the buckets that are counted one after the other, so that only one part's hashes are in shuffle files at a time.
+TURNS = 3
 SETS = "doc_id long, hash long, n_shingles long, set_id long"
 MEMBERS = "block long, sets binary, sizes binary, row binary, hashes binary, counts binary"
 KEYS = "set_id long, n long, n_keys long, rank long, key long"
@@ -246,15 +248,15 @@ def set_links(docs: DataFrame, fan_out: int = FAN) -> tuple[DataFrame, DataFrame
     sets = materialise(rows.mapInArrow(set_rows, SETS), "jaccard-sets")
     fan = Fan(buckets_for(8 * (sets.agg(F.sum("n_shingles")).first()[0] or 0)), fan_out)
     packed = materialise(rows.select("text").mapInArrow(shingle_rows(fan.coarse), PACKED), "jaccard-packed")
-    answer = materialise(shared(packed, fan), "jaccard-answer")
+    answers = [materialise(shared(packed.filter(F.col("bucket") % TURNS == turn), fan), "jaccard-answer") for turn in range(TURNS)]
     payload = materialise(packed.select("bucket", "batch", F.col("counts").alias("counts0"), "payload"), "jaccard-payload")
     drop(packed)
-    own = payload.join(answer, ["bucket", "batch"])
+    own = payload.join(reduce(DataFrame.unionByName, answers), ["bucket", "batch"])
     members = own.select("counts0", "payload", "at", "hashes", "counts").mapInArrow(member_rows(fan.coarse), MEMBERS)
     if fan.per > 1:
         members = members.withColumn("group", fan.group("sets")).groupBy("block", "group").applyInArrow(members_again(fan.fine), MEMBERS)
     sketch = materialise(members.groupBy("block").applyInArrow(sketches, SKETCH), "jaccard-sketch")
-    drop(payload, answer)
+    drop(payload, *answers)
     keys = materialise(sketch.select("set_id", "n", "prefix").mapInArrow(prefix_rows, KEYS), "jaccard-keys")
     parts = materialise(sketch.select("set_id", F.col("set_id").alias("part")), "jaccard-parts")
     tried = []

@@ -229,6 +229,28 @@ def test_redacted_texts(spark):
     assert sorted((r.doc_id, r.text or "-") for r in out.collect()) == [(1, "mail [EMAIL] and [IP]."), (2, "-"), (3, "clean"), (3, "clean"), (4, "[EMAIL]")]
 
 
+def test_texts_without_spans_pass_redaction_unmoved(spark):
+    rows = [(1, "1.2.3.4", "a"), (2, "a\n@b.c", "a"), (3, "12 34 no", "a"), (4, "x" * 50, "a"), (5, "+1 (2) 3456-789", "b"), (6, None, "b")]
+    out = personal.redact(documents(spark, rows))
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "[IP]", 2: "a\n@b.c", 3: "12 34 no", 4: "x" * 50, 5: "[PHONE]", 6: None}
+    below = out._jdf.queryExecution().analyzed().toString()
+    assert below.startswith("Union") and "Join" not in below[below.rindex("Filter NOT") :]
+
+
+def test_hashes_are_counted_in_turns(docs, monkeypatch):
+    seen = []
+
+    def kept(df, name, write=jaccard.materialise):
+        out = write(df, name)
+        if name == "jaccard-answer":
+            seen.append({r.bucket for r in out.select("bucket").collect()})
+        return out
+
+    monkeypatch.setattr(jaccard, "materialise", kept)
+    jaccard.link_documents(docs).collect()
+    assert len(seen) > 1 and sum(map(len, seen)) == len(set().union(*seen)) > max(map(len, seen))
+
+
 def test_media_round_trip(docs, rows):
     stored = media.encode_media(docs)
     found = media.media_features(stored).collect()
