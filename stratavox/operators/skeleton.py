@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +21,9 @@ STEPS = np.array([(i, j, k) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1
 #: The most voxels in a cell that forge() takes: a group's arrays are in proportion to it.
 MOST = 1 << 24
 
+#: Edges of a label that one task takes as a whole; a larger label's edges go by cells of so many voxels first.
+EDGES, CELL = 1 << 18, 64
+
 
 class _Body:
     """Voxels of one label in one cell on a dense grid of their box, with a border of one voxel.
@@ -251,6 +257,15 @@ def merge(traced: DataFrame) -> tuple[DataFrame, DataFrame]:
     return nodes, edges
 
 
+def linked_nodes(traced: DataFrame) -> DataFrame:
+    """The nodes of merge(), and whether an edge ends there."""
+    moved = F.struct(*AXES) != F.struct(*[F.col(f"p{a}").alias(a) for a in AXES])
+    own = F.struct(*AXES, "radius", F.lit(True).alias("own"), moved.alias("linked"))
+    before = F.struct(*[F.col(f"p{a}").alias(a) for a in AXES], F.lit(None).cast("double").alias("radius"), F.lit(False).alias("own"), moved.alias("linked"))
+    both = traced.select("label", F.explode(F.when(moved, F.array(own, before)).otherwise(F.array(own))).alias("n")).select("label", "n.*")
+    return both.groupBy("label", *AXES).agg(F.max("radius").alias("radius"), F.max("own").alias("own"), F.max("linked").alias("linked")).filter("own").drop("own")
+
+
 def cable_length(edges: DataFrame, resolution: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
     """The summed length of each label's edges."""
     square = sum((((F.col(f"a.{a}") - F.col(f"b.{a}")) * r) ** 2) for a, r in zip(AXES, resolution, strict=True))
@@ -291,18 +306,49 @@ def without_ticks(edges: DataFrame, least: float, resolution: tuple[int, int, in
     return placed.join(short.select("part"), "part", "left_anti").select("label", "a", "b")
 
 
+def _joining(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For mapInArrow over edges p, q in the order of label, part and length: those that join two pieces of what came before (Kruskal)."""
+    last, up = None, {}
+
+    def root(v: int) -> int:
+        while (above := up.get(v, v)) != v:
+            up[v] = v = up.get(above, above)
+        return v
+
+    for batch in batches:
+        keep = []
+        for label, part, p, q in zip(*(batch.column(c).to_pylist() for c in ("label", "part", "p", "q")), strict=True):
+            if (label, part) != last:
+                last, up = (label, part), {}
+            p, q = root(p), root(q)
+            up[p] = q
+            keep.append(p != q)
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["label", "part", "a", "b"])
+
+
 def without_loops(edges: DataFrame, resolution: tuple[int, int, int] = (1, 1, 1)) -> DataFrame:
     """edges (label, a, b) of the shortest forest with the same pieces: each loop is cut at its longest edge, of equal ones at the last by (a, b).
 
-    Every piece picks its shortest edge outwards, what is picked is contracted, and of edges between the same two pieces
-    the shortest stays (Boruvka's rounds): pieces at least halve each round, and the edges left get fewer. Repeated edges
-    count once; edges from a node to itself go. Nodes go by a 64-bit hash.
+    A label of up to EDGES edges is sorted by length and done in one pass of a task; one shuffle deals all labels to tasks. A
+    larger one is dealt by cells, which cuts the loops within each; what is left of it goes through Boruvka's rounds: every
+    piece picks its shortest edge outwards, what is picked is contracted, and of edges between the same two pieces the shortest
+    stays. Pieces at least halve each round, and the edges left get fewer. Repeated edges count once; edges from a node to
+    itself go. Nodes go by a 64-bit hash. A task holds the nodes of one label's part; labels beyond EDGES are broadcast.
     """
     square = sum((((F.col(f"a.{x}") - F.col(f"b.{x}")) * r) ** 2) for x, r in zip(AXES, resolution, strict=True))
-    each = edges.select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    each = each.select(F.xxhash64("label", "a").alias("p"), F.xxhash64("label", "b").alias("q"), F.struct(F.sqrt(square).alias("length"), "label", "a", "b").alias("e")).filter("p != q")
+    each = edges.select("label", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b")
+    ends = {"p": F.xxhash64("label", "a"), "q": F.xxhash64("label", "b"), "length": F.sqrt(square)}
+    large = each.groupBy("label").agg(F.count("*").alias("n")).filter(F.col("n") > EDGES)
+    place = F.pmod(F.xxhash64(*[F.floor(F.col(f"a.{x}") / CELL) for x in AXES]), 4 * F.ceil(F.col("n") / EDGES))
+    dealt = each.join(F.broadcast(large), "label", "left").select("label", F.coalesce(place + 1, F.lit(0)).cast("bigint").alias("part"), "a", "b").repartition("label", "part")
+    schema = dealt.schema
+    thin = materialise(dealt.withColumns(ends).sortWithinPartitions("label", "part", "length", "a", "b").mapInArrow(_joining, schema), "loops-thin")
+    kept, open_ = thin.filter("part = 0").select("label", "a", "b"), thin.filter("part > 0")
+    if open_.isEmpty():
+        return kept
+    each = open_.withColumns(ends).select("p", "q", F.struct("length", "label", "a", "b").alias("e"))
     shortest = lambda df: df.groupBy(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q")).agg(F.min("e").alias("e"))
-    left, kept = materialise(shortest(each), "loops-left"), each.limit(0).select("e.label", "e.a", "e.b")
+    left = materialise(shortest(each), "loops-left")
     while not left.isEmpty():
         ends = left.select(F.explode(F.array("p", "q")).alias("piece"), F.struct("e", "p", "q").alias("s"))
         picked = materialise(ends.groupBy("piece").agg(F.min("s").alias("s")).select("s.*").distinct(), "loops-picked")

@@ -1,5 +1,8 @@
 """Merges into shards, targets of skeletons and graph volumes, on small volumes."""
 
+import math
+import random
+
 import pandas as pd
 import pytest
 
@@ -98,3 +101,38 @@ def test_faces_between_supervoxels_are_inside(spark):
 def test_prefixes_are_those_of_all_labels(spark):
     want = {str((200 << 56) + (x << 52) + (y << 48))[:4] for x in range(16) for y in range(16)}
     assert {r.prefix for r in graph_volume.prefixes(spark, 200, 8, 4, 4, 4).collect()} == want
+
+
+def forest(rows):
+    """Kruskal over (label, a, b): edges by length, then by ends."""
+    up, kept = {}, set()
+
+    def root(v):
+        while up.get(v, v) != v:
+            v = up[v]
+        return v
+
+    for label, a, b in sorted({(n, min(a, b), max(a, b)) for n, a, b in rows if a != b}, key=lambda e: (math.dist(e[1], e[2]), e)):
+        p, q = root((label, a)), root((label, b))
+        if p != q:
+            up[p] = q
+            kept.add((label, a, b))
+    return kept
+
+
+@pytest.mark.parametrize("most", [1 << 18, 40])
+def test_loops_of_small_labels_take_one_table(spark, monkeypatch, most):
+    rng, written = random.Random(most), []
+    spot = lambda: (rng.randrange(200), rng.randrange(5), 0)
+    rows = [(k % 3 and k % 9, spot(), spot()) for k in range(400)]
+    rows += rows[:20]
+
+    def kept(df, name, write=skeleton.materialise):
+        written.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(skeleton, "materialise", kept)
+    monkeypatch.setattr(skeleton, "EDGES", most, raising=False)
+    edges = spark.createDataFrame(rows, "label long, a struct<x:long,y:long,z:long>, b struct<x:long,y:long,z:long>")
+    assert sorted((r.label, tuple(r.a), tuple(r.b)) for r in skeleton.without_loops(edges).collect()) == sorted(forest(rows))
+    assert (len(written) == 1) == (most > 400)
