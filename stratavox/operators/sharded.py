@@ -27,22 +27,28 @@ def skeletons(
 
     Skeletons with more cable than `longest` stay as they were merged. A node without edges is a skeleton of length 0.
     """
-    nodes, edges = skeleton.merge(traced)
-    edges = materialise(edges, "merged-edges")
-    length = nodes.select("label").distinct().join(skeleton.cable_length(edges, resolution).select("label", "length"), "label", "left")
-    length = materialise(length.select("label", F.coalesce("length", F.lit(0.0)).alias("length")), "merged-lengths")
-    whole = F.lit(False) if longest is None else F.col("length") > longest
-    rest, kept = length.filter(~whole).select("label"), length.filter(whole).select("label")
-    cleaned = skeleton.without_loops(edges.join(rest, "label", "left_semi"), resolution)
+    edges = materialise(skeleton.merge(traced)[1], "merged-edges")
+    nodes = materialise(skeleton.linked_nodes(traced), "merged-nodes")
+    rest, whole = edges, None
+    if longest is not None:
+        whole = skeleton.cable_length(edges, resolution).filter(F.col("length") > longest).select("label")
+        rest = edges.join(whole, "label", "left_anti")
+    ends = skeleton.without_loops(rest, resolution)
     if tick > 0:
-        cleaned = skeleton.without_ticks(cleaned, tick, resolution)
-    cleaned = materialise(cleaned, "merged-clean")
-    left = rest.join(skeleton.cable_length(cleaned, resolution).select("label", "length"), "label", "left").filter(F.coalesce("length", F.lit(0.0)) >= dust).select("label")
-    ends = edges.join(kept, "label", "left_semi").unionByName(cleaned.join(left, "label", "left_semi"))
-    held = ends.select("label", F.explode(F.array("a", "b")).alias("n")).select("label", "n.*").distinct()
-    joined = nodes.join(held, ["label", *AXES], "left_semi")
-    alone = nodes.join(length.filter("length = 0").select("label"), "label", "left_semi")
-    joined = joined.unionByName(alone) if dust <= 0 else joined
+        ends = materialise(skeleton.without_ticks(ends, tick, resolution), "merged-clean")
+    if dust > 0:
+        ends = ends.join(skeleton.cable_length(ends, resolution).filter(F.col("length") >= dust).select("label"), "label", "left_semi")
+    if whole is not None:
+        ends = edges.join(whole, "label", "left_semi").unionByName(ends)
+    joined = nodes.filter("linked").drop("linked")
+    if tick > 0:
+        held = ends.select("label", F.explode(F.array("a", "b")).alias("n")).select("label", "n.*").distinct()
+        joined = joined.join(held, ["label", *AXES], "left_semi")
+    elif dust > 0:
+        joined = joined.join(ends.select("label").distinct(), "label", "left_semi")
+    if dust <= 0:
+        alone = nodes.filter("not linked").drop("linked")
+        joined = joined.unionByName(alone.join(edges.select("label").distinct(), "label", "left_anti"))
     return routed(joined, spec, hashed), routed(ends, spec, hashed)
 
 

@@ -136,3 +136,18 @@ def test_loops_of_small_labels_take_one_table(spark, monkeypatch, most):
     edges = spark.createDataFrame(rows, "label long, a struct<x:long,y:long,z:long>, b struct<x:long,y:long,z:long>")
     assert sorted((r.label, tuple(r.a), tuple(r.b)) for r in skeleton.without_loops(edges).collect()) == sorted(forest(rows))
     assert (len(written) == 1) == (most > 400)
+
+
+def test_nodes_and_edges_are_written_once(spark, monkeypatch):
+    written = []
+
+    def kept(df, name, write=sharded.materialise):
+        written.append(name)
+        return write(df, name)
+
+    monkeypatch.setattr(sharded, "materialise", kept)
+    monkeypatch.setattr(skeleton, "materialise", kept)
+    rows = [(1, 0, 0, 0, 0, 0, 0, 1.0), (1, 1, 0, 0, 0, 0, 0, 1.0), (1, 9, 9, 9, 9, 9, 9, 1.0), (2, 5, 5, 5, 5, 5, 5, 2.0)]
+    nodes, edges = sharded.skeletons(spark.createDataFrame(rows, skeleton.TRACED.replace(" cx long, cy long, cz long,", "")), SPEC)
+    assert sorted((r.label, r.x) for r in nodes.collect()) == [(1, 0), (1, 1), (2, 5)]  # a voxel apart in a label with edges is none
+    assert edges.count() == 1 and written == ["merged-edges", "merged-nodes", "loops-thin"]
