@@ -318,11 +318,18 @@ def _dealt(segments: list[bytes], fine: int) -> tuple[list[np.ndarray], list[np.
     return [c[order] for c in cols], np.split(text, np.cumsum(size[order])[:-1]) if len(order) else [], bucket[order], order
 
 
+def _by_block(table_: pa.Table) -> tuple[list[int], list[bytes]]:
+    """Blocks and segments of SEGMENTS rows in the order of blocks: a shuffle brings a group's rows in any order, another one each time."""
+    order = np.argsort(table_["block"].to_numpy(), kind="stable").tolist()
+    blocks, segments = table_["block"].to_pylist(), table_["segments"].to_pylist()
+    return [blocks[i] for i in order], [segments[i] for i in order]
+
+
 def segments_again(fine: int):
     """For applyInArrow by coarse bucket and group of blocks: its segments by fine bucket; the group stands for the block."""
 
     def run(table_: pa.Table) -> pa.Table:
-        cols, texts, bucket, _ = _dealt(table_["segments"].to_pylist(), fine)
+        cols, texts, bucket, _ = _dealt(_by_block(table_)[1], fine)
         cuts, out, group = np.flatnonzero(np.diff(bucket, prepend=-1)), [], table_["group"][0].as_py()
         for i, j in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
             out.append((bucket[i], group, bundle(*(c[i:j] for c in cols), np.concatenate(texts[i:j]))))
@@ -337,8 +344,9 @@ def runs_back(fine: int):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if len(left) and len(right):
-            _, _, bucket, order = _dealt(left["segments"].to_pylist(), fine)
-            blocks, sizes = left["block"].to_pylist(), [len(unbundle(x, *KINDS)[0]) for x in left["segments"].to_pylist()]
+            blocks, segments = _by_block(left)
+            _, _, bucket, order = _dealt(segments, fine)
+            sizes = [len(unbundle(x, *KINDS)[0]) for x in segments]
             found = []
             for at, raw in zip(right["fine"].to_pylist(), right["runs"].to_pylist(), strict=True):
                 seg, owner, j, length = unbundle(raw, np.uint32, np.int64, np.uint8, np.uint8)

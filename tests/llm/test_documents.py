@@ -55,6 +55,29 @@ def test_repeats_are_removed(docs, rows, hot, fan_out, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in found} == expected
 
 
+def test_runs_come_back_in_any_order_of_blocks():
+    rng, blocks, fine = random.Random(4), 12, 6
+    passages = [sentence(rng, 25) for _ in range(40)]
+    out = []
+    for block in range(blocks):
+        rows = np.arange(block, 10 * blocks, blocks)
+        texts = [" ".join([sentence(rng, 5), *rng.sample(passages, 3)]).encode() for _ in rows]
+        data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        row, start, count, place, h = suffix.anchors(data, offsets)
+        notes = suffix.note_batch([(rows[row], h, start.astype(np.uint32), count.astype(np.uint8), place.astype(np.uint8), np.zeros(len(h), np.uint8))], blocks)
+        left = pa.table({"block": [block] * len(rows), "row": rows, "doc_id": rows, "text": texts})
+        out.append(suffix.segment_rows(1)(left, pa.Table.from_batches([notes])))
+    one = pa.concat_tables(out).append_column("group", pa.array([7] * blocks, pa.int64()))
+    removals = lambda runs: sorted((b, *map(int, x)) for b, raw in zip(runs["block"].to_pylist(), runs["runs"].to_pylist(), strict=True) for x in zip(*suffix.unbundle(raw, np.uint32, np.int64, np.uint8, np.uint8), strict=True))
+    expected = removals(suffix.find_repeats(one))
+    assert len({b for b, *_ in expected}) == blocks
+    cut = suffix.segments_again(fine)(one)
+    found = [suffix.find_repeats(cut.filter(pa.array(cut["bucket"].to_numpy() == b))) for b in sorted(set(cut["bucket"].to_pylist()))]
+    found = pa.concat_tables(found).rename_columns(["fine", "group", "runs"])
+    for order in (np.arange(blocks), np.arange(blocks)[::-1], np.random.default_rng(0).permutation(blocks)):
+        assert removals(suffix.runs_back(fine)(one.take(pa.array(order)), found)) == expected
+
+
 def test_suffixes_sort_like_strings():
     rng = np.random.default_rng(0)
     block = rng.integers(97, 100, 90).astype(np.uint8)
